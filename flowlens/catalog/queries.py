@@ -25,7 +25,7 @@ from ..operators.scalers import FALLBACK, POPULATION, apply_scaler, fit_scaler,
 from ..operators.sessions import add_session_features
 from ..plans import ml_features, training, tuning
 from ..plans.preprocess import FittedFeatures, feature_set, load_fitted
-from ..plans.tracking import RunLog, metric_dict, report_text
+from ..plans.tracking import Run, RunLog, metric_dict, report_text
 from ..schemas import (
     CATEGORICAL,
     EVENT_PROPERTIES,
@@ -758,12 +758,15 @@ def _run_log(spark: SparkSession, sf_dir: str) -> RunLog:
     log = RunLog(spark, scratch_path(spark, "runs"))
     scored = _rule_model(flows(spark, sf_dir))
     per_class = evaluate.class_metrics(evaluate.confusion_matrix(scored, by=["split"]), ["split"]).cache()
-    summary = evaluate.summary_metrics(per_class, ["split"])
-    for split in ("train", "val", "test"):
-        metrics = metric_dict(summary.where(F.col("split") == split))
-        report = report_text(evaluate.classification_report(per_class.where(F.col("split") == split)))
-        log.log(f"rule_{split}", "rule", {"split": split}, {**metrics, "done": True}, {"report.txt": report})
+    summary = evaluate.summary_metrics(per_class, ["split"]).collect()
+    report = evaluate.classification_report(per_class, by=["split"]).collect()
     per_class.unpersist()
+    runs = []
+    for split in ("train", "val", "test"):
+        metrics = metric_dict(r for r in summary if r["split"] == split)
+        text = report_text(r for r in report if r["split"] == split)
+        runs.append(Run(f"rule_{split}", "rule", {"split": split}, {**metrics, "done": True}, {"report.txt": text}))
+    log.log(*runs)
     return log
 
 

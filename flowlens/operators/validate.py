@@ -28,11 +28,14 @@ def require_contract(df: DataFrame, target: str = TARGET) -> DataFrame:
 
 
 def contract_report(df: DataFrame, target: str = TARGET) -> DataFrame:
-    """(column_name, present, n_rows, n_null) for every column the contract asks for."""
+    """(column_name, present, n_rows, n_null) for every column the contract asks for.
+
+    A column that is not there counts as null in every row.
+    """
     expected = [*MODEL_INPUTS, target]
     missing = set(missing_columns(df, target))
     nulls = [
-        F.lit(None).cast("long").alias(c) if c in missing else F.count_if(F.col(c).isNull()).alias(c)
+        F.count("*").alias(c) if c in missing else F.count_if(F.col(c).isNull()).alias(c)
         for c in expected
     ]
     counted = df.agg(F.count("*").alias("n_rows"), *nulls)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import SparkSession
 from ..session import DEFAULT_READ_MB, build_session
 from ..sources.parquet import DEFAULT_RECORDS_PER_FILE, read_processed, read_split, write_split
 from .preprocess import FittedFeatures, feature_set, load_fitted
-from .tracking import RunLog, metric_dict
+from .tracking import Run, RunLog, metric_dict
 from .training import TrainingResult, train
 from .tuning import best, final_params, random_search
 
@@ -55,11 +56,13 @@ class PreprocessJob:
     def run_split(self, split: str) -> str:
         df = read_split(self.spark, self.raw, split)
         if split == "train":
-            self.fitted = feature_set(self.features).fit(df)
+            self.fitted, out = feature_set(self.features).fit_transform(df)
             self.fitted.save(self.spark, self.artifact)
-        elif self.fitted is None:
-            self.fitted = load_fitted(self.spark, self.artifact, self.features)
-        return write_split(self.fitted.transform(df), self.processed, split, self.records_per_file)
+        else:
+            if self.fitted is None:
+                self.fitted = load_fitted(self.spark, self.artifact, self.features)
+            out = self.fitted.transform(df)
+        return write_split(out, self.processed, split, self.records_per_file)
 
     def run(self) -> dict[str, str]:
         return {split: self.run_split(split) for split in ("train", "val", "test")}
@@ -88,8 +91,10 @@ class TrainingJob:
             params = final_params(self.framework, best(trials))
         result = train(parts["train"], parts["val"], parts["test"], self.framework, params, seed=self.seed)
         result.model.save(self.spark, f"{self.output}/model_{self.framework}")
-        metrics = {**metric_dict(result.metrics), **result.seconds}
-        RunLog(self.spark, f"{self.output}/runs").log(
-            f"{self.framework}_final", self.framework, result.model.params, metrics
-        )
+        started = time.perf_counter()
+        metrics = metric_dict(result.metrics.collect())
+        result.seconds["evaluate_seconds"] = time.perf_counter() - started
+        metrics.update(result.seconds)
+        run = Run(f"{self.framework}_final", self.framework, result.model.params, metrics)
+        RunLog(self.spark, f"{self.output}/runs").log(run)
         return result

@@ -17,6 +17,7 @@ from ..operators.encoders import Encoders, apply_encoders, fit_encoders
 from ..operators.scalers import POPULATION, SAMPLE, ScalerSpec, Stats, apply_scaler, fit_scaler
 from ..operators.sessions import SkewOptions, add_session_features
 from ..schemas import CATEGORICAL, NUMERIC, RICH_CATEGORICAL, RICH_NUMERIC, TARGET
+from ..session import scratch_path
 from ..sources.artifact import load_artifact, save_artifact
 
 FeatureStep = Callable[[DataFrame], DataFrame]
@@ -34,19 +35,33 @@ class FeatureSet:
     encode_in_place: bool = False
     fit_fill: float | None = None
     target: str = TARGET
+    shuffles: bool = False
 
     def outputs(self) -> list[str]:
         indexed = [] if self.encode_in_place else [f"{c}_idx" for c in self.categorical]
         return indexed + [f"{c}_norm" for c in self.numeric]
 
     def fit(self, df: DataFrame) -> "FittedFeatures":
-        prepared = self.step(df)
+        return self.fit_prepared(self.step(df))
+
+    def fit_prepared(self, prepared: DataFrame) -> "FittedFeatures":
         encoders = fit_encoders(prepared, list(self.categorical))
         if self.encode_in_place:
             prepared = apply_encoders(prepared, encoders, in_place=True)
         stats = fit_scaler(prepared, list(self.numeric), self.scaler, self.fit_fill)
         return FittedFeatures(self, encoders, stats)
 
+    def fit_transform(self, df: DataFrame, keep: tuple[str, ...] = ()) -> tuple["FittedFeatures", DataFrame]:
+        """Fit and transform the same frame. A feature step that shuffles is written to a shared table
+        first, so the shuffle runs once and a lost executor costs a re-read, not a re-shuffle."""
+        prepared = self.step(df)
+        if self.shuffles:
+            path = scratch_path(df.sparkSession, f"features-{self.name}")
+            prepared.write.parquet(path)
+            prepared = df.sparkSession.read.parquet(path)
+        fitted = self.fit_prepared(prepared)
+        return fitted, fitted.transform_prepared(prepared, keep)
+
 
 @dataclass
 class FittedFeatures:
@@ -58,23 +73,24 @@ class FittedFeatures:
         self, df: DataFrame, keep: tuple[str, ...] = (), fill_null: float | None = None, target: bool = True
     ) -> DataFrame:
         """Indexed and scaled columns, plus `keep`, plus the target where the input has one."""
-        spec = self.features
-        prepared = self.prepare(df, spec.step(df))
-        names = [*keep, *[c for c in spec.outputs() if c in prepared.columns]]
-        if target and spec.target in prepared.columns:
-            names.append(spec.target)
-        result = prepared.select(*names)
-        if fill_null is not None:
-            scaled = [c for c in spec.outputs() if c.endswith("_norm")]
-            result = result.withColumns({c: F.coalesce(F.col(c), F.lit(fill_null)) for c in scaled})
-        return result
+        return self.transform_prepared(self.features.step(df), keep, fill_null, target)
 
-    def prepare(self, df: DataFrame, featured: DataFrame) -> DataFrame:
+    def transform_prepared(
+        self, prepared: DataFrame, keep: tuple[str, ...] = (), fill_null: float | None = None, target: bool = True
+    ) -> DataFrame:
         spec = self.features
-        encoded = apply_encoders(featured, self.encoders, in_place=spec.encode_in_place)
+        encoded = apply_encoders(prepared, self.encoders, in_place=spec.encode_in_place)
         # A column the artifact has no statistics for passes unscaled (mean 0, deviation 1).
         stats = {c: self.stats.get(c, {"mean": 0.0, "std": 1.0}) for c in spec.numeric}
-        return apply_scaler(encoded, stats, spec.scaler, spec.fit_fill)
+        scaled = apply_scaler(encoded, stats, spec.scaler, spec.fit_fill)
+        names = [*keep, *[c for c in spec.outputs() if c in scaled.columns]]
+        if target and spec.target in scaled.columns:
+            names.append(spec.target)
+        result = scaled.select(*names)
+        if fill_null is not None:
+            filled = [c for c in spec.outputs() if c.endswith("_norm")]
+            result = result.withColumns({c: F.coalesce(F.col(c), F.lit(fill_null)) for c in filled})
+        return result
 
     def transform_for_inference(self, df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         """As served: nulls become 0 after scaling, no target."""
@@ -133,4 +149,5 @@ def rich_sessions(tie: str | None = "flow_id", skew: SkewOptions = SkewOptions()
         scaler=POPULATION,
         encode_in_place=True,
         fit_fill=0.0,
+        shuffles=True,
     )

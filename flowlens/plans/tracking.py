@@ -5,9 +5,10 @@ from __future__ import annotations
 import datetime as dt
 import numbers
 import uuid
-from dataclasses import dataclass
+from collections.abc import Iterable
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 SCHEMAS = {
@@ -27,6 +28,21 @@ def numeric_metrics(metrics: dict) -> dict[str, float]:
     }
 
 
+def _now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
+@dataclass
+class Run:
+    name: str
+    framework: str
+    params: dict = field(default_factory=dict)
+    metrics: dict = field(default_factory=dict)
+    artifacts: dict[str, str] = field(default_factory=dict)
+    run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
+    started: dt.datetime = field(default_factory=_now)
+
+
 @dataclass(frozen=True)
 class RunLog:
     spark: SparkSession
@@ -38,24 +54,18 @@ class RunLog:
             frame = self.spark.createDataFrame(rows, SCHEMAS[table]).coalesce(1)
             frame.write.mode("append").parquet(f"{self.root}/{table}")
 
-    def log(
-        self,
-        name: str,
-        framework: str,
-        params: dict | None = None,
-        metrics: dict | None = None,
-        artifacts: dict[str, str] | None = None,
-        run_id: str | None = None,
-    ) -> str:
-        """Write one run; its `runs` row goes last, so readers see complete runs only."""
-        run_id = run_id or uuid.uuid4().hex
-        described = {"framework": framework, **(params or {})}
-        self._append("params", [(run_id, k, str(v)) for k, v in described.items()])
-        self._append("metrics", [(run_id, k, v) for k, v in numeric_metrics(metrics or {}).items()])
-        self._append("artifacts", [(run_id, p, c) for p, c in (artifacts or {}).items()])
-        started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        self._append("runs", [(run_id, self.experiment, name, framework, started)])
-        return run_id
+    def log(self, *runs: Run) -> list[str]:
+        """Write runs, one file per table; the `runs` rows go last, so readers see complete runs only."""
+        params, metrics, artifacts, heads = [], [], [], []
+        for run in runs:
+            described = {"framework": run.framework, **run.params}
+            params += [(run.run_id, k, str(v)) for k, v in described.items()]
+            metrics += [(run.run_id, k, v) for k, v in numeric_metrics(run.metrics).items()]
+            artifacts += [(run.run_id, path, text) for path, text in run.artifacts.items()]
+            heads.append((run.run_id, self.experiment, run.name, run.framework, run.started))
+        for table, rows in (("params", params), ("metrics", metrics), ("artifacts", artifacts), ("runs", heads)):
+            self._append(table, rows)
+        return [run.run_id for run in runs]
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.root}/{name}")
@@ -72,15 +82,15 @@ class RunLog:
         return ranked.orderBy(order, "name").limit(1)
 
 
-def metric_dict(metrics: DataFrame) -> dict[str, float]:
-    """A tidy metric table (metric, value) on the driver: a few rows per split and class."""
-    return {r["metric"]: r["value"] for r in metrics.select("metric", "value").collect()}
+def metric_dict(metrics: Iterable[Row]) -> dict[str, float]:
+    """Collected rows of a tidy metric table (metric, value): a few per split and class."""
+    return {r["metric"]: r["value"] for r in metrics}
 
 
-def report_text(report: DataFrame) -> str:
-    """A classification report (one row per class plus three) as aligned text."""
+def report_text(report: Iterable[Row]) -> str:
+    """Collected rows of a classification report (one per class plus three) as aligned text."""
     lines = [f"{'':>14}{'precision':>11}{'recall':>9}{'f1':>9}{'support':>10}"]
-    for r in report.select("row", "precision", "recall", "f1", "support").collect():
+    for r in report:
         scores = ["" if r[s] is None else f"{r[s]:.4f}" for s in ("precision", "recall", "f1")]
         lines.append(f"{r['row']:>14}{scores[0]:>11}{scores[1]:>9}{scores[2]:>9}{r['support']:>10}")
     return "\n".join(lines)

@@ -117,6 +117,11 @@ def class_probabilities(kind: str, classes: int) -> Column:
     return F.slice(padded, 1, classes)
 
 
+def usable(inputs: list[str]) -> list[Column]:
+    """Model inputs as doubles, missing values as 0 (what serving does)."""
+    return [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in inputs]
+
+
 @dataclass
 class FlowModel:
     """A trained classifier with the input order and class count it was trained on."""
@@ -129,11 +134,11 @@ class FlowModel:
 
     def score(self, df: DataFrame) -> DataFrame:
         """Add `prediction` (first most likely class) and `probabilities`; unusable inputs count as 0."""
-        filled = df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in self.inputs})
-        raw = self.stages.transform(filled)
+        whole = F.struct(*df.columns).alias("_row")
+        raw = self.stages.transform(df.select(whole, *usable(self.inputs)))
         scored = raw.withColumn("probabilities", class_probabilities(self.framework, self.classes))
         scored = scored.withColumn("prediction", first_argmax(F.col("probabilities")))
-        return scored.select(*df.columns, "prediction", "probabilities")
+        return scored.select("_row.*", "prediction", "probabilities")
 
     def save(self, spark: SparkSession, path: str) -> None:
         self.stages.write().overwrite().save(f"{path}/model")
@@ -173,7 +178,7 @@ def fit_model(
     params = {**DEFAULTS.get(framework, {}), **(params or {})}
     inputs = list(MODEL_INPUTS)
     filled = train.where(F.col(target).isNotNull()).select(
-        *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in inputs],
+        *usable(inputs),
         F.col(target).cast("double").alias("label"),
     )
     assembler = VectorAssembler(inputCols=inputs, outputCol="features")
@@ -260,13 +265,13 @@ def boosting_progress(model: FlowModel, df: DataFrame, target: str = TARGET) ->
         raise ValueError("rounds are reported for boosted trees only")
     assembler, forest = model.stages.stages
     assert isinstance(forest, OneVsRestModel)
-    vectors = assembler.transform(
-        df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in model.inputs})
-    ).select("features", F.col(target).cast("double").alias("target"))
+    labelled = df.select(*usable(model.inputs), F.col(target).cast("double").alias("target"))
+    vectors = assembler.transform(labelled).select("features", "target")
     rows = []
     with materialised(vectors) as (kept,):
         for place, binary in enumerate(forest.models):
-            one = kept.select("features", (F.col("target") == place).cast("double").alias("label"))
+            is_class = (F.col("target") == place).cast("double").alias(binary.getLabelCol())
+            one = kept.select("features", is_class)
             for step, loss in enumerate(binary.evaluateEachIteration(one), start=1):
                 rows.append((place, step, float(loss)))
     return df.sparkSession.createDataFrame(rows, "class int, boost_round int, loss double")
