@@ -138,7 +138,7 @@ def features_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = fx.add(df, fx.epoch_features())
     return df.select(
         "flow_id",
-        F.date_format("timestamp_ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp_ts"),
+        F.col("timestamp_ts").cast("string").alias("timestamp_ts"),
         "hour",
         "dayofweek",
         "is_weekend",

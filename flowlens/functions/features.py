@@ -6,7 +6,6 @@ Each group is a dict of output name -> Column, so callers add a whole group in o
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -19,21 +18,15 @@ WEEKEND_DAYS = (5, 6)
 # Destination ports that count as well known.
 WELL_KNOWN_PORTS = [21, 22, 23, 25, 53, 80, 110, 143, 443]
 
-EPOCH = dt.datetime(1970, 1, 1)
-
-
-def epoch_literal() -> Column:
-    return F.lit(EPOCH).cast("timestamp_ntz")
-
-
 def utc_timestamp(seconds: Column) -> Column:
     """Epoch seconds to a zone-free UTC wall clock, whatever the session time zone is."""
     return F.timestamp_add("SECOND", seconds, F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
 
 
-def epoch_seconds(timestamp_ntz: Column) -> Column:
-    """Zone-free UTC wall clock to whole epoch seconds."""
-    return F.timestamp_diff("SECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), timestamp_ntz)
+def epoch_seconds(moment: Column) -> Column:
+    """Zone-free UTC wall clock to whole epoch seconds. (`timestamp_diff` would go through the session zone.)"""
+    days = F.unix_date(moment.cast("date")).cast("long")
+    return days * 86400 + F.hour(moment) * 3600 + F.minute(moment) * 60 + F.second(moment)
 
 
 def time_features(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def seeded_hex(seed: int | str, key: Column) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}|"), key.cast("string")))
+    return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(key.cast("string"), F.lit(""))))
 
 
 def share_threshold(share: float) -> str:

@@ -23,15 +23,16 @@ def confusion_matrix(
     classes: int = NUM_CLASSES,
     by: Sequence[str] = (),
 ) -> DataFrame:
-    """Dense (by..., label, prediction, n): one row per cell, zero where nothing fell."""
-    inside = F.col(label).between(0, classes - 1) & F.col(prediction).between(0, classes - 1)
-    counts = (
-        scored.where(inside)
-        .groupBy(*by, F.col(label).cast("long").alias(LABEL), F.col(prediction).cast("long").alias(PREDICTION))
-        .agg(F.count("*").alias("n"))
-    )
+    """Dense (by..., label, prediction, n): one row per cell, zero where nothing fell.
+
+    Out-of-range and missing classes are left out after counting: a filter on the prediction would be
+    pushed below the model and evaluate it twice.
+    """
+    keys = [F.col(label).cast("long").alias(LABEL), F.col(prediction).cast("long").alias(PREDICTION)]
+    counts = scored.groupBy(*by, *keys).agg(F.count("*").alias("n"))
+    inside = F.col(LABEL).between(0, classes - 1) & F.col(PREDICTION).between(0, classes - 1)
     # Counts per group as a map, then one row per cell: no grid join.
-    cell = F.struct((F.col(LABEL) * classes + F.col(PREDICTION)).alias("cell"), "n")
+    cell = F.when(inside, F.struct((F.col(LABEL) * classes + F.col(PREDICTION)).alias("cell"), "n"))
     grouped = counts.groupBy(*by) if by else counts.groupBy()
     dense = grouped.agg(F.map_from_entries(F.collect_list(cell)).alias("cells"))
     cells = F.sequence(F.lit(0).cast("long"), F.lit(classes * classes - 1).cast("long"))

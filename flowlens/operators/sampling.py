@@ -21,11 +21,11 @@ def class_quota(size: Column, fraction: float) -> Column:
 def stratified_sample(
     df: DataFrame, target: str, fraction: float, key: str, seed: int = 42
 ) -> DataFrame:
-    """Exactly the quota of each class: the rows with the smallest seeded hash of `key`.
+    """Exactly the quota of each class: the rows with the smallest seeded hash of `key`, the row id.
 
     One class may hold nearly all rows, so classes are never sorted whole. Hashes are counted per
     (class, first hex digits); buckets below the cut are taken by a plain filter and only the one
-    bucket on the cut is ranked.
+    bucket on the cut is ranked, with copies of a row counted before they meet in one task.
     """
     hashed = df.withColumn("_hash", seeded_hex(seed, F.col(key))).withColumn(
         "_bucket", F.substring("_hash", 1, BUCKET_DIGITS)
@@ -51,13 +51,21 @@ def stratified_sample(
         cuts = F.broadcast(df.sparkSession.createDataFrame(rows, cuts.schema))
     marked = hashed.join(cuts, F.col(target).eqNullSafe(F.col("_class")))
     below = marked.where(F.col("_bucket") < F.col("_cut"))
-    ranked = Window.partitionBy(target).orderBy("_hash", key)
+    columns = df.columns
+    rest = [c for c in columns if c not in (target, key)]
+    ranked = Window.partitionBy(target).orderBy("_hash", key, *rest)
+    before = F.coalesce(
+        F.sum("_n").over(ranked.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long")
+    )
     on_cut = (
         marked.where(F.col("_bucket") == F.col("_cut"))
-        .withColumn("_rank", F.row_number().over(ranked))
-        .where(F.col("_rank") <= F.col("_open"))
+        .groupBy(*columns, "_hash", "_open")
+        .agg(F.count("*").alias("_n"))
+        .withColumn("_taken", F.least(F.col("_n"), F.col("_open") - before))
+        .where(F.col("_taken") > 0)
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_taken"))))
     )
-    return below.select(*df.columns).unionByName(on_cut.select(*df.columns))
+    return below.select(*columns).unionByName(on_cut.select(*columns))
 
 
 def share_sample(df: DataFrame, fraction: float | None, key: str | None = None, seed: int = 42) -> DataFrame:

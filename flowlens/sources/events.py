@@ -10,14 +10,13 @@ from ..functions.features import epoch_seconds, utc_timestamp
 from ..schemas import EVENT, EVENT_PROPERTIES, PROPERTY_COLUMNS
 
 CORRUPT = "_corrupt"
-ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
 
 
 def to_messages(flows: DataFrame, key: str = "flow_id", keep: tuple[str, ...] = ()) -> DataFrame:
     """(key, value, keep...): one JSON event per flow, keyed by its id."""
     properties = [F.col(f.name).cast(f.dataType).alias(f.name) for f in EVENT_PROPERTIES]
     event = F.struct(
-        F.date_format(utc_timestamp(F.col("timestamp")), ISO_SECONDS).alias("timestamp"),
+        F.translate(utc_timestamp(F.col("timestamp")).cast("string"), " ", "T").alias("timestamp"),
         F.col(key).cast("string").alias("event_id"),
         F.struct(*properties).alias("properties"),
         F.col("attack").cast("int").alias("label"),
