@@ -25,14 +25,15 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def as_flows(rows: DataFrame) -> DataFrame:
-    k = F.regexp_extract("props", "([0-9]+)", 1).cast("long")
+    rows = rows.withColumn("k", F.regexp_extract("props", "([0-9]+)", 1).cast("long") % 5)
+    k = F.col("k")
     high_port = 1024 + (F.col("user_id") * 977) % 64511
     place = (F.col("event_id") * 7919) % 1000
     kind = F.col("event_type")
     return rows.select(
         F.col("event_id").alias("flow_id"),
         (1024 + (F.col("user_id") * 431) % 64511).cast("long").alias("src_port"),
-        F.when(k % 5 == 0, 22).when(k % 5 == 1, 80).when(k % 5 == 2, 443).when(k % 5 == 3, 53)
+        F.when(k == 0, 22).when(k == 1, 80).when(k == 2, 443).when(k == 3, 53)
         .otherwise(high_port).cast("long").alias("dst_port"),
         F.when(kind.isin("view", "click"), "TCP").when(kind.isin("purchase", "signup"), "UDP")
         .when(kind == "error", "ICMP").alias("protocol"),

@@ -480,6 +480,10 @@ def preprocess_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- training and tuning -----------------------------------------------------------------------
 
 
+def _cores(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
 def _processed(spark: SparkSession, sf_dir: str, *splits: str, keep: tuple[str, ...] = ()) -> list[DataFrame]:
     fitted = _fitted(spark, sf_dir)
     return [fitted.transform(flows_split(spark, sf_dir, s), keep=keep) for s in splits]
@@ -488,31 +492,31 @@ def _processed(spark: SparkSession, sf_dir: str, *splits: str, keep: tuple[str,
 @query
 def train_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = _processed(spark, sf_dir, "train", "val", "test")
-    return training.train(*parts, framework="gbt", seed=SEED).metrics
+    return training.train(*parts, framework="gbt", seed=SEED, partitions=_cores(spark)).metrics
 
 
 @query
 def train_mlp(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = _processed(spark, sf_dir, "train", "val", "test")
-    return training.train(*parts, framework="mlp", seed=SEED).metrics
+    return training.train(*parts, framework="mlp", seed=SEED, partitions=_cores(spark)).metrics
 
 
 @query
 def boosting_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, val = _processed(spark, sf_dir, "train", "val")
-    return training.boosting_progress(training.fit_model(train, "gbt", seed=SEED), val)
+    return training.boosting_progress(training.fit_model(train, "gbt", seed=SEED, partitions=_cores(spark)), val)
 
 
 @query
 def tune_random(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, val = _processed(spark, sf_dir, "train", "val")
-    return tuning.trial_table(train, tuning.random_search(train, val, "gbt", seed=SEED))
+    return tuning.trial_table(train, tuning.random_search(train, val, "gbt", seed=SEED, partitions=_cores(spark)))
 
 
 @query
 def tune_halving(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, val = _processed(spark, sf_dir, "train", "val")
-    return tuning.trial_table(train, tuning.halving_search(train, val, "mlp", seed=SEED))
+    return tuning.trial_table(train, tuning.halving_search(train, val, "mlp", seed=SEED, partitions=_cores(spark)))
 
 
 @query
@@ -529,12 +533,29 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.agg(F.count("*").alias("n_rows"), F.count_if(equal).alias("n_equal"))
 
 
+@query
+def score_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of rows whose scores keep their promises: shares sum to 1, the first greatest share wins."""
+    fitted = _fitted(spark, sf_dir)
+    model = training.fit_model(fitted.transform(flows_split(spark, sf_dir, "train")), "forest", seed=SEED)
+    scored = model.score(fitted.transform(flows(spark, sf_dir)))
+    total = F.aggregate("probabilities", F.lit(0.0), lambda a, v: a + v)
+    place = F.array_position("probabilities", F.array_max("probabilities")) - 1
+    return scored.agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(F.abs(total - 1.0) < 1e-9).alias("n_sum_one"),
+        F.count_if(F.size("probabilities") == 6).alias("n_six_classes"),
+        F.count_if(place == F.col("prediction")).alias("n_first_argmax"),
+    )
+
+
 # --- scoring -----------------------------------------------------------------------------------
 
 
 def _scored(spark: SparkSession, sf_dir: str, framework: str) -> DataFrame:
     fitted = _fitted(spark, sf_dir)
-    model = training.fit_model(fitted.transform(flows_split(spark, sf_dir, "train")), framework, seed=SEED)
+    train = fitted.transform(flows_split(spark, sf_dir, "train"))
+    model = training.fit_model(train, framework, seed=SEED, partitions=_cores(spark))
     rows = fitted.transform(flows(spark, sf_dir), keep=("flow_id",))
     scored = model.score(rows)
     shares = [r6(F.get("probabilities", F.lit(i))).alias(f"p_{i}") for i in range(model.classes)]
@@ -650,8 +671,10 @@ def stream_bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad.select("key", F.length("value").alias("n_chars"), "error")
 
 
-def _score_stream(spark: SparkSession, paths: dict[str, str], score: streams.Scorer) -> DataFrame:
-    source = streams.file_messages(spark, paths["input"], files_per_batch=2)
+def _score_stream(
+    spark: SparkSession, paths: dict[str, str], score: streams.Scorer, files_per_batch: int = 2
+) -> DataFrame:
+    source = streams.file_messages(spark, paths["input"], files_per_batch)
     about = {"variant": "stable", "framework": "rule", "model_key": MODEL_KEYS["stable"]}
     streams.run_available(
         streams.scoring_stream(
@@ -694,10 +717,10 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stopped and started again with more input: every message is answered once."""
     paths = _stream_paths(spark)
     _write_messages(_messages(flows_split(spark, sf_dir, "train")), paths["input"])
-    _score_stream(spark, paths, _rule_model)
+    _score_stream(spark, paths, _rule_model, files_per_batch=4)
     for split in ("val", "test"):
         _write_messages(_messages(flows_split(spark, sf_dir, split)), paths["input"])
-    return _predicted(_score_stream(spark, paths, _rule_model))
+    return _predicted(_score_stream(spark, paths, _rule_model, files_per_batch=4))
 
 
 # --- evaluation and run log --------------------------------------------------------------------
@@ -749,8 +772,9 @@ def log_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def split_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = _rule_model(flows(spark, sf_dir)).where(F.col("split") != "train")
-    return rounded(training.split_metrics(scored), "value")
+    held_out = flows_split(spark, sf_dir, "val").unionByName(flows_split(spark, sf_dir, "test"))
+    evaluation = training.evaluate(_soft_rule_model(held_out).withColumnRenamed("probability", "probabilities"))
+    return rounded(evaluation.metrics, "value")
 
 
 def _run_log(spark: SparkSession, sf_dir: str) -> RunLog:

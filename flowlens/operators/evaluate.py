@@ -28,8 +28,18 @@ def confusion_matrix(
     Out-of-range and missing classes are left out after counting: a filter on the prediction would be
     pushed below the model and evaluate it twice.
     """
+    return dense_matrix(pair_counts(scored, label, prediction, by), classes, by)
+
+
+def pair_counts(
+    scored: DataFrame, label: str, prediction: str, by: Sequence[str] = (), extra: Sequence[Column] = ()
+) -> DataFrame:
+    """(by..., label, prediction, n, extra...): the one aggregate over the rows."""
     keys = [F.col(label).cast("long").alias(LABEL), F.col(prediction).cast("long").alias(PREDICTION)]
-    counts = scored.groupBy(*by, *keys).agg(F.count("*").alias("n"))
+    return scored.groupBy(*by, *keys).agg(F.count("*").alias("n"), *extra)
+
+
+def dense_matrix(counts: DataFrame, classes: int = NUM_CLASSES, by: Sequence[str] = ()) -> DataFrame:
     inside = F.col(LABEL).between(0, classes - 1) & F.col(PREDICTION).between(0, classes - 1)
     # Counts per group as a map, then one row per cell: no grid join.
     cell = F.when(inside, F.struct((F.col(LABEL) * classes + F.col(PREDICTION)).alias("cell"), "n"))
@@ -158,10 +168,15 @@ def confusion_normalised(confusion: DataFrame, by: Sequence[str] = ()) -> DataFr
 LOG_LOSS_FLOOR = 1e-15
 
 
-def log_loss(scored: DataFrame, label: str, probabilities: str, by: Sequence[str] = ()) -> DataFrame:
-    """Mean negative log of the probability given to the true class; rows without a label are left out."""
+def row_loss(label: str, probabilities: str) -> Column:
+    """Negative log of the probability given to the true class; null without a label."""
     chosen = F.try_element_at(F.col(probabilities), (F.col(label) + 1).cast("int"))
     loss = -F.log(F.greatest(F.coalesce(chosen, F.lit(0.0)), F.lit(LOG_LOSS_FLOOR)))
-    grouped = scored.where(F.col(label).isNotNull())
-    grouped = grouped.groupBy(*by) if by else grouped.groupBy()
+    return F.when(F.col(label).isNotNull(), loss)
+
+
+def log_loss(scored: DataFrame, label: str, probabilities: str, by: Sequence[str] = ()) -> DataFrame:
+    """Mean loss; rows without a label are left out."""
+    loss = row_loss(label, probabilities)
+    grouped = scored.groupBy(*by) if by else scored.groupBy()
     return grouped.agg(F.avg(loss).alias("log_loss"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.barrier import add_once
 from ..functions.hashing import in_share
 
 CORRUPT = "_corrupt"
@@ -29,7 +30,7 @@ def open_requests(requests: DataFrame, body: str = "body") -> DataFrame:
         .when(data.isNull(), F.lit(NO_DATA))
         .when(~F.startswith(data, F.lit("{")) & ~F.startswith(data, F.lit("[")), F.lit(BAD_DATA))
     )
-    return opened.withColumns({"data": data, "error": error}).drop("_envelope")
+    return add_once(opened, {"data": data, "error": error}).drop("_envelope")
 
 
 def request_rows(opened: DataFrame, row: T.StructType, keys: list[str]) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import time
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -11,7 +10,7 @@ from pyspark.sql import SparkSession
 from ..session import DEFAULT_READ_MB, build_session
 from ..sources.parquet import DEFAULT_RECORDS_PER_FILE, read_processed, read_split, write_split
 from .preprocess import FittedFeatures, feature_set, load_fitted
-from .tracking import Run, RunLog, metric_dict
+from .tracking import Run, RunLog, metric_dict, report_text
 from .training import TrainingResult, train
 from .tuning import best, final_params, random_search
 
@@ -78,23 +77,48 @@ class TrainingJob:
     framework: str = "gbt"
     tune: bool = False
     sample_fraction: float | None = None
+    trials: int | None = None
     partitions: int | None = None
     seed: int = 42
 
     def run(self) -> TrainingResult:
-        parts = {s: read_processed(self.spark, self.processed, s, self.partitions) for s in ("train", "val", "test")}
+        parts = {s: read_processed(self.spark, self.processed, s) for s in ("train", "val", "test")}
         params = None
         if self.tune:
             trials = random_search(
-                parts["train"], parts["val"], self.framework, fraction=self.sample_fraction, seed=self.seed
+                parts["train"],
+                parts["val"],
+                self.framework,
+                self.trials,
+                self.sample_fraction,
+                seed=self.seed,
+                partitions=self.partitions,
             )
             params = final_params(self.framework, best(trials))
-        result = train(parts["train"], parts["val"], parts["test"], self.framework, params, seed=self.seed)
+        result = train(
+            parts["train"],
+            parts["val"],
+            parts["test"],
+            self.framework,
+            params,
+            seed=self.seed,
+            partitions=self.partitions,
+        )
         result.model.save(self.spark, f"{self.output}/model_{self.framework}")
-        started = time.perf_counter()
-        metrics = metric_dict(result.metrics.collect())
-        result.seconds["evaluate_seconds"] = time.perf_counter() - started
-        metrics.update(result.seconds)
-        run = Run(f"{self.framework}_final", self.framework, result.model.params, metrics)
+        metrics = {**metric_dict(result.metrics.collect()), **result.seconds}
+        run = Run(f"{self.framework}_final", self.framework, result.model.params, metrics, self.artifacts(result))
         RunLog(self.spark, f"{self.output}/runs").log(run)
         return result
+
+    def artifacts(self, result: TrainingResult) -> dict[str, str]:
+        """Per split: the classification report as text and the confusion matrix as JSON."""
+        report = result.evaluation.report.collect()
+        cells = result.evaluation.confusion.orderBy("split", "label", "prediction").collect()
+        classes = result.model.classes
+        files = {}
+        for split in ("val", "test"):
+            files[f"evaluation/{split}_classification_report.txt"] = report_text(r for r in report if r["split"] == split)
+            counts = [r["n"] for r in cells if r["split"] == split]
+            rows = [counts[i : i + classes] for i in range(0, len(counts), classes)]
+            files[f"evaluation/{split}_confusion_matrix.json"] = json.dumps(rows)
+        return files

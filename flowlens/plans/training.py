@@ -27,8 +27,9 @@ from ..operators.evaluate import (
     class_metric_rows,
     class_metrics,
     classification_report,
-    confusion_matrix,
-    log_loss,
+    dense_matrix,
+    pair_counts,
+    row_loss,
     summary_metrics,
 )
 from ..operators.validate import require_contract
@@ -172,7 +173,12 @@ def fit_model(
     target: str = TARGET,
     classes: int = NUM_CLASSES,
     seed: int = 42,
+    partitions: int | None = None,
 ) -> FlowModel:
+    """Fit one model. `partitions` spreads the rows first: every pass of the fit then uses all cores.
+
+    The estimators keep the vectors in memory and on disk themselves for the length of the fit.
+    """
     require_contract(train, target)
     ensure_checkpoint_dir(train.sparkSession)
     params = {**DEFAULTS.get(framework, {}), **(params or {})}
@@ -183,46 +189,58 @@ def fit_model(
     )
     assembler = VectorAssembler(inputCols=inputs, outputCol="features")
     vectors = assembler.transform(filled).select("features", "label")
+    vectors = vectors.repartition(partitions) if partitions else vectors
     model = estimator(framework, params, len(inputs), classes, seed).fit(vectors)
     return FlowModel(PipelineModel([assembler, model]), framework, inputs, classes, params)
 
 
+def split_metrics(per_class: DataFrame) -> DataFrame:
+    """(split, metric, value) with split-prefixed names from per-class metrics by split."""
+    rows = summary_metrics(per_class, ["split"]).unionByName(class_metric_rows(per_class, ["split"]))
+    return rows.withColumn("metric", F.concat_ws("_", "split", "metric"))
+
+
 @dataclass
 class Evaluation:
-    """Metrics of one split: tables derived from one confusion aggregate, and the log loss."""
+    """Tables by split: tidy metrics, dense confusion matrix, classification report."""
 
+    metrics: DataFrame
     confusion: DataFrame
-    summary: DataFrame
-    per_class: DataFrame
     report: DataFrame
-    log_loss: DataFrame
 
 
-def evaluate(scored: DataFrame, target: str = TARGET, classes: int = NUM_CLASSES, by: tuple[str, ...] = ()) -> Evaluation:
-    confusion = confusion_matrix(scored, target, classes=classes, by=by)
-    per_class = class_metrics(confusion, by)
+def evaluate(scored: DataFrame, target: str = TARGET, classes: int = NUM_CLASSES) -> Evaluation:
+    """One pass over all scored rows: counts and summed loss per (split, label, prediction).
+
+    That table has at most splits x classes x classes rows; it is kept as a local frame, so no metric
+    scores the rows again.
+    """
+    loss = F.sum(row_loss(target, "probabilities")).alias("loss")
+    counts = pair_counts(scored, target, "prediction", ["split"], [loss])
+    counts = scored.sparkSession.createDataFrame(counts.collect(), counts.schema)
+    confusion = dense_matrix(counts, classes, ["split"])
+    per_class = class_metrics(confusion, ["split"])
+    labelled = counts.where("label IS NOT NULL").groupBy("split")
+    losses = labelled.agg((F.sum("loss") / F.sum("n")).alias("value")).select(
+        "split", F.concat_ws("_", "split", F.lit("log_loss")).alias("metric"), "value"
+    )
     return Evaluation(
+        split_metrics(per_class).unionByName(losses),
         confusion,
-        summary_metrics(per_class, by),
-        per_class,
-        classification_report(per_class, by=by),
-        log_loss(scored, target, "probabilities", by),
+        classification_report(per_class, by=["split"]),
     )
 
 
-def split_metrics(scored: DataFrame, target: str = TARGET, classes: int = NUM_CLASSES) -> DataFrame:
-    """(split, metric, value) with split-prefixed names, from one pass over all splits."""
-    per_class = class_metrics(confusion_matrix(scored, target, classes=classes, by=["split"]), ["split"])
-    rows = summary_metrics(per_class, ["split"]).unionByName(class_metric_rows(per_class, ["split"]))
-    return rows.withColumn("metric", F.concat_ws("_", "split", "metric"))
-
-
 @dataclass
 class TrainingResult:
     model: FlowModel
-    metrics: DataFrame
+    evaluation: Evaluation
     seconds: dict[str, float]
 
+    @property
+    def metrics(self) -> DataFrame:
+        return self.evaluation.metrics
+
 
 def label_splits(parts: dict[str, DataFrame]) -> DataFrame:
     frames = [df.withColumn("split", F.lit(name)) for name, df in parts.items()]
@@ -241,22 +259,19 @@ def train(
     target: str = TARGET,
     classes: int = NUM_CLASSES,
     seed: int = 42,
+    partitions: int | None = None,
 ) -> TrainingResult:
     """Fit on train, evaluate on val and test: (split, metric, value) incl. log loss."""
     for part in (val_df, test_df):
         require_contract(part, target)
-    with materialised(train_df) as (kept,):
-        started = time.perf_counter()
-        model = fit_model(kept, framework, params, target, classes, seed)
-        fitted = time.perf_counter() - started
+    started = time.perf_counter()
+    model = fit_model(train_df, framework, params, target, classes, seed, partitions)
+    fitted = time.perf_counter() - started
+    started = time.perf_counter()
     scored = model.score(label_splits({"val": val_df, "test": test_df}))
-    metrics = split_metrics(scored, target, classes)
-    losses = log_loss(scored, target, "probabilities", ["split"]).select(
-        "split",
-        F.concat_ws("_", "split", F.lit("log_loss")).alias("metric"),
-        F.col("log_loss").alias("value"),
-    )
-    return TrainingResult(model, metrics.unionByName(losses), {"fit_seconds": fitted})
+    evaluation = evaluate(scored, target, classes)
+    evaluated = time.perf_counter() - started
+    return TrainingResult(model, evaluation, {"fit_seconds": fitted, "evaluate_seconds": evaluated})
 
 
 def boosting_progress(model: FlowModel, df: DataFrame, target: str = TARGET) -> DataFrame:

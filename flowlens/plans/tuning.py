@@ -78,9 +78,12 @@ def tuning_data(
     seed: int,
     max_train_rows: int = 0,
     max_val_rows: int = 0,
+    partitions: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The sample a search works on; caps of 0 keep everything."""
-    return row_cap(share_sample(train, fraction, seed=seed), max_train_rows), row_cap(val, max_val_rows)
+    rows = row_cap(share_sample(train, fraction, seed=seed), max_train_rows)
+    rows = rows.repartition(partitions) if partitions else rows
+    return rows, row_cap(val, max_val_rows)
 
 
 def validation_loss(model: FlowModel, val: DataFrame, target: str) -> float:
@@ -121,11 +124,12 @@ def random_search(
     trials: int | None = None,
     fraction: float | None = None,
     seed: int = 42,
+    partitions: int | None = None,
     **options,
 ) -> list[Trial]:
     """Seeded random draws, all trained for the full number of rounds."""
     candidates = dict(enumerate(draw_params(framework, trials or TRIALS[framework], seed)))
-    sampled, checked = tuning_data(train, val, fraction, seed)
+    sampled, checked = tuning_data(train, val, fraction, seed, partitions=partitions)
     with materialised(sampled, checked) as (a, b):
         return run_trials(a, b, framework, candidates, MAX_ROUNDS, seed=seed, **options)
 
@@ -137,11 +141,12 @@ def halving_search(
     trials: int | None = None,
     fraction: float | None = None,
     seed: int = 42,
+    partitions: int | None = None,
     **options,
 ) -> list[Trial]:
     """Rungs: everyone trains for the grace period, the better half goes on, up to the full rounds."""
     candidates = dict(enumerate(draw_params(framework, trials or TRIALS[framework], seed)))
-    sampled, checked = tuning_data(train, val, fraction, seed)
+    sampled, checked = tuning_data(train, val, fraction, seed, partitions=partitions)
     history: list[Trial] = []
     rounds = GRACE_ROUNDS
     with materialised(sampled, checked) as (a, b):

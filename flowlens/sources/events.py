@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.barrier import add_once
 from ..functions.features import epoch_seconds, utc_timestamp
 from ..schemas import EVENT, EVENT_PROPERTIES, PROPERTY_COLUMNS
 
@@ -36,7 +37,7 @@ def parse_messages(messages: DataFrame) -> DataFrame:
         .when(F.col("event").isNull() | F.col(f"event.{CORRUPT}").isNotNull(), F.lit("malformed JSON"))
         .when(F.col("event.properties").isNull(), F.lit("no properties"))
     )
-    return parsed.withColumn("error", error)
+    return add_once(parsed, {"error": error})
 
 
 def flatten_events(parsed: DataFrame) -> DataFrame:

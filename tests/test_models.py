@@ -1,9 +1,13 @@
 """Training, tuning and scoring on rule-labelled flows."""
 
+import json
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from flowlens.operators import drift
+from flowlens.operators.batch_score import score_batches
 from flowlens.plans import training, tuning
 from flowlens.plans.job import TrainingJob
 from flowlens.plans.preprocess import feature_set
@@ -140,3 +144,26 @@ def test_training_job(spark, parts, tmp_path):
     assert accuracy(loaded, parts["test"]) == pytest.approx(accuracy(result.model, parts["test"]))
     logged = RunLog(spark, str(tmp_path / "out" / "runs")).run_metrics()
     assert logged.where("key IN ('test_accuracy', 'fit_seconds')").count() == 2
+    files = {r["path"]: r["content"] for r in RunLog(spark, str(tmp_path / "out" / "runs")).table("artifacts").collect()}
+    matrix = json.loads(files["evaluation/test_confusion_matrix.json"])
+    assert len(matrix) == 6 and sum(map(sum, matrix)) == parts["test"].count()
+    assert "weighted avg" in files["evaluation/val_classification_report.txt"]
+
+
+def test_training_job_with_search(spark, parts, tmp_path):
+    for split, df in parts.items():
+        df.write.parquet(str(tmp_path / "processed" / split))
+    job = TrainingJob(spark, str(tmp_path / "processed"), str(tmp_path / "out"), "mlp", True, 0.5, 1, 4)
+    params = job.run().model.params
+    drawn = tuning.draw_params("mlp", 1, 42)[0]
+    assert params == {**training.MLP_PARAMS, **drawn}
+
+
+def test_outside_models_score_by_batch(spark, small_flows):
+    inputs = ["packet_count", "bytes_transferred"]
+    many = score_batches(small_flows, inputs, lambda f: np.stack([f.packet_count, f.bytes_transferred * 0 + 1000], axis=1))
+    wrong = many.where("prediction <> CASE WHEN packet_count >= 1000 THEN 0 ELSE 1 END")
+    assert many.count() == small_flows.count() and wrong.count() == 0
+    one = score_batches(small_flows, inputs, lambda f: f.packet_count / 2000)
+    assert one.where("prediction <> CASE WHEN packet_count > 1000 THEN 1 ELSE 0 END").count() == 0
+    assert len(one.first()["probabilities"]) == 1
