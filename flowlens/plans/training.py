@@ -177,7 +177,7 @@ def fit_model(
 ) -> FlowModel:
     """Fit one model. `partitions` spreads the rows first: every pass of the fit then uses all cores.
 
-    The estimators keep the vectors in memory and on disk themselves for the length of the fit.
+    The vectors are kept in memory and on disk for the length of the fit, which passes over them many times.
     """
     require_contract(train, target)
     ensure_checkpoint_dir(train.sparkSession)
@@ -190,7 +190,8 @@ def fit_model(
     assembler = VectorAssembler(inputCols=inputs, outputCol="features")
     vectors = assembler.transform(filled).select("features", "label")
     vectors = vectors.repartition(partitions) if partitions else vectors
-    model = estimator(framework, params, len(inputs), classes, seed).fit(vectors)
+    with materialised(vectors) as (kept,):
+        model = estimator(framework, params, len(inputs), classes, seed).fit(kept)
     return FlowModel(PipelineModel([assembler, model]), framework, inputs, classes, params)
 
 
