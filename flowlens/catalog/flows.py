@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,14 +55,15 @@ def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_flows(events(spark, sf_dir))
 
 
-def flows_split(spark: SparkSession, sf_dir: str, split: str) -> DataFrame:
-    """One split; the time range is a filter on the stored column, so it reaches the scan."""
+def flows_split(spark: SparkSession, sf_dir: str, *splits: str) -> DataFrame:
+    """Some splits; the time range is a filter on the stored column, so it reaches the scan."""
     bounds = {
         "train": F.col("ts") < _ntz(VAL_FROM),
         "val": (F.col("ts") >= _ntz(VAL_FROM)) & (F.col("ts") < _ntz(TEST_FROM)),
         "test": F.col("ts") >= _ntz(TEST_FROM),
     }
-    return as_flows(events(spark, sf_dir).where(bounds[check_split(split)]))
+    wanted = reduce(lambda a, b: a | b, [bounds[check_split(s)] for s in splits])
+    return as_flows(events(spark, sf_dir).where(wanted))
 
 
 def flows_bad(spark: SparkSession, sf_dir: str) -> DataFrame:

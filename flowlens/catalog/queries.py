@@ -718,8 +718,7 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = _stream_paths(spark)
     _write_messages(_messages(flows_split(spark, sf_dir, "train")), paths["input"])
     _score_stream(spark, paths, _rule_model, files_per_batch=4)
-    for split in ("val", "test"):
-        _write_messages(_messages(flows_split(spark, sf_dir, split)), paths["input"])
+    _write_messages(_messages(flows_split(spark, sf_dir, "val", "test")), paths["input"])
     return _predicted(_score_stream(spark, paths, _rule_model, files_per_batch=4))
 
 
@@ -772,7 +771,7 @@ def log_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def split_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held_out = flows_split(spark, sf_dir, "val").unionByName(flows_split(spark, sf_dir, "test"))
+    held_out = flows_split(spark, sf_dir, "val", "test")
     evaluation = training.evaluate(_soft_rule_model(held_out).withColumnRenamed("probability", "probabilities"))
     return rounded(evaluation.metrics, "value")
 

@@ -50,10 +50,6 @@ def fit_scaler(
     return stats
 
 
-def scaled(column: str, mean: float, std: float, epsilon: float = 0.0) -> Column:
-    return (F.col(column) - F.lit(mean)) / F.lit(std + epsilon)
-
-
 def apply_scaler(
     df: DataFrame, stats: Stats, spec: ScalerSpec = SAMPLE, fill: float | None = None
 ) -> DataFrame:

@@ -36,18 +36,28 @@ class SkewOptions:
     seed: int = 42
 
 
-def position(order: str, tie: str | None, tie_low: int | None, tie_high: int | None) -> Column:
-    """A number that never decreases along (order, tie), used only to place cuts."""
-    base = F.col(order).cast("double")
-    if tie_low is None or tie_high is None:
-        return base
-    share = (F.col(tie).cast("double") - F.lit(float(tie_low))) / F.lit(float(tie_high - tie_low) + 1.0)
-    share = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(share, F.lit(0.0))))
-    return base + share
+# Rows without a time come first; no real time lies this far back.
+BEFORE_TIME = -1e12
+PREFIX_BYTES = 6
+
+
+def tie_share(tie: str, kind: T.DataType, low: int | None, high: int | None) -> Column:
+    """A number in [0, 1] that never decreases along `tie`: 0 for null and for types not handled."""
+    if isinstance(kind, T.IntegralType) and low is not None:
+        share = (F.col(tie).cast("double") - F.lit(float(low))) / F.lit(float(high - low) + 1.0)
+    elif isinstance(kind, T.StringType):
+        # Text sorts by its bytes, and so do its first bytes read as a number.
+        head = F.hex(F.substring(F.encode(F.col(tie), "UTF-8"), 1, PREFIX_BYTES))
+        digits = 2 * PREFIX_BYTES
+        share = F.conv(F.rpad(head, digits, "0"), 16, 10).cast("double") / F.lit(16.0**digits)
+    else:
+        return F.lit(0.0)
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(share, F.lit(0.0))))
 
 
-def _is_integer(df: DataFrame, column: str | None) -> bool:
-    return column is not None and isinstance(df.schema[column].dataType, T.IntegralType)
+def position(order: str, share: Column) -> Column:
+    """A number that never decreases along (order, tie), used only to place cuts."""
+    return F.coalesce(F.col(order).cast("double"), F.lit(BEFORE_TIME)) + share
 
 
 @dataclass
@@ -66,7 +76,8 @@ def find_hot_sessions(
     probe = df.select(*columns)
     if options.probe_fraction < 1.0:
         probe = probe.sample(options.probe_fraction, seed=options.seed)
-    numeric_tie = _is_integer(df, tie)
+    kind = df.schema[tie].dataType if tie else T.NullType()
+    numeric_tie = isinstance(kind, T.IntegralType)
     low = F.min(tie) if numeric_tie else F.lit(None).cast("long")
     high = F.max(tie) if numeric_tie else F.lit(None).cast("long")
     scale = 1.0 / min(1.0, options.probe_fraction)
@@ -90,7 +101,8 @@ def find_hot_sessions(
     hot = spark.createDataFrame(rows, schema)
     lows = [r["low"] for r in largest if r["low"] is not None]
     highs = [r["high"] for r in largest if r["high"] is not None]
-    where = position(order, tie, min(lows, default=None), max(highs, default=None))
+    share = tie_share(tie, kind, min(lows, default=None), max(highs, default=None)) if tie else F.lit(0.0)
+    where = position(order, share)
     grid = max(r[-1] for r in rows)
     shares = [i / grid for i in range(1, grid)]
     quantiles = (
@@ -181,7 +193,8 @@ def add_session_features(
 ) -> DataFrame:
     """Add the previous-three means and count, and the whole-session max, min and mean.
 
-    Needs `bytes_log`, `packet_log` and `packet_count`. Rolling means of the first event are 0.
+    Needs `bytes_log`, `packet_log` and `packet_count`. Rolling means of the first event are 0. Rows of a
+    session are ordered by `order`, a number or timestamp, then `tie`. Runs one small job, the key probe.
     """
     ordering = [order] + ([tie] if tie and tie in df.columns else [])
     hot = find_hot_sessions(df, keys, order, ordering[1] if len(ordering) > 1 else None, options)

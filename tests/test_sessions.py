@@ -114,16 +114,30 @@ def test_no_hot_session_means_plain_window(spark):
     assert find_hot_sessions(df, KEYS, "timestamp", "flow_id", SkewOptions(probe_fraction=1.0)) is None
 
 
-def test_text_tie_breaker(spark):
-    """Without a numeric tie breaker, cuts lie between seconds only and results still hold."""
-    rows = make_rows(400, seed=3, seconds=30, nulls=False)
-    df = spark.createDataFrame(rows, SCHEMA).selectExpr("lpad(flow_id, 6, '0') AS flow_id", *SCHEMA_NAMES)
-    found = computed(add_session_features(df, options=SkewOptions(hot_rows=10, probe_fraction=1.0)))
-    expected = {f"{k:06d}": v for k, v in brute_force(rows).items()}
-    same(found, expected)
+@pytest.mark.parametrize("seconds", [1, 30])
+def test_text_tie_breaker(spark, seconds):
+    """Text ids split a busy second by their first bytes."""
+    rows = make_rows(400, seed=3, seconds=seconds, nulls=False)
+    df = spark.createDataFrame(rows, SCHEMA)
+    texts = {r["flow_id"]: r["t"] for r in df.selectExpr("flow_id", "sha1(cast(flow_id AS string)) AS t").collect()}
+    ranks = {k: i for i, k in enumerate(sorted(texts, key=texts.get))}
+    renamed = [(texts[r[0]], *r[1:]) for r in rows]
+    df = spark.createDataFrame(renamed, SCHEMA.replace("flow_id long", "flow_id string"))
+    options = SkewOptions(hot_rows=10, probe_fraction=1.0)
+    hot = find_hot_sessions(df, KEYS, "timestamp", "flow_id", options)
+    assert sum(len(c) for c in hot.cuts.where("src_port = 7").first()["_chunks"]) >= 8
+    expected = brute_force([(ranks[r[0]], *r[1:]) for r in rows])
+    names = {ranks[k]: t for k, t in texts.items()}
+    same(computed(add_session_features(df, options=options)), {names[k]: v for k, v in expected.items()})
 
 
-SCHEMA_NAMES = [f.strip().split()[0] for f in SCHEMA.split(",")][1:]
+def test_session_without_any_time(spark):
+    rows = [(i, 7, 80, "TCP", 5, None, float(i), 1.0) for i in range(300)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    options = SkewOptions(hot_rows=20, probe_fraction=1.0)
+    hot = find_hot_sessions(df, KEYS, "timestamp", "flow_id", options)
+    assert sum(len(c) for c in hot.cuts.first()["_chunks"]) >= 8
+    same(computed(add_session_features(df, options=options)), brute_force(rows))
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
