@@ -33,7 +33,10 @@ def sf_dir():
 
 
 @pytest.fixture(scope="session")
-def small_flows(spark, sf_dir):
+def small_flows(spark, sf_dir, tmp_path_factory):
+    """A stored copy: caching the view itself would change the plans other tests look at."""
     from flowlens.catalog.flows import flows
 
-    return flows(spark, sf_dir).cache()
+    path = str(tmp_path_factory.mktemp("flows") / "flows")
+    flows(spark, sf_dir).coalesce(1).write.parquet(path)
+    return spark.read.parquet(path)
