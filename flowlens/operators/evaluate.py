@@ -67,10 +67,12 @@ def class_metrics(confusion: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """(by..., class, precision, recall, f1, support); empty classes score 0."""
     hit = F.when(F.col(LABEL) == F.col(PREDICTION), F.col("n")).otherwise(0)
     # Each cell counts once for its true class and once for its predicted class.
-    sides = F.array(
-        F.struct(F.col(LABEL).alias("class"), hit.alias("tp"), F.col("n").alias("true_n"), F.lit(0).cast("long").alias("pred_n")),
-        F.struct(F.col(PREDICTION).alias("class"), F.lit(0).cast("long").alias("tp"), F.lit(0).cast("long").alias("true_n"), F.col("n").alias("pred_n")),
-    )
+    none = F.lit(0).cast("long")
+
+    def side(place: str, tp: Column, true_n: Column, pred_n: Column) -> Column:
+        return F.struct(F.col(place).alias("class"), tp.alias("tp"), true_n.alias("true_n"), pred_n.alias("pred_n"))
+
+    sides = F.array(side(LABEL, hit, F.col("n"), none), side(PREDICTION, none, none, F.col("n")))
     totals = (
         confusion.select(*by, F.inline(sides))
         .groupBy(*by, "class")

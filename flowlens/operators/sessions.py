@@ -12,6 +12,7 @@ the layout: any choice of cuts gives the same result.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
 
@@ -119,13 +120,16 @@ def find_hot_sessions(
     schema = T.StructType(
         [df.schema[k] for k in keys] + [T.StructField("_chunks", T.ArrayType(T.ArrayType(T.DoubleType())))]
     )
-    chunked = [
-        (*[r[k] for k in keys], [r["_cuts"][i : i + CHUNK] for i in range(0, len(r["_cuts"]), CHUNK)])
-        for r in found
-    ]
+    chunked = [(*[r[k] for k in keys], in_chunks(r["_cuts"])) for r in found]
     return HotSessions(keys, spark.createDataFrame(chunked, schema), where)
 
 
+def in_chunks(cuts: list) -> list[list]:
+    """Cuts in groups of about the square root of their number, so a row is compared with few of them."""
+    size = min(CHUNK, math.isqrt(len(cuts)) + 1)
+    return [cuts[i : i + size] for i in range(0, len(cuts), size)]
+
+
 def null_safe_join(df: DataFrame, small: DataFrame, keys: tuple[str, ...], how: str) -> DataFrame:
     """Join on keys that may be null; `small` is bounded by MAX_HOT rows, so it is broadcast."""
     names = {k: f"_hot_{k}" for k in keys}
@@ -135,7 +139,7 @@ def null_safe_join(df: DataFrame, small: DataFrame, keys: tuple[str, ...], how:
 
 
 def slice_number(where: Column) -> Column:
-    """How many cuts lie below `where`: first by chunk, then inside the chunk."""
+    """A number that grows with the cuts below `where`: chunks passed x CHUNK + cuts passed in the next one."""
     chunks = F.col("_chunks")
     chunk = F.coalesce(F.size(F.filter(chunks, lambda c: F.element_at(c, -1) < where)), F.lit(0))
     inside = F.size(F.filter(F.get(chunks, chunk), lambda cut: cut < where))

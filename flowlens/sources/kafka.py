@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import DataStreamReader, DataStreamWriter
+from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
@@ -66,16 +66,10 @@ def sink_options(target: KafkaTarget) -> dict[str, str]:
     }
 
 
-def kafka_reader(spark: SparkSession, target: KafkaTarget, min_partitions: int | None = None) -> DataStreamReader:
-    return spark.readStream.format("kafka").options(**source_options(target, min_partitions))
-
-
-def kafka_writer(messages: DataFrame, target: KafkaTarget, checkpoint: str) -> DataStreamWriter:
-    return (
-        messages.writeStream.format("kafka")
-        .options(**sink_options(target))
-        .option("checkpointLocation", checkpoint)
-    )
+def kafka_messages(spark: SparkSession, target: KafkaTarget, min_partitions: int | None = None) -> DataFrame:
+    """(key, value) texts of a topic as a stream; one task per topic partition, or at least `min_partitions`."""
+    topic = spark.readStream.format("kafka").options(**source_options(target, min_partitions)).load()
+    return topic.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
 
 
 def publish(messages: DataFrame, target: KafkaTarget) -> None:

@@ -6,7 +6,7 @@ leaves no duplicates (exactly once in the tables); a Kafka sink is at-least-once
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..sources.events import flatten_events, parse_messages, rejected_messages
+from ..sources.kafka import KafkaTarget, publish
 
 Scorer = Callable[[DataFrame], DataFrame]
 Step = Callable[[DataFrame], DataFrame]
@@ -47,20 +48,32 @@ def predictions(flows: DataFrame, score: Scorer, model: dict[str, str]) -> DataF
     return scored.select("key", F.to_json(F.struct(*fields, about.alias("model"))).alias("value"))
 
 
-def deliver(batch: DataFrame, batch_id: int, outputs: dict[str, Step]) -> None:
-    """Decode once, then write what each step makes of the batch below its own folder."""
+def deliver(
+    batch: DataFrame,
+    batch_id: int,
+    outputs: dict[str, Step],
+    topics: Sequence[tuple[KafkaTarget, Step]] = (),
+) -> None:
+    """Decode once, then write what each step makes of the batch below its own folder, or to its topic."""
     parsed = parse_messages(batch).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         for path, step in outputs.items():
             step(parsed).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        for target, step in topics:
+            publish(step(parsed), target)
     finally:
         parsed.unpersist()
 
 
-def batch_stream(messages: DataFrame, outputs: dict[str, Step], checkpoint: str) -> DataStreamWriter:
+def batch_stream(
+    messages: DataFrame,
+    outputs: dict[str, Step],
+    checkpoint: str,
+    topics: Sequence[tuple[KafkaTarget, Step]] = (),
+) -> DataStreamWriter:
     """A configured writer; start it with the trigger of your choice."""
     return messages.writeStream.foreachBatch(
-        lambda batch, batch_id: deliver(batch, batch_id, outputs)
+        lambda batch, batch_id: deliver(batch, batch_id, outputs, topics)
     ).option("checkpointLocation", checkpoint)
 
 
@@ -80,6 +93,14 @@ def scoring_stream(
     return batch_stream(messages, outputs, checkpoint)
 
 
+def topic_scoring_stream(
+    messages: DataFrame, score: Scorer, sink: KafkaTarget, quarantine: str, checkpoint: str, model: dict[str, str]
+) -> DataStreamWriter:
+    """JSON predictions to a topic, undecodable messages to `quarantine`."""
+    answers = (sink, lambda parsed: predictions(flatten_events(parsed), score, model))
+    return batch_stream(messages, {quarantine: rejected_messages}, checkpoint, [answers])
+
+
 def run_available(writer: DataStreamWriter) -> None:
     """Process what is there, then stop: progress stays in the checkpoint."""
     writer.trigger(availableNow=True).start().awaitTermination()

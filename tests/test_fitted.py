@@ -177,7 +177,9 @@ def test_job_writes_all_splits_and_reloads_the_artifact(spark, small_flows, tmp_
         s: small_flows.where(F.col("split") == s).count() for s in ("train", "val", "test")
     }
     first = spark.read.parquet(paths["val"])
-    second = spark.read.parquet(PreprocessJob(spark, raw, f"{out}2", artifact, name).run_split("val"))
+    params = {"app_name": "job", "features": name, "write_batch_size": 50, "read_batch_size": 128}
+    later = PreprocessJob.from_params(params, raw, f"{out}2", artifact)
+    second = spark.read.parquet(later.run_split("val"))
     if name == "deployed":
         assert first.exceptAll(second).count() == 0
     assert first.columns == second.columns

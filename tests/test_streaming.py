@@ -101,7 +101,9 @@ def test_trained_model_on_the_stream(spark, small_flows, tmp_path):
 
 def test_text_lines_and_continuous_run(spark, tmp_path):
     p = paths(tmp_path)
-    line = json.dumps({"timestamp": "2026-01-12T18:00:05", "properties": {"src_port": 2000, "dst_port": 80, "protocol": "TCP", "packet_count": 3, "conn_state": "EST", "bytes_transferred": 5.0}, "label": 0})
+    properties = {"src_port": 2000, "dst_port": 80, "protocol": "TCP", "packet_count": 3, "conn_state": "EST"}
+    properties["bytes_transferred"] = 5.0
+    line = json.dumps({"timestamp": "2026-01-12T18:00:05", "properties": properties, "label": 0})
     (tmp_path / "input").mkdir()
     (tmp_path / "input" / "a.json").write_text(f"{line}\n{line[:20]}\n{line}\n")
     source = streams.text_messages(spark, p["input"], files_per_batch=1)
@@ -116,6 +118,28 @@ def test_text_lines_and_continuous_run(spark, tmp_path):
     assert [r["error"] for r in bad] == ["malformed JSON"]
 
 
+def test_topic_sink_gets_predictions_and_quarantine_gets_the_rest(spark, small_flows, tmp_path, monkeypatch):
+    """The connector is replaced by a table; what is published must be what a batch would answer."""
+    p = paths(tmp_path)
+    target = kafka.KafkaTarget("broker:9092", "predictions")
+    monkeypatch.setattr(
+        streams, "publish", lambda df, t: df.withColumn("topic", F.lit(t.topic)).write.mode("append").parquet(p["output"])
+    )
+    messages = to_messages(small_flows)
+    broken = messages.limit(3).select("key", F.lit("{").alias("value"))
+    messages.unionByName(broken).coalesce(1).write.parquet(p["input"])
+    source = streams.file_messages(spark, p["input"])
+    streams.run_available(
+        streams.topic_scoring_stream(source, rule, target, p["quarantine"], p["checkpoint"], ABOUT)
+    )
+    published = spark.read.parquet(p["output"])
+    assert published.count() == small_flows.count()
+    assert {r["topic"] for r in published.select("topic").distinct().collect()} == {"predictions"}
+    answer = json.loads(published.first()["value"])
+    assert answer["model"] == ABOUT and answer["prediction"] in range(6)
+    assert streams.read_batches(spark, p["quarantine"], "key string, value string, error string").count() == 3
+
+
 def test_kafka_options():
     plain = kafka.KafkaTarget("broker:9092", "flows")
     source = kafka.source_options(plain, min_partitions=6)
