@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from flowlens.llm import fingerprints, jaccard, licenses, lines, mixing, pieces, quality
+from flowlens.llm import fingerprints, jaccard, licenses, lines, mixing, personal, pieces, pitman_yor, quality, repeats
 from flowlens.llm.common import documents
 
 
@@ -36,6 +37,20 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept")
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal.find_personal(documents(spark, sf_dir).select("doc_id", "text"))
+    counts = [f"n_{kind}" for kind in personal.KINDS]
+    return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans", "n_added")
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(documents(spark, sf_dir)).drop("kept")
+
+
+def op9_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score_texts(documents(spark, sf_dir))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(documents(spark, sf_dir), keep=("doc_id", "source"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -50,6 +65,9 @@ QUERIES = {
         op4_line_dedup,
         op5_license_scan,
         op6_quality_rules,
+        op7_personal_data,
+        op8_substring_dedup,
+        op9_pitman_yor,
         op10_mixing,
     )
 }
