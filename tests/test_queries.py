@@ -3,15 +3,17 @@
 import pytest
 from compare import differences, duck
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, queries
+from flowlens.catalog.queries import QUERIES
+from flowlens.catalog.sql import SQL
 
 SLOW = {"train_gbt", "train_mlp", "boosting_progress", "tune_random", "tune_halving", "score_batch", "score_mlp", "drift_retrain"}
-CHECKED = sorted(oracle_sql())
+CHECKED = sorted(SQL)
 
 
 def test_each_sql_has_a_query():
-    assert set(CHECKED) <= set(queries())
-    assert set(queries()) - set(CHECKED) == SLOW
+    assert set(CHECKED) <= set(QUERIES) <= set(queries())
+    assert set(QUERIES) - set(CHECKED) == SLOW
 
 
 @pytest.fixture(scope="module")
@@ -22,7 +24,7 @@ def connection(sf_dir):
 @pytest.mark.parametrize("name", CHECKED)
 def test_query_agrees_with_sql(spark, sf_dir, connection, name):
     found = queries()[name](spark, sf_dir).toPandas()
-    assert differences(found, connection.execute(oracle_sql()[name]).df()) is None
+    assert differences(found, connection.execute(SQL[name]).df()) is None
 
 
 def test_entry_has_rows(spark):
