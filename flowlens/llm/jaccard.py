@@ -18,6 +18,7 @@ ignored. Sets are compared by 64-bit hashes of their shingles.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,20 +27,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import slices, small_batches, stored, text_column
+from flowlens.llm.common import slices, small_batches, stored, text_bytes, text_column
 from flowlens.llm.graph import components
 from flowlens.llm.words import distinct_sets, find_words, mix
 
 SHINGLE = 5
-GROUPS = 64
+GROUPS = 256
 LEAF = 16
+#: Counts are kept in a byte; a node with a larger one is a point that bounds nothing.
+MOST = 255
 #: Nodes of a chunk of a frequent shingle's block.
 CHUNK = 4096
 #: A shingle is frequent from this count on, or from a 2^19th of all counted shingles.
 FREQUENT = 32
 MOST_FREQUENT = 1 << 19
-#: Blocks up to this size verify all pairs the bound leaves.
-SMALL_BLOCK = 16
+#: Blocks up to this size, a leaf, are taken apart into their pairs.
+SMALL_BLOCK = LEAF
+#: A node's last bits hold its size as a power of STEP; sizes of linked sets are at most REACH steps apart.
+SIZE_BITS, STEP, REACH = 10, 1.02, 12
 #: Up to this many node ids are sent to the tasks; more are joined.
 BROADCAST_NODES = 1 << 20
 
@@ -58,11 +63,21 @@ def counted_length(n: int) -> int:
     return min(n, prefix_length(n) + n // 10)
 
 
+def name_of(numbers: np.ndarray) -> np.uint64:
+    """64 bits for a whole set of numbers."""
+    total = np.bitwise_xor.reduce(mix(numbers + np.uint64(0x632BE59BD9B4E019)))
+    summed = np.add.reduce(mix(numbers ^ np.uint64(0xD1B54A32D192ED03)))
+    return mix(np.array([total ^ mix(np.array([summed + np.uint64(len(numbers))]))[0]]))[0]
+
+
 def node_of(shingles: np.ndarray) -> int:
-    """64 bits for a whole set, as a signed number."""
-    total = np.bitwise_xor.reduce(mix(shingles + np.uint64(0x632BE59BD9B4E019)))
-    summed = np.add.reduce(mix(shingles ^ np.uint64(0xD1B54A32D192ED03)))
-    return int(mix(np.array([total ^ mix(np.array([summed + np.uint64(len(shingles))]))[0]]))[0].astype(np.int64))
+    """A set's name and size, as a signed number."""
+    size = min(round(math.log(len(shingles)) / math.log(STEP)), (1 << SIZE_BITS) - 1)
+    return int((name_of(shingles) >> np.uint64(SIZE_BITS) << np.uint64(SIZE_BITS) | np.uint64(size)).astype(np.int64))
+
+
+def size_step(nodes: np.ndarray) -> np.ndarray:
+    return nodes & ((1 << SIZE_BITS) - 1)
 
 
 class CountTree:
@@ -196,33 +211,51 @@ def blocks(texts: DataFrame, frequent: np.ndarray, counts: np.ndarray) -> DataFr
                 continue
             bounds = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1], [True])))
             begins, ends = bounds[:-1], bounds[1:]
-            out = []
+            out: list[np.ndarray] = []
             if key is not None and keys[0] == key:
                 held = np.concatenate((held, nodes[: ends[0]]))
                 begins, ends = begins[1:], ends[1:]
             if len(begins):
-                out += found(held, seen)
-                for a, b in zip(begins[:-1], ends[:-1], strict=True):
-                    if b - a > 1:
-                        out += found(nodes[a:b], seen)
+                out += parts(held)
                 key, held = keys[-1], nodes[begins[-1] :].copy()
+                begins, ends = begins[:-1], ends[:-1]
+                two = begins[ends - begins == 2]
+                a, b = np.minimum(nodes[two], nodes[two + 1]), np.maximum(nodes[two], nodes[two + 1])
+                near = (a != b) & (np.abs(size_step(a) - size_step(b)) <= REACH)
+                out += list(np.stack((a[near], b[near]), axis=1))
+                for a, b in zip(begins[ends - begins > 2], ends[ends - begins > 2], strict=True):
+                    out += parts(nodes[a:b])
             if out:
-                yield rows(out)
-        if last := found(held, seen):
-            yield rows(last)
+                yield rows(out, seen)
+        if out := parts(held):
+            yield rows(out, seen)
 
-    def found(nodes: np.ndarray, seen: set[int]) -> list[tuple[int, list[int]]]:
-        nodes = np.unique(nodes)
+    def parts(nodes: np.ndarray) -> list[np.ndarray]:
+        """A block without nodes that are alone in their size; small ones as pairs."""
         if len(nodes) < 2:
             return []
-        name = node_of(nodes.astype(np.uint64))
-        if name in seen:
-            return []
-        seen.add(name)
-        return [(name, nodes.tolist())]
-
-    def rows(out: list[tuple[int, list[int]]]) -> pa.RecordBatch:
-        names, nodes = zip(*out, strict=True)
+        nodes = np.unique(nodes)
+        nodes = nodes[np.argsort(size_step(nodes), kind="stable")]
+        steps = size_step(nodes)
+        found = []
+        for part in np.split(np.arange(len(nodes)), np.flatnonzero(np.diff(steps) > REACH) + 1):
+            if len(part) > SMALL_BLOCK:
+                found.append(np.sort(nodes[part]))
+            elif len(part) > 1:
+                i, j = np.triu_indices(len(part), 1)
+                near = steps[part[j]] - steps[part[i]] <= REACH
+                x, y = nodes[part[i[near]]], nodes[part[j[near]]]
+                found += list(np.stack((np.minimum(x, y), np.maximum(x, y)), axis=1))
+        return found
+
+    def rows(found: list[np.ndarray], seen: set[int]) -> pa.RecordBatch:
+        names, nodes = [], []
+        for block in found:
+            name = int(name_of(block.astype(np.uint64)).astype(np.int64))
+            if name not in seen:
+                seen.add(name)
+                names.append(name)
+                nodes.append(block.tolist())
         return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(nodes, pa.list_(pa.int64()))], names=["block", "nodes"])
 
     keyed = texts.mapInArrow(prefixes, "key long, node long")
@@ -230,8 +263,8 @@ def blocks(texts: DataFrame, frequent: np.ndarray, counts: np.ndarray) -> DataFr
     return grouped.mapInArrow(gather, "block long, nodes array<long>").dropDuplicates(["block"])
 
 
-def points_and_sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, n, point, shingles) of the wanted nodes, as packed numbers; one row per node."""
+def whole_sets(texts: DataFrame, wanted: DataFrame, points: bool) -> DataFrame:
+    """(node, n, packed) of the wanted nodes, one row each: the point, or the set."""
     few = wanted.count() <= BROADCAST_NODES
     known = np.sort(wanted.toPandas()["node"].to_numpy(np.int64)) if few else None
 
@@ -243,45 +276,73 @@ def points_and_sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
                 here = known[at] == nodes if len(known) else np.zeros(len(nodes), bool)
                 found = [x for x, h in zip(found, here, strict=True) if h]
             if found:
-                points = [np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=GROUPS).astype("<u4").tobytes() for _, s in found]
-                yield pa.RecordBatch.from_pydict({
-                    "node": pa.array([node for node, _ in found], pa.int64()), "n": pa.array([len(s) for _, s in found], pa.int64()),
-                    "point": pa.array(points, pa.binary()), "shingles": pa.array([s.tobytes() for _, s in found], pa.binary()),
-                })
+                packed = [point_of(s) if points else s.tobytes() for _, s in found]
+                nodes, sizes = [node for node, _ in found], [len(s) for _, s in found]
+                arrays = [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(packed, pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, names=["node", "n", "packed"])
 
-    made = texts.mapInArrow(work, "node long, n long, point binary, shingles binary")
+    made = texts.mapInArrow(work, "node long, n long, packed binary")
     if not few:
         made = made.join(wanted, "node", "left_semi")
     return made.dropDuplicates(["node"])
 
 
+def point_of(shingles: np.ndarray) -> bytes:
+    counts = np.bincount((shingles >> np.uint64(56)).astype(np.int64), minlength=GROUPS)
+    return np.minimum(counts, MOST).astype(np.uint8).tobytes()
+
+
 def near_pairs(members: DataFrame, far_only: bool) -> DataFrame:
-    """Distinct pairs (a, b) of each block's tree. Of large blocks, at first each node with one pivot and its
-    neighbours in size; with `far_only`, all pairs of nodes that `component` tells apart."""
-
-    def work(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["n", "node"], kind="stable")
-        nodes, sizes = frame["node"].to_numpy(np.int64), frame["n"].to_numpy(np.int64)
-        points = np.frombuffer(b"".join(frame["point"]), dtype="<u4").reshape(len(frame), GROUPS).astype(np.int64)
-        if far_only or len(nodes) <= SMALL_BLOCK:
-            apart = frame["component"].to_numpy(np.int64) if far_only else None
-            found = list(CountTree(points, sizes).pairs(apart))
-            i = np.concatenate([x for x, _ in found]) if found else np.empty(0, np.int64)
-            j = np.concatenate([y for _, y in found]) if found else np.empty(0, np.int64)
-        else:
-            pivot, rest = int(nodes.argmin()), np.arange(len(nodes))
-            i = np.concatenate((np.full(len(nodes), pivot), rest[:-1]))
-            j = np.concatenate((rest, rest[1:]))
-            bound = np.minimum(points[i], points[j]).sum(axis=1)
-            ok = (i != j) & (bound >= needed(sizes[i], sizes[j]))
-            i, j = i[ok], j[ok]
-        return pd.DataFrame({"a": np.minimum(nodes[i], nodes[j]), "b": np.maximum(nodes[i], nodes[j])})
-
-    return members.groupBy("block").applyInPandas(work, "a long, b long").distinct()
-
-
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) that each block's tree leaves. Of large blocks, at first each node with one pivot and its
+    neighbours in size; with `far_only`, all pairs of nodes that `component` tells apart. Blocks are streamed."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            table = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            names = table.column(0).to_numpy()
+            if not len(names):
+                continue
+            begins = np.flatnonzero(np.concatenate(([True], names[1:] != names[:-1])))
+            held = table.slice(begins[-1])
+            if len(begins) > 1:
+                yield pairs_of(table.slice(0, begins[-1]), begins)
+        if held is not None:
+            yield pairs_of(held, np.array([0, held.num_rows]))
+
+    def pairs_of(table: pa.RecordBatch, bounds: np.ndarray) -> pa.RecordBatch:
+        nodes, sizes = table.column(1).to_numpy(), table.column(2).to_numpy()
+        _, packed = text_bytes(table.column(3))
+        points = packed.reshape(len(nodes), GROUPS).astype(np.int32)
+        points[(points == MOST).any(axis=1)] = 1 << 20
+        two = bounds[:-1][np.diff(bounds) == 2]
+        found = [(two, two + 1)]
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            if b - a > 2:
+                if far_only or b - a <= SMALL_BLOCK:
+                    apart = table.column(4).to_numpy()[a:b] if far_only else None
+                    found += [(i + a, j + a) for i, j in CountTree(points[a:b], sizes[a:b]).pairs(apart)]
+                else:
+                    rest = np.arange(a, b)
+                    found += [(np.full(b - a, a + int(nodes[a:b].argmin())), rest), (rest[:-1], rest[1:])]
+        i, j = (np.concatenate([x[k] for x in found]) for k in (0, 1))
+        ok = [np.empty(0, bool)]
+        for at in range(0, len(i), 100_000):
+            x, y = i[at : at + 100_000], j[at : at + 100_000]
+            ok.append((x != y) & (np.minimum(points[x], points[y]).sum(axis=1) >= needed(sizes[x], sizes[y])))
+        i, j = i[np.concatenate(ok)], j[np.concatenate(ok)]
+        pairs = np.unique(np.stack((np.minimum(nodes[i], nodes[j]), np.maximum(nodes[i], nodes[j])), axis=1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    columns = ["block", "node", "n", "packed", *(["component"] if far_only else [])]
+    ordered = members.select(*columns).repartition("block").sortWithinPartitions("block", "n", "node")
+    return ordered.mapInArrow(work, "a long, b long").distinct()
+
+
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (u, v) whose whole sets reach the similarity."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = stored(whole_sets(texts, nodes, points=False), "sets")
 
     @F.pandas_udf("boolean")
     def linked(left: pd.Series, right: pd.Series) -> pd.Series:
@@ -294,8 +355,8 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             out.append(100 * shared >= 80 * (len(both) - shared))
         return pd.Series(out, dtype=bool)
 
-    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
-    two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
+    one = sets.select(F.col("node").alias("a"), F.col("packed").alias("left"))
+    two = sets.select(F.col("node").alias("b"), F.col("packed").alias("right"))
     joined = pairs.join(one, "a").join(two, "b")
     return joined.filter(linked("left", "right")).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
@@ -310,19 +371,19 @@ def similar_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     frequent, counts = frequent_shingles(texts, total)
     shared = stored(blocks(texts, frequent, counts), "blocks")
     members = shared.select("block", F.explode("nodes").alias("node"))
-    sets = stored(points_and_sets(texts, members.select("node").distinct()), "sets")
-    placed = members.join(sets.select("node", "n", "point"), "node")
+    points = stored(whole_sets(texts, members.select("node").distinct(), points=True), "points")
+    pairs = stored(near_pairs(members.join(points, "node"), far_only=False), "pairs")
+    links = stored(verified(pairs, texts), "links")
 
-    first = stored(verified(stored(near_pairs(placed, far_only=False), "pairs"), sets), "links")
     large = shared.filter(F.size("nodes") > SMALL_BLOCK).select("block", F.explode("nodes").alias("node"))
-    links = first
     if not large.isEmpty():
-        groups = stored(components(first), "groups")
+        groups = stored(components(links), "groups")
         known = large.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
         mixed = known.groupBy("block").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y").select("block")
-        open_blocks = known.join(mixed, "block", "left_semi").join(sets.select("node", "n", "point"), "node")
+        open_blocks = known.join(mixed, "block", "left_semi").join(points, "node")
         later = stored(near_pairs(open_blocks, far_only=True), "pairs")
-        links = first.union(stored(verified(later, sets), "links"))
+        if not later.isEmpty():
+            links = links.union(stored(verified(later, texts), "links"))
     groups = stored(components(links), "groups")
 
     labelled = rows.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
