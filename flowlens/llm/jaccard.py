@@ -32,7 +32,9 @@ from flowlens.llm.graph import components
 from flowlens.llm.words import distinct_sets, find_words, mix
 
 SHINGLE = 5
+#: Least groups; a set has four times as many until they hold PER_GROUP shingles each at most.
 GROUPS = 256
+PER_GROUP = 4
 LEAF = 16
 #: Counts are kept in a byte; a node with a larger one is a point that bounds nothing.
 MOST = 255
@@ -211,52 +213,60 @@ def blocks(texts: DataFrame, frequent: np.ndarray, counts: np.ndarray) -> DataFr
                 continue
             bounds = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1], [True])))
             begins, ends = bounds[:-1], bounds[1:]
-            out: list[np.ndarray] = []
+            pairs: list[np.ndarray] = []
+            large: list[np.ndarray] = []
             if key is not None and keys[0] == key:
                 held = np.concatenate((held, nodes[: ends[0]]))
                 begins, ends = begins[1:], ends[1:]
             if len(begins):
-                out += parts(held)
+                take_apart(held, pairs, large)
                 key, held = keys[-1], nodes[begins[-1] :].copy()
                 begins, ends = begins[:-1], ends[:-1]
                 two = begins[ends - begins == 2]
-                a, b = np.minimum(nodes[two], nodes[two + 1]), np.maximum(nodes[two], nodes[two + 1])
-                near = (a != b) & (np.abs(size_step(a) - size_step(b)) <= REACH)
-                out += list(np.stack((a[near], b[near]), axis=1))
+                pairs.append(np.stack((nodes[two], nodes[two + 1]), axis=1))
                 for a, b in zip(begins[ends - begins > 2], ends[ends - begins > 2], strict=True):
-                    out += parts(nodes[a:b])
-            if out:
-                yield rows(out, seen)
-        if out := parts(held):
-            yield rows(out, seen)
-
-    def parts(nodes: np.ndarray) -> list[np.ndarray]:
-        """A block without nodes that are alone in their size; small ones as pairs."""
+                    take_apart(nodes[a:b], pairs, large)
+            if pairs or large:
+                yield rows(pairs, large, seen)
+        pairs, large = [], []
+        take_apart(held, pairs, large)
+        if pairs or large:
+            yield rows(pairs, large, seen)
+
+    def take_apart(nodes: np.ndarray, pairs: list[np.ndarray], large: list[np.ndarray]) -> None:
+        """Small blocks become pairs; large ones are cut where sizes leave a gap."""
         if len(nodes) < 2:
-            return []
+            return
         nodes = np.unique(nodes)
+        if len(nodes) <= SMALL_BLOCK:
+            i, j = np.triu_indices(len(nodes), 1)
+            pairs.append(np.stack((nodes[i], nodes[j]), axis=1))
+            return
         nodes = nodes[np.argsort(size_step(nodes), kind="stable")]
-        steps = size_step(nodes)
-        found = []
-        for part in np.split(np.arange(len(nodes)), np.flatnonzero(np.diff(steps) > REACH) + 1):
+        for part in np.split(nodes, np.flatnonzero(np.diff(size_step(nodes)) > REACH) + 1):
             if len(part) > SMALL_BLOCK:
-                found.append(np.sort(nodes[part]))
-            elif len(part) > 1:
-                i, j = np.triu_indices(len(part), 1)
-                near = steps[part[j]] - steps[part[i]] <= REACH
-                x, y = nodes[part[i[near]]], nodes[part[j[near]]]
-                found += list(np.stack((np.minimum(x, y), np.maximum(x, y)), axis=1))
-        return found
-
-    def rows(found: list[np.ndarray], seen: set[int]) -> pa.RecordBatch:
-        names, nodes = [], []
-        for block in found:
+                large.append(np.sort(part))
+            else:
+                take_apart(part, pairs, large)
+
+    def rows(pairs: list[np.ndarray], large: list[np.ndarray], seen: set[int]) -> pa.RecordBatch:
+        both = np.concatenate(pairs) if pairs else np.empty((0, 2), np.int64)
+        both = np.sort(both[np.abs(size_step(both[:, 0]) - size_step(both[:, 1])) <= REACH], axis=1)
+        both = both[both[:, 0] != both[:, 1]]
+        names = mix(both[:, 0].astype(np.uint64) ^ mix(both[:, 1].astype(np.uint64))).view(np.int64)
+        names, first = np.unique(names, return_index=True)
+        both, blocks = both[first], []
+        for block in large:
             name = int(name_of(block.astype(np.uint64)).astype(np.int64))
             if name not in seen:
                 seen.add(name)
-                names.append(name)
-                nodes.append(block.tolist())
-        return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(nodes, pa.list_(pa.int64()))], names=["block", "nodes"])
+                blocks.append((name, block))
+        names = np.concatenate((names, np.array([name for name, _ in blocks], np.int64)))
+        nodes = np.concatenate((both.ravel(), *(block for _, block in blocks)))
+        sizes = np.concatenate((np.full(len(both), 2), [len(block) for _, block in blocks])).astype(np.int64)
+        offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(nodes, pa.int64()))
+        return pa.RecordBatch.from_arrays([pa.array(names), lists], names=["block", "nodes"])
 
     keyed = texts.mapInArrow(prefixes, "key long, node long")
     grouped = keyed.repartition("key").sortWithinPartitions("key").select("key", "node")
@@ -287,11 +297,49 @@ def whole_sets(texts: DataFrame, wanted: DataFrame, points: bool) -> DataFrame:
     return made.dropDuplicates(["node"])
 
 
+def tier_of(sizes: np.ndarray) -> np.ndarray:
+    """How often a set of this size has its groups multiplied by four; at most to 65,536 groups."""
+    return np.searchsorted(PER_GROUP * GROUPS * 4 ** np.arange(4), sizes)
+
+
 def point_of(shingles: np.ndarray) -> bytes:
-    counts = np.bincount((shingles >> np.uint64(56)).astype(np.int64), minlength=GROUPS)
+    tier = int(tier_of(np.array([len(shingles)]))[0])
+    counts = np.bincount((shingles >> np.uint64(56 - 2 * tier)).astype(np.int64), minlength=GROUPS << (2 * tier))
     return np.minimum(counts, MOST).astype(np.uint8).tobytes()
 
 
+class Points:
+    """Points of nodes of any sizes; finer groups are added up to coarser ones."""
+
+    def __init__(self, packed: pa.Array, sizes: np.ndarray):
+        self.offsets, self.data = text_bytes(packed)
+        self.tiers = tier_of(sizes)
+        self.sizes = sizes
+
+    def at(self, rows: np.ndarray, tier: int) -> np.ndarray:
+        groups = GROUPS << (2 * tier)
+        out = np.empty((len(rows), groups), np.int32)
+        for t in range(tier, int(self.tiers[rows].max(initial=tier)) + 1):
+            here = np.flatnonzero(self.tiers[rows] == t)
+            if len(here):
+                own = self.data[self.offsets[rows[here]][:, None] + np.arange(GROUPS << (2 * t))]
+                summed = own.reshape(len(here), groups, -1).sum(axis=2, dtype=np.int32)
+                summed[(own == MOST).any(axis=1)] = 1 << 20
+                out[here] = summed
+        return out
+
+    def reach(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether the bounds of the pairs of rows allow a link."""
+        tiers, ok = np.minimum(self.tiers[i], self.tiers[j]), np.zeros(len(i), bool)
+        for t in np.unique(tiers):
+            here, step = np.flatnonzero(tiers == t), max(1, 4_000_000 // (GROUPS << (2 * int(t))))
+            for at in range(0, len(here), step):
+                x, y = i[here[at : at + step]], j[here[at : at + step]]
+                bound = np.minimum(self.at(x, int(t)), self.at(y, int(t))).sum(axis=1)
+                ok[here[at : at + step]] = (x != y) & (bound >= needed(self.sizes[x], self.sizes[y]))
+        return ok
+
+
 def near_pairs(members: DataFrame, far_only: bool) -> DataFrame:
     """Distinct pairs (a, b) that each block's tree leaves. Of large blocks, at first each node with one pivot and its
     neighbours in size; with `far_only`, all pairs of nodes that `component` tells apart. Blocks are streamed."""
@@ -312,25 +360,21 @@ def near_pairs(members: DataFrame, far_only: bool) -> DataFrame:
 
     def pairs_of(table: pa.RecordBatch, bounds: np.ndarray) -> pa.RecordBatch:
         nodes, sizes = table.column(1).to_numpy(), table.column(2).to_numpy()
-        _, packed = text_bytes(table.column(3))
-        points = packed.reshape(len(nodes), GROUPS).astype(np.int32)
-        points[(points == MOST).any(axis=1)] = 1 << 20
+        points = Points(table.column(3), sizes)
         two = bounds[:-1][np.diff(bounds) == 2]
         found = [(two, two + 1)]
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
             if b - a > 2:
+                rest = np.arange(a, b)
                 if far_only or b - a <= SMALL_BLOCK:
                     apart = table.column(4).to_numpy()[a:b] if far_only else None
-                    found += [(i + a, j + a) for i, j in CountTree(points[a:b], sizes[a:b]).pairs(apart)]
+                    tree = CountTree(points.at(rest, int(points.tiers[rest].min())), sizes[a:b])
+                    found += [(i + a, j + a) for i, j in tree.pairs(apart)]
                 else:
-                    rest = np.arange(a, b)
                     found += [(np.full(b - a, a + int(nodes[a:b].argmin())), rest), (rest[:-1], rest[1:])]
         i, j = (np.concatenate([x[k] for x in found]) for k in (0, 1))
-        ok = [np.empty(0, bool)]
-        for at in range(0, len(i), 100_000):
-            x, y = i[at : at + 100_000], j[at : at + 100_000]
-            ok.append((x != y) & (np.minimum(points[x], points[y]).sum(axis=1) >= needed(sizes[x], sizes[y])))
-        i, j = i[np.concatenate(ok)], j[np.concatenate(ok)]
+        ok = points.reach(i, j)
+        i, j = i[ok], j[ok]
         pairs = np.unique(np.stack((np.minimum(nodes[i], nodes[j]), np.maximum(nodes[i], nodes[j])), axis=1), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
@@ -339,10 +383,8 @@ def near_pairs(members: DataFrame, far_only: bool) -> DataFrame:
     return ordered.mapInArrow(work, "a long, b long").distinct()
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (u, v) whose whole sets reach the similarity."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = stored(whole_sets(texts, nodes, points=False), "sets")
 
     @F.pandas_udf("boolean")
     def linked(left: pd.Series, right: pd.Series) -> pd.Series:
@@ -373,9 +415,11 @@ def similar_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     members = shared.select("block", F.explode("nodes").alias("node"))
     points = stored(whole_sets(texts, members.select("node").distinct(), points=True), "points")
     pairs = stored(near_pairs(members.join(points, "node"), far_only=False), "pairs")
-    links = stored(verified(pairs, texts), "links")
-
     large = shared.filter(F.size("nodes") > SMALL_BLOCK).select("block", F.explode("nodes").alias("node"))
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).union(large.select("node"))
+    sets = stored(whole_sets(texts, wanted.distinct(), points=False), "sets")
+    links = stored(verified(pairs, sets), "links")
+
     if not large.isEmpty():
         groups = stored(components(links), "groups")
         known = large.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -383,7 +427,7 @@ def similar_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         open_blocks = known.join(mixed, "block", "left_semi").join(points, "node")
         later = stored(near_pairs(open_blocks, far_only=True), "pairs")
         if not later.isEmpty():
-            links = links.union(stored(verified(later, texts), "links"))
+            links = links.union(stored(verified(later, sets), "links"))
     groups = stored(components(links), "groups")
 
     labelled = rows.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
