@@ -22,8 +22,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def stored(df: DataFrame, purpose: str, *partition_by: str) -> DataFrame:
