@@ -32,9 +32,11 @@ from flowlens.llm.graph import components
 from flowlens.llm.words import distinct_sets, find_words, mix
 
 SHINGLE = 5
-#: Least groups; a set has four times as many until they hold PER_GROUP shingles each at most.
+#: Least groups; a set has four times as many until they hold PER_GROUP shingles each at most. Nodes of large blocks that
+#: are still apart are compared in groups four times finer.
 GROUPS = 256
 PER_GROUP = 4
+FINER = 1
 LEAF = 16
 #: Counts are kept in a byte; a node with a larger one is a point that bounds nothing.
 MOST = 255
@@ -302,8 +304,8 @@ def tier_of(sizes: np.ndarray) -> np.ndarray:
     return np.searchsorted(PER_GROUP * GROUPS * 4 ** np.arange(4), sizes)
 
 
-def point_of(shingles: np.ndarray) -> bytes:
-    tier = int(tier_of(np.array([len(shingles)]))[0])
+def point_of(shingles: np.ndarray, finer: int = 0) -> bytes:
+    tier = int(tier_of(np.array([len(shingles)]))[0]) + finer
     counts = np.bincount((shingles >> np.uint64(56 - 2 * tier)).astype(np.int64), minlength=GROUPS << (2 * tier))
     return np.minimum(counts, MOST).astype(np.uint8).tobytes()
 
@@ -311,9 +313,9 @@ def point_of(shingles: np.ndarray) -> bytes:
 class Points:
     """Points of nodes of any sizes; finer groups are added up to coarser ones."""
 
-    def __init__(self, packed: pa.Array, sizes: np.ndarray):
+    def __init__(self, packed: pa.Array, sizes: np.ndarray, finer: int = 0):
         self.offsets, self.data = text_bytes(packed)
-        self.tiers = tier_of(sizes)
+        self.tiers = tier_of(sizes) + finer
         self.sizes = sizes
 
     def at(self, rows: np.ndarray, tier: int) -> np.ndarray:
@@ -340,6 +342,16 @@ class Points:
         return ok
 
 
+def finer_points(sets: DataFrame) -> DataFrame:
+    """(node, n, packed) of stored sets, with finer points."""
+
+    @F.pandas_udf("binary")
+    def of(packed: pd.Series) -> pd.Series:
+        return packed.map(lambda x: point_of(np.frombuffer(x, np.uint64), FINER))
+
+    return sets.select("node", "n", of("packed").alias("packed"))
+
+
 def near_pairs(members: DataFrame, far_only: bool) -> DataFrame:
     """Distinct pairs (a, b) that each block's tree leaves. Of large blocks, at first each node with one pivot and its
     neighbours in size; with `far_only`, all pairs of nodes that `component` tells apart. Blocks are streamed."""
@@ -360,7 +372,7 @@ def near_pairs(members: DataFrame, far_only: bool) -> DataFrame:
 
     def pairs_of(table: pa.RecordBatch, bounds: np.ndarray) -> pa.RecordBatch:
         nodes, sizes = table.column(1).to_numpy(), table.column(2).to_numpy()
-        points = Points(table.column(3), sizes)
+        points = Points(table.column(3), sizes, FINER if far_only else 0)
         two = bounds[:-1][np.diff(bounds) == 2]
         found = [(two, two + 1)]
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
@@ -424,7 +436,7 @@ def similar_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         groups = stored(components(links), "groups")
         known = large.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
         mixed = known.groupBy("block").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y").select("block")
-        open_blocks = known.join(mixed, "block", "left_semi").join(points, "node")
+        open_blocks = known.join(mixed, "block", "left_semi").join(finer_points(sets), "node")
         later = stored(near_pairs(open_blocks, far_only=True), "pairs")
         if not later.isEmpty():
             links = links.union(stored(verified(later, sets), "links"))
