@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -23,7 +24,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Bound the rows of an Arrow batch, and let Python workers find the package where the driver found it."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(":"):
+        spark.sparkContext.environment["PYTHONPATH"] = f"{root}:{known}" if known else root
 
 
 def stored(df: DataFrame, purpose: str, *partition_by: str) -> DataFrame:
