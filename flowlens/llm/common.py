@@ -15,6 +15,8 @@ BLANK = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of one Arrow batch: long texts must not add up to more than a task holds.
 BATCH_ROWS = 1000
+#: With this setting a job's shuffle files go when it ends: what it wrote is read from the shared folder.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Bytes of text that one vectorised step handles.
 SLICE_BYTES = 4 << 20
 
@@ -34,10 +36,15 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
 
 def stored(df: DataFrame, purpose: str, *partition_by: str) -> DataFrame:
     """Write to the shared folder and read again: later steps restart from the files, not from the lineage."""
-    path = scratch_path(df.sparkSession, purpose)
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path, before = scratch_path(spark, purpose), spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        writer = df.write.mode("overwrite")
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def word_count(text: Column) -> Column:

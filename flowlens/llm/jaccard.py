@@ -49,6 +49,8 @@ MOST_FREQUENT = 1 << 19
 SMALL_BLOCK = LEAF
 #: A node's last bits hold its size as a power of STEP; sizes of linked sets are at most REACH steps apart.
 SIZE_BITS, STEP, REACH = 10, 1.02, 12
+#: Rounds in which one pair stands for all pairs of two components.
+WAVES = 2
 #: Up to this many node ids are sent to the tasks; more are joined.
 BROADCAST_NODES = 1 << 20
 
@@ -415,6 +417,27 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.filter(linked("left", "right")).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
+def join_components(pairs: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
+    """`links` and those that verifying `pairs` adds. First one pair of any two components, WAVES times; then all that are
+    still apart: pairs within a component change nothing, and their sets are not sent."""
+    for wave in range(WAVES + 1):
+        groups = stored(components(links), "groups")
+        one = groups.select(F.col("node").alias("a"), F.col("component").alias("x"))
+        two = groups.select(F.col("node").alias("b"), F.col("component").alias("y"))
+        x, y = F.coalesce("x", "a"), F.coalesce("y", "b")
+        named = pairs.join(one, "a", "left").join(two, "b", "left")
+        pairs = stored(named.select("a", "b", F.least(x, y).alias("x"), F.greatest(x, y).alias("y")).filter("x != y"), "pairs")
+        if pairs.isEmpty():
+            break
+        chosen = pairs.select("a", "b")
+        if wave < WAVES:
+            picked = pairs.groupBy("x", "y").agg(F.min_by(F.struct("a", "b"), F.xxhash64("a", "b", F.lit(wave))).alias("p"))
+            chosen = stored(picked.select("p.a", "p.b"), "pairs")
+        links = links.union(stored(verified(chosen, sets), "links"))
+        pairs = pairs.select("a", "b").join(chosen, ["a", "b"], "left_anti")
+    return links
+
+
 def similar_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id), one row for each row."""
     small_batches(df.sparkSession)
@@ -438,8 +461,7 @@ def similar_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         mixed = known.groupBy("block").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y").select("block")
         open_blocks = known.join(mixed, "block", "left_semi").join(finer_points(sets), "node")
         later = stored(near_pairs(open_blocks, far_only=True), "pairs")
-        if not later.isEmpty():
-            links = links.union(stored(verified(later, sets), "links"))
+        links = join_components(later, links, sets)
     groups = stored(components(links), "groups")
 
     labelled = rows.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
