@@ -22,7 +22,7 @@ from ..operators.encoders import (
     value_counts,
 )
 from ..operators.scalers import FALLBACK, POPULATION, apply_scaler, fit_scaler, stats_table
-from ..operators.sessions import add_session_features
+from ..operators.sessions import SkewOptions, add_session_features
 from ..plans import ml_features, training, tuning
 from ..plans.preprocess import FittedFeatures, feature_set, load_fitted
 from ..plans.tracking import Run, RunLog, metric_dict, report_text
@@ -329,6 +329,27 @@ def session_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(add_session_features(df, rolling=False).select("flow_id", *names), *names)
 
 
+#: Low enough that the sessions of the test tables are cut.
+SLICED = SkewOptions(hot_rows=2, probe_fraction=1.0)
+
+
+@query
+def session_rolling_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As session_rolling, with sessions cut into slices and ordered by a timestamp."""
+    df = fx.add(flows(spark, sf_dir), fx.log_volume_features())
+    df = df.withColumn("timestamp", F.timestamp_seconds("timestamp"))
+    names = ["prev_bytes_mean_3", "prev_packet_mean_3"]
+    rolled = add_session_features(df, aggregates=False, options=SLICED)
+    return rounded(rolled.select("flow_id", *names, "prev_event_count_3"), *names)
+
+
+@query
+def session_aggregates_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = fx.add(flows(spark, sf_dir), fx.log_volume_features())
+    names = ["session_bytes_max", "session_bytes_min", "session_packet_mean"]
+    return rounded(add_session_features(df, rolling=False, options=SLICED).select("flow_id", *names), *names)
+
+
 # --- profiles and samples ----------------------------------------------------------------------
 
 
@@ -485,8 +506,9 @@ def _cores(spark: SparkSession) -> int:
 
 
 def _processed(spark: SparkSession, sf_dir: str, *splits: str, keep: tuple[str, ...] = ()) -> list[DataFrame]:
+    """Features with the concept rule's classes, which a model can learn; the stored ones follow the id."""
     fitted = _fitted(spark, sf_dir)
-    return [fitted.transform(flows_split(spark, sf_dir, s), keep=keep) for s in splits]
+    return [fitted.transform(drift.relabel(flows_split(spark, sf_dir, s)), keep=keep) for s in splits]
 
 
 @query
@@ -554,9 +576,9 @@ def score_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _scored(spark: SparkSession, sf_dir: str, framework: str) -> DataFrame:
     fitted = _fitted(spark, sf_dir)
-    train = fitted.transform(flows_split(spark, sf_dir, "train"))
+    train = fitted.transform(drift.relabel(flows_split(spark, sf_dir, "train")))
     model = training.fit_model(train, framework, seed=SEED, partitions=_cores(spark))
-    rows = fitted.transform(flows(spark, sf_dir), keep=("flow_id",))
+    rows = fitted.transform(drift.relabel(flows(spark, sf_dir)), keep=("flow_id",))
     scored = model.score(rows)
     shares = [r6(F.get("probabilities", F.lit(i))).alias(f"p_{i}") for i in range(model.classes)]
     return scored.select("flow_id", TARGET, "prediction", *shares)
@@ -662,7 +684,7 @@ FLOW_ROW = (
 
 @query
 def stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return streams.read_batches(spark, _decode(spark, sf_dir)["output"], FLOW_ROW).drop("batch_id")
+    return streams.read_batches(spark, _decode(spark, sf_dir)["output"], FLOW_ROW).drop("run", "batch_id")
 
 
 @query
@@ -709,7 +731,7 @@ def stream_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
     streams.run_available(streams.batch_stream(source, outputs, paths["checkpoint"]))
     kinds = {c: "int" if c.endswith("_idx") else "double" for c in MODEL_INPUTS}
     schema = ", ".join(["key string", *[f"{c} {k}" for c, k in kinds.items()]])
-    return rounded_doubles(streams.read_batches(spark, paths["output"], schema).drop("batch_id"))
+    return rounded_doubles(streams.read_batches(spark, paths["output"], schema).drop("run", "batch_id"))
 
 
 @query

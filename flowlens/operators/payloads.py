@@ -9,9 +9,6 @@ from pyspark.sql import types as T
 from ..functions.barrier import add_once
 from ..functions.hashing import in_share
 
-CORRUPT = "_corrupt"
-ENVELOPE = T.StructType([T.StructField("data", T.StringType()), T.StructField(CORRUPT, T.StringType())])
-
 # Error texts of a request body.
 NOT_AN_OBJECT = "JSON body must be an object"
 NO_DATA = "Missing 'data' field"
@@ -19,30 +16,38 @@ BAD_DATA = "'data' must be an object or a list of objects"
 
 
 def open_requests(requests: DataFrame, body: str = "body") -> DataFrame:
-    """Add `data` (raw JSON text of the rows) and `error`."""
-    text = F.trim(F.col(body))
-    envelope = F.from_json(text, ENVELOPE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    opened = requests.withColumn("_envelope", envelope)
-    data = F.col("_envelope.data")
-    is_object = F.coalesce(F.startswith(text, F.lit("{")), F.lit(False))
+    """Add `data` (JSON texts of the rows, in order; none for an empty list) and `error`: one of them is null."""
+    parsed = add_once(requests, {"_body": F.try_parse_json(F.col(body))})
+    found = F.try_variant_get(F.col("_body"), "$.data", "variant")
+    parsed = add_once(parsed, {"_data": found, "_whole": is_kind(F.col("_body"), "OBJECT"), "_kind": F.schema_of_variant(found)})
+    data = F.col("_data")
+    is_list = F.coalesce(F.startswith("_kind", F.lit("ARRAY")), F.lit(False))
+    one = F.array(data)
+    rows = F.when(is_list, F.try_variant_get(data, "$", "array<variant>")).otherwise(one)
+    parsed = add_once(parsed, {"_rows": rows})
     error = (
-        F.when(~is_object | F.col(f"_envelope.{CORRUPT}").isNotNull(), F.lit(NOT_AN_OBJECT))
-        .when(data.isNull(), F.lit(NO_DATA))
-        .when(~F.startswith(data, F.lit("{")) & ~F.startswith(data, F.lit("[")), F.lit(BAD_DATA))
+        F.when(~F.col("_whole"), F.lit(NOT_AN_OBJECT))
+        .when(data.isNull() | (F.col("_kind") == "VOID"), F.lit(NO_DATA))
+        .when(~F.forall("_rows", lambda r: is_kind(r, "OBJECT")), F.lit(BAD_DATA))
     )
-    return add_once(opened, {"data": data, "error": error}).drop("_envelope")
+    texts = F.when(error.isNull(), F.transform("_rows", lambda r: F.to_json(r)))
+    return add_once(parsed, {"data": texts, "error": error}).drop("_body", "_data", "_whole", "_kind", "_rows")
+
+
+def is_kind(value: Column, kind: str) -> Column:
+    return F.coalesce(F.startswith(F.schema_of_variant(value), F.lit(kind)), F.lit(False))
 
 
 def request_rows(opened: DataFrame, row: T.StructType, keys: list[str]) -> DataFrame:
     """(keys..., position, row columns...): one row per flow in `data`, given as object or list."""
-    data = F.col("data")
-    as_list = F.when(F.startswith(data, F.lit("[")), data).otherwise(F.concat(F.lit("["), data, F.lit("]")))
-    rows = F.from_json(as_list, T.ArrayType(row))
-    return (
-        opened.where("error IS NULL")
-        .select(*keys, F.posexplode(rows).alias("position", "_row"))
-        .select(*keys, "position", "_row.*")
-    )
+    texts = opened.where("error IS NULL").select(*keys, F.posexplode("data").alias("position", "_text"))
+    parsed = add_once(texts, {"_row": F.from_json("_text", row)})
+    return parsed.select(*keys, "position", "_row.*")
+
+
+def empty_requests(opened: DataFrame, keys: list[str]) -> DataFrame:
+    """Requests with an empty list: neither rows nor an error; their answer is empty."""
+    return opened.where("error IS NULL AND size(data) = 0").select(*keys)
 
 
 def request_errors(opened: DataFrame, keys: list[str]) -> DataFrame:

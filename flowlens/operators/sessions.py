@@ -37,7 +37,7 @@ class SkewOptions:
     seed: int = 42
 
 
-# Rows without a time come first; no real time lies this far back.
+# Rows without an order value are placed here; real values further back share the one place above it.
 BEFORE_TIME = -1e12
 PREFIX_BYTES = 6
 
@@ -53,12 +53,30 @@ def tie_share(tie: str, kind: T.DataType, low: int | None, high: int | None) ->
         share = F.conv(F.rpad(head, digits, "0"), 16, 10).cast("double") / F.lit(16.0**digits)
     else:
         return F.lit(0.0)
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(share, F.lit(0.0))))
+    return F.greatest(F.lit(0.0), F.least(F.lit(0.999), F.coalesce(share, F.lit(0.0))))
 
 
-def position(order: str, share: Column) -> Column:
-    """A number that never decreases along (order, tie), used only to place cuts."""
-    return F.coalesce(F.col(order).cast("double"), F.lit(BEFORE_TIME)) + share
+def position(order: str, kind: T.DataType, share: Column) -> Column:
+    """A number that never decreases along (order, tie), used only to place cuts.
+
+    The share is added to whole numbers only (timestamps count microseconds): between fractions it could pass the next one.
+    """
+    value = F.col(order)
+    if isinstance(kind, T.TimestampType):
+        value = F.unix_micros(value)
+    elif isinstance(kind, T.TimestampNTZType):
+        seconds = F.unix_date(value.cast("date")).cast("long") * 86400 + F.hour(value) * 3600 + F.minute(value) * 60
+        value = seconds * 1_000_000 + (F.extract(F.lit("SECOND"), value) * 1_000_000).cast("long")
+    elif isinstance(kind, T.DateType):
+        value = F.unix_date(value)
+    elif not isinstance(kind, T.NumericType):
+        raise ValueError(f"sessions are ordered by a number, date or timestamp, not by {kind.simpleString()}")
+    place, first = value.cast("double"), F.lit(BEFORE_TIME)
+    if isinstance(kind, (T.FractionalType, T.DecimalType)):
+        known = place
+    else:
+        known = place + share
+    return F.when(place.isNull(), first + share).when(place <= first + 1.0, first + 1.0).otherwise(known)
 
 
 @dataclass
@@ -103,7 +121,7 @@ def find_hot_sessions(
     lows = [r["low"] for r in largest if r["low"] is not None]
     highs = [r["high"] for r in largest if r["high"] is not None]
     share = tie_share(tie, kind, min(lows, default=None), max(highs, default=None)) if tie else F.lit(0.0)
-    where = position(order, share)
+    where = position(order, df.schema[order].dataType, share)
     grid = max(r[-1] for r in rows)
     shares = [i / grid for i in range(1, grid)]
     quantiles = (
@@ -198,9 +216,14 @@ def add_session_features(
     """Add the previous-three means and count, and the whole-session max, min and mean.
 
     Needs `bytes_log`, `packet_log` and `packet_count`. Rolling means of the first event are 0. Rows of a
-    session are ordered by `order`, a number or timestamp, then `tie`. Runs one small job, the key probe.
+    session are ordered by `order`, a number, date or timestamp, then `tie`; without such a column by all other columns, so
+    that the physical order of the rows does not matter. Runs one small job, the key probe.
     """
-    ordering = [order] + ([tie] if tie and tie in df.columns else [])
+    if tie and tie in df.columns:
+        ordering = [order, tie]
+    else:
+        sortable = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+        ordering = [order, *(c for c in sortable if c not in keys and c != order)]
     hot = find_hot_sessions(df, keys, order, ordering[1] if len(ordering) > 1 else None, options)
     columns = df.columns
     if hot is None:

@@ -1,7 +1,8 @@
 """Event stream in, prediction stream and quarantine out.
 
-Stateless per micro-batch. Delivery: each batch overwrites its own `batch_id` folder, so a replayed batch
-leaves no duplicates (exactly once in the tables); a Kafka sink is at-least-once.
+Stateless per micro-batch. Delivery: each batch overwrites its own folder, so a replayed batch leaves no duplicates
+(exactly once in the tables); a Kafka sink is at-least-once. Batch numbers start anew with each checkpoint, so the
+folder also names the checkpoint's query id.
 """
 
 from __future__ import annotations
@@ -53,12 +54,13 @@ def deliver(
     batch_id: int,
     outputs: dict[str, Step],
     topics: Sequence[tuple[KafkaTarget, Step]] = (),
+    run: str = "batch",
 ) -> None:
     """Decode once, then write what each step makes of the batch below its own folder, or to its topic."""
     parsed = parse_messages(batch).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         for path, step in outputs.items():
-            step(parsed).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            step(parsed).write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch_id}")
         for target, step in topics:
             publish(step(parsed), target)
     finally:
@@ -72,9 +74,19 @@ def batch_stream(
     topics: Sequence[tuple[KafkaTarget, Step]] = (),
 ) -> DataStreamWriter:
     """A configured writer; start it with the trigger of your choice."""
-    return messages.writeStream.foreachBatch(
-        lambda batch, batch_id: deliver(batch, batch_id, outputs, topics)
-    ).option("checkpointLocation", checkpoint)
+    runs: list[str] = []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if not runs:
+            runs.append(query_id(batch.sparkSession, checkpoint))
+        deliver(batch, batch_id, outputs, topics, runs[0])
+
+    return messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+
+
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark writes into a checkpoint when it is made; restarts keep it."""
+    return spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
 
 
 def decode_stream(messages: DataFrame, output: str, quarantine: str, checkpoint: str) -> DataStreamWriter:
@@ -113,4 +125,4 @@ def run_continuously(writer: DataStreamWriter, interval: str = "1 second") -> St
 
 def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """What a stream has delivered so far."""
-    return spark.read.schema(f"{schema}, batch_id long").parquet(path)
+    return spark.read.schema(f"{schema}, run string, batch_id long").parquet(path)

@@ -71,6 +71,17 @@ def test_stream_equals_batch_and_restarts_without_gaps(spark, small_flows, tmp_p
     assert answers.exceptAll(expected).count() == 0 and expected.exceptAll(answers).count() == 0
 
 
+def test_new_checkpoint_keeps_earlier_output(spark, small_flows, tmp_path):
+    p = paths(tmp_path)
+    messages = to_messages(small_flows).repartition(1)
+    for part, half in (("one", "key < '5'"), ("two", "key >= '5'")):
+        q = {**p, "input": str(tmp_path / part), "checkpoint": str(tmp_path / f"checkpoint-{part}")}
+        messages.where(half).write.parquet(q["input"])
+        run(spark, q)
+    delivered = streams.read_batches(spark, p["output"], "key string, value string")
+    assert delivered.count() == small_flows.count() == delivered.select("key").distinct().count()
+
+
 def test_replayed_batch_leaves_no_duplicates(spark, small_flows, tmp_path):
     p = paths(tmp_path)
     batch = to_messages(small_flows)
