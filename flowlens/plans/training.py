@@ -45,11 +45,10 @@ GBT_PARAMS = {
     "subsample": 1.0,
 }
 
-# Default parameters of the neural model.
+# Default parameters of the neural model. The solver picks its own steps, so there is no learning rate to set.
 MLP_PARAMS = {
     "max_epochs": 10,
     "batch_size": 256,
-    "lr": 1e-3,
 }
 MLP_HIDDEN = (64, 64)
 # L-BFGS steps that stand in for one epoch of minibatch updates.
@@ -82,12 +81,13 @@ def estimator(framework: str, params: dict, inputs: int, classes: int, seed: int
         )
         return OneVsRest(classifier=tree, featuresCol="features", labelCol="label", parallelism=classes)
     if framework == "mlp":
-        hidden = [int(h) for h in params.get("hidden", MLP_HIDDEN)]
+        width = params.get("width")
+        hidden = [int(width)] * len(MLP_HIDDEN) if width else [int(h) for h in params.get("hidden", MLP_HIDDEN)]
         return MultilayerPerceptronClassifier(
             layers=[inputs, *hidden, classes],
             maxIter=int(params["max_epochs"]) * STEPS_PER_EPOCH,
             blockSize=int(params["batch_size"]),
-            stepSize=float(params["lr"]),
+            tol=float(params.get("tol", 1e-6)),
             seed=seed,
         )
     if framework == "forest":

@@ -46,7 +46,8 @@ SEARCH_SPACES: dict[str, dict[str, Draw]] = {
     },
     "mlp": {
         "batch_size": choice(64, 128, 256),
-        "lr": log_uniform(1e-5, 1e-1),
+        "width": choice(8, 16, 32, 64),
+        "tol": log_uniform(1e-7, 1e-3),
     },
 }
 TRIALS = {"gbt": 3, "mlp": 5}

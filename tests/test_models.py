@@ -167,3 +167,14 @@ def test_outside_models_score_by_batch(spark, small_flows):
     one = score_batches(small_flows, inputs, lambda f: f.packet_count / 2000)
     assert one.where("prediction <> CASE WHEN packet_count > 1000 THEN 1 ELSE 0 END").count() == 0
     assert len(one.first()["probabilities"]) == 1
+
+
+def test_draws_of_the_neural_search_differ(spark, small_flows):
+    """Every knob that is searched changes the model."""
+    train = drift.relabel(small_flows)
+    ready = feature_set("deployed").fit(train).transform(train)
+    losses = {
+        tuning.validation_loss(training.fit_model(ready, "mlp", {"max_epochs": 2, **knobs}), ready, "attack")
+        for knobs in ({"width": 8}, {"width": 32}, {"width": 8, "tol": 0.5})
+    }
+    assert len(losses) == 3
