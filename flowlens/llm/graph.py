@@ -14,6 +14,12 @@ def _minima(edges: DataFrame) -> DataFrame:
     return edges.join(least, F.col("u") == F.col("_u")).drop("_u")
 
 
+def fingerprint(edges: DataFrame) -> tuple:
+    """Number of distinct edges and 128 bits for all of them: one pass without an exchange of rows."""
+    hashes = [F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", F.lit(1), "u"))]
+    return tuple(edges.agg(F.count("*"), *hashes).first())
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node that edges (u, v) connect a node with; nodes without edges are left out.
 
@@ -21,13 +27,24 @@ def components(edges: DataFrame) -> DataFrame:
     edges are written to the shared folder. Rounds grow with the logarithm of the nodes.
     """
     links = stored(edges.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    before = fingerprint(links)
     while True:
         both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _minima(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
         held = _minima(large)
         small = held.select(F.col("v").alias("u"), F.col("m").alias("v")).union(held.select("u", F.col("m").alias("v")))
-        changed = stored(small.filter("u != v").distinct(), "edges")
-        if changed.exceptAll(links).isEmpty() and links.exceptAll(changed).isEmpty():
-            tops = changed.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
-            return changed.select(F.col("u").alias("node"), F.col("v").alias("component")).union(tops)
-        links = changed
+        links = stored(small.filter("u != v").distinct(), "edges")
+        after = fingerprint(links)
+        if after == before:
+            tops = links.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
+            return links.select(F.col("u").alias("node"), F.col("v").alias("component")).union(tops)
+        before = after
+
+
+def merged(groups: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, component) of `groups` after edges (u, v) between their components, or nodes in none, are added. Only
+    components are walked again; the join has the nodes on its left side, so that a large component can be split."""
+    newer = stored(components(edges), "groups")
+    renamed = newer.select(F.col("node").alias("component"), F.col("component").alias("top"))
+    moved = groups.join(renamed, "component", "left").select("node", F.coalesce("top", "component").alias("component"))
+    return moved.union(newer.join(groups.select("node"), "node", "left_anti"))

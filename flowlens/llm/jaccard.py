@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.llm.common import slices, small_batches, stored, text_bytes, text_column
-from flowlens.llm.graph import components
+from flowlens.llm.graph import components, merged
 from flowlens.llm.words import distinct_sets, find_words, mix
 
 SHINGLE = 5
@@ -397,8 +397,8 @@ def near_pairs(members: DataFrame, far_only: bool) -> DataFrame:
     return ordered.mapInArrow(work, "a long, b long").distinct()
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose whole sets reach the similarity."""
+def verified(pairs: DataFrame, sets: DataFrame, u: str = "a", v: str = "b") -> DataFrame:
+    """The columns named, as (u, v), of the pairs whose whole sets reach the similarity."""
 
     @F.pandas_udf("boolean")
     def linked(left: pd.Series, right: pd.Series) -> pd.Series:
@@ -414,28 +414,29 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     one = sets.select(F.col("node").alias("a"), F.col("packed").alias("left"))
     two = sets.select(F.col("node").alias("b"), F.col("packed").alias("right"))
     joined = pairs.join(one, "a").join(two, "b")
-    return joined.filter(linked("left", "right")).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    return joined.filter(linked("left", "right")).select(F.col(u).alias("u"), F.col(v).alias("v"))
 
 
-def join_components(pairs: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
-    """`links` and those that verifying `pairs` adds. First one pair of any two components, WAVES times; then all that are
-    still apart: pairs within a component change nothing, and their sets are not sent."""
+def join_components(pairs: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """`groups` after the links that verifying `pairs` adds. First one pair of any two components, WAVES times; then all
+    that are still apart: pairs within a component change nothing, and their sets are not sent."""
     for wave in range(WAVES + 1):
-        groups = stored(components(links), "groups")
         one = groups.select(F.col("node").alias("a"), F.col("component").alias("x"))
         two = groups.select(F.col("node").alias("b"), F.col("component").alias("y"))
         x, y = F.coalesce("x", "a"), F.coalesce("y", "b")
-        named = pairs.join(one, "a", "left").join(two, "b", "left")
+        named = pairs.select("a", "b").join(one, "a", "left").join(two, "b", "left")
         pairs = stored(named.select("a", "b", F.least(x, y).alias("x"), F.greatest(x, y).alias("y")).filter("x != y"), "pairs")
         if pairs.isEmpty():
             break
-        chosen = pairs.select("a", "b")
+        chosen = pairs
         if wave < WAVES:
             picked = pairs.groupBy("x", "y").agg(F.min_by(F.struct("a", "b"), F.xxhash64("a", "b", F.lit(wave))).alias("p"))
-            chosen = stored(picked.select("p.a", "p.b"), "pairs")
-        links = links.union(stored(verified(chosen, sets), "links"))
-        pairs = pairs.select("a", "b").join(chosen, ["a", "b"], "left_anti")
-    return links
+            chosen = stored(picked.select("p.a", "p.b", "x", "y"), "pairs")
+        links = stored(verified(chosen, sets, "x", "y"), "links")
+        if not links.isEmpty():
+            groups = stored(merged(groups, links), "groups")
+        pairs = pairs.join(chosen, ["a", "b"], "left_anti")
+    return groups
 
 
 def similar_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -453,16 +454,14 @@ def similar_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     large = shared.filter(F.size("nodes") > SMALL_BLOCK).select("block", F.explode("nodes").alias("node"))
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).union(large.select("node"))
     sets = stored(whole_sets(texts, wanted.distinct(), points=False), "sets")
-    links = stored(verified(pairs, sets), "links")
+    groups = stored(components(verified(pairs, sets)), "groups")
 
     if not large.isEmpty():
-        groups = stored(components(links), "groups")
         known = large.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
         mixed = known.groupBy("block").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y").select("block")
         open_blocks = known.join(mixed, "block", "left_semi").join(finer_points(sets), "node")
         later = stored(near_pairs(open_blocks, far_only=True), "pairs")
-        links = join_components(later, links, sets)
-    groups = stored(components(links), "groups")
+        groups = join_components(later, groups, sets)
 
     labelled = rows.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = labelled.filter("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("smallest"))

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import random
 import re
 import zlib
 
@@ -10,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from flowlens.llm import fingerprints, jaccard, licenses, lines, mixing, personal, pieces, pitman_yor, quality, repeats
+from flowlens.llm import fingerprints, graph, jaccard, licenses, lines, mixing, personal, pieces, pitman_yor, quality, repeats
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 PROSE = " ".join(f"word{i} of line" for i in range(60))
@@ -353,3 +354,20 @@ def test_mixing(spark):
     again = mixing.mix(frame.repartition(2)).toPandas()
     assert dict(zip(got.doc_id, got["copies"], strict=True)) == dict(zip(again.doc_id, again["copies"], strict=True))
     assert mixing.emit(mixing.mix(frame)).count() == got["copies"].sum()
+
+
+def test_components_and_later_edges(spark):
+    """Groups of all edges at once, and of some edges with the rest added between components, are those of a plain walk."""
+    rng = random.Random(5)
+    edges = sorted({tuple(rng.sample(range(120), 2)) for _ in range(90)})
+    leader = {n: n for e in edges for n in e}
+    for _ in leader:
+        for u, v in edges:
+            leader[u] = leader[v] = min(leader[u], leader[v])
+    whole = spark.createDataFrame(edges, "u long, v long")
+    assert dict(map(tuple, graph.components(whole).collect())) == leader
+    first = graph.components(spark.createDataFrame(edges[:50], "u long, v long"))
+    named = dict(map(tuple, first.collect()))
+    later = [(named.get(u, u), named.get(v, v)) for u, v in edges[50:]]
+    both = graph.merged(first, spark.createDataFrame(later, "u long, v long")).collect()
+    assert len(both) == len(leader) and {r[0]: r[1] for r in both} == leader
