@@ -7,12 +7,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
+from ..schemas import NUM_CLASSES, TARGET
 from ..session import DEFAULT_READ_MB, build_session
 from ..sources.parquet import DEFAULT_RECORDS_PER_FILE, read_processed, read_split, write_split
 from .preprocess import FittedFeatures, feature_set, load_fitted
 from .tracking import Run, RunLog, metric_dict, report_text
 from .training import TrainingResult, train
-from .tuning import best, final_params, random_search
+from .tuning import SEARCHES, Trial, best, final_params, last_rung
 
 
 def load_params(path: str) -> dict:
@@ -80,12 +81,38 @@ class TrainingJob:
     trials: int | None = None
     partitions: int | None = None
     seed: int = 42
+    target: str = TARGET
+    classes: int = NUM_CLASSES
+    search: str = "random"
+    max_train_rows: int = 0
+    max_val_rows: int = 0
+
+    @classmethod
+    def from_params(cls, spark: SparkSession, params: dict, processed: str, output: str) -> "TrainingJob":
+        """From the `model` section of a parameter file, or its contents."""
+        params = params.get("model", params)
+        return cls(
+            spark,
+            processed,
+            output,
+            params.get("framework", "gbt"),
+            params.get("tune", False),
+            params.get("sample_fraction_for_tuning"),
+            params.get("trials"),
+            params.get("partitions"),
+            params.get("seed", 42),
+            params.get("target", TARGET),
+            params.get("num_classes", NUM_CLASSES),
+            params.get("search", "random"),
+            params.get("max_train_rows", 0),
+            params.get("max_val_rows", 0),
+        )
 
     def run(self) -> TrainingResult:
         parts = {s: read_processed(self.spark, self.processed, s) for s in ("train", "val", "test")}
-        params = None
+        params, runs = None, []
         if self.tune:
-            trials = random_search(
+            trials = SEARCHES[self.search](
                 parts["train"],
                 parts["val"],
                 self.framework,
@@ -93,23 +120,39 @@ class TrainingJob:
                 self.sample_fraction,
                 seed=self.seed,
                 partitions=self.partitions,
+                max_train_rows=self.max_train_rows,
+                max_val_rows=self.max_val_rows,
+                target=self.target,
+                classes=self.classes,
             )
-            params = final_params(self.framework, best(trials))
+            params = final_params(self.framework, best(last_rung(trials)))
+            runs = [self.trial_run(t) for t in trials]
         result = train(
             parts["train"],
             parts["val"],
             parts["test"],
             self.framework,
             params,
-            seed=self.seed,
-            partitions=self.partitions,
+            self.target,
+            self.classes,
+            self.seed,
+            self.partitions,
         )
         result.model.save(self.spark, f"{self.output}/model_{self.framework}")
         metrics = {**metric_dict(result.metrics.collect()), **result.seconds}
-        run = Run(f"{self.framework}_final", self.framework, result.model.params, metrics, self.artifacts(result))
-        RunLog(self.spark, f"{self.output}/runs").log(run)
+        final = {**result.model.params, **self.about()}
+        runs.append(Run(f"{self.framework}_final", self.framework, final, metrics, self.artifacts(result)))
+        RunLog(self.spark, f"{self.output}/runs").log(*runs)
         return result
 
+    def about(self) -> dict:
+        return {"target": self.target, "num_classes": self.classes, "seed": self.seed}
+
+    def trial_run(self, trial: Trial) -> Run:
+        params = {**trial.params, **self.about(), "rounds": trial.rounds}
+        name = f"{self.framework}_trial_{trial.number}_rounds_{trial.rounds}"
+        return Run(name, self.framework, params, {"trial_val_log_loss": trial.loss})
+
     def artifacts(self, result: TrainingResult) -> dict[str, str]:
         """Per split: the classification report as text and the confusion matrix as JSON."""
         report = result.evaluation.report.collect()

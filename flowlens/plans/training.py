@@ -56,6 +56,9 @@ STEPS_PER_EPOCH = 10
 
 FOREST_PARAMS = {"num_trees": 20, "max_depth": 6}
 
+# Class ensembles fitted side by side: each keeps its own copy of the tree points. A parameter `parallelism` overrides it.
+CLASSES_AT_ONCE = 2
+
 
 @contextmanager
 def materialised(*frames: DataFrame) -> Iterator[tuple[DataFrame, ...]]:
@@ -79,7 +82,8 @@ def estimator(framework: str, params: dict, inputs: int, classes: int, seed: int
             subsamplingRate=float(params["subsample"]),
             seed=seed,
         )
-        return OneVsRest(classifier=tree, featuresCol="features", labelCol="label", parallelism=classes)
+        at_once = int(params.get("parallelism", CLASSES_AT_ONCE))
+        return OneVsRest(classifier=tree, featuresCol="features", labelCol="label", parallelism=at_once)
     if framework == "mlp":
         width = params.get("width")
         hidden = [int(width)] * len(MLP_HIDDEN) if width else [int(h) for h in params.get("hidden", MLP_HIDDEN)]
@@ -213,11 +217,12 @@ class Evaluation:
 def evaluate(scored: DataFrame, target: str = TARGET, classes: int = NUM_CLASSES) -> Evaluation:
     """One pass over all scored rows: counts and summed loss per (split, label, prediction).
 
-    That table has at most splits x classes x classes rows; it is kept as a local frame, so no metric
-    scores the rows again.
+    Rows whose label is no class are left out first. So the table has at most splits x (classes + 1) x classes
+    rows; it is kept as a local frame, and no metric scores the rows again.
     """
     loss = F.sum(row_loss(target, "probabilities")).alias("loss")
-    counts = pair_counts(scored, target, "prediction", ["split"], [loss])
+    known = F.col(target).isNull() | F.col(target).cast("long").between(0, classes - 1)
+    counts = pair_counts(scored.where(known), target, "prediction", ["split"], [loss])
     counts = scored.sparkSession.createDataFrame(counts.collect(), counts.schema)
     confusion = dense_matrix(counts, classes, ["split"])
     per_class = class_metrics(confusion, ["split"])

@@ -126,11 +126,13 @@ def random_search(
     fraction: float | None = None,
     seed: int = 42,
     partitions: int | None = None,
+    max_train_rows: int = 0,
+    max_val_rows: int = 0,
     **options,
 ) -> list[Trial]:
     """Seeded random draws, all trained for the full number of rounds."""
     candidates = dict(enumerate(draw_params(framework, trials or TRIALS[framework], seed)))
-    sampled, checked = tuning_data(train, val, fraction, seed, partitions=partitions)
+    sampled, checked = tuning_data(train, val, fraction, seed, max_train_rows, max_val_rows, partitions)
     with materialised(sampled, checked) as (a, b):
         return run_trials(a, b, framework, candidates, MAX_ROUNDS, seed=seed, **options)
 
@@ -143,11 +145,13 @@ def halving_search(
     fraction: float | None = None,
     seed: int = 42,
     partitions: int | None = None,
+    max_train_rows: int = 0,
+    max_val_rows: int = 0,
     **options,
 ) -> list[Trial]:
     """Rungs: everyone trains for the grace period, the better half goes on, up to the full rounds."""
     candidates = dict(enumerate(draw_params(framework, trials or TRIALS[framework], seed)))
-    sampled, checked = tuning_data(train, val, fraction, seed, partitions=partitions)
+    sampled, checked = tuning_data(train, val, fraction, seed, max_train_rows, max_val_rows, partitions)
     history: list[Trial] = []
     rounds = GRACE_ROUNDS
     with materialised(sampled, checked) as (a, b):
@@ -163,6 +167,15 @@ def halving_search(
     return history
 
 
+SEARCHES = {"random": random_search, "halving": halving_search}
+
+
+def last_rung(trials: list[Trial]) -> list[Trial]:
+    """The trials that were trained longest: only their losses compare."""
+    rounds = max(t.rounds for t in trials)
+    return [t for t in trials if t.rounds == rounds]
+
+
 def final_params(framework: str, winner: Trial) -> dict:
     """The best draw with the default number of rounds, for the full retrain."""
     return {**DEFAULTS[framework], **winner.params, ROUNDS[framework]: DEFAULTS[framework][ROUNDS[framework]]}

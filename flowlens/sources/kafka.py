@@ -21,9 +21,13 @@ class KafkaTarget:
     protocol: str = "SASL_PLAINTEXT"
     mechanism: str = "SCRAM-SHA-512"
 
+    #: PEM file of the authority that signed the brokers' certificates, on every node.
+    ca_file: str | None = None
+
     def security(self) -> dict[str, str]:
+        trust = {"kafka.ssl.truststore.type": "PEM", "kafka.ssl.truststore.location": self.ca_file} if self.ca_file else {}
         if not (self.username and self.password):
-            return {"kafka.security.protocol": "PLAINTEXT"}
+            return {"kafka.security.protocol": "SSL" if trust else "PLAINTEXT", **trust}
         login = (
             "org.apache.kafka.common.security.scram.ScramLoginModule"
             if self.mechanism.startswith("SCRAM")
@@ -35,12 +39,20 @@ class KafkaTarget:
             "kafka.sasl.jaas.config": (
                 f'{login} required username="{self.username}" password="{self.password}";'
             ),
+            **trust,
         }
 
 
-def source_options(target: KafkaTarget, min_partitions: int | None = None) -> dict[str, str]:
-    """Earliest offset, committed messages only. Progress lives in the stream checkpoint."""
+#: Messages of a micro-batch: the first one is not the whole topic.
+MAX_OFFSETS = 5_000_000
+
+
+def source_options(
+    target: KafkaTarget, min_partitions: int | None = None, max_offsets: int = MAX_OFFSETS
+) -> dict[str, str]:
+    """Earliest offset, committed messages only, bounded batches. Progress lives in the stream checkpoint."""
     options = {
+        "maxOffsetsPerTrigger": str(max_offsets),
         "kafka.bootstrap.servers": target.servers,
         "subscribe": target.topic,
         "startingOffsets": "earliest",

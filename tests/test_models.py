@@ -159,6 +159,27 @@ def test_training_job_with_search(spark, parts, tmp_path):
     assert params == {**training.MLP_PARAMS, **drawn}
 
 
+def test_training_job_from_parameters(spark, parts, tmp_path):
+    """Search, target and caps come from the file; every trial is logged, and the best one can be found."""
+    for split, df in parts.items():
+        df.withColumnRenamed("attack", "kind").write.parquet(str(tmp_path / "processed" / split))
+    model = {"target": "kind", "num_classes": 6, "framework": "mlp", "seed": 7, "tune": True, "trials": 2}
+    params = {"model": {**model, "search": "halving", "max_train_rows": 200, "max_val_rows": 50}}
+    job = TrainingJob.from_params(spark, params, str(tmp_path / "processed"), str(tmp_path / "out"))
+    assert (job.target, job.seed, job.search, job.max_train_rows) == ("kind", 7, "halving", 200)
+    job.run()
+    log = RunLog(spark, str(tmp_path / "out" / "runs"))
+    names = {r["name"] for r in log.table("runs").collect()}
+    assert "mlp_final" in names and len(names) == 4 and log.best_run("trial_val_log_loss").first()["name"] in names
+    assert log.table("params").where("key = 'target' AND value = 'kind'").count() == 4
+
+
+def test_labels_that_are_no_class_are_left_out(parts, boosted):
+    dirty = parts["val"].unionByName(parts["val"].withColumn("attack", F.lit(99).cast(dict(parts["val"].dtypes)["attack"])))
+    clean, mixed = (training.evaluate(boosted.score(df.withColumn("split", F.lit("val")))) for df in (parts["val"], dirty))
+    assert metric_dict(mixed.metrics.collect()) == pytest.approx(metric_dict(clean.metrics.collect()))
+
+
 def test_outside_models_score_by_batch(spark, small_flows):
     inputs = ["packet_count", "bytes_transferred"]
     many = score_batches(small_flows, inputs, lambda f: np.stack([f.packet_count, f.bytes_transferred * 0 + 1000], axis=1))

@@ -155,7 +155,9 @@ def test_kafka_options():
     plain = kafka.KafkaTarget("broker:9092", "flows")
     source = kafka.source_options(plain, min_partitions=6)
     assert source["startingOffsets"] == "earliest" and source["minPartitions"] == "6"
-    assert source["kafka.isolation.level"] == "read_committed"
+    assert source["kafka.isolation.level"] == "read_committed" and source["maxOffsetsPerTrigger"] == "5000000"
+    trusted = kafka.KafkaTarget("b", "t", ca_file="/etc/ca.pem").security()
+    assert trusted["kafka.security.protocol"] == "SSL" and trusted["kafka.ssl.truststore.location"] == "/etc/ca.pem"
     assert source["kafka.security.protocol"] == "PLAINTEXT" and source["subscribe"] == "flows"
     sink = kafka.sink_options(kafka.KafkaTarget("broker:9092", "predictions", "user", "secret"))
     assert sink["kafka.acks"] == "all" and sink["kafka.enable.idempotence"] == "true"
