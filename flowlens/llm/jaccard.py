@@ -8,8 +8,10 @@ what survives is verified on the whole sets.
 
 Blocks lose no link: linked sets share one of their first n - ceil(0.8 n) + 1 shingles in any order that is the same
 for all texts. The order puts frequent shingles last, then goes by hash, so that blocks stay small where a passage is
-widely shared. Blocks that hold the same nodes are joined once. A block of a frequent shingle is dealt into
-chunks, and every pair of chunks meets. In large blocks, near pairs are verified first; then only nodes that are still apart.
+widely shared. Blocks that hold the same nodes are joined once. A block of more than CHUNK nodes is dealt into
+chunks, each node to one. In large blocks and chunks, near pairs are verified first; then only nodes that are still apart, for
+which a dealt block's nodes are put in cells by component and size, and all cells meet but those of one component. Which
+shingles need dealing is told by whole sets of a sample of the texts: that decides where a block is cut, never what links.
 
 Null and blank texts have empty sets and link with nothing. Null ids count as no id: a group's id is its smallest
 other one. Rows with equal text are one node, whatever their id. An empty table gives an empty result; other columns are
@@ -40,8 +42,10 @@ FINER = 1
 LEAF = 16
 #: Counts are kept in a byte; a node with a larger one is a point that bounds nothing.
 MOST = 255
-#: Nodes of a chunk of a frequent shingle's block.
-CHUNK = 4096
+#: Nodes of a chunk of a dealt block, about. One in CHUNK / CHUNK_HITS texts is in the sample that finds such blocks.
+CHUNK, CHUNK_HITS = 4096, 256
+#: Nodes of each chunk that meet nodes of the first chunk at once.
+LINKING = 8
 #: A shingle is frequent from this count on, or from a 2^19th of all counted shingles.
 FREQUENT = 32
 MOST_FREQUENT = 1 << 19
@@ -89,25 +93,33 @@ def size_step(nodes: np.ndarray) -> np.ndarray:
 class CountTree:
     """R-tree over count vectors, packed by halving along the widest coordinate; a box keeps its upper corner and sizes."""
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray):
+    def __init__(self, points: np.ndarray, sizes: np.ndarray, apart: np.ndarray | None = None):
         self.points, self.sizes = points, sizes
+        self.apart = np.arange(len(points)) if apart is None else apart
         self.root = self._pack(np.arange(len(points)))
 
     def _pack(self, rows: np.ndarray):
         points = self.points[rows]
         top, least, most = points.max(axis=0), int(self.sizes[rows].min()), int(self.sizes[rows].max())
         if len(rows) <= LEAF:
-            return top, least, most, rows, None
+            return top, least, most, rows, None, self._only(rows)
         widest = int((top - points.min(axis=0)).argmax())
         half = np.argsort(points[:, widest], kind="stable")
         cut = len(rows) // 2
-        return top, least, most, rows, (self._pack(rows[half[:cut]]), self._pack(rows[half[cut:]]))
+        return top, least, most, rows, (self._pack(rows[half[:cut]]), self._pack(rows[half[cut:]])), self._only(rows)
 
-    def pairs(self, apart: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def _only(self, rows: np.ndarray) -> int | None:
+        """The number in `apart` that all rows have."""
+        numbers = self.apart[rows]
+        return int(numbers[0]) if (numbers == numbers[0]).all() else None
+
+    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pairs of rows whose bound reaches what a link needs; with `apart`, only rows of different numbers."""
         stack = [(self.root, self.root)]
         while stack:
             a, b = stack.pop()
+            if a[5] is not None and a[5] == b[5]:
+                continue
             if 5 * a[2] < 4 * b[1] or 5 * b[2] < 4 * a[1]:
                 continue
             if a is not b and int(np.minimum(a[0], b[0]).sum()) < needed(a[1], b[1]):
@@ -116,8 +128,7 @@ class CountTree:
                 i, j = np.meshgrid(a[3], b[3], indexing="ij")
                 i, j = i.ravel(), j.ravel()
                 ok = (i < j) if a is b else np.ones(len(i), bool)
-                if apart is not None:
-                    ok &= apart[i] != apart[j]
+                ok &= self.apart[i] != self.apart[j]
                 i, j = i[ok], j[ok]
                 bound = np.minimum(self.points[i], self.points[j]).sum(axis=1)
                 ok = bound >= needed(self.sizes[i], self.sizes[j])
@@ -158,87 +169,93 @@ def _new_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, np.
 
 
 def frequent_shingles(texts: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes, ascending, and counts of shingles that many nodes hold early in hash order; at most MOST_FREQUENT."""
+    """Hashes, ascending, and counts of shingles that many nodes hold: early in hash order, at most MOST_FREQUENT, or
+    anywhere, from half a chunk on, told from a sample of distinct texts."""
     least = max(FREQUENT, -(-total // MOST_FREQUENT))
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for found in _new_sets(batches):
-            if found:
-                keys = np.concatenate([s[: counted_length(len(s))] for _, s in found])
-                yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64))], names=["key"])
+    one_in = max(1, CHUNK // CHUNK_HITS)
+
+    def counted(rows: DataFrame, whole: bool) -> DataFrame:
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for found in _new_sets(batches):
+                if found:
+                    keys = np.concatenate([s if whole else s[: counted_length(len(s))] for _, s in found])
+                    yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64))], names=["key"])
 
-    counts = texts.mapInArrow(work, "key long").groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
-    rows = counts.toPandas()
+        return rows.mapInArrow(work, "key long").groupBy("key").agg(F.count("*").alias("n"))
+
+    early = counted(texts, False).filter(F.col("n") >= least)
+    sample = texts.filter(F.pmod(F.xxhash64("text"), F.lit(one_in)) == 0).distinct()
+    anywhere = counted(sample, True).withColumn("n", F.col("n") * one_in).filter(F.col("n") >= min(max(least, 16 * one_in), CHUNK // 2))
+    rows = pd.concat([early.toPandas(), anywhere.toPandas()]).groupby("key", as_index=False)["n"].max()
     keys = rows["key"].to_numpy(np.int64).astype(np.uint64)
     order = np.argsort(keys)
     return keys[order], rows["n"].to_numpy(np.int64)[order]
 
 
 def blocks(texts: DataFrame, frequent: np.ndarray, counts: np.ndarray) -> DataFrame:
-    """(block, nodes): distinct groups of two or more nodes that share a shingle of their prefixes."""
+    """(block, nodes, dealt): distinct groups of two or more nodes that share a shingle of their prefixes; for a chunk,
+    `dealt` is the shingle, which all chunks of its block have, else 0."""
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for found in _new_sets(batches):
-            keys, nodes = [], []
+            keys, nodes, dealt = [], [], []
             for node, s in found:
                 p = prefix_length(len(s))
                 if len(frequent):
                     at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
                     often = frequent[at] == s
                     rare = s[~often][:p]
-                    own = [rare]
-                    for key, many in zip(s[often][: p - len(rare)], counts[at[often]][: p - len(rare)], strict=True):
-                        own.append(dealt(key, node, int(many)))
-                    own = np.concatenate(own)
+                    shared = s[often][: p - len(rare)]
+                    chunks = -(-counts[at[often]][: p - len(rare)] // CHUNK)
+                    chunk = mix(np.array([node], np.int64).astype(np.uint64))[0] % chunks.astype(np.uint64)
+                    own = np.concatenate((rare, np.where(chunks > 1, mix(shared ^ mix(chunk + np.uint64(1))), shared)))
+                    dealt += [np.zeros(len(rare), np.uint64), np.where(chunks > 1, shared, np.uint64(0))]
                 else:
                     own = s[:p]
+                    dealt.append(np.zeros(len(own), np.uint64))
                 keys.append(own)
                 nodes.append(np.full(len(own), node, np.int64))
             if keys:
-                arrays = [pa.array(np.concatenate(keys).astype(np.int64)), pa.array(np.concatenate(nodes))]
-                yield pa.RecordBatch.from_arrays(arrays, names=["key", "node"])
-
-    def dealt(key: np.uint64, node: int, many: int) -> np.ndarray:
-        chunks = -(-many // CHUNK)
-        if chunks == 1:
-            return np.array([key], np.uint64)
-        mine = int(mix(np.array([node], np.int64).astype(np.uint64))[0] % np.uint64(chunks))
-        others = np.arange(chunks, dtype=np.uint64)
-        low, high = np.minimum(others, np.uint64(mine)), np.maximum(others, np.uint64(mine))
-        return mix(key ^ mix(low * np.uint64(chunks) + high + np.uint64(1)))
+                arrays = [pa.array(np.concatenate(x).astype(np.int64)) for x in (keys, nodes, dealt)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["key", "node", "dealt"])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Runs of equal keys; the last run of a batch waits for the next batch."""
-        key, held = None, np.empty(0, np.int64)
-        seen: set[int] = set()
+        key, held, of = None, np.empty(0, np.int64), 0
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
-            keys, nodes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            keys, nodes, dealt = (batch.column(k).to_numpy() for k in range(3))
             if not len(keys):
                 continue
             bounds = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1], [True])))
             begins, ends = bounds[:-1], bounds[1:]
             pairs: list[np.ndarray] = []
-            large: list[np.ndarray] = []
+            large: list[tuple[np.ndarray, int]] = []
             if key is not None and keys[0] == key:
                 held = np.concatenate((held, nodes[: ends[0]]))
                 begins, ends = begins[1:], ends[1:]
             if len(begins):
-                take_apart(held, pairs, large)
-                key, held = keys[-1], nodes[begins[-1] :].copy()
+                take_apart(held, of, pairs, large)
+                key, held, of = keys[-1], nodes[begins[-1] :].copy(), int(dealt[-1])
                 begins, ends = begins[:-1], ends[:-1]
-                two = begins[ends - begins == 2]
+                two = begins[(ends - begins == 2) & (dealt[begins] == 0)]
                 pairs.append(np.stack((nodes[two], nodes[two + 1]), axis=1))
-                for a, b in zip(begins[ends - begins > 2], ends[ends - begins > 2], strict=True):
-                    take_apart(nodes[a:b], pairs, large)
+                more = (ends - begins > 2) | (dealt[begins] != 0)
+                for a, b in zip(begins[more], ends[more], strict=True):
+                    take_apart(nodes[a:b], int(dealt[a]), pairs, large)
             if pairs or large:
                 yield rows(pairs, large, seen)
         pairs, large = [], []
-        take_apart(held, pairs, large)
+        take_apart(held, of, pairs, large)
         if pairs or large:
             yield rows(pairs, large, seen)
 
-    def take_apart(nodes: np.ndarray, pairs: list[np.ndarray], large: list[np.ndarray]) -> None:
-        """Small blocks become pairs; large ones are cut where sizes leave a gap."""
+    def take_apart(nodes: np.ndarray, dealt: int, pairs: list[np.ndarray], large: list[tuple[np.ndarray, int]]) -> None:
+        """Small blocks become pairs; large ones are cut where sizes leave a gap. Chunks stay as they are."""
+        if dealt:
+            large.append((np.unique(nodes), dealt))
+            return
         if len(nodes) < 2:
             return
         nodes = np.unique(nodes)
@@ -249,32 +266,70 @@ def blocks(texts: DataFrame, frequent: np.ndarray, counts: np.ndarray) -> DataFr
         nodes = nodes[np.argsort(size_step(nodes), kind="stable")]
         for part in np.split(nodes, np.flatnonzero(np.diff(size_step(nodes)) > REACH) + 1):
             if len(part) > SMALL_BLOCK:
-                large.append(np.sort(part))
+                large.append((np.sort(part), 0))
             else:
-                take_apart(part, pairs, large)
+                take_apart(part, 0, pairs, large)
 
-    def rows(pairs: list[np.ndarray], large: list[np.ndarray], seen: set[int]) -> pa.RecordBatch:
+    def rows(pairs: list[np.ndarray], large: list[tuple[np.ndarray, int]], seen: set[tuple[int, int]]) -> pa.RecordBatch:
         both = np.concatenate(pairs) if pairs else np.empty((0, 2), np.int64)
         both = np.sort(both[np.abs(size_step(both[:, 0]) - size_step(both[:, 1])) <= REACH], axis=1)
         both = both[both[:, 0] != both[:, 1]]
         names = mix(both[:, 0].astype(np.uint64) ^ mix(both[:, 1].astype(np.uint64))).view(np.int64)
         names, first = np.unique(names, return_index=True)
         both, blocks = both[first], []
-        for block in large:
+        for block, of in large:
             name = int(name_of(block.astype(np.uint64)).astype(np.int64))
-            if name not in seen:
-                seen.add(name)
-                blocks.append((name, block))
-        names = np.concatenate((names, np.array([name for name, _ in blocks], np.int64)))
-        nodes = np.concatenate((both.ravel(), *(block for _, block in blocks)))
-        sizes = np.concatenate((np.full(len(both), 2), [len(block) for _, block in blocks])).astype(np.int64)
+            if (name, of) not in seen:
+                seen.add((name, of))
+                blocks.append((name, block, of))
+        dealt = np.concatenate((np.zeros(len(both), np.int64), np.array([of for _, _, of in blocks], np.int64)))
+        names = np.concatenate((names, np.array([name for name, _, _ in blocks], np.int64)))
+        nodes = np.concatenate((both.ravel(), *(block for _, block, _ in blocks)))
+        sizes = np.concatenate((np.full(len(both), 2), [len(block) for _, block, _ in blocks])).astype(np.int64)
         offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(nodes, pa.int64()))
-        return pa.RecordBatch.from_arrays([pa.array(names), lists], names=["block", "nodes"])
-
-    keyed = texts.mapInArrow(prefixes, "key long, node long")
-    grouped = keyed.repartition("key").sortWithinPartitions("key").select("key", "node")
-    return grouped.mapInArrow(gather, "block long, nodes array<long>").dropDuplicates(["block"])
+        return pa.RecordBatch.from_arrays([pa.array(names), lists, pa.array(dealt)], names=["block", "nodes", "dealt"])
+
+    keyed = texts.mapInArrow(prefixes, "key long, node long, dealt long")
+    grouped = keyed.repartition("key").sortWithinPartitions("key").select("key", "node", "dealt")
+    return grouped.mapInArrow(gather, "block long, nodes array<long>, dealt long").dropDuplicates(["block", "dealt"])
+
+
+def one_of_equal(chunks: DataFrame) -> DataFrame:
+    """The chunks of dealt blocks, those of equal blocks once."""
+    hashes = [F.bit_xor(F.xxhash64("block")).alias("x"), F.bit_xor(F.xxhash64("block", F.lit(1))).alias("y"), F.count("*").alias("z")]
+    kept = chunks.groupBy("dealt").agg(*hashes).groupBy("x", "y", "z").agg(F.min("dealt").alias("dealt"))
+    return chunks.join(kept.select("dealt"), "dealt", "left_semi")
+
+
+def linking_pairs(chunks: DataFrame) -> DataFrame:
+    """Pairs (a, b) of some nodes of each chunk and of its block's first chunk."""
+    some = chunks.select("dealt", F.slice("nodes", 1, LINKING).alias("some"))
+    first = some.groupBy("dealt").agg(F.min("some").alias("first"))
+    pairs = some.join(first, "dealt").select(F.explode("some").alias("a"), "first").select("a", F.explode("first").alias("b"))
+    return pairs.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def cell_blocks(known: DataFrame) -> DataFrame:
+    """(block, node, component) of (dealt, node, component): blocks of one or two cells in which all nodes of a dealt block
+    meet that are of different components and of sizes that can link. A cell holds about CHUNK nodes of REACH steps of size, of
+    one component where that has many, else of several."""
+    banded = known.withColumn("band", F.floor(F.col("node").bitwiseAND((1 << SIZE_BITS) - 1) / REACH))
+    own = banded.groupBy("dealt", "band", "component").agg(F.count("*").alias("own"))
+    marked = own.withColumn("only", F.when(2 * F.col("own") >= CHUNK, F.col("component")))
+    sums = marked.groupBy("dealt", "band", "only").agg(F.ceil(F.sum("own") / CHUNK).alias("cells"))
+    marked = marked.join(sums.withColumnRenamed("only", "_o").withColumnsRenamed({"dealt": "_d", "band": "_b"}),
+                         (F.col("dealt") == F.col("_d")) & (F.col("band") == F.col("_b")) & F.col("only").eqNullSafe(F.col("_o")))
+    marked = marked.select("dealt", "band", "component", "only", "cells")
+    cell = F.struct("band", "only", F.pmod(F.xxhash64("node"), F.col("cells")).alias("part"))
+    placed = stored(banded.join(marked, ["dealt", "band", "component"]).select("dealt", "node", "component", cell.alias("cell")), "cells")
+    cells = placed.select("dealt", "cell").distinct()
+    meeting = cells.join(cells.select("dealt", F.col("cell").alias("other")), "dealt").filter(
+        "cell <= other AND abs(cell.band - other.band) <= 1 AND coalesce(cell.only != other.only, true)"
+    )
+    meeting = meeting.withColumn("block", F.xxhash64("dealt", "cell.band", "cell.only", "cell.part", F.lit(0), "other.band", "other.only", "other.part"))
+    sides = meeting.select("dealt", "block", F.explode(F.array_distinct(F.array("cell", "other"))).alias("cell"))
+    return placed.join(sides, ["dealt", "cell"]).select("block", "node", "component")
 
 
 def whole_sets(texts: DataFrame, wanted: DataFrame, points: bool) -> DataFrame:
@@ -382,8 +437,8 @@ def near_pairs(members: DataFrame, far_only: bool) -> DataFrame:
                 rest = np.arange(a, b)
                 if far_only or b - a <= SMALL_BLOCK:
                     apart = table.column(4).to_numpy()[a:b] if far_only else None
-                    tree = CountTree(points.at(rest, int(points.tiers[rest].min())), sizes[a:b])
-                    found += [(i + a, j + a) for i, j in tree.pairs(apart)]
+                    tree = CountTree(points.at(rest, int(points.tiers[rest].min())), sizes[a:b], apart)
+                    found += [(i + a, j + a) for i, j in tree.pairs()]
                 else:
                     found += [(np.full(b - a, a + int(nodes[a:b].argmin())), rest), (rest[:-1], rest[1:])]
         i, j = (np.concatenate([x[k] for x in found]) for k in (0, 1))
@@ -439,6 +494,13 @@ def join_components(pairs: DataFrame, groups: DataFrame, sets: DataFrame) -> Dat
     return groups
 
 
+def still_apart(members: DataFrame, name: str, groups: DataFrame) -> DataFrame:
+    """The (name, node) rows of groups of nodes that are of more than one component, with it."""
+    known = members.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node")).select(name, "node", "component")
+    mixed = known.groupBy(name).agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y").select(name)
+    return known.join(mixed, name, "left_semi")
+
+
 def similar_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id), one row for each row."""
     small_batches(df.sparkSession)
@@ -448,19 +510,22 @@ def similar_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     frequent, counts = frequent_shingles(texts, total)
     shared = stored(blocks(texts, frequent, counts), "blocks")
-    members = shared.select("block", F.explode("nodes").alias("node"))
+    chunks = one_of_equal(shared.filter("dealt != 0"))
+    whole = shared.filter("dealt = 0").select("block", "nodes").union(chunks.select("block", "nodes").dropDuplicates(["block"]))
+    members = whole.select("block", F.explode("nodes").alias("node"))
     points = stored(whole_sets(texts, members.select("node").distinct(), points=True), "points")
-    pairs = stored(near_pairs(members.join(points, "node"), far_only=False), "pairs")
-    large = shared.filter(F.size("nodes") > SMALL_BLOCK).select("block", F.explode("nodes").alias("node"))
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).union(large.select("node"))
+    pairs = stored(near_pairs(members.join(points, "node"), far_only=False).union(linking_pairs(chunks)).distinct(), "pairs")
+    large = shared.filter(F.size("nodes") > SMALL_BLOCK).filter("dealt = 0").select("block", F.explode("nodes").alias("node"))
+    dealt = chunks.select("dealt", F.explode("nodes").alias("node"))
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).union(large.select("node")).union(dealt.select("node"))
     sets = stored(whole_sets(texts, wanted.distinct(), points=False), "sets")
     groups = stored(components(verified(pairs, sets)), "groups")
 
-    if not large.isEmpty():
-        known = large.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        mixed = known.groupBy("block").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y").select("block")
-        open_blocks = known.join(mixed, "block", "left_semi").join(finer_points(sets), "node")
-        later = stored(near_pairs(open_blocks, far_only=True), "pairs")
+    if not (large.isEmpty() and dealt.isEmpty()):
+        later = still_apart(large, "block", groups)
+        if not dealt.isEmpty():
+            later = later.unionByName(cell_blocks(stored(still_apart(dealt, "dealt", groups), "apart")))
+        later = stored(near_pairs(later.join(finer_points(sets), "node"), far_only=True), "pairs")
         groups = join_components(later, groups, sets)
 
     labelled = rows.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))

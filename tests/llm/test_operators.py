@@ -138,6 +138,39 @@ def test_jaccard_large_blocks(spark, monkeypatch):
     assert sorted(map(tuple, got)) == brute_groups(rows)
 
 
+def test_jaccard_deals_blocks_by_their_size(spark, monkeypatch):
+    """Near copies whose shared shingles are mostly past the counted part: no block holds much more than a chunk."""
+    monkeypatch.setattr(jaccard, "FREQUENT", 8)
+    monkeypatch.setattr(jaccard, "CHUNK", 64)
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(300):
+        w = [f"w{k}" for k in range(200)]
+        for k in rng.choice(200, int(rng.integers(1, 6)), replace=False):
+            w[k] = f"new{rng.integers(0, 10**9)}"
+        rows.append((i, " ".join(w[: 200 - 40 * (i % 20 == 0)])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    texts = docs.select("text")
+    found = jaccard.blocks(texts, *jaccard.frequent_shingles(texts, 300 * 196)).collect()
+    assert max(len(r.nodes) for r in found) < 2 * 64
+    assert sorted(map(tuple, jaccard.similar_groups(docs).collect())) == brute_groups(rows)
+
+
+def test_cells_let_all_nodes_that_are_apart_meet(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "CHUNK", 16)
+    rng = random.Random(6)
+    rows = [(d, rng.randrange(2**40) << jaccard.SIZE_BITS | rng.randrange(40), c) for d in (1, 2) for c in [0] * 60 + [1] * 30 + list(range(2, 40))]
+    met = {}
+    for r in jaccard.cell_blocks(spark.createDataFrame(rows, "dealt long, node long, component long")).collect():
+        met.setdefault(r.block, []).append((r.node, r.component))
+    pairs = {frozenset((a, b)) for nodes in met.values() for a, _ in nodes for b, _ in nodes}
+    for d, a, c in rows:
+        for e, b, f in rows:
+            if d == e and c != f and abs((a & 1023) - (b & 1023)) <= jaccard.REACH:
+                assert frozenset((a, b)) in pairs
+    assert all(len({c for _, c in nodes}) > 1 or nodes[0][1] > 1 for nodes in met.values())
+
+
 def test_tree_bound_loses_nothing():
     rng = np.random.default_rng(5)
     points = rng.integers(0, 4, (200, 32)).astype(np.int32)
