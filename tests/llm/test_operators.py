@@ -301,6 +301,30 @@ def test_boosted_candidates_learn_formats(spark):
     assert learnt and 2 in learnt[1]
 
 
+def test_personal_data_the_base_does_not_know_is_added(spark):
+    """IBANs by their checksum; secrets, spelt addresses and phones without + by trees that don't see the words beside them."""
+    rng = np.random.default_rng(9)
+    texts = []
+    for i in range(1200):
+        digits = "".join(map(str, rng.integers(0, 10, 40)))
+        secret = "".join(rng.choice(list("0123456789abcdef"), 40))
+        texts.append([
+            f"the token is {secret} here", f"the checksum is {secret[:24]} here",
+            f"please write to ann{i} at host{i} dot com today", f"phone ({digits[:3]}) {digits[3:6]}-{digits[6:10]} now", f"item 1{digits[:7]} sold",
+        ][i % 5])
+    plants = {
+        "pay DE89370400440532013000 soon": "code:4:26", "pay GB82 WEST 1234 5698 7654 32 soon": "code:4:31", "pay DE89370400440532013001 soon": "",
+        "see (555) 123-4567 there": "number:4:18", "it was 7c9e13b0a8f2564ed07b3c91fa6258e4d1b09c37 once": "code:7:47", "saw bob at home dot com once": "address:4:23",
+        "item 12345678 sold": "",
+    }
+    few = spark.createDataFrame([(t,) for t in plants], "text string")
+    only = {r.text: r.spans for r in personal.find_personal(few).collect()}
+    assert [only[t] for t in list(plants)[:3]] == ["code:4:26", "code:4:31", ""]
+    found = personal.find_personal(spark.createDataFrame([(t,) for t in texts + list(plants)], "text string")).collect()
+    got = {r.text: (r.base, r.spans) for r in found}
+    assert {t: got[t] for t in plants} == {t: ("", s) for t, s in plants.items()}
+
+
 def brute_repeats(rows, window):
     all_words = [words(t) for _, t, *_ in rows]
     seen = collections.Counter(tuple(w[k : k + window]) for w in all_words for k in range(len(w) - window + 1))
