@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from flowlens.llm import jaccard, lines, mixing, pieces, quality
 from flowlens.llm.common import documents, stored
 
-#: Dropped ids up to this many are sent to every task; more are joined.
+#: Dropped rows up to this many are sent to every task; more are joined.
 BROADCAST_IDS = 1 << 20
 
 
@@ -24,11 +24,17 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id. Rows without an id stay."""
-    groups = jaccard.similar_groups(docs)
-    dropped = stored(groups.filter("doc_id != component_id").select("doc_id").distinct(), "dropped")
+    """One row of each group of near copies: of those with the smallest id, null ids last, any one. Rows are told apart by
+    a number, so that repeated and null ids drop nothing else; rows without words are in no group and stay."""
+    numbered = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    groups = jaccard.row_groups(numbered, "_row").filter("component IS NOT NULL").withColumnRenamed("doc_id", "_row")
+    rows = stored(groups.join(numbered.select("_row", "doc_id"), "_row").select("_row", "doc_id", "component"), "grouped")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_row"))
+    firsts = rows.groupBy("component").agg(F.min(order).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    several = firsts.select("component", F.col("first._row").alias("stays"))
+    dropped = stored(rows.join(several, "component").filter("_row != stays").select("_row"), "dropped")
     dropped = F.broadcast(dropped) if dropped.count() <= BROADCAST_IDS else dropped
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    return numbered.join(dropped, "_row", "left_anti").select(*docs.columns)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

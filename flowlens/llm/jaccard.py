@@ -501,8 +501,8 @@ def still_apart(members: DataFrame, name: str, groups: DataFrame) -> DataFrame:
     return known.join(mixed, name, "left_semi")
 
 
-def similar_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id), one row for each row."""
+def row_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n, component), one row for each row; component is a node's name, null where the set is empty."""
     small_batches(df.sparkSession)
     texts = df.select(F.col(text).alias("text"))
     rows = stored(shingle_nodes(df, doc_id, text), "nodes")
@@ -528,7 +528,12 @@ def similar_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         later = stored(near_pairs(later.join(finer_points(sets), "node"), far_only=True), "pairs")
         groups = join_components(later, groups, sets)
 
-    labelled = rows.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return rows.join(groups, "node", "left").select("doc_id", "n", F.coalesce("component", "node").alias("component"))
+
+
+def similar_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id), one row for each row."""
+    labelled = row_groups(df, doc_id, text)
     smallest = labelled.filter("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("smallest"))
     out = labelled.join(smallest, "component", "left")
     alone = F.col("component").isNull()

@@ -66,6 +66,18 @@ def test_pipeline_agrees_with_its_stages_done_plainly(spark, sf_dir):
     assert duckdb.__version__
 
 
+def test_near_copies_are_dropped_by_row(spark, tmp_path):
+    """Repeated and null ids: one row of each group stays, and no row goes for another's id."""
+    prose = " ".join(f"word{i}" for i in range(60))
+    unlike = " ".join(f"other{i}" for i in range(60))
+    rows = [(1, prose), (2, prose + " more"), (2, unlike), (3, "same text twice"), (3, "same text twice"), (None, "no id"), (None, "no id"), (4, None)]
+    rows += [(None, "null id last here"), (9, "null id last here"), (5, "")]
+    spark.createDataFrame([(i, t, "a") for i, t in rows], "doc_id long, text string, source string").write.parquet(str(tmp_path / "rows"))
+    found = corpus_pipeline.ngram_jaccard(spark, spark.read.parquet(str(tmp_path / "rows")), "").collect()
+    wanted = [(1, prose), (2, unlike), (3, "same text twice"), (None, "no id"), (4, None), (9, "null id last here"), (5, "")]
+    assert Counter((r.doc_id, r.text) for r in found) == Counter(wanted)
+
+
 def test_stages_take_empty_tables_and_return_the_columns_of_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
     for name, run in corpus_pipeline.STAGES:
