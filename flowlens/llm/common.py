@@ -25,15 +25,25 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the rows of an Arrow batch, and let Python workers find the package where the driver found it."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def workers_find_package(spark: SparkSession) -> None:
+    """Let Python workers find the package where the driver found it."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(":"):
         spark.sparkContext.environment["PYTHONPATH"] = f"{root}:{known}" if known else root
 
 
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Bound the rows of an Arrow batch, and let Python workers find the package."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    workers_find_package(spark)
+
+
+def small_side(df: DataFrame, limit: int) -> DataFrame:
+    """A stored table as the small side of a join: sent to every task if it has at most `limit` rows, else joined by key."""
+    return F.broadcast(df) if df.count() <= limit else df
+
+
 def stored(df: DataFrame, purpose: str, *partition_by: str) -> DataFrame:
     """Write to the shared folder and read again: later steps restart from the files, not from the lineage."""
     spark = df.sparkSession

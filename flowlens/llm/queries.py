@@ -5,7 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import fingerprints, jaccard, licenses, lines, mixing, personal, pieces, pitman_yor, quality, repeats
+from flowlens.llm import (
+    audit,
+    fingerprints,
+    jaccard,
+    licenses,
+    lines,
+    mixing,
+    personal,
+    pieces,
+    pitman_yor,
+    quality,
+    repeats,
+    toxicity,
+)
 from flowlens.llm.common import documents
 
 
@@ -56,6 +69,19 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With the places of the offending sentences."""
+    return toxicity.score_texts(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -69,5 +95,7 @@ QUERIES = {
         op8_substring_dedup,
         op9_pitman_yor,
         op10_mixing,
+        op11_filter_audit,
+        op12_toxicity,
     )
 }

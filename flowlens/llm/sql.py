@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from flowlens.llm import lines, mixing, quality
+from flowlens.llm import audit, lines, mixing, quality
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -96,6 +96,42 @@ chosen AS (
   FROM ranked)"""
 
 
+def _audit() -> str:
+    earlier = " + ".join(f"CASE WHEN contains(left(filter_order, step - 1), '{f}') THEN {1 << i} ELSE 0 END" for i, f in enumerate(audit.FILTERS))
+    letters = ", ".join(f"('{f}', {1 << i})" for i, f in enumerate(audit.FILTERS))
+    return rf"""WITH texts AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, {WORDS} AS ws FROM documents),
+firsts AS (SELECT t, min(doc_id) AS first FROM texts GROUP BY t),
+marks AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+masks AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    CASE WHEN len(ws) < 100 THEN 1 ELSE 0 END
+      + CASE WHEN 100 * len(list_distinct(ws)) < 80 * len(ws) THEN 2 ELSE 0 END
+      + CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t) THEN 4 ELSE 0 END
+      + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+      + CASE WHEN doc_id > first THEN 16 ELSE 0 END AS mask
+  FROM texts JOIN firsts USING (t) LEFT JOIN marks USING (doc_id)),
+counts AS (SELECT part, mask, good, toxic, count(*) AS n FROM masks GROUP BY ALL),
+filters(f, bit) AS (VALUES {letters}),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+  FROM filters a, filters b, filters c, filters d, filters e
+  WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+steps AS (
+  SELECT filter_order, CAST(step AS INTEGER) AS step, filter_order[step] AS letter, bit,
+    {earlier} AS earlier
+  FROM orders, (SELECT unnest(range(1, 6)) AS step) JOIN filters ON f = filter_order[step]),
+sums AS (
+  SELECT part, filter_order, step, letter,
+    CAST(coalesce(sum(n) FILTER (mask & (earlier | bit) = 0), 0) AS BIGINT) AS kept,
+    CAST(coalesce(sum(n) FILTER (mask & earlier = 0 AND mask & bit != 0), 0) AS BIGINT) AS removed,
+    CAST(coalesce(sum(n) FILTER (mask & earlier != 0 AND mask & bit != 0), 0) AS BIGINT) AS redundant,
+    CAST(coalesce(sum(n) FILTER (mask = bit), 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(sum(n) FILTER (mask & earlier = 0 AND mask & bit != 0 AND good), 0) AS BIGINT) AS good_lost,
+    CAST(coalesce(sum(n) FILTER (mask & earlier = 0 AND mask & bit != 0 AND toxic), 0) AS BIGINT) AS toxic_lost
+  FROM counts, steps GROUP BY part, filter_order, step, letter)
+SELECT * EXCLUDE (letter), CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley FROM sums"""
+
+
 NUMBERED = "d AS (SELECT row_number() OVER () AS rid, * FROM documents)"
 
 SQL = {
@@ -106,4 +142,5 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM d JOIN verdicts USING (rid)""",
     "op10_mixing": f"""WITH {NUMBERED},{mixed("d")}
 SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM chosen""",
+    "op11_filter_audit": _audit(),
 }
