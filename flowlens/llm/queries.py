@@ -18,6 +18,7 @@ from flowlens.llm import (
     quality,
     repeats,
     toxicity,
+    turns,
 )
 from flowlens.llm.common import documents
 
@@ -82,6 +83,10 @@ def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_texts(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.damage_and_repair(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -97,5 +102,6 @@ QUERIES = {
         op10_mixing,
         op11_filter_audit,
         op12_toxicity,
+        op13_conversations,
     )
 }

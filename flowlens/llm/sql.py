@@ -132,6 +132,79 @@ sums AS (
 SELECT * EXCLUDE (letter), CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley FROM sums"""
 
 
+def _turns() -> str:
+    byte = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda z, i: xor(z >> 1, (z & 1) * 3988292384))"
+    codes = "list_transform(string_split(concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' ')), ''), lambda x: CAST(ascii(x) AS BIGINT))"
+    crc = f"xor(list_reduce([CAST(4294967295 AS BIGINT)] || {codes}, lambda c, b: {byte}), 4294967295)"
+    other = "CASE WHEN initial = '{}' THEN 0 ELSE 1 END + extra"
+    user, assistant = other.format("u"), other.format("a")
+    return rf"""WITH RECURSIVE
+hurt AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {crc} % 20 AS what FROM conversations),
+rows AS (
+  SELECT conv_id, turn, CASE WHEN what = 4 THEN 'user' ELSE role END AS role, k,
+    CASE WHEN what = 1 THEN '' WHEN what = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM hurt, (VALUES (1), (2)) copies(k) WHERE what != 0 AND (k = 1 OR what = 3)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), k) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, k) > 1 AS seen,
+    left(role, 1) AS initial
+  FROM rows),
+faults AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN seen THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+    coalesce(lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial NOT IN ('su', 'ua', 'au'), false) AS illegal
+  FROM placed),
+signs AS (
+  SELECT conv_id, i, role, text, initial, fault IN ('blank', 'duplicate') AS goes, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS extra
+  FROM faults),
+facts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (illegal) AS illegal
+  FROM faults GROUP BY conv_id),
+back AS (
+  SELECT conv_id, n + 1 AS i, [0, 10, 5, 0] AS v FROM facts
+  UNION ALL
+  SELECT conv_id, i, [least(w[1], 5 + w[3], 10 + w[4]), least(w[2], 5 + w[3], 10 + w[4]), least(w[3], 5 + w[4]), least(w[4], 5 + w[3])]
+  FROM (
+    SELECT s.conv_id, s.i, CASE WHEN goes THEN [2 + v[1], 2 + v[2], 2 + v[3], 2 + v[4]] ELSE [
+      least(2 + v[1], {user} + v[3], CASE WHEN initial = 's' THEN extra + v[2] END),
+      least(2 + v[2], {user} + v[3]), least(2 + v[3], {assistant} + v[4]), least(2 + v[4], {user} + v[3])] END AS w
+    FROM back b JOIN signs s ON s.conv_id IS NOT DISTINCT FROM b.conv_id AND s.i = b.i - 1)),
+known AS (
+  SELECT s.*, here.v AS here, behind.v AS behind
+  FROM signs s JOIN back here ON here.conv_id IS NOT DISTINCT FROM s.conv_id AND here.i = s.i
+  JOIN back behind ON behind.conv_id IS NOT DISTINCT FROM s.conv_id AND behind.i = s.i + 1),
+walk AS (
+  SELECT conv_id, n, CAST(1 AS BIGINT) AS i, 0 AS state, '' AS audit, CAST([] AS VARCHAR[]) AS kept FROM facts
+  UNION ALL
+  SELECT conv_id, n, CASE WHEN edit = 'I' THEN i ELSE i + 1 END,
+    CASE edit WHEN 'D' THEN state WHEN 'K' THEN CASE initial WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END ELSE next END,
+    audit || edit,
+    CASE edit WHEN 'D' THEN kept WHEN 'K' THEN list_append(kept, role || ':' || text)
+      ELSE list_append(kept, CASE next WHEN 2 THEN 'user:' ELSE 'assistant:' END || CASE edit WHEN 'R' THEN text ELSE '' END) END
+  FROM (
+    SELECT *, CASE WHEN i > n THEN 'I'
+      WHEN 2 + behind[state + 1] = here[state + 1] THEN 'D'
+      WHEN 5 + here[next + 1] = here[state + 1] THEN 'I'
+      WHEN state = 0 AND initial = 's' AND extra + behind[2] = here[1] THEN 'K'
+      WHEN initial = CASE next WHEN 2 THEN 'u' ELSE 'a' END THEN 'K'
+      ELSE 'R' END AS edit
+    FROM (
+      SELECT w.*, CASE WHEN state = 2 THEN 3 ELSE 2 END AS next, initial, extra, role, text, here, behind
+      FROM walk w LEFT JOIN known k ON k.conv_id IS NOT DISTINCT FROM w.conv_id AND k.i = w.i)
+    WHERE i <= n OR state IN (1, 2))),
+ended AS (SELECT * FROM walk WHERE i > n AND state IN (0, 3))
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+  CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+  CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(b.v[1], 0) AS BIGINT) AS cost, coalesce(e.audit, '') AS audit,
+  sha256(coalesce(array_to_string(e.kept, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN back b ON b.conv_id IS NOT DISTINCT FROM c.conv_id AND b.i = 1
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
+
 NUMBERED = "d AS (SELECT row_number() OVER () AS rid, * FROM documents)"
 
 SQL = {
@@ -143,4 +216,5 @@ FROM d JOIN verdicts USING (rid)""",
     "op10_mixing": f"""WITH {NUMBERED},{mixed("d")}
 SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM chosen""",
     "op11_filter_audit": _audit(),
+    "op13_conversations": _turns(),
 }
