@@ -3,7 +3,8 @@
 Five filters, applied in each of their 120 orders, have 600 steps. What a step does to a document follows from the mask of
 filters that the document fails and from its two labels. So each of the 128 masks maps to one big integer made of fields of FIELD
 bits, one for each step and measure. Tasks add the integers of their documents by part, parts add those of the tasks, and the sum is
-cut into fields again. A field counts documents of one part, of which there are fewer than 2^63, so no field reaches the next one.
+cut into fields again. A field counts documents of one part, of which there are fewer than 2^56 (120 orders
+add up to a `shapley` below 2^63), so no field reaches the next one.
 
 Words are runs of characters other than ASCII blanks. A null text is empty, a null part is the empty one. Equal texts are found by
 their SHA-256 over the whole table: a row fails E if a row with a smaller id has its text, removed or not; a null id is neither

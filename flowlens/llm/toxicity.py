@@ -91,7 +91,7 @@ class Sentences:
         """Places of each sentence in its text in code points, from its first word to its last."""
         words = self.words
         points = np.concatenate(([0], np.cumsum((words.data & 0xC0) != 0x80)))
-        last = np.concatenate((self.first[1:], [len(words.starts)])) - 1
+        last = np.concatenate((self.first[1:], [len(words.starts)]))[: len(self.first)] - 1
         base = points[words.offsets[self.text]]
         return points[words.starts[self.first]] - base, points[words.ends[last]] - base
 
