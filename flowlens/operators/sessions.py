@@ -1,207 +1,243 @@
 """Session windows that survive a session holding a large part of all rows.
 
-A session is one (src_port, dst_port, protocol). Ordinary sessions go through one exchange on the
-session key. A hot session is cut into time slices of about `hot_rows` rows. The window then runs per
-(session, slice), and each slice gets copies of the last rows before it ("lead-in" rows, dropped
-afterwards), so the preceding-rows frame sees the same rows as without slices. Whole-session
-aggregates of hot sessions are pre-aggregated and joined back.
-
-Which sessions are hot, and where the cuts lie, is estimated on a probe of the keys. That only shapes
-the layout: any choice of cuts gives the same result.
+A session is one (src_port, dst_port, protocol). Ordinary sessions go through one exchange on the session key and a window. Where
+a probe of the keys finds a session too large for one task, all rows are sorted once by ranges of (session, order, tie) instead, so a
+session of any size, even one of a single second, lies in as many ranges as its rows need; nothing is counted or cut on the driver.
+Each range is streamed in order:
+
+- a row's last three rows come from its own range, but for the first three rows of a range. Those are seen again together with the
+  last three rows of every range (the halo): a window over these few rows gives each its last three, across ranges of one row as well;
+- a session that begins and ends within a range is done there. The first and the last one of a range, and one that outgrows the
+  buffer, are left open, aggregated by key from what was written, and joined back.
+
+The probe only chooses the way; both give the same rows.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import scratch_path, workers_find_package
+
 SESSION_KEYS = ("src_port", "dst_port", "protocol")
-MEASURES = ("bytes_log", "packet_log", "packet_count")
 FRAME = 3
-MAX_HOT = 20_000
-MAX_SLICES = 4096
-CHUNK = 64
+#: Open sessions up to this many are sent to every task; more are joined. There are two for each range, and rows / buffer_rows.
+BROADCAST_SESSIONS = 500_000
+
+ROLLING = ("prev_bytes_mean_3", "prev_packet_mean_3", "prev_event_count_3")
+TOTALS = ("session_bytes_max", "session_bytes_min", "session_packet_mean")
+_PLACE = "_block int, _row long, _head boolean, _edge boolean, _open boolean"
 
 
 @dataclass(frozen=True)
 class SkewOptions:
-    """`hot_rows`: rows one task may sort for one session. `probe_fraction`: share of keys probed."""
+    """`hot_rows`: rows one task may sort for one session. `probe_fraction`: share of keys probed. `ranges`: how many
+    (default: the session's shuffle partitions). `buffer_rows`: rows of a session that a task holds at once."""
 
     hot_rows: int = 5_000_000
     probe_fraction: float = 0.01
     seed: int = 42
+    ranges: int | None = None
+    buffer_rows: int = 1 << 16
 
 
-# Rows without an order value are placed here; real values further back share the one place above it.
-BEFORE_TIME = -1e12
-PREFIX_BYTES = 6
+def has_hot_session(df: DataFrame, keys: tuple[str, ...], options: SkewOptions) -> bool:
+    """Whether some session is estimated to hold more than `hot_rows` rows: one number comes back."""
+    probe = df.select(*keys)
+    if options.probe_fraction < 1.0:
+        probe = probe.sample(options.probe_fraction, seed=options.seed)
+    largest = probe.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    return largest / min(1.0, options.probe_fraction) > options.hot_rows
 
 
-def tie_share(tie: str, kind: T.DataType, low: int | None, high: int | None) -> Column:
-    """A number in [0, 1] that never decreases along `tie`: 0 for null and for types not handled."""
-    if isinstance(kind, T.IntegralType) and low is not None:
-        share = (F.col(tie).cast("double") - F.lit(float(low))) / F.lit(float(high - low) + 1.0)
-    elif isinstance(kind, T.StringType):
-        # Text sorts by its bytes, and so do its first bytes read as a number.
-        head = F.hex(F.substring(F.encode(F.col(tie), "UTF-8"), 1, PREFIX_BYTES))
-        digits = 2 * PREFIX_BYTES
-        share = F.conv(F.rpad(head, digits, "0"), 16, 10).cast("double") / F.lit(16.0**digits)
-    else:
-        return F.lit(0.0)
-    return F.greatest(F.lit(0.0), F.least(F.lit(0.999), F.coalesce(share, F.lit(0.0))))
+def _ascending(name: str) -> Column:
+    return F.col(name).asc_nulls_first()
 
 
-def position(order: str, kind: T.DataType, share: Column) -> Column:
-    """A number that never decreases along (order, tie), used only to place cuts.
+def rolling_columns(frame) -> dict[str, Column]:
+    return {
+        "prev_bytes_mean_3": F.coalesce(F.avg("bytes_log").over(frame), F.lit(0.0)),
+        "prev_packet_mean_3": F.coalesce(F.avg("packet_log").over(frame), F.lit(0.0)),
+        "prev_event_count_3": F.count("packet_count").over(frame),
+    }
 
-    The share is added to whole numbers only (timestamps count microseconds): between fractions it could pass the next one.
-    """
-    value = F.col(order)
-    if isinstance(kind, T.TimestampType):
-        value = F.unix_micros(value)
-    elif isinstance(kind, T.TimestampNTZType):
-        seconds = F.unix_date(value.cast("date")).cast("long") * 86400 + F.hour(value) * 3600 + F.minute(value) * 60
-        value = seconds * 1_000_000 + (F.extract(F.lit("SECOND"), value) * 1_000_000).cast("long")
-    elif isinstance(kind, T.DateType):
-        value = F.unix_date(value)
-    elif not isinstance(kind, T.NumericType):
-        raise ValueError(f"sessions are ordered by a number, date or timestamp, not by {kind.simpleString()}")
-    place, first = value.cast("double"), F.lit(BEFORE_TIME)
-    if isinstance(kind, (T.FractionalType, T.DecimalType)):
-        known = place
-    else:
-        known = place + share
-    return F.when(place.isNull(), first + share).when(place <= first + 1.0, first + 1.0).otherwise(known)
 
+def total_columns() -> dict[str, Column]:
+    return {
+        "session_bytes_max": F.max("bytes_log"),
+        "session_bytes_min": F.min("bytes_log"),
+        "session_packet_mean": F.avg("packet_log"),
+    }
 
-@dataclass
-class HotSessions:
-    """Cuts per hot session, kept on the driver: at most MAX_HOT sessions x MAX_SLICES cuts."""
 
-    keys: tuple[str, ...]
-    cuts: DataFrame
-    where: Column
+# --- one range ---------------------------------------------------------------------------------------
 
 
-def find_hot_sessions(
-    df: DataFrame, keys: tuple[str, ...], order: str, tie: str | None, options: SkewOptions
-) -> HotSessions | None:
-    columns = list(dict.fromkeys([*keys, order, *([tie] if tie else [])]))
-    probe = df.select(*columns)
-    if options.probe_fraction < 1.0:
-        probe = probe.sample(options.probe_fraction, seed=options.seed)
-    kind = df.schema[tie].dataType if tie else T.NullType()
-    numeric_tie = isinstance(kind, T.IntegralType)
-    low = F.min(tie) if numeric_tie else F.lit(None).cast("long")
-    high = F.max(tie) if numeric_tie else F.lit(None).cast("long")
-    scale = 1.0 / min(1.0, options.probe_fraction)
-    # The largest MAX_HOT sessions come back; smaller ones fit the plain window.
-    largest = (
-        probe.groupBy(*keys)
-        .agg(F.count("*").alias("n"), low.alias("low"), high.alias("high"))
-        .where(F.col("n") * scale > options.hot_rows)
-        .orderBy(F.col("n").desc())
-        .limit(MAX_HOT)
-        .collect()
-    )
-    if not largest:
-        return None
-    spark = df.sparkSession
-    schema = T.StructType([df.schema[k] for k in keys] + [T.StructField("_slices", T.IntegerType())])
-    rows = [
-        (*[r[k] for k in keys], min(MAX_SLICES, int(r["n"] * scale / options.hot_rows) + 1))
-        for r in largest
-    ]
-    hot = spark.createDataFrame(rows, schema)
-    lows = [r["low"] for r in largest if r["low"] is not None]
-    highs = [r["high"] for r in largest if r["high"] is not None]
-    share = tie_share(tie, kind, min(lows, default=None), max(highs, default=None)) if tie else F.lit(0.0)
-    where = position(order, df.schema[order].dataType, share)
-    grid = max(r[-1] for r in rows)
-    shares = [i / grid for i in range(1, grid)]
-    quantiles = (
-        null_safe_join(probe, hot, keys, "inner")
-        .groupBy(*keys, "_slices")
-        .agg(F.percentile_approx(where, shares, 10 * MAX_SLICES).alias("_grid"))
-    )
-    # A session of s slices keeps every (grid / s)-th cut of the common grid.
-    picked = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.col("_slices") - 1, F.lit(1))),
-        lambda i: F.element_at(F.col("_grid"), F.greatest(F.lit(1), F.floor(i * grid / F.col("_slices")).cast("int"))),
-    )
-    found = quantiles.select(*keys, F.array_sort(F.array_distinct(picked)).alias("_cuts")).collect()
-    schema = T.StructType(
-        [df.schema[k] for k in keys] + [T.StructField("_chunks", T.ArrayType(T.ArrayType(T.DoubleType())))]
-    )
-    chunked = [(*[r[k] for k in keys], in_chunks(r["_cuts"])) for r in found]
-    return HotSessions(keys, spark.createDataFrame(chunked, schema), where)
-
-
-def in_chunks(cuts: list) -> list[list]:
-    """Cuts in groups of about the square root of their number, so a row is compared with few of them."""
-    size = min(CHUNK, math.isqrt(len(cuts)) + 1)
-    return [cuts[i : i + size] for i in range(0, len(cuts), size)]
-
-
-def null_safe_join(df: DataFrame, small: DataFrame, keys: tuple[str, ...], how: str) -> DataFrame:
-    """Join on keys that may be null; `small` is bounded by MAX_HOT rows, so it is broadcast."""
-    names = {k: f"_hot_{k}" for k in keys}
-    right = F.broadcast(small.withColumnsRenamed(names))
-    condition = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
-    return df.join(right, condition, how).drop(*names.values())
-
-
-def slice_number(where: Column) -> Column:
-    """A number that grows with the cuts below `where`: chunks passed x CHUNK + cuts passed in the next one."""
-    chunks = F.col("_chunks")
-    chunk = F.coalesce(F.size(F.filter(chunks, lambda c: F.element_at(c, -1) < where)), F.lit(0))
-    inside = F.size(F.filter(F.get(chunks, chunk), lambda cut: cut < where))
-    return F.when(F.col("_chunks").isNull(), F.lit(0)).otherwise(
-        chunk * CHUNK + F.coalesce(F.greatest(inside, F.lit(0)), F.lit(0))
-    )
-
-
-def assign_slices(df: DataFrame, hot: HotSessions) -> DataFrame:
-    joined = null_safe_join(df, hot.cuts, hot.keys, "left")
-    return joined.withColumns(
-        {"_slice": slice_number(hot.where), "_is_hot": F.col("_chunks").isNotNull()}
-    ).drop("_chunks")
-
-
-def lead_in_rows(sliced: DataFrame, keys: tuple[str, ...], ordering: list[Column]) -> DataFrame:
-    """Copies of the last FRAME rows before each slice of a hot session, labelled with that slice."""
-    backwards = Window.partitionBy(*keys, "_slice").orderBy(*[_reverse(o) for o in ordering])
-    needed = list(dict.fromkeys([*keys, *ordering, *MEASURES, "_slice", "_is_hot"]))
-    tails = (
-        sliced.where("_is_hot")
-        .select(*needed)
-        .withColumn("_back", F.row_number().over(backwards))
-        .where(F.col("_back") <= FRAME)
-        .drop("_back")
-    )
-    # A tail row stays among the last FRAME rows until the slice of the FRAME-th row after it.
-    along = Window.partitionBy(*keys).orderBy(*[_forward(o) for o in ordering])
-    whole = Window.partitionBy(*keys)
-    reach = F.coalesce(F.lead("_slice", FRAME).over(along), F.max("_slice").over(whole))
-    return (
-        tails.withColumn("_reach", reach)
-        .where(F.col("_reach") > F.col("_slice"))
-        .withColumn("_slice", F.explode(F.sequence(F.col("_slice") + 1, F.col("_reach"))))
-        .drop("_reach")
-    )
-
-
-def _forward(name: str) -> Column:
-    return F.col(name).asc_nulls_first()
+def session_starts(table: pa.Table, keys: tuple[str, ...]) -> np.ndarray:
+    """Where a row's keys differ from those of the row before; nulls are equal to each other."""
+    n = table.num_rows
+    changed = np.zeros(n, bool)
+    changed[0] = True
+    for key in keys:
+        here, before = table.column(key).slice(1), table.column(key).slice(0, n - 1)
+        other = pc.or_(pc.fill_null(pc.not_equal(here, before), False), pc.xor(pc.is_null(here), pc.is_null(before)))
+        changed[1:] |= other.to_numpy()
+    return np.flatnonzero(changed)
+
+
+def values(table: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """A measure as doubles, and where it is known."""
+    column = table.column(name)
+    known = pc.is_valid(column).to_numpy()
+    return pc.fill_null(column.cast(pa.float64()), 0.0).to_numpy(), known
 
 
-def _reverse(name: str) -> Column:
-    return F.col(name).desc_nulls_last()
+def previous_rows(table: pa.Table, begin: np.ndarray) -> list[pa.Array]:
+    """ROLLING of every row from the rows before it back to `begin`, oldest first, as a window adds them up."""
+    at = np.arange(len(begin))
+
+    def look_back(x: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        total, n = np.zeros(len(at)), np.zeros(len(at), np.int64)
+        for k in range(FRAME, 0, -1):
+            there = np.maximum(at - k, 0)
+            seen = (at - k >= begin) & known[there]
+            total, n = total + np.where(seen, x[there], 0.0), n + seen
+        return total, n
+
+    means = []
+    for name in ("bytes_log", "packet_log"):
+        total, n = look_back(*values(table, name))
+        means.append(pa.array(np.where(n > 0, total / np.maximum(n, 1), 0.0)))
+    known = pc.is_valid(table.column("packet_count")).to_numpy()
+    return [*means, pa.array(look_back(np.zeros(len(at)), known)[1])]
+
+
+def session_totals(table: pa.Table, starts: np.ndarray, session: np.ndarray, is_open: np.ndarray) -> list[pa.Array]:
+    """TOTALS of every row's session; null in open ones."""
+    logs, known = values(table, "bytes_log")
+    packets, counted = values(table, "packet_log")
+    n_logs, n_packets = (np.add.reduceat(x.astype(np.int64), starts) for x in (known, counted))
+    high = np.maximum.reduceat(np.where(known, logs, -np.inf), starts)
+    low = np.fmin.reduceat(np.where(known, logs, np.nan), starts)
+    mean = np.add.reduceat(np.where(counted, packets, 0.0), starts) / np.maximum(n_packets, 1)
+    hidden = [(n_logs == 0) | is_open, (n_logs == 0) | is_open, (n_packets == 0) | is_open]
+    return [pa.array(x[session], mask=no[session]) for x, no in zip((high, low, mean), hidden, strict=True)]
+
+
+def stream_range(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...], rolling: bool, totals: bool, buffer_rows: int):
+    """Add the features that a range knows of its sorted rows, with the rows' places and what is left open.
+
+    Held are the rows of the session at the end of what was read, before them up to FRAME rows that were given out already.
+    """
+    held: pa.Table | None = None
+    given, row, in_first, begun = 0, 0, True, False
+
+    def give(table: pa.Table, starts: np.ndarray, stop: int, final: bool) -> Iterator[pa.RecordBatch]:
+        n = table.num_rows
+        session = np.searchsorted(starts, np.arange(n), "right") - 1
+        is_open = np.zeros(len(starts), bool)
+        is_open[0] = in_first or begun
+        is_open[-1] |= final
+        if stop > starts[-1]:
+            is_open[-1] = True
+        at = np.arange(n) - given + row
+        head = (at < FRAME) & (session == 0) & in_first
+        tail = (np.arange(n) >= max(n - FRAME, starts[-1])) & final
+        extra = previous_rows(table, starts[session]) if rolling else []
+        extra += session_totals(table, starts, session, is_open) if totals else []
+        extra += [pa.array(at), pa.array(head), pa.array(head | tail), pa.array(is_open[session])]
+        names = [*(ROLLING if rolling else ()), *(TOTALS if totals else ()), "_row", "_head", "_edge", "_open"]
+        for name, column in zip(names, extra, strict=True):
+            table = table.append_column(name, column)
+        yield from table.slice(given, stop - given).to_batches(max_chunksize=10_000)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        if held is not None:
+            table = pa.concat_tables([held, table]).combine_chunks()
+        starts, n = session_starts(table, keys), table.num_rows
+        last = int(starts[-1])
+        if n - last > buffer_rows:
+            # the last session goes out but for FRAME rows, and stays open
+            stop = n - FRAME
+            yield from give(table, starts, stop, final=False)
+            keep = max(last, stop - FRAME)
+            in_first, begun = in_first and last == 0, True
+        elif last > given:
+            stop = keep = last
+            yield from give(table, starts, stop, final=False)
+            in_first, begun = False, False
+        else:
+            stop, keep = given, 0
+        row, held, given = row + stop - given, table.slice(keep), stop - keep
+    if held is not None:
+        yield from give(held, session_starts(held, keys), held.num_rows, final=True)
+
+
+# --- all ranges --------------------------------------------------------------------------------------
+
+
+def in_ranges(df: DataFrame, keys: tuple[str, ...], ordering: list[str], options: SkewOptions) -> DataFrame:
+    """Rows sorted by ranges of (keys, ordering), with `_block`, the range. Rows equal in all that may be told apart by
+    their place in the input, so that even those can be split."""
+    n = options.ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [*(_ascending(k) for k in keys), *(_ascending(o) for o in ordering), F.col("_place")]
+    ranged = df.withColumn("_place", F.monotonically_increasing_id()).repartitionByRange(n, *order).sortWithinPartitions(*order)
+    return ranged.drop("_place").withColumn("_block", F.spark_partition_id())
+
+
+def null_safe(keys: tuple[str, ...], prefix: str) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
+
+
+def ranged_features(
+    df: DataFrame, keys: tuple[str, ...], ordering: list[str], rolling: bool, totals: bool, options: SkewOptions
+) -> DataFrame:
+    """The features by ranges and halos. Rows pass one exchange and are written once; later steps read what they need of it."""
+    spark = df.sparkSession
+    workers_find_package(spark)
+    kinds = [*([("double", "double", "long")] if rolling else []), *([("double",) * 3] if totals else [])]
+    names = [*(ROLLING if rolling else ()), *(TOTALS if totals else ())]
+    added = [f"{n} {k}" for n, k in zip(names, [k for group in kinds for k in group], strict=True)]
+    rows = in_ranges(df, keys, ordering, options)
+    extra = T.StructType.fromDDL(", ".join([*added, *[p for p in _PLACE.split(", ") if not p.startswith("_block")]]))
+    step = partial(stream_range, keys=keys, rolling=rolling, totals=totals, buffer_rows=options.buffer_rows)
+    path = scratch_path(spark, "sessions")
+    rows.mapInArrow(step, T.StructType([*rows.schema.fields, *extra.fields])).write.parquet(path)
+    done = spark.read.parquet(path)
+    columns = [*df.columns, *names]
+
+    if rolling:
+        frame = Window.partitionBy(*keys).orderBy("_block", "_row").rowsBetween(-FRAME, -1)
+        heads = done.where("_edge").withColumns(rolling_columns(frame)).where("_head")
+        parts = [done.where("NOT _head"), heads]
+    else:
+        parts = [done]
+    if not totals:
+        return reduce(DataFrame.unionByName, [p.select(*columns) for p in parts])
+
+    aliased = done.where("_open").groupBy(*keys).agg(*[c.alias(f"_{n}") for n, c in total_columns().items()])
+    path = scratch_path(spark, "open-sessions")
+    aliased.withColumnsRenamed({k: f"_of_{k}" for k in keys}).write.parquet(path)
+    found = spark.read.parquet(path)
+    found = F.broadcast(found) if found.count() <= BROADCAST_SESSIONS else found
+    complete = []
+    for part in parts:
+        complete.append(part.where("NOT _open").select(*columns))
+        met = part.where("_open").join(found, null_safe(keys, "_of_"))
+        complete.append(met.select(*[F.col(f"_{c}").alias(c) if c in TOTALS else F.col(c) for c in columns]))
+    return reduce(DataFrame.unionByName, complete)
 
 
 def add_session_features(
@@ -215,58 +251,21 @@ def add_session_features(
 ) -> DataFrame:
     """Add the previous-three means and count, and the whole-session max, min and mean.
 
-    Needs `bytes_log`, `packet_log` and `packet_count`. Rolling means of the first event are 0. Rows of a
-    session are ordered by `order`, a number, date or timestamp, then `tie`; without such a column by all other columns, so
-    that the physical order of the rows does not matter. Runs one small job, the key probe.
+    Needs `bytes_log`, `packet_log` and `packet_count`. Rolling means of the first event are 0. Rows of a session are ordered by
+    `order`, then `tie`, of any types that sort; without such a column by all other columns, so that the physical order of the rows
+    does not matter. Runs one small job, the key probe.
     """
     if tie and tie in df.columns:
         ordering = [order, tie]
     else:
         sortable = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
         ordering = [order, *(c for c in sortable if c not in keys and c != order)]
-    hot = find_hot_sessions(df, keys, order, ordering[1] if len(ordering) > 1 else None, options)
-    columns = df.columns
-    if hot is None:
-        rows, partition = df, list(keys)
-    else:
-        rows, partition = assign_slices(df, hot), [*keys, "_slice"]
-        rows = rows.withColumn("_lead_in", F.lit(False))
-        if rolling:
-            lead_in = lead_in_rows(rows, keys, ordering).withColumn("_lead_in", F.lit(True))
-            rows = rows.unionByName(lead_in, allowMissingColumns=True)
+    if has_hot_session(df, keys, options):
+        return ranged_features(df, keys, ordering, rolling, aggregates, options)
     added: dict[str, Column] = {}
     if rolling:
-        frame = Window.partitionBy(*partition).orderBy(*[_forward(o) for o in ordering])
-        frame = frame.rowsBetween(-FRAME, -1)
-        added["prev_bytes_mean_3"] = F.coalesce(F.avg("bytes_log").over(frame), F.lit(0.0))
-        added["prev_packet_mean_3"] = F.coalesce(F.avg("packet_log").over(frame), F.lit(0.0))
-        added["prev_event_count_3"] = F.count("packet_count").over(frame)
-    if aggregates:
-        session = Window.partitionBy(*partition)
-        added["session_bytes_max"] = F.max("bytes_log").over(session)
-        added["session_bytes_min"] = F.min("bytes_log").over(session)
-        added["session_packet_mean"] = F.avg("packet_log").over(session)
-    result = rows.withColumns(added)
-    if hot is None:
-        return result
-    result = result.where(~F.col("_lead_in"))
+        frame = Window.partitionBy(*keys).orderBy(*[_ascending(o) for o in ordering]).rowsBetween(-FRAME, -1)
+        added |= rolling_columns(frame)
     if aggregates:
-        totals = (
-            null_safe_join(df, hot.cuts.select(*keys), keys, "inner")
-            .groupBy(*keys)
-            .agg(
-                F.max("bytes_log").alias("_max"),
-                F.min("bytes_log").alias("_min"),
-                F.avg("packet_log").alias("_mean"),
-            )
-        )
-        result = null_safe_join(result, totals, keys, "left").withColumns(
-            {
-                "session_bytes_max": F.when(F.col("_is_hot"), F.col("_max")).otherwise(F.col("session_bytes_max")),
-                "session_bytes_min": F.when(F.col("_is_hot"), F.col("_min")).otherwise(F.col("session_bytes_min")),
-                "session_packet_mean": F.when(F.col("_is_hot"), F.col("_mean")).otherwise(
-                    F.col("session_packet_mean")
-                ),
-            }
-        )
-    return result.select(*columns, *added)
+        added |= {n: c.over(Window.partitionBy(*keys)) for n, c in total_columns().items()}
+    return df.withColumns(added)

@@ -1,4 +1,4 @@
-"""Session windows against brute force, with and without slicing of hot sessions."""
+"""Session windows against brute force, through the plain window and through ranges."""
 
 import math
 import random
@@ -7,7 +7,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from flowlens.operators.sessions import SkewOptions, add_session_features, find_hot_sessions
+from flowlens.operators.sessions import SkewOptions, add_session_features, has_hot_session, in_ranges
 
 SCHEMA = (
     "flow_id long, src_port long, dst_port long, protocol string, packet_count long, timestamp long,"
@@ -76,47 +76,56 @@ def make_rows(n, seed, hot_share=1 / 3, seconds=50, nulls=True):
     return rows
 
 
-@pytest.mark.parametrize("hot_rows", [3, 17, 100, 10**9])
-@pytest.mark.parametrize("seconds", [1, 40, 5000])
-def test_slices_do_not_change_results(spark, hot_rows, seconds):
-    rows = make_rows(600, seed=hot_rows + seconds, seconds=seconds)
-    df = spark.createDataFrame(rows, SCHEMA)
-    options = SkewOptions(hot_rows=hot_rows, probe_fraction=1.0)
+@pytest.mark.parametrize("ranges,buffer_rows", [(1, 10**6), (7, 10), (60, 5), (200, 10**6)])
+@pytest.mark.parametrize("seconds", [1, 5000])
+def test_ranges_do_not_change_results(spark, ranges, buffer_rows, seconds):
+    """Sessions begin and end anywhere in ranges, some of which hold one row or none; buffers overflow."""
+    rows = make_rows(600, seed=ranges + seconds, seconds=seconds)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    options = SkewOptions(hot_rows=3, probe_fraction=1.0, ranges=ranges, buffer_rows=buffer_rows)
     same(computed(add_session_features(df, options=options)), brute_force(rows))
 
 
-def test_hot_session_is_cut_into_balanced_slices(spark):
-    from pyspark.sql import functions as F
+@pytest.mark.parametrize("hot_rows", [100, 10**9])
+def test_either_way_gives_the_same(spark, hot_rows):
+    rows = make_rows(600, seed=hot_rows, seconds=40)
+    df = spark.createDataFrame(rows, SCHEMA)
+    same(computed(add_session_features(df, options=SkewOptions(hot_rows=hot_rows, probe_fraction=1.0))), brute_force(rows))
 
-    from flowlens.operators.sessions import assign_slices
 
-    rows = make_rows(3000, seed=5, seconds=1, nulls=False)
-    df = spark.createDataFrame(rows, SCHEMA)
-    hot = find_hot_sessions(df, KEYS, "timestamp", "flow_id", SkewOptions(hot_rows=100, probe_fraction=1.0))
-    sizes = (
-        assign_slices(df, hot).where("src_port = 7").groupBy("_slice").agg(F.count("*").alias("n")).collect()
-    )
-    assert len(sizes) >= 8
-    assert max(r["n"] for r in sizes) <= 200
+def test_a_session_of_one_second_is_split(spark):
+    """No range holds much more than its share of the one session, with ids, without any time, and of rows that are all equal."""
+    from pyspark.sql import functions as F
 
+    def largest(df, ordering):
+        blocks = in_ranges(df, KEYS, ordering, SkewOptions(ranges=16)).groupBy("_block").agg(F.count("*").alias("n")).collect()
+        return len(blocks), max(r["n"] for r in blocks)
 
-def test_many_cuts_use_several_chunks(spark):
-    rows = make_rows(1500, seed=8, hot_share=0.9, seconds=3000)
+    rows = [(i, 7, 80, "TCP", 5, 1_700_000_000, 1.0, 1.0) for i in range(4000)]
     df = spark.createDataFrame(rows, SCHEMA)
-    options = SkewOptions(hot_rows=5, probe_fraction=1.0)
-    hot = find_hot_sessions(df, KEYS, "timestamp", "flow_id", options)
-    assert max(len(r["_chunks"]) for r in hot.cuts.collect()) > 2
-    same(computed(add_session_features(df, options=options)), brute_force(rows))
+    timeless = df.withColumn("timestamp", F.lit(None).cast("long"))
+    for frame, ordering in ((df, ["timestamp", "flow_id"]), (timeless, ["timestamp", "flow_id"]), (df.drop("flow_id"), ["timestamp", "packet_count"])):
+        blocks, most = largest(frame, ordering)
+        assert blocks >= 14 and most <= 2 * 4000 / 16
 
 
-def test_no_hot_session_means_plain_window(spark):
+def test_probe_chooses_the_way(spark):
     df = spark.createDataFrame(make_rows(50, seed=1), SCHEMA)
-    assert find_hot_sessions(df, KEYS, "timestamp", "flow_id", SkewOptions(probe_fraction=1.0)) is None
+    assert not has_hot_session(df, KEYS, SkewOptions(probe_fraction=1.0))
+    assert has_hot_session(df, KEYS, SkewOptions(hot_rows=3, probe_fraction=1.0))
+    assert not has_hot_session(df.limit(0), KEYS, SkewOptions(hot_rows=3, probe_fraction=1.0))
+
+
+def test_not_a_number_counts_as_the_largest(spark):
+    rows = [(i, 7, 80, "TCP", 5, i, float("nan") if i % 7 == 3 else float(i), 1.0) for i in range(40)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    ways = [computed(add_session_features(df, options=SkewOptions(hot_rows=h, probe_fraction=1.0, ranges=3))) for h in (5, 10**9)]
+    assert str(ways[0]) == str({k: ways[1][k] for k in ways[0]})
 
 
 @pytest.mark.parametrize("seconds", [1, 30])
 def test_text_tie_breaker(spark, seconds):
-    """Text ids split a busy second by their first bytes."""
+    """Text ids order a busy second."""
     rows = make_rows(400, seed=3, seconds=seconds, nulls=False)
     df = spark.createDataFrame(rows, SCHEMA)
     texts = {r["flow_id"]: r["t"] for r in df.selectExpr("flow_id", "sha1(cast(flow_id AS string)) AS t").collect()}
@@ -124,8 +133,6 @@ def test_text_tie_breaker(spark, seconds):
     renamed = [(texts[r[0]], *r[1:]) for r in rows]
     df = spark.createDataFrame(renamed, SCHEMA.replace("flow_id long", "flow_id string"))
     options = SkewOptions(hot_rows=10, probe_fraction=1.0)
-    hot = find_hot_sessions(df, KEYS, "timestamp", "flow_id", options)
-    assert sum(len(c) for c in hot.cuts.where("src_port = 7").first()["_chunks"]) >= 8
     expected = brute_force([(ranks[r[0]], *r[1:]) for r in rows])
     names = {ranks[k]: t for k, t in texts.items()}
     same(computed(add_session_features(df, options=options)), {names[k]: v for k, v in expected.items()})
@@ -135,8 +142,6 @@ def test_session_without_any_time(spark):
     rows = [(i, 7, 80, "TCP", 5, None, float(i), 1.0) for i in range(300)]
     df = spark.createDataFrame(rows, SCHEMA)
     options = SkewOptions(hot_rows=20, probe_fraction=1.0)
-    hot = find_hot_sessions(df, KEYS, "timestamp", "flow_id", options)
-    assert sum(len(c) for c in hot.cuts.first()["_chunks"]) >= 8
     same(computed(add_session_features(df, options=options)), brute_force(rows))
 
 
