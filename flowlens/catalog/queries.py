@@ -642,6 +642,29 @@ def canary_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("model", about).select("flow_id", "prediction", "model.*")
 
 
+@query
+def serve_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers as texts: classes, and their probabilities in millionths, row by row."""
+    soft = {"stable": concept_scores(), "canary": normal_scores()}
+    scorers = {
+        v: lambda df, s=s: drift.with_rule_probabilities(df, s).withColumnRenamed("probability", "probabilities")
+        for v, s in soft.items()
+    }
+    answers = payloads.serve_requests(
+        _requests(spark, sf_dir), EVENT_PROPERTIES, scorers, "rule", MODEL_KEYS, probability=CANARY, seed=SEED
+    )
+    millionths = F.transform(
+        "probabilities", lambda r: F.array_join(F.transform(r, lambda p: F.round(p * 1e6).cast("long").cast("string")), ":")
+    )
+    return answers.select(
+        "request_id",
+        F.array_join(F.transform("predictions", lambda p: p.cast("string")), ",").alias("predictions"),
+        F.array_join(millionths, ",").alias("probabilities"),
+        "model.*",
+        "error",
+    )
+
+
 # --- streams -----------------------------------------------------------------------------------
 
 

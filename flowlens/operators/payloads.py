@@ -16,33 +16,41 @@ BAD_DATA = "'data' must be an object or a list of objects"
 
 
 def open_requests(requests: DataFrame, body: str = "body") -> DataFrame:
-    """Add `data` (JSON texts of the rows, in order; none for an empty list) and `error`: one of them is null."""
+    """Add `data` (the rows as variants, in order; none for an empty list) and `error`: one of them is null.
+
+    A body is parsed once; after that values stay variants, and kinds are told by casts that leave what lies inside unread.
+    """
     parsed = add_once(requests, {"_body": F.try_parse_json(F.col(body))})
-    found = F.try_variant_get(F.col("_body"), "$.data", "variant")
-    parsed = add_once(parsed, {"_data": found, "_whole": is_kind(F.col("_body"), "OBJECT"), "_kind": F.schema_of_variant(found)})
-    data = F.col("_data")
-    is_list = F.coalesce(F.startswith("_kind", F.lit("ARRAY")), F.lit(False))
-    one = F.array(data)
-    rows = F.when(is_list, F.try_variant_get(data, "$", "array<variant>")).otherwise(one)
-    parsed = add_once(parsed, {"_rows": rows})
+    found = {
+        "_data": F.try_variant_get("_body", "$.data", "variant"),
+        "_list": F.try_variant_get("_body", "$.data", "array<variant>"),
+    }
+    parsed = add_once(parsed, found)
+    rows = F.coalesce("_list", F.array("_data"))
+    missing = F.col("_data").isNull() | F.coalesce(F.is_variant_null("_data"), F.lit(False))
     error = (
-        F.when(~F.col("_whole"), F.lit(NOT_AN_OBJECT))
-        .when(data.isNull() | (F.col("_kind") == "VOID"), F.lit(NO_DATA))
-        .when(~F.forall("_rows", lambda r: is_kind(r, "OBJECT")), F.lit(BAD_DATA))
+        F.when(F.col("_data").isNull() & ~is_object(F.col("_body")), F.lit(NOT_AN_OBJECT))
+        .when(missing, F.lit(NO_DATA))
+        .when(~F.forall(rows, is_object), F.lit(BAD_DATA))
     )
-    texts = F.when(error.isNull(), F.transform("_rows", lambda r: F.to_json(r)))
-    return add_once(parsed, {"data": texts, "error": error}).drop("_body", "_data", "_whole", "_kind", "_rows")
+    parsed = add_once(parsed, {"error": error})
+    data = F.when(F.col("error").isNull(), rows)
+    return parsed.withColumn("data", data).drop("_body", "_data", "_list")
+
+
+def is_object(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
 
 
-def is_kind(value: Column, kind: str) -> Column:
-    return F.coalesce(F.startswith(F.schema_of_variant(value), F.lit(kind)), F.lit(False))
+def row_fields(value: Column, row: T.StructType) -> list[Column]:
+    """The fields of a row; a value of another type is cast where it can be, else null."""
+    return [F.try_variant_get(value, f"$['{f.name}']", f.dataType.simpleString()).alias(f.name) for f in row]
 
 
 def request_rows(opened: DataFrame, row: T.StructType, keys: list[str]) -> DataFrame:
     """(keys..., position, row columns...): one row per flow in `data`, given as object or list."""
-    texts = opened.where("error IS NULL").select(*keys, F.posexplode("data").alias("position", "_text"))
-    parsed = add_once(texts, {"_row": F.from_json("_text", row)})
-    return parsed.select(*keys, "position", "_row.*")
+    found = opened.where("error IS NULL").select(*keys, F.posexplode("data").alias("position", "_row"))
+    return found.select(*keys, "position", *row_fields(F.col("_row"), row))
 
 
 def empty_requests(opened: DataFrame, keys: list[str]) -> DataFrame:
@@ -75,3 +83,38 @@ def score_by_variant(df: DataFrame, scorers: dict, key: str, probability: float,
     routed = with_variant(df, key, probability, seed)
     parts = [scorers[v](routed.where(F.col("variant") == v)) for v in ("stable", "canary")]
     return parts[0].unionByName(parts[1])
+
+
+#: Rows of a request that are put in order at once.
+PART_ROWS = 10_000
+
+
+def serve_requests(
+    requests: DataFrame, row: T.StructType, scorers: dict, framework: str, model_keys: dict[str, str],
+    key: str = "request_id", body: str = "body", probability: float = 0.0, seed: int = 42, part_rows: int = PART_ROWS,
+) -> DataFrame:
+    """(key, predictions, probabilities, model, error): one answer per request, its rows in the order they were sent.
+
+    Scorers add `prediction` and `probabilities`. A request's rows are put in order by parts, which many tasks can do; only
+    finished parts come together in the answer. An empty list has an empty answer; a request with an error has nothing
+    else. Requests that share a key are answered apart.
+    """
+    numbered = requests.withColumn("_request", F.monotonically_increasing_id())
+    opened = open_requests(numbered, body)
+    found = opened.select(key, "_request", "error", F.posexplode_outer("data").alias("position", "_row"))
+    rows = found.select(key, "_request", "error", "position", *row_fields(F.col("_row"), row))
+    scored = score_by_variant(rows, scorers, key, probability, seed)
+    part = F.floor(F.coalesce(F.col("position"), F.lit(0)) / part_rows).cast("int").alias("_part")
+    one = F.when(F.col("position").isNotNull(), F.struct("position", "prediction", "probabilities"))
+    by = [key, "_request", "variant", "error"]
+    parts = scored.groupBy(*by, part).agg(F.sort_array(F.collect_list(one)).alias("_rows"))
+    whole = parts.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("_part", "_rows"))).alias("_parts"))
+    answer = whole.withColumn("_answer", F.flatten(F.transform("_parts", lambda p: p["_rows"])))
+    good = F.col("error").isNull()
+    return answer.select(
+        key,
+        F.when(good, F.transform("_answer", lambda a: a["prediction"])).alias("predictions"),
+        F.when(good, F.transform("_answer", lambda a: a["probabilities"])).alias("probabilities"),
+        F.when(good, model_struct(F.col("variant"), framework, model_keys)).alias("model"),
+        "error",
+    )

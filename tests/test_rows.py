@@ -243,6 +243,46 @@ def test_request_shapes(spark):
     assert rows[0]["bytes_transferred"] == 9.5 and rows[0]["protocol"] == "tcp"
 
 
+def port_scorer(label):
+    def score(df):
+        shares = F.array(F.col("src_port") / 1e6, F.lit(label) * 1.0)
+        return df.withColumns({"prediction": F.col("src_port").cast("long"), "probabilities": shares})
+
+    return score
+
+
+@pytest.mark.parametrize("part_rows", [1, 7, 10_000])
+def test_every_request_has_one_answer(spark, part_rows):
+    """Rows keep their order through many parts; errors and empty lists are answered; equal ids are answered apart."""
+    long = [{**ROW, "src_port": 9000 - i} for i in range(50)]
+    bodies = [
+        ("one", {"data": ROW}), ("long", {"data": long}), ("empty", {"data": []}), ("wrong", {"data": 5}), ("gone", {"rows": []}),
+        ("twice", {"data": [ROW]}), ("twice", {"data": [ROW, ROW]}), (None, {"data": ROW}), ("odd", {"data": {"src_port": "77", "protocol": 5}}),
+        ("unreadable", {"data": {"src_port": "x"}}),
+    ]
+    df = spark.createDataFrame([(i, json.dumps(b)) for i, b in bodies], "request_id string, body string").repartition(3)
+    scorers = {"stable": port_scorer(0), "canary": port_scorer(1)}
+    keys = {"stable": "s", "canary": "c"}
+    answers = payloads.serve_requests(df, EVENT_PROPERTIES, scorers, "rule", keys, probability=0.5, part_rows=part_rows).collect()
+    assert len(answers) == len(bodies)
+    found = {}
+    for a in answers:
+        found.setdefault(a["request_id"], []).append(a)
+    assert found["long"][0]["predictions"] == [r["src_port"] for r in long]
+    assert [p[0] for p in found["long"][0]["probabilities"]] == [r["src_port"] / 1e6 for r in long]
+    assert len({p[1] for p in found["long"][0]["probabilities"]}) == 1
+    assert (found["empty"][0]["predictions"], found["empty"][0]["probabilities"], found["empty"][0]["error"]) == ([], [], None)
+    assert sorted(len(a["predictions"]) for a in found["twice"]) == [1, 2]
+    assert found["odd"][0]["predictions"] == [77] and found["unreadable"][0]["predictions"] == [None]
+    for key, error in (("wrong", payloads.BAD_DATA), ("gone", payloads.NO_DATA)):
+        (a,) = found[key]
+        assert a["error"] == error and a["predictions"] is a["probabilities"] is a["model"] is None
+    for a in answers:
+        if a["error"] is None:
+            assert a["model"]["framework"] == "rule" and a["model"]["model_key"] == a["model"]["variant"][0]
+            assert all(p[1] == (a["model"]["variant"] == "canary") for p in a["probabilities"])
+
+
 @pytest.mark.parametrize("probability,low,high", [(0.0, 0, 0), (None, 0, 0), (-3, 0, 0), (0.3, 240, 360), (1.0, 1000, 1000), (9, 1000, 1000)])
 def test_canary_share(spark, probability, low, high):
     df = spark.range(1000)
