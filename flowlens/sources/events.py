@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.barrier import add_once
 from ..functions.features import epoch_seconds, utc_timestamp
+from ..operators.validate import validate_records
 from ..schemas import EVENT, EVENT_PROPERTIES, PROPERTY_COLUMNS
 
 CORRUPT = "_corrupt"
+#: Where a message stands in its topic; kept through decoding and quarantine where the messages have it.
+POSITION = ("topic", "partition", "offset", "time")
+UNREADABLE_TIME = "unreadable time"
+
+
+def position_columns(df: DataFrame) -> list[str]:
+    return [c for c in POSITION if c in df.columns]
 
 
 def to_messages(flows: DataFrame, key: str = "flow_id", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -49,11 +57,22 @@ def flatten_events(parsed: DataFrame) -> DataFrame:
         *columns,
         epoch_seconds(moment).alias("timestamp"),
         F.col("event.label").cast("long").alias("attack"),
+        *position_columns(parsed),
     )
 
 
+def check_events(parsed: DataFrame, rules: dict[str, Column] | None = None) -> DataFrame:
+    """Decoded messages whose flow breaks a rule, or whose time can't be read, get an error too: they are never scored."""
+    properties = {c: F.col(f"event.properties.{c}") for c in PROPERTY_COLUMNS}
+    checked = validate_records(parsed.withColumns(properties), rules)
+    broken = F.when(F.size("violations") > 0, F.concat(F.lit("invalid: "), F.array_join(F.array_sort("violations"), ",")))
+    moment = F.col("event.timestamp").try_cast("timestamp_ntz")
+    error = F.coalesce("error", broken, F.when(moment.isNull(), F.lit(UNREADABLE_TIME)))
+    return add_once(checked.withColumn("_error", error).drop("error"), {"error": F.col("_error")}).select(*parsed.columns)
+
+
 def rejected_messages(parsed: DataFrame) -> DataFrame:
-    """(key, value, error) of everything that could not be decoded."""
+    """(key, value, error), with its position, of everything that could not be decoded or was not accepted."""
     return parsed.where("error IS NOT NULL").select(
-        F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"), "error"
+        F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"), "error", *position_columns(parsed)
     )

@@ -79,9 +79,10 @@ def sink_options(target: KafkaTarget) -> dict[str, str]:
 
 
 def kafka_messages(spark: SparkSession, target: KafkaTarget, min_partitions: int | None = None) -> DataFrame:
-    """(key, value) texts of a topic as a stream; one task per topic partition, or at least `min_partitions`."""
+    """(key, value, topic, partition, offset, time) of a topic as a stream; one task per topic partition, or at least `min_partitions`."""
     topic = spark.readStream.format("kafka").options(**source_options(target, min_partitions)).load()
-    return topic.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
+    texts = [F.col(c).cast("string").alias(c) for c in ("key", "value")]
+    return topic.select(*texts, "topic", "partition", "offset", F.col("timestamp").alias("time"))
 
 
 def publish(messages: DataFrame, target: KafkaTarget) -> None:

@@ -1,31 +1,35 @@
 """Event stream in, prediction stream and quarantine out.
 
-Stateless per micro-batch. Delivery: each batch overwrites its own folder, so a replayed batch leaves no duplicates
-(exactly once in the tables); a Kafka sink is at-least-once. Batch numbers start anew with each checkpoint, so the
-folder also names the checkpoint's query id.
+Stateless per micro-batch. Delivery: each batch fills its own folder and then writes its commit record (see `commits`), by
+which readers go: a batch cut off half way is not seen, and a batch that is replayed after its record is left as it is (exactly once in
+the tables); a Kafka sink is at-least-once. Batch numbers start anew with each checkpoint, so the folder also names the
+checkpoint's query id. Records keep how many rows a batch gave each output, observed while they were written, and how long it took.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from ..sources.events import flatten_events, parse_messages, rejected_messages
+from ..sources.events import check_events, flatten_events, parse_messages, rejected_messages
 from ..sources.kafka import KafkaTarget, publish
+from .commits import batch_folder, commit_batch, is_committed, read_committed, records
 
 Scorer = Callable[[DataFrame], DataFrame]
 Step = Callable[[DataFrame], DataFrame]
 
 MESSAGE_SCHEMA = "key string, value string"
+POSITION_SCHEMA = "topic string, partition int, offset long, time timestamp"
 
 
-def file_messages(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """(key, value) messages from Parquet files in a folder, new files as they arrive."""
-    reader = spark.readStream.schema(MESSAGE_SCHEMA)
+def file_messages(spark: SparkSession, path: str, files_per_batch: int | None = None, positions: bool = False) -> DataFrame:
+    """(key, value) messages from Parquet files in a folder, with their positions if the files have them; new files as they arrive."""
+    reader = spark.readStream.schema(f"{MESSAGE_SCHEMA}, {POSITION_SCHEMA}" if positions else MESSAGE_SCHEMA)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(path)
@@ -55,14 +59,23 @@ def deliver(
     outputs: dict[str, Step],
     topics: Sequence[tuple[KafkaTarget, Step]] = (),
     run: str = "batch",
+    parse: Step = parse_messages,
 ) -> None:
     """Decode once, then write what each step makes of the batch below its own folder, or to its topic."""
-    parsed = parse_messages(batch).persist(StorageLevel.MEMORY_AND_DISK)
+    spark = batch.sparkSession
+    waiting = {p: s for p, s in outputs.items() if not is_committed(records(spark, p), run, batch_id)}
+    if not waiting and not topics:
+        return
+    began = time.perf_counter()
+    parsed = parse(batch).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        for path, step in outputs.items():
-            step(parsed).write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch_id}")
         for target, step in topics:
             publish(step(parsed), target)
+        for path, step in waiting.items():
+            seen = Observation()
+            rows = step(parsed).observe(seen, F.count(F.lit(1)).alias("rows"))
+            rows.write.mode("overwrite").parquet(batch_folder(path, run, batch_id))
+            commit_batch(spark, path, run, batch_id, seen.get["rows"], 1000 * (time.perf_counter() - began))
     finally:
         parsed.unpersist()
 
@@ -72,6 +85,7 @@ def batch_stream(
     outputs: dict[str, Step],
     checkpoint: str,
     topics: Sequence[tuple[KafkaTarget, Step]] = (),
+    parse: Step = parse_messages,
 ) -> DataStreamWriter:
     """A configured writer; start it with the trigger of your choice."""
     runs: list[str] = []
@@ -79,7 +93,7 @@ def batch_stream(
     def write(batch: DataFrame, batch_id: int) -> None:
         if not runs:
             runs.append(query_id(batch.sparkSession, checkpoint))
-        deliver(batch, batch_id, outputs, topics, runs[0])
+        deliver(batch, batch_id, outputs, topics, runs[0], parse)
 
     return messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
@@ -95,14 +109,20 @@ def decode_stream(messages: DataFrame, output: str, quarantine: str, checkpoint:
 
 
 def scoring_stream(
-    messages: DataFrame, score: Scorer, output: str, quarantine: str, checkpoint: str, model: dict[str, str]
-) -> DataStreamWriter:
-    """JSON predictions to `output`, undecodable messages to `quarantine`."""
+    messages: DataFrame, score: Scorer, output: str, quarantine: str, checkpoint: str, model: dict[str, str],
+    checked: bool = False,
+) -> DataStreamWriter:
+    """JSON predictions to `output`, undecodable messages to `quarantine`; `checked`: those that break a rule or have no
+    readable time as well."""
     outputs = {
         output: lambda parsed: predictions(flatten_events(parsed), score, model),
         quarantine: rejected_messages,
     }
-    return batch_stream(messages, outputs, checkpoint)
+    return batch_stream(messages, outputs, checkpoint, parse=parse_and_check if checked else parse_messages)
+
+
+def parse_and_check(messages: DataFrame) -> DataFrame:
+    return check_events(parse_messages(messages))
 
 
 def topic_scoring_stream(
@@ -124,5 +144,5 @@ def run_continuously(writer: DataStreamWriter, interval: str = "1 second") -> St
 
 
 def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """What a stream has delivered so far."""
-    return spark.read.schema(f"{schema}, run string, batch_id long").parquet(path)
+    """What a stream has delivered so far: complete batches alone."""
+    return read_committed(spark, path, schema)
