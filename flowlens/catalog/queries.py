@@ -40,6 +40,7 @@ from ..session import scratch_path
 from ..sources.artifact import load_artifact
 from ..sources.events import parse_messages, to_messages
 from ..sources.parquet import read_flows, read_split, write_split
+from ..streaming import commits, positions
 from ..streaming import score as streams
 from .flows import FLOW_COLUMNS, flows, flows_bad, flows_split
 
@@ -705,6 +706,9 @@ FLOW_ROW = (
 )
 
 
+MESSAGE_ROW = "key string, value string"
+
+
 @query
 def stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streams.read_batches(spark, _decode(spark, sf_dir)["output"], FLOW_ROW).drop("run", "batch_id")
@@ -767,6 +771,76 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _predicted(_score_stream(spark, paths, _rule_model, files_per_batch=4))
 
 
+@query
+def stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first batches are compacted and expired, more arrive, and one is cut off before its record: read are the complete ones."""
+    paths = _stream_paths(spark)
+    _write_messages(_messages(flows_split(spark, sf_dir, "train")), paths["input"])
+    _score_stream(spark, paths, _rule_model, files_per_batch=1)
+    commits.compact(spark, paths["output"], MESSAGE_ROW, rows_per_file=100_000)
+    commits.expire(spark, paths["output"])
+    _write_messages(_messages(flows_split(spark, sf_dir, "val", "test")), paths["input"])
+    delivered = _score_stream(spark, paths, _rule_model, files_per_batch=1)
+    torn = to_messages(flows(spark, sf_dir)).select("key", "value")
+    torn.write.parquet(commits.batch_folder(paths["output"], "torn", 0))
+    return _predicted(delivered)
+
+
+@query
+def stream_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each micro-batch took in and rejected; of its milliseconds, that there are some."""
+    paths = _stream_paths(spark)
+    messages = _messages(flows(spark, sf_dir))
+    for i in range(4):
+        messages.where(F.col("key").cast("long") % 4 == i).coalesce(1).write.mode("append").parquet(paths["input"])
+    _score_stream(spark, paths, _rule_model, files_per_batch=1)
+    latency = commits.batch_latency(spark, paths["output"], paths["quarantine"])
+    return latency.select("n_rows", "n_rejected", (F.col("millis") > 0).alias("timed"))
+
+
+@query
+def stream_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six partitions, some offsets never used; the train flows are read, and the lag is that to the end of all flows."""
+    paths = _stream_paths(spark)
+    place = F.col("key").cast("long")
+    columns = [
+        F.lit("flows").alias("topic"), (place % 6).cast("int").alias("partition"),
+        F.floor(place / 6).cast("long").alias("offset"), F.timestamp_seconds(place).alias("time"),
+    ]
+
+    def topic(rows: DataFrame) -> DataFrame:
+        return _messages(rows.where("flow_id % 10 <> 7")).select("key", "value", *columns)
+
+    _write_messages(topic(flows_split(spark, sf_dir, "train")), paths["input"])
+    source = streams.file_messages(spark, paths["input"], files_per_batch=2, positions=True)
+    streams.run_available(streams.decode_stream(source, paths["output"], paths["quarantine"], paths["checkpoint"]))
+    good = streams.read_batches(spark, paths["output"], f"{FLOW_ROW}, {streams.POSITION_SCHEMA}")
+    bad = streams.read_batches(spark, paths["quarantine"], f"{MESSAGE_ROW}, error string, {streams.POSITION_SCHEMA}")
+    wanted = ["topic", "partition", "offset", "time"]
+    read = good.select(*wanted, F.lit(None).cast("string").alias("error")).unionByName(bad.select(*wanted, "error"))
+    ends = topic(flows(spark, sf_dir)).groupBy("topic", "partition").agg((F.max("offset") + 1).alias("end_offset"))
+    report = positions.with_lag(positions.partition_report(read), ends)
+    return report.withColumns({c: F.unix_seconds(c) for c in ("first_time", "last_time")})
+
+
+@query
+def stream_validated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message with what became of it: no error, or why it was not scored."""
+    paths = _stream_paths(spark)
+    odd = (F.col("protocol") == "UDP") & (F.col("conn_state") == "SYN")
+    marked = flows_bad(spark, sf_dir).withColumn("odd", F.coalesce(odd, F.lit(False)))
+    value = F.when(F.col("odd"), F.regexp_replace("value", '"timestamp":"[^"]*"', '"timestamp":"soon"')).otherwise(F.col("value"))
+    _write_messages(to_messages(marked, keep=("odd",)).select("key", value.alias("value")), paths["input"])
+    source = streams.file_messages(spark, paths["input"], files_per_batch=2)
+    about = {"variant": "stable", "framework": "rule", "model_key": MODEL_KEYS["stable"]}
+    streams.run_available(
+        streams.scoring_stream(source, _rule_model, paths["output"], paths["quarantine"], paths["checkpoint"], about, checked=True)
+    )
+    good = streams.read_batches(spark, paths["output"], MESSAGE_ROW).select("key", F.lit("").alias("error"))
+    bad = streams.read_batches(spark, paths["quarantine"], f"{MESSAGE_ROW}, error string").select("key", "error")
+    return good.unionByName(bad)
+
+
 # --- evaluation and run log --------------------------------------------------------------------
 
 
