@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -530,6 +531,18 @@ def boosting_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training.boosting_progress(training.fit_model(train, "gbt", seed=SEED, partitions=_cores(spark)), val)
 
 
+@query
+def boosting_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of every round of the boosted softmax model: rows scored, and whether its loss is below that of the round before (train) or
+    of even odds (val)."""
+    parts = dict(zip(("train", "val"), _processed(spark, sf_dir, "train", "val"), strict=True))
+    model = training.fit_model(parts["train"], "softmax", seed=SEED)
+    table = training.softmax_progress(model, parts)
+    before = F.coalesce(F.lag("log_loss").over(Window.partitionBy("split").orderBy("boost_round")), F.lit(math.log(6)))
+    bound = F.when(F.col("split") == "train", before).otherwise(F.lit(math.log(6)))
+    return table.select("split", "boost_round", "n", (F.col("log_loss") < bound).alias("falls"))
+
+
 @query
 def tune_random(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, val = _processed(spark, sf_dir, "train", "val")

@@ -12,7 +12,7 @@ from ..session import DEFAULT_READ_MB, build_session
 from ..sources.parquet import DEFAULT_RECORDS_PER_FILE, read_processed, read_split, write_split
 from .preprocess import FittedFeatures, feature_set, load_fitted
 from .tracking import Run, RunLog, metric_dict, report_text
-from .training import TrainingResult, train
+from .training import TrainingResult, framework_name, train
 from .tuning import SEARCHES, Trial, best, final_params, last_rung
 
 
@@ -27,6 +27,27 @@ def load_params(path: str) -> dict:
     return yaml.safe_load(text)
 
 
+# Feature sets of the module names in existing parameter files.
+MODULES = {"preprocessing_001": "deployed"}
+
+
+def section(params: dict, *wanted: str) -> dict:
+    """The part of a nested parameter file, the outermost first, that has one of the keys; else all of it."""
+    level = [params]
+    while level:
+        for part in level:
+            if any(key in part for key in wanted):
+                return part
+        level = [v for part in level for v in part.values() if isinstance(v, dict)]
+    return params
+
+
+def feature_name(params: dict) -> str:
+    """The feature set by its name, or by that of a pipeline module."""
+    module = str((params.get("pipeline") or {}).get("module", "")).rpartition(".")[2]
+    return params.get("features") or MODULES.get(module, module) or "deployed"
+
+
 @dataclass
 class PreprocessJob:
     """Fit on train once, apply everywhere; val and test load the artifact if this process did not fit."""
@@ -41,6 +62,7 @@ class PreprocessJob:
 
     @classmethod
     def from_params(cls, params: dict, raw: str, processed: str, artifact: str) -> "PreprocessJob":
+        params = section(params, "read_batch_size", "write_batch_size", "pipeline", "features")
         spark = build_session(
             params.get("app_name", "flowlens"), read_partition_mb=params.get("read_batch_size", DEFAULT_READ_MB)
         )
@@ -49,7 +71,7 @@ class PreprocessJob:
             raw,
             processed,
             artifact,
-            params.get("features", "deployed"),
+            feature_name(params),
             params.get("write_batch_size", DEFAULT_RECORDS_PER_FILE),
         )
 
@@ -89,13 +111,13 @@ class TrainingJob:
 
     @classmethod
     def from_params(cls, spark: SparkSession, params: dict, processed: str, output: str) -> "TrainingJob":
-        """From the `model` section of a parameter file, or its contents."""
-        params = params.get("model", params)
+        """From the part of a parameter file that describes the model, wherever it lies."""
+        params = section(params, "framework", "target", "num_classes")
         return cls(
             spark,
             processed,
             output,
-            params.get("framework", "gbt"),
+            framework_name(params.get("framework", "gbt")),
             params.get("tune", False),
             params.get("sample_fraction_for_tuning"),
             params.get("trials"),

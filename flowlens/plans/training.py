@@ -1,4 +1,4 @@
-"""Multiclass training on Spark ML: boosted trees, a random forest, or a multilayer perceptron."""
+"""Multiclass training: boosted softmax trees, and on Spark ML one-vs-rest boosted trees, a random forest, or a multilayer perceptron."""
 
 from __future__ import annotations
 
@@ -35,6 +35,7 @@ from ..operators.evaluate import (
 from ..operators.validate import require_contract
 from ..schemas import CLASS_NAMES, MODEL_INPUTS, NUM_CLASSES, TARGET
 from ..session import ensure_checkpoint_dir
+from .boosting import SOFTMAX_PARAMS, SoftmaxTrees, fit_softmax, round_metrics
 
 # Default parameters of the boosted-tree model.
 GBT_PARAMS = {
@@ -98,10 +99,16 @@ def estimator(framework: str, params: dict, inputs: int, classes: int, seed: int
         return RandomForestClassifier(
             numTrees=int(params["num_trees"]), maxDepth=int(params["max_depth"]), seed=seed
         )
-    raise ValueError(f"unknown framework {framework!r}; known: gbt, mlp, forest")
+    raise ValueError(f"unknown framework {framework!r}; known: softmax, gbt, mlp, forest")
 
 
-DEFAULTS = {"gbt": GBT_PARAMS, "mlp": MLP_PARAMS, "forest": FOREST_PARAMS}
+DEFAULTS = {"softmax": SOFTMAX_PARAMS, "gbt": GBT_PARAMS, "mlp": MLP_PARAMS, "forest": FOREST_PARAMS}
+# Framework names of existing parameter files.
+FRAMEWORKS = {"xgboost": "softmax", "pytorch": "mlp"}
+
+
+def framework_name(name: str) -> str:
+    return FRAMEWORKS.get(name, name)
 
 
 def class_probabilities(kind: str, classes: int) -> Column:
@@ -116,6 +123,8 @@ def class_probabilities(kind: str, classes: int) -> Column:
         )
         total = F.aggregate(single, F.lit(0.0), lambda a, v: a + v)
         shares = F.transform(single, lambda v: v / total)
+    elif kind == "softmax":
+        shares = F.col("probability")
     else:
         shares = vector_to_array(F.col("probability"))
     padded = F.concat(shares, F.array_repeat(F.lit(0.0), classes))
@@ -131,7 +140,7 @@ def usable(inputs: list[str]) -> list[Column]:
 class FlowModel:
     """A trained classifier with the input order and class count it was trained on."""
 
-    stages: PipelineModel
+    stages: PipelineModel | SoftmaxTrees
     framework: str
     inputs: list[str] = field(default_factory=lambda: list(MODEL_INPUTS))
     classes: int = NUM_CLASSES
@@ -146,7 +155,10 @@ class FlowModel:
         return scored.select("_row.*", "prediction", "probabilities")
 
     def save(self, spark: SparkSession, path: str) -> None:
-        self.stages.write().overwrite().save(f"{path}/model")
+        if isinstance(self.stages, SoftmaxTrees):
+            self.stages.save(spark, f"{path}/model")
+        else:
+            self.stages.write().overwrite().save(f"{path}/model")
         about = {
             "framework": self.framework,
             "inputs": self.inputs,
@@ -161,7 +173,8 @@ class FlowModel:
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "FlowModel":
         about = json.loads(spark.read.text(f"{path}/about", wholetext=True).first()[0])
-        stages = PipelineModel.load(f"{path}/model")
+        softmax = about["framework"] == "softmax"
+        stages = SoftmaxTrees.load(spark, f"{path}/model") if softmax else PipelineModel.load(f"{path}/model")
         return cls(stages, about["framework"], about["inputs"], about["classes"], about["params"])
 
 
@@ -185,12 +198,16 @@ def fit_model(
     """
     require_contract(train, target)
     ensure_checkpoint_dir(train.sparkSession)
+    framework = framework_name(framework)
     params = {**DEFAULTS.get(framework, {}), **(params or {})}
     inputs = list(MODEL_INPUTS)
     filled = train.where(F.col(target).isNotNull()).select(
         *usable(inputs),
         F.col(target).cast("double").alias("label"),
     )
+    if framework == "softmax":
+        spread = filled.repartition(partitions) if partitions else filled
+        return FlowModel(fit_softmax(spread, inputs, params, classes, seed=seed), framework, inputs, classes, params)
     assembler = VectorAssembler(inputCols=inputs, outputCol="features")
     vectors = assembler.transform(filled).select("features", "label")
     vectors = vectors.repartition(partitions) if partitions else vectors
@@ -296,3 +313,11 @@ def boosting_progress(model: FlowModel, df: DataFrame, target: str = TARGET) ->
             for step, loss in enumerate(binary.evaluateEachIteration(one), start=1):
                 rows.append((place, step, float(loss)))
     return df.sparkSession.createDataFrame(rows, "class int, boost_round int, loss double")
+
+
+def softmax_progress(model: FlowModel, parts: dict[str, DataFrame], target: str = TARGET) -> DataFrame:
+    """(split, boost_round, n, log_loss, error) of a boosted softmax model after every round, on all parts in one pass."""
+    if not isinstance(model.stages, SoftmaxTrees):
+        raise ValueError("rounds of all classes together are reported for the softmax model only")
+    rows = label_splits({k: df.select(*usable(model.inputs), F.col(target).alias("label")) for k, df in parts.items()})
+    return round_metrics(model.stages, rows)

@@ -38,6 +38,14 @@ def log_uniform(low: float, high: float) -> Draw:
 
 # Search spaces, trial counts and rung settings.
 SEARCH_SPACES: dict[str, dict[str, Draw]] = {
+    "softmax": {
+        "max_depth": whole(3, 11),
+        "min_child_weight": choice(1, 2, 3),
+        "subsample": uniform(0.5, 1.0),
+        "eta": log_uniform(1e-4, 3e-1),
+        "lambda": log_uniform(1e-3, 10.0),
+        "alpha": log_uniform(1e-3, 10.0),
+    },
     "gbt": {
         "max_depth": whole(3, 11),
         "min_child_weight": choice(1, 2, 3),
@@ -50,8 +58,8 @@ SEARCH_SPACES: dict[str, dict[str, Draw]] = {
         "tol": log_uniform(1e-7, 1e-3),
     },
 }
-TRIALS = {"gbt": 3, "mlp": 5}
-ROUNDS = {"gbt": "num_boost_round", "mlp": "max_epochs"}
+TRIALS = {"softmax": 3, "gbt": 3, "mlp": 5}
+ROUNDS = {"softmax": "num_boost_round", "gbt": "num_boost_round", "mlp": "max_epochs"}
 GRACE_ROUNDS = 5
 MAX_ROUNDS = 10
 REDUCTION = 2

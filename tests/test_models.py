@@ -1,6 +1,7 @@
 """Training, tuning and scoring on rule-labelled flows."""
 
 import json
+import math
 
 import numpy as np
 import pytest
@@ -8,8 +9,8 @@ from pyspark.sql import functions as F
 
 from flowlens.operators import drift
 from flowlens.operators.batch_score import score_batches
-from flowlens.plans import training, tuning
-from flowlens.plans.job import TrainingJob
+from flowlens.plans import boosting, training, tuning
+from flowlens.plans.job import PreprocessJob, TrainingJob
 from flowlens.plans.preprocess import feature_set
 from flowlens.plans.tracking import RunLog, metric_dict
 
@@ -199,3 +200,108 @@ def test_draws_of_the_neural_search_differ(spark, small_flows):
         for knobs in ({"width": 8}, {"width": 32}, {"width": 8, "tol": 0.5})
     }
     assert len(losses) == 3
+
+
+# --- boosted softmax ---------------------------------------------------------------------------------
+
+
+def plain_boosting(x, y, params, classes, rounds):
+    """One level of second-order trees on rows in memory, cut between any two values."""
+    margins, losses = np.zeros((len(y), classes)), []
+    for _ in range(rounds):
+        p = boosting.softmax(margins)
+        losses.append(float(-np.log(p[np.arange(len(y)), y]).mean()))
+        step = np.zeros_like(margins)
+        for k in range(classes):
+            g, h = p[:, k] - (y == k), 2 * p[:, k] * (1 - p[:, k])
+            t = lambda v: np.sign(v) * max(abs(v) - params["alpha"], 0)
+            score = lambda v, w: t(v) ** 2 / (w + params["lambda"])
+            best = (0.0, None)
+            for f in range(x.shape[1]):
+                for cut in np.unique(x[:, f])[:-1]:
+                    left = x[:, f] <= cut
+                    if min(h[left].sum(), h[~left].sum()) >= params["min_child_weight"]:
+                        gain = score(g[left].sum(), h[left].sum()) + score(g[~left].sum(), h[~left].sum()) - score(g.sum(), h.sum())
+                        if gain > best[0] + 1e-9:
+                            best = (gain, left)
+            sides = [np.ones(len(y), bool)] if best[1] is None else [best[1], ~best[1]]
+            for side in sides:
+                step[side, k] = -params["eta"] * t(g[side].sum()) / (h[side].sum() + params["lambda"])
+        margins = margins + step
+    return losses, boosting.softmax(margins)
+
+
+@pytest.mark.parametrize("changed", [{}, {"alpha": 2.0, "lambda": 5.0}, {"min_child_weight": 12.0, "eta": 0.9}])
+def test_softmax_trees_equal_trees_in_memory(spark, changed):
+    rng = np.random.default_rng(3)
+    x = np.stack([rng.integers(0, 12, 150), rng.integers(0, 5, 150)], axis=1).astype(float)
+    y = ((x[:, 0] > 5).astype(int) + (x[:, 1] > 2)) % 3
+    df = spark.createDataFrame([(int(c), *map(float, r)) for c, r in zip(y, x, strict=True)], "label int, a double, b double").repartition(3)
+    params = {**boosting.SOFTMAX_PARAMS, "max_depth": 1, "num_boost_round": 4, **changed}
+    model = boosting.fit_softmax(df, ["a", "b"], params, classes=3)
+    losses, shares = plain_boosting(x, y, params, 3, 4)
+    assert [h[0] for h in model.history] == pytest.approx(losses)
+    found = {(r.a, r.b): r.probability for r in model.transform(df).collect()}
+    for row, p in zip(x, shares, strict=True):
+        assert found[tuple(row)] == pytest.approx(list(p))
+
+
+def test_softmax_weights_count_as_copies_and_draws_repeat(spark):
+    rng = np.random.default_rng(4)
+    rows = [(int(i % 3), int(rng.integers(1, 4)), float(rng.integers(0, 9)), float(rng.integers(0, 9) + i % 3)) for i in range(90)]
+    df = spark.createDataFrame(rows, "label int, w int, a double, b double")
+    many = df.selectExpr("*", "explode(sequence(1, w)) AS i")
+    params = {"max_depth": 3, "num_boost_round": 3}
+    weighted, copied = boosting.fit_softmax(df, ["a", "b"], params, 3, weight="w"), boosting.fit_softmax(many, ["a", "b"], params, 3)
+    assert [h[0] for h in weighted.history] == pytest.approx([h[0] for h in copied.history])
+    half = [boosting.fit_softmax(df.coalesce(1), ["a", "b"], {**params, "subsample": 0.5}, 3, seed=s) for s in (1, 1, 2)]
+    assert half[0].history == half[1].history != half[2].history
+    dirty = df.unionByName(df.selectExpr("7 AS label", "w", "a", "b")).unionByName(df.selectExpr("null AS label", "w", "a", "b"))
+    assert np.allclose(boosting.fit_softmax(dirty, ["a", "b"], params, 3, weight="w").history, weighted.history)
+
+
+def test_rows_written_again_change_nothing(spark, monkeypatch):
+    rows = [(int(i % 3), float(i % 7), float(i % 11)) for i in range(100)]
+    df = spark.createDataFrame(rows, "label int, a double, b double")
+    params = {"max_depth": 2, "num_boost_round": 5}
+    once = boosting.fit_softmax(df, ["a", "b"], params, 3)
+    monkeypatch.setattr(boosting, "REFRESH", 2)
+    again = boosting.fit_softmax(df, ["a", "b"], params, 3)
+    assert [h[0] for h in again.history] == pytest.approx([h[0] for h in once.history])
+
+
+@pytest.fixture(scope="module")
+def softmax_model(parts):
+    return training.fit_model(parts["train"], "xgboost", {"num_boost_round": 5, "max_depth": 4})
+
+
+def test_softmax_learns(parts, softmax_model):
+    assert tuning.validation_loss(softmax_model, parts["val"], "attack") < 1.0 < math.log(6)
+    assert accuracy(softmax_model, parts["test"]) > majority(parts["test"])
+
+
+def test_softmax_progress_and_roundtrip(spark, parts, softmax_model, tmp_path):
+    table = training.softmax_progress(softmax_model, {s: parts[s] for s in ("train", "val")}).collect()
+    train = [r for r in sorted(table, key=lambda r: r["boost_round"]) if r["split"] == "train"]
+    assert len(table) == 10 and all(r["n"] == parts[r["split"]].count() for r in table)
+    assert all(a["log_loss"] > b["log_loss"] for a, b in zip(train, train[1:], strict=False))
+    assert [r["log_loss"] for r in train[:-1]] == pytest.approx([h[0] for h in softmax_model.stages.history[1:]])
+    assert train[-1]["error"] == pytest.approx(1 - accuracy(softmax_model, parts["train"]))
+    softmax_model.save(spark, str(tmp_path / "m"))
+    loaded = training.FlowModel.load(spark, str(tmp_path / "m"))
+    a, b = (m.score(parts["val"]).selectExpr("prediction", "probabilities").collect() for m in (softmax_model, loaded))
+    assert a == b and loaded.framework == "softmax"
+    with pytest.raises(ValueError, match="softmax model only"):
+        training.softmax_progress(training.FlowModel(None, "gbt"), {})
+
+
+def test_jobs_read_nested_parameter_files(spark, tmp_path):
+    """Sections may lie below others; frameworks and feature modules go by their names in existing files."""
+    params = {
+        "cluster": {"model": {"framework": "xgboost", "seed": 5, "target": "attack", "num_classes": 6, "sample_fraction_for_tuning": 0.2}},
+        "batch": {"read_batch_size": 512, "write_batch_size": 1000, "pipeline": {"module": "preprocessing.preprocessing_001"}},
+    }
+    job = TrainingJob.from_params(spark, params, "p", "o")
+    assert (job.framework, job.seed, job.sample_fraction) == ("softmax", 5, 0.2)
+    prepare = PreprocessJob.from_params(params, "r", "p", "a")
+    assert (prepare.features, prepare.records_per_file) == ("deployed", 1000)
