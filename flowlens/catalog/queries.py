@@ -266,6 +266,18 @@ def encoder_apply_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def encoder_apply_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the flows have one session; the mapping is joined without sending it, and that session is looked up in place."""
+    df = fx.add(flows(spark, sf_dir), fx.session_id("_"))
+    train = fx.add(flows_split(spark, sf_dir, "train"), fx.session_id("_"))
+    vocabulary = fit_encoders(train, ["session_id"], inline_limit=100).columns["session_id"]
+    known = train.agg(F.min("session_id")).first()[0]
+    skewed = df.withColumn("session_id", F.when(F.col("flow_id") % 3 == 0, known).otherwise(F.col("session_id")))
+    indexed = index_by_join(skewed, "session_id", vocabulary, "session_id_idx", broadcast=False)
+    return indexed.select("flow_id", "session_id", "session_id_idx")
+
+
 # --- scalers -----------------------------------------------------------------------------------
 
 

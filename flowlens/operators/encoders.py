@@ -2,7 +2,7 @@
 
 Small vocabularies travel as map literals inside the plan (no shuffle, no join). Vocabularies above
 `INLINE_LIMIT` stay distributed as a table and are applied with a join: broadcast when the table is
-known to be small, salted otherwise so that no single hot value lands in one task.
+known to be small; otherwise hot values are looked up in place, so that none of them lands in one task.
 """
 
 from __future__ import annotations
@@ -18,7 +18,9 @@ from .ranking import rank_distinct
 INLINE_LIMIT = 1000
 BROADCAST_VALUES = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-JOIN_SALTS = 16
+#: Values looked up in place because many rows hold them, at most, and items that a task's sketch of them tracks.
+HOT_VALUES = 1000
+SKETCH_ITEMS = 10_000
 UNSEEN = -1
 
 
@@ -127,21 +129,41 @@ def index_column(column: str, vocabulary: Vocabulary) -> Column:
     return F.coalesce(found, F.lit(UNSEEN))
 
 
-def index_by_join(df: DataFrame, column: str, vocabulary: Vocabulary, output: str) -> DataFrame:
-    """Index by a left join; unseen and null give -1."""
+def hot_values(df: DataFrame, column: str, least: int | None = None) -> list[str]:
+    """Values held by so many rows that they would overload a task: at most HOT_VALUES, from a bounded sketch that every task
+    fills and that is merged. `least`: rows from which a value is hot, else a fair partition's share."""
+    text = F.col(column).cast("string")
+    sketch = F.expr(f"approx_top_k(_text, {HOT_VALUES}, {SKETCH_ITEMS})").alias("top")
+    found = df.select(text.alias("_text")).where("_text IS NOT NULL").agg(F.count("*").alias("n"), sketch).first()
+    if not found["n"]:
+        return []
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bound = least or max(1, found["n"] // partitions)
+    return [r["item"] for r in found["top"] if r["count"] >= bound]
+
+
+def index_by_join(
+    df: DataFrame, column: str, vocabulary: Vocabulary, output: str, broadcast: bool | None = None, least: int | None = None
+) -> DataFrame:
+    """Index by a left join; unseen and null give -1.
+
+    A vocabulary too large to be sent is joined by value. Hot values are taken out before: they get their index from a map literal
+    where they are, as do nulls, and only the rest is shuffled, of which no value fills a partition.
+    """
     keyed = df.withColumn("_value", F.col(column).cast("string"))
     table = vocabulary.table.select(F.col("value").alias("_value"), F.col("idx").alias("_idx"))
-    keys = ["_value"]
-    if vocabulary.broadcastable:
-        table = F.broadcast(table)
-    else:
-        salts = F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1))
-        table = table.withColumn("_salt", F.explode(salts))
-        keyed = keyed.withColumn("_salt", F.spark_partition_id() % JOIN_SALTS)
-        keys.append("_salt")
-    joined = keyed.join(table, keys, "left")
-    result = joined.withColumn(output, F.coalesce("_idx", F.lit(UNSEEN)))
-    return result.drop("_idx", "_value", "_salt")
+    if vocabulary.broadcastable if broadcast is None else broadcast:
+        joined = keyed.join(F.broadcast(table), "_value", "left")
+        return joined.withColumn(output, F.coalesce("_idx", F.lit(UNSEEN))).drop("_idx", "_value")
+    hot = hot_values(df, column, least)
+    known = {r["_value"]: r["_idx"] for r in table.where(F.col("_value").isin(hot)).collect()} if hot else {}
+    is_hot = F.coalesce(F.col("_value").isin(hot), F.lit(True)) if hot else F.col("_value").isNull()
+    pairs = [F.lit(x) for pair in known.items() for x in pair]
+    index = F.coalesce(F.try_element_at(F.create_map(*pairs), F.col("_value")), F.lit(UNSEEN)) if pairs else F.lit(UNSEEN)
+    here = keyed.where(is_hot).withColumn(output, index.cast("int"))
+    rest = keyed.where(~is_hot).join(table, "_value", "left").withColumn(output, F.coalesce("_idx", F.lit(UNSEEN)).cast("int"))
+    columns = [*(c for c in df.columns if c != output), output]
+    return here.select(*columns).unionByName(rest.select(*columns))
 
 
 def apply_encoders(

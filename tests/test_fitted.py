@@ -54,7 +54,7 @@ def test_in_place_keeps_column_order(spark):
 
 @pytest.mark.parametrize("broadcastable", [True, False])
 def test_large_vocabulary_is_ranked_and_joined(spark, monkeypatch, broadcastable):
-    """A third of all rows carry one value; the join is salted when the table is not known to be small."""
+    """A third of all rows carry one value; it is looked up in place when the table is not known to be small."""
     if not broadcastable:
         monkeypatch.setattr(enc, "BROADCAST_VALUES", 10)
     values = [f"v{i:05d}" for i in range(2500)]
@@ -203,3 +203,22 @@ def test_params_and_session_settings(tmp_path):
     assert not any("s3a" in k for k in session_conf())
     (tmp_path / "p.json").write_text('{"a": 1}')
     assert load_params(str(tmp_path / "p.json")) == {"a": 1}
+
+
+def test_hot_values_are_not_shuffled(spark):
+    """A third of the rows hold one known value, some one unknown value, many none: no task of the join gets more than its share."""
+    from flowlens.operators.encoders import Vocabulary, hot_values, index_by_join
+
+    values = [("hot" if i % 3 == 0 else "foreign" if i % 3 == 1 and i < 1500 else None if i % 30 == 2 else f"v{i % 700}") for i in range(6000)]
+    df = spark.createDataFrame(list(enumerate(values)), "id long, v string").repartition(4)
+    known = sorted({v for v in values if v and v != "foreign"})
+    table = spark.createDataFrame([(v, i) for i, v in enumerate(known)], "value string, idx int")
+    assert set(hot_values(df, "v", least=400)) == {"hot", "foreign"}
+    vocabulary = Vocabulary(table=table, size=10**9, bytes=10**12)
+    indexed = index_by_join(df, "v", vocabulary, "v_idx", least=400)
+    place = {v: i for i, v in enumerate(known)}
+    assert {r["id"]: r["v_idx"] for r in indexed.collect()} == {i: place.get(v, -1) for i, v in enumerate(values)}
+    left = df.where(~F.coalesce(F.col("v").isin("hot", "foreign"), F.lit(True)))
+    shares = left.repartition(8, "v").groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in shares) < 2.5 * left.count() / 8
+    assert hot_values(df.limit(0), "v") == []

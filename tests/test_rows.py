@@ -77,6 +77,24 @@ def test_stratified_sample_is_exact(spark, fraction):
     assert collections.Counter(found) == collections.Counter(expected)
 
 
+@pytest.mark.parametrize("digits,cut_rows", [(1, 5), (1, 100), (3, 2)])
+def test_radix_selection_gives_the_same_sample(spark, digits, cut_rows):
+    """Few digits a round and small tasks: more rounds, the same rows. The id with 400 copies can't be told apart by any digit."""
+    rows = [(i, 0 if i % 9 else 1, i % 4) for i in range(3000)] + [(1, 5, 0)] * 400
+    df = spark.createDataFrame(rows, "id long, label long, x int").repartition(3)
+    sample = lambda **options: collections.Counter(map(tuple, sampling.stratified_sample(df, "label", 0.3, "id", 9, **options).collect()))
+    assert sample(digits=digits, cut_rows=cut_rows) == sample()
+    unlike = df.where("label <> 5").withColumn("_hash", F.md5(F.concat(F.lit("9|"), F.col("id").cast("string"))))
+    cuts, rounds = sampling.find_cuts(unlike, "label", 0.3, digits, cut_rows)
+    assert cuts.agg(F.max("_n")).first()[0] <= cut_rows
+    assert rounds == (1 if digits == 3 and cut_rows > 5 else rounds) and 1 <= rounds <= 5
+    assert sampling.find_cuts(unlike, "label", 0.3, 4, 10**6)[1] == 1
+
+
+def test_sample_of_no_rows(spark):
+    assert sampling.stratified_sample(spark.createDataFrame([], "id long, label long"), "label", 0.5, "id").collect() == []
+
+
 def test_share_sample(spark):
     df = spark.range(2000)
     found = {r["id"] for r in sampling.share_sample(df, 0.25, "id", 3).collect()}
