@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -447,19 +448,24 @@ def drift_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(table, "value")
 
 
+def _normal(spark: SparkSession, sf_dir: str, split: str) -> DataFrame:
+    """Flows with the normal rule's classes, from which the scenarios drift away."""
+    return drift.with_rule_label(flows_split(spark, sf_dir, split), normal_scores(), TARGET)
+
+
 @query
 def drift_retrain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trained on normal labels and retrained on concept labels, both scored on all scenarios."""
-    train = flows_split(spark, sf_dir, "train")
+    """The boosted model trained on normal classes and retrained on concept classes, both scored on all scenarios of val and test."""
+    train = _normal(spark, sf_dir, "train")
     fitted = _fitted(spark, sf_dir)
-    rows = drift.scenarios(flows_split(spark, sf_dir, "val"))
-    prepared = fitted.transform(rows, keep=("scenario",))
+    prepared = {s: fitted.transform(drift.scenarios(_normal(spark, sf_dir, s)), keep=("scenario",)) for s in ("val", "test")}
     parts = []
     for name, source in (("normal", train), ("concept", drift.relabel(train))):
-        model = training.fit_model(fitted.transform(source), "forest", seed=SEED)
-        table = drift.evaluate_scenarios(prepared, model.score)
-        parts.append(table.withColumn("trained_on", F.lit(name)))
-    return rounded(parts[0].unionByName(parts[1]), "value")
+        model = training.fit_model(fitted.transform(source), "softmax", {"max_depth": 4}, seed=SEED)
+        for split, rows in prepared.items():
+            table = drift.evaluate_scenarios(rows, model.score)
+            parts.append(table.withColumns({"trained_on": F.lit(name), "split": F.lit(split)}))
+    return rounded(reduce(DataFrame.unionByName, parts), "value")
 
 
 # --- fit / apply -------------------------------------------------------------------------------
@@ -585,7 +591,7 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def score_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of rows whose scores keep their promises: shares sum to 1, the first greatest share wins."""
     fitted = _fitted(spark, sf_dir)
-    model = training.fit_model(fitted.transform(flows_split(spark, sf_dir, "train")), "forest", seed=SEED)
+    model = training.fit_model(fitted.transform(drift.relabel(flows_split(spark, sf_dir, "train"))), "forest", seed=SEED)
     scored = model.score(fitted.transform(flows(spark, sf_dir)))
     total = F.aggregate("probabilities", F.lit(0.0), lambda a, v: a + v)
     place = F.array_position("probabilities", F.array_max("probabilities")) - 1
