@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +20,8 @@ BATCH_ROWS = 1000
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Bytes of text that one vectorised step handles.
 SLICE_BYTES = 4 << 20
+#: Tables written since each open `scratch_scope` began, the innermost last.
+_WRITTEN: list[list[str]] = []
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,9 +57,31 @@ def stored(df: DataFrame, purpose: str, *partition_by: str) -> DataFrame:
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     finally:
         spark.conf.set(SHUFFLE_CLEANUP, before)
+    if _WRITTEN:
+        _WRITTEN[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Delete the tables stored within when the scope ends. The function given marks the last one stored as its result,
+    which stays: lost executors read that again, so nothing deleted is needed."""
+
+    def kept(df: DataFrame) -> DataFrame:
+        path = _WRITTEN[-1].pop()
+        if len(_WRITTEN) > 1:
+            _WRITTEN[-2].append(path)
+        return df
+
+    _WRITTEN.append([])
+    try:
+        yield kept
+    finally:
+        for path in _WRITTEN.pop():
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
 def word_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 

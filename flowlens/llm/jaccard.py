@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import slices, small_batches, stored, text_bytes, text_column
+from flowlens.llm.common import scratch_scope, slices, small_batches, small_side, stored, text_bytes, text_column
 from flowlens.llm.graph import components, merged
 from flowlens.llm.words import distinct_sets, find_words, mix
 
@@ -46,9 +47,12 @@ MOST = 255
 CHUNK, CHUNK_HITS = 4096, 256
 #: Nodes of each chunk that meet nodes of the first chunk at once.
 LINKING = 8
-#: A shingle is frequent from this count on, or from a 2^19th of all counted shingles.
+#: A shingle is frequent from this count on. Frequent ones are marks in a table of 2^MARK_BITS bits; the count is doubled
+#: while they would fill more than a quarter of it. A shingle that shares another's mark only comes later in the order.
 FREQUENT = 32
-MOST_FREQUENT = 1 << 19
+MARK_BITS = 27
+#: Counts are known, for dealing, of shingles that a chunk's CHUNK / KNOWN_PARTS nodes hold.
+KNOWN_PARTS = 4
 #: Blocks up to this size, a leaf, are taken apart into their pairs.
 SMALL_BLOCK = LEAF
 #: A node's last bits hold its size as a power of STEP; sizes of linked sets are at most REACH steps apart.
@@ -143,36 +147,68 @@ class CountTree:
 
 
 def shingle_nodes(df: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, node, n): node null where the set is empty."""
+    """(doc_id, node, n, packed): node null where the set is empty; packed, the set, once for each node and task."""
     rows = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in slices(batches, "text"):
             sets = distinct_sets(find_words(text_column(batch, "text"), lower=True), SHINGLE)
-            nodes = pa.array([node_of(s) if len(s) else None for s in sets], pa.int64())
+            nodes = [node_of(s) if len(s) else None for s in sets]
+            packed = []
+            for node, s in zip(nodes, sets, strict=True):
+                packed.append(None if node is None or node in seen else s.tobytes())
+                seen.add(node)
             sizes = pa.array([len(s) for s in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), nodes, sizes], names=["doc_id", "node", "n"])
+            arrays = [batch.column(0), pa.array(nodes, pa.int64()), sizes, pa.array(packed, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "node", "n", "packed"])
+
+    return rows.mapInArrow(work, f"doc_id {dict(rows.dtypes)['doc_id']}, node long, n long, packed binary")
+
 
-    return rows.mapInArrow(work, f"doc_id {dict(rows.dtypes)['doc_id']}, node long, n long")
+def node_sets(rows: DataFrame) -> DataFrame:
+    """(node, n, packed) of `shingle_nodes`; a node may stand there several times."""
+    return rows.filter("packed IS NOT NULL").select("node", "n", "packed")
 
 
 def _new_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, np.ndarray]]]:
     """Nodes with their sets, once for each task."""
     seen: set[int] = set()
-    for batch in slices(batches, "text"):
+    for batch in batches:
         found = []
-        for s in distinct_sets(find_words(text_column(batch, "text"), lower=True), SHINGLE):
-            if len(s) and (node := node_of(s)) not in seen:
+        for node, packed in zip(batch.column(0).to_pylist(), batch.column(2), strict=True):
+            if node not in seen:
                 seen.add(node)
-                found.append((node, s))
+                found.append((node, np.frombuffer(packed.as_buffer(), np.uint64)))
         yield found
 
 
-def frequent_shingles(texts: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes, ascending, and counts of shingles that many nodes hold: early in hash order, at most MOST_FREQUENT, or
-    anywhere, from half a chunk on, told from a sample of distinct texts."""
-    least = max(FREQUENT, -(-total // MOST_FREQUENT))
+class Frequent(NamedTuple):
+    """Shingles many nodes hold: marks of all, and ascending hashes and counts of the most frequent."""
+
+    marks: np.ndarray
+    keys: np.ndarray
+    counts: np.ndarray
+
+    def often(self, shingles: np.ndarray) -> np.ndarray:
+        bits = shingles >> np.uint64(64 - MARK_BITS)
+        marked = (self.marks[(bits >> np.uint64(6)).astype(np.int64)] >> (bits & np.uint64(63))) & np.uint64(1) != 0
+        return marked | (self._known(shingles)[1])
 
+    def count(self, shingles: np.ndarray) -> np.ndarray:
+        at, known = self._known(shingles)
+        return np.where(known, self.counts[at], 1) if len(self.keys) else np.ones(len(shingles), np.int64)
+
+    def _known(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(self.keys):
+            return np.zeros(len(shingles), np.int64), np.zeros(len(shingles), bool)
+        at = np.minimum(np.searchsorted(self.keys, shingles), len(self.keys) - 1)
+        return at, self.keys[at] == shingles
+
+
+def frequent_shingles(sets: DataFrame) -> Frequent:
+    """Shingles that many nodes hold: of each set's first part in hash order, or, with a chunk's share of holders,
+    anywhere, told from a sample of nodes. The driver gets the marks, at most 2^(MARK_BITS - 6) numbers, and large counts."""
     one_in = max(1, CHUNK // CHUNK_HITS)
 
     def counted(rows: DataFrame, whole: bool) -> DataFrame:
@@ -184,16 +220,28 @@ def frequent_shingles(texts: DataFrame, total: int) -> tuple[np.ndarray, np.ndar
 
         return rows.mapInArrow(work, "key long").groupBy("key").agg(F.count("*").alias("n"))
 
-    early = counted(texts, False).filter(F.col("n") >= least)
-    sample = texts.filter(F.pmod(F.xxhash64("text"), F.lit(one_in)) == 0).distinct()
-    anywhere = counted(sample, True).withColumn("n", F.col("n") * one_in).filter(F.col("n") >= min(max(least, 16 * one_in), CHUNK // 2))
-    rows = pd.concat([early.toPandas(), anywhere.toPandas()]).groupby("key", as_index=False)["n"].max()
+    early = stored(counted(sets, False).filter(F.col("n") >= FREQUENT), "frequent")
+    above = dict(early.groupBy(F.floor(F.log2(F.col("n") / FREQUENT)).alias("level")).count().collect())
+    level = 0
+    while sum(n for at, n in above.items() if at >= level) > 1 << (MARK_BITS - 2):
+        level += 1
+    bit = F.shiftrightunsigned("key", 64 - MARK_BITS)
+    mark = F.expr("shiftleft(1L, cast(bit & 63 AS int))")
+    marked = early.filter(F.col("n") >= FREQUENT << level).select(bit.alias("bit"))
+    words = marked.groupBy(F.expr("bit >> 6").alias("word")).agg(F.bit_or(mark).alias("held")).toPandas()
+    marks = np.zeros(1 << (MARK_BITS - 6), np.uint64)
+    marks[words["word"].to_numpy(np.int64)] = words["held"].to_numpy(np.int64).view(np.uint64)
+
+    least = max(1, CHUNK // KNOWN_PARTS)
+    sample = sets.filter(F.pmod(F.xxhash64("node"), F.lit(one_in)) == 0).dropDuplicates(["node"])
+    anywhere = counted(sample, True).withColumn("n", F.col("n") * one_in)
+    rows = pd.concat([x.filter(F.col("n") >= least).toPandas() for x in (early, anywhere)]).groupby("key", as_index=False)["n"].max()
     keys = rows["key"].to_numpy(np.int64).astype(np.uint64)
     order = np.argsort(keys)
-    return keys[order], rows["n"].to_numpy(np.int64)[order]
+    return Frequent(marks, keys[order], rows["n"].to_numpy(np.int64)[order])
 
 
-def blocks(texts: DataFrame, frequent: np.ndarray, counts: np.ndarray) -> DataFrame:
+def blocks(sets: DataFrame, frequent: Frequent) -> DataFrame:
     """(block, nodes, dealt): distinct groups of two or more nodes that share a shingle of their prefixes; for a chunk,
     `dealt` is the shingle, which all chunks of its block have, else 0."""
 
@@ -202,18 +250,13 @@ def blocks(texts: DataFrame, frequent: np.ndarray, counts: np.ndarray) -> DataFr
             keys, nodes, dealt = [], [], []
             for node, s in found:
                 p = prefix_length(len(s))
-                if len(frequent):
-                    at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
-                    often = frequent[at] == s
-                    rare = s[~often][:p]
-                    shared = s[often][: p - len(rare)]
-                    chunks = -(-counts[at[often]][: p - len(rare)] // CHUNK)
-                    chunk = mix(np.array([node], np.int64).astype(np.uint64))[0] % chunks.astype(np.uint64)
-                    own = np.concatenate((rare, np.where(chunks > 1, mix(shared ^ mix(chunk + np.uint64(1))), shared)))
-                    dealt += [np.zeros(len(rare), np.uint64), np.where(chunks > 1, shared, np.uint64(0))]
-                else:
-                    own = s[:p]
-                    dealt.append(np.zeros(len(own), np.uint64))
+                often = frequent.often(s)
+                rare = s[~often][:p]
+                shared = s[often][: p - len(rare)]
+                chunks = -(-frequent.count(shared) // CHUNK)
+                chunk = mix(np.array([node], np.int64).astype(np.uint64))[0] % chunks.astype(np.uint64)
+                own = np.concatenate((rare, np.where(chunks > 1, mix(shared ^ mix(chunk + np.uint64(1))), shared)))
+                dealt += [np.zeros(len(rare), np.uint64), np.where(chunks > 1, shared, np.uint64(0))]
                 keys.append(own)
                 nodes.append(np.full(len(own), node, np.int64))
             if keys:
@@ -290,7 +333,7 @@ def blocks(texts: DataFrame, frequent: np.ndarray, counts: np.ndarray) -> DataFr
         lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(nodes, pa.int64()))
         return pa.RecordBatch.from_arrays([pa.array(names), lists, pa.array(dealt)], names=["block", "nodes", "dealt"])
 
-    keyed = texts.mapInArrow(prefixes, "key long, node long, dealt long")
+    keyed = sets.mapInArrow(prefixes, "key long, node long, dealt long")
     grouped = keyed.repartition("key").sortWithinPartitions("key").select("key", "node", "dealt")
     return grouped.mapInArrow(gather, "block long, nodes array<long>, dealt long").dropDuplicates(["block", "dealt"])
 
@@ -332,28 +375,9 @@ def cell_blocks(known: DataFrame) -> DataFrame:
     return placed.join(sides, ["dealt", "cell"]).select("block", "node", "component")
 
 
-def whole_sets(texts: DataFrame, wanted: DataFrame, points: bool) -> DataFrame:
-    """(node, n, packed) of the wanted nodes, one row each: the point, or the set."""
-    few = wanted.count() <= BROADCAST_NODES
-    known = np.sort(wanted.toPandas()["node"].to_numpy(np.int64)) if few else None
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for found in _new_sets(batches):
-            if known is not None and found:
-                nodes = np.array([node for node, _ in found], np.int64)
-                at = np.minimum(np.searchsorted(known, nodes), max(len(known) - 1, 0))
-                here = known[at] == nodes if len(known) else np.zeros(len(nodes), bool)
-                found = [x for x, h in zip(found, here, strict=True) if h]
-            if found:
-                packed = [point_of(s) if points else s.tobytes() for _, s in found]
-                nodes, sizes = [node for node, _ in found], [len(s) for _, s in found]
-                arrays = [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(packed, pa.binary())]
-                yield pa.RecordBatch.from_arrays(arrays, names=["node", "n", "packed"])
-
-    made = texts.mapInArrow(work, "node long, n long, packed binary")
-    if not few:
-        made = made.join(wanted, "node", "left_semi")
-    return made.dropDuplicates(["node"])
+def of_nodes(sets: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The sets of the stored nodes wanted, still with repeats."""
+    return sets.join(small_side(wanted, BROADCAST_NODES), "node", "left_semi")
 
 
 def tier_of(sizes: np.ndarray) -> np.ndarray:
@@ -399,14 +423,14 @@ class Points:
         return ok
 
 
-def finer_points(sets: DataFrame) -> DataFrame:
-    """(node, n, packed) of stored sets, with finer points."""
+def node_points(sets: DataFrame, finer: int = 0) -> DataFrame:
+    """(node, n, packed) with each node once and its point for its set."""
 
     @F.pandas_udf("binary")
     def of(packed: pd.Series) -> pd.Series:
-        return packed.map(lambda x: point_of(np.frombuffer(x, np.uint64), FINER))
+        return packed.map(lambda x: point_of(np.frombuffer(x, np.uint64), finer))
 
-    return sets.select("node", "n", of("packed").alias("packed"))
+    return sets.select("node", "n", of("packed").alias("packed")).dropDuplicates(["node"])
 
 
 def near_pairs(members: DataFrame, far_only: bool) -> DataFrame:
@@ -466,6 +490,8 @@ def verified(pairs: DataFrame, sets: DataFrame, u: str = "a", v: str = "b") -> D
             out.append(100 * shared >= 80 * (len(both) - shared))
         return pd.Series(out, dtype=bool)
 
+    ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
+    sets = of_nodes(sets, ends).dropDuplicates(["node"])
     one = sets.select(F.col("node").alias("a"), F.col("packed").alias("left"))
     two = sets.select(F.col("node").alias("b"), F.col("packed").alias("right"))
     joined = pairs.join(one, "a").join(two, "b")
@@ -503,32 +529,35 @@ def still_apart(members: DataFrame, name: str, groups: DataFrame) -> DataFrame:
 
 def row_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n, component), one row for each row; component is a node's name, null where the set is empty."""
-    small_batches(df.sparkSession)
-    texts = df.select(F.col(text).alias("text"))
-    rows = stored(shingle_nodes(df, doc_id, text), "nodes")
-    total = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-
-    frequent, counts = frequent_shingles(texts, total)
-    shared = stored(blocks(texts, frequent, counts), "blocks")
+    spark = df.sparkSession
+    small_batches(spark)
+    with scratch_scope(spark) as kept:
+        rows = stored(shingle_nodes(df, doc_id, text), "nodes")
+        groups = stored(linked_groups(node_sets(rows)), "groups")
+        labelled = rows.join(groups, "node", "left").select("doc_id", "n", F.coalesce("component", "node").alias("component"))
+        return kept(stored(labelled, "labelled"))
+
+
+def linked_groups(sets: DataFrame) -> DataFrame:
+    """(node, component) of the nodes that links connect with others, from stored sets."""
+    shared = stored(blocks(sets, frequent_shingles(sets)), "blocks")
     chunks = one_of_equal(shared.filter("dealt != 0"))
     whole = shared.filter("dealt = 0").select("block", "nodes").union(chunks.select("block", "nodes").dropDuplicates(["block"]))
     members = whole.select("block", F.explode("nodes").alias("node"))
-    points = stored(whole_sets(texts, members.select("node").distinct(), points=True), "points")
+    points = node_points(of_nodes(sets, stored(members.select("node").distinct(), "wanted")))
     pairs = stored(near_pairs(members.join(points, "node"), far_only=False).union(linking_pairs(chunks)).distinct(), "pairs")
-    large = shared.filter(F.size("nodes") > SMALL_BLOCK).filter("dealt = 0").select("block", F.explode("nodes").alias("node"))
-    dealt = chunks.select("dealt", F.explode("nodes").alias("node"))
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).union(large.select("node")).union(dealt.select("node"))
-    sets = stored(whole_sets(texts, wanted.distinct(), points=False), "sets")
     groups = stored(components(verified(pairs, sets)), "groups")
 
+    large = shared.filter(F.size("nodes") > SMALL_BLOCK).filter("dealt = 0").select("block", F.explode("nodes").alias("node"))
+    dealt = chunks.select("dealt", F.explode("nodes").alias("node"))
     if not (large.isEmpty() and dealt.isEmpty()):
         later = still_apart(large, "block", groups)
         if not dealt.isEmpty():
             later = later.unionByName(cell_blocks(stored(still_apart(dealt, "dealt", groups), "apart")))
-        later = stored(near_pairs(later.join(finer_points(sets), "node"), far_only=True), "pairs")
-        groups = join_components(later, groups, sets)
-
-    return rows.join(groups, "node", "left").select("doc_id", "n", F.coalesce("component", "node").alias("component"))
+        later = stored(later, "later")
+        points = node_points(of_nodes(sets, stored(later.select("node").distinct(), "wanted")), FINER)
+        groups = join_components(stored(near_pairs(later.join(points, "node"), far_only=True), "pairs"), groups, sets)
+    return groups
 
 
 def similar_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

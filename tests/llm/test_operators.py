@@ -150,8 +150,8 @@ def test_jaccard_deals_blocks_by_their_size(spark, monkeypatch):
             w[k] = f"new{rng.integers(0, 10**9)}"
         rows.append((i, " ".join(w[: 200 - 40 * (i % 20 == 0)])))
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    texts = docs.select("text")
-    found = jaccard.blocks(texts, *jaccard.frequent_shingles(texts, 300 * 196)).collect()
+    sets = jaccard.node_sets(jaccard.shingle_nodes(docs, "doc_id", "text"))
+    found = jaccard.blocks(sets, jaccard.frequent_shingles(sets)).collect()
     assert max(len(r.nodes) for r in found) < 2 * 64
     assert sorted(map(tuple, jaccard.similar_groups(docs).collect())) == brute_groups(rows)
 
