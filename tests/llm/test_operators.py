@@ -3,15 +3,18 @@
 import collections
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
+from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from flowlens.llm import fingerprints, graph, jaccard, licenses, lines, mixing, personal, pieces, pitman_yor, quality, repeats
+from flowlens.llm.common import scratch_scope, stored
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 PROSE = " ".join(f"word{i} of line" for i in range(60))
@@ -156,6 +159,20 @@ def test_jaccard_deals_blocks_by_their_size(spark, monkeypatch):
     assert sorted(map(tuple, jaccard.similar_groups(docs).collect())) == brute_groups(rows)
 
 
+def test_scratch_tables_go_with_their_scope(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, None)], "k long, v string")
+    with scratch_scope(spark) as outer:
+        with scratch_scope(spark) as inner:
+            gone = stored(rows, "gone").inputFiles()
+            result = inner(stored(rows, "result"))
+        assert not any(os.path.exists(urlparse(f).path) for f in gone)
+        assert result.count() == 2
+        files = result.inputFiles()
+        copy = outer(stored(result, "copy"))
+    assert files and not any(os.path.exists(urlparse(f).path) for f in files)
+    assert copy.count() == 2
+
+
 def test_cells_let_all_nodes_that_are_apart_meet(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "CHUNK", 16)
     rng = random.Random(6)
