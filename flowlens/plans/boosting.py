@@ -1,7 +1,8 @@
 """Softmax gradient boosting with second-order trees, grown from histograms.
 
 Each round adds one tree per class, fitted jointly to the gradients of the softmax loss. Inputs are cut once into bins at their quantiles;
-a stored row is its bins, its label and weight, and the margins of the rounds it was last written with. A tree grows level by level:
+a stored block holds some rows, column by column: their bins, labels and weights, and the margins of the rounds it was last
+written with, usually all but the one that grows, so that a pass walks few trees. Rows are dealt evenly to the tasks first. A tree grows level by level:
 tasks add gradients and curvatures up by (class, node, input, bin), the sums are grouped by Spark, and the driver, who sees only
 those sums, picks splits. Their number depends on classes, nodes, inputs and bins, never on rows. One pass makes a level of all classes'
 trees; the first pass of a round also gives loss and error after the round before.
@@ -12,7 +13,8 @@ Rows whose weight or label is null or whose label is no class are left out; miss
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import partial
 
@@ -36,7 +38,9 @@ SOFTMAX_PARAMS = {
 }
 BINS = 64
 #: Rounds after which rows are written again with their margins, so that a pass applies only the trees since.
-REFRESH = 10
+REFRESH = 1
+#: Rows of a part of the stored blocks: with fewer of them not all cores get one, and with more a core gets several parts.
+PART_ROWS, MOST_PART_ROWS = 1 << 15, 1 << 18
 #: Accuracy of the quantiles: rank error is rows / this.
 QUANTILE_ACCURACY = 10_000
 LEAST_CURVATURE = 1e-16
@@ -57,18 +61,18 @@ class Round:
         return cls(np.full(shape, -1, np.int16), np.zeros(shape, np.int16), np.zeros(shape))
 
     def nodes(self, k: int, bins: np.ndarray) -> np.ndarray:
-        """Where the rows stand in the tree of class k, as far as it has grown."""
-        node, rows = np.zeros(len(bins), np.int64), np.arange(len(bins))
+        """Where the rows stand in the tree of class k, as far as it has grown; `bins` is (input, row)."""
+        node, rows = np.zeros(bins.shape[1], np.int64), np.arange(bins.shape[1])
         while True:
             split = self.feature[k][node]
             inner = split >= 0
             if not inner.any():
                 return node
-            right = bins[rows, np.maximum(split, 0)] > self.cut[k][node]
+            right = bins[np.maximum(split, 0), rows] > self.cut[k][node]
             node = np.where(inner, 2 * node + 1 + right, node)
 
     def margins(self, bins: np.ndarray) -> np.ndarray:
-        return np.stack([self.value[k][self.nodes(k, bins)] for k in range(len(self.value))], axis=1)
+        return np.stack([self.value[k][self.nodes(k, bins)] for k in range(len(self.value))])
 
 
 def softmax(margins: np.ndarray) -> np.ndarray:
@@ -77,11 +81,11 @@ def softmax(margins: np.ndarray) -> np.ndarray:
 
 
 def into_bins(columns: list[np.ndarray], edges: list[np.ndarray]) -> np.ndarray:
-    return np.stack([np.searchsorted(e, x, "left") for x, e in zip(columns, edges, strict=True)], axis=1).astype(np.uint8)
+    return np.stack([np.searchsorted(e, x, "left").astype(np.uint8) for x, e in zip(columns, edges, strict=True)])
 
 
 def loss_and_error(p: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return -np.log(np.maximum(p[np.arange(len(p)), label], 1e-15)), p.argmax(axis=1) != label
+    return -np.log(np.maximum(p[label, np.arange(p.shape[1])], 1e-15)), p.argmax(axis=0) != label
 
 
 # --- training ----------------------------------------------------------------------------------------
@@ -94,34 +98,58 @@ def find_edges(df: DataFrame, inputs: list[str], bins: int = BINS) -> list[np.nd
     return [np.unique(np.array(row[c] if row[c] is not None else [], float)) for c in inputs]
 
 
-def _stored(df: DataFrame) -> DataFrame:
-    path = scratch_path(df.sparkSession, "boosting")
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+@contextmanager
+def _rewritten(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Gives a function that writes a table and reads it again; the tables written before it, and in the end all, are deleted."""
+    paths: list[str] = []
 
+    def drop(path: str) -> None:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
 
-EXAMPLE = "label int, weight double, draw long, bins binary, margins binary"
+    def write(df: DataFrame) -> DataFrame:
+        path = scratch_path(spark, "boosting")
+        paths.append(path)
+        df.write.parquet(path)
+        while len(paths) > 1:
+            drop(paths.pop(0))
+        return spark.read.schema(df.schema).parquet(path)
 
+    try:
+        yield write
+    finally:
+        for path in paths:
+            drop(path)
+
+
+BLOCK = "label binary, weight binary, draw binary, bins binary, margins binary"
 
-def binned(batches: Iterator[pa.RecordBatch], edges: list[np.ndarray], classes: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        bins = into_bins([batch.column(i).to_numpy(zero_copy_only=False) for i in range(3, batch.num_columns)], edges)
-        arrays = [*batch.columns[:3], pa.array([b.tobytes() for b in bins], pa.binary())]
-        arrays.append(pa.array([bytes(8 * classes)] * batch.num_rows, pa.binary()))
-        yield pa.RecordBatch.from_arrays(arrays, ["label", "weight", "draw", "bins", "margins"])
 
+def parts_of(rows: int, cores: int) -> int:
+    """Number of parts that many rows are dealt to: up to `cores`, then a multiple of it."""
+    return max(1, min(cores, -(-rows // PART_ROWS)), cores * -(-rows // (cores * MOST_PART_ROWS)) if rows > cores * MOST_PART_ROWS else 1)
 
-def fixed_width(column: pa.Array, kind, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), width)
 
+def block(*arrays: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([a.tobytes()], pa.binary()) for a in arrays], ["label", "weight", "draw", "bins", "margins"])
 
-def unpacked(batch: pa.RecordBatch, inputs: int, rounds: list[Round], classes: int):
-    label, weight = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-    bins = fixed_width(batch.column(3), np.uint8, inputs)
-    margins = fixed_width(batch.column(4), np.float64, classes)
-    for r in rounds:
-        margins = margins + r.margins(bins)
-    return label, weight, bins, margins
+
+def binned(batches: Iterator[pa.RecordBatch], edges: list[np.ndarray], classes: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            label, weight, draw, *columns = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            yield block(label.astype(np.int32), weight, draw, into_bins(columns, edges), np.zeros((classes, len(label))))
+
+
+def unpacked(batches: Iterator[pa.RecordBatch], inputs: int, rounds: list[Round], classes: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Label, weight, draw, bins (input, row) and margins (class, row) of each block, the margins after `rounds` too."""
+    for batch in batches:
+        for one in zip(*batch.columns, strict=True):
+            parts = [np.frombuffer(x.as_buffer(), k) for x, k in zip(one, (np.int32, np.float64, np.int64, np.uint8, np.float64), strict=True)]
+            bins, margins = parts[3].reshape(inputs, -1), parts[4].reshape(classes, -1)
+            for r in rounds:
+                margins = margins + r.margins(bins)
+            yield *parts[:3], bins, margins
 
 
 def drawn(draw: np.ndarray, number: int, seed: int, share: float) -> np.ndarray:
@@ -139,36 +167,37 @@ def level_sums(
 ) -> Iterator[pa.RecordBatch]:
     """(slot, g, h): a task's gradients and curvatures by (class, node of this level, input, bin)."""
     classes, first, n_nodes = len(growing.feature), 2**depth - 1, 2**depth
-    size = n_nodes * inputs * bins_
-    sums = np.zeros((classes, 2, size))
+    sums = np.zeros((2, classes, n_nodes, inputs, bins_))
     facts = np.zeros(3)
-    for batch in batches:
-        label, weight, bins, margins = unpacked(batch, inputs, rounds, classes)
-        p = softmax(margins)
+    for label, weight, draw, bins, margins in unpacked(batches, inputs, rounds, classes):
+        p = softmax(margins.T).T
         if depth == 0:
             loss, wrong = loss_and_error(p, label)
             facts += [(weight * loss).sum(), (weight * wrong).sum(), weight.sum()]
-        used = drawn(batch.column(2).to_numpy(), number, seed, share)
-        places = np.arange(inputs) * bins_ + bins.astype(np.int64)
+        used = drawn(draw, number, seed, share)
         for k in range(classes):
             node = growing.nodes(k, bins)
             here = used & (node >= first)
-            slot = ((node[here] - first) * inputs * bins_)[:, None] + places[here]
-            g = weight[here] * (p[here, k] - (label[here] == k))
-            h = weight[here] * np.maximum(2.0 * p[here, k] * (1.0 - p[here, k]), LEAST_CURVATURE)
-            for i, x in enumerate((g, h)):
-                sums[k, i] += np.bincount(slot.ravel(), weights=np.repeat(x, inputs), minlength=size)
-    at = np.flatnonzero(sums[:, 1].ravel())
-    g, h = sums[:, 0].ravel()[at], sums[:, 1].ravel()[at]
+            whole = here.all()
+            at = (node if whole else node[here]) - first
+            g = weight * (p[k] - (label == k))
+            h = weight * np.maximum(2.0 * p[k] * (1.0 - p[k]), LEAST_CURVATURE)
+            g, h = (g, h) if whole else (g[here], h[here])
+            at *= bins_
+            for i in range(inputs):
+                slot = at + (bins[i] if whole else bins[i][here])
+                for x, total in ((g, sums[0]), (h, sums[1])):
+                    total[k, :, i] += np.bincount(slot, weights=x, minlength=n_nodes * bins_).reshape(n_nodes, bins_)
+    at = np.flatnonzero(sums[1].ravel())
+    g, h = sums[0].ravel()[at], sums[1].ravel()[at]
     if depth == 0:
         at, g, h = np.append(at, [_LOSS, _ERROR]), np.append(g, facts[:2]), np.append(h, facts[[2, 2]])
     yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(g), pa.array(h)], ["slot", "g", "h"])
 
 
 def with_margins(batches: Iterator[pa.RecordBatch], inputs: int, rounds: list[Round], classes: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        *_, margins = unpacked(batch, inputs, rounds, classes)
-        yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array([m.tobytes() for m in margins], pa.binary())], batch.schema.names)
+    for parts in unpacked(batches, inputs, rounds, classes):
+        yield block(*parts)
 
 
 def shrunk(g: np.ndarray, alpha: float) -> np.ndarray:
@@ -227,10 +256,10 @@ class SoftmaxTrees:
         @F.pandas_udf("array<double>")
         def shares(*columns: pd.Series) -> pd.Series:
             bins = into_bins([c.to_numpy(float) for c in columns], edges)
-            margins = np.zeros((len(bins), classes))
+            margins = np.zeros((classes, bins.shape[1]))
             for r in rounds:
                 margins += r.margins(bins)
-            return pd.Series(list(softmax(margins)))
+            return pd.Series(list(softmax(margins.T)))
 
         return df.withColumn("probability", shares(*self.inputs))
 
@@ -258,29 +287,32 @@ def fit_softmax(
         F.col(label).cast("int").alias("label"), (F.col(weight) if weight else F.lit(1.0)).cast("double").alias("weight"),
         F.xxhash64(*inputs, F.monotonically_increasing_id()).alias("draw"), *[F.col(c).cast("double").alias(c) for c in inputs],
     ).where(F.col("label").between(0, classes - 1) & F.col("weight").isNotNull())
-    edges = find_edges(rows, inputs)
-    bins = max((len(e) for e in edges), default=0) + 1
-    examples = _stored(rows.mapInArrow(partial(binned, edges=edges, classes=classes), EXAMPLE))
-    model, since = SoftmaxTrees(inputs, edges, [], classes), []
-    for number in range(int(params["num_boost_round"])):
-        growing = Round.empty(classes, depth)
-        for level in range(depth):
-            step = partial(level_sums, inputs=n, rounds=since, growing=growing, depth=level, number=number, seed=seed, share=share, bins_=bins)
-            sums = examples.mapInArrow(step, "slot long, g double, h double").groupBy("slot").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).toArrow()
-            slot, g, h = (sums.column(i).to_numpy() for i in range(3))
-            whole = np.zeros((2, classes * 2**level * n * bins))
-            whole[0][slot[slot >= 0]], whole[1][slot[slot >= 0]] = g[slot >= 0], h[slot >= 0]
-            if level == 0 and len(slot):
-                facts = {int(s): (float(a), float(b)) for s, a, b in zip(slot[slot < 0], g[slot < 0], h[slot < 0], strict=True)}
-                total = max(facts.get(_LOSS, (0.0, 0.0))[1], 1e-12)
-                model.history.append((facts.get(_LOSS, (0.0,))[0] / total, facts.get(_ERROR, (0.0,))[0] / total))
-            shape = (classes, 2**level, n, bins)
-            if not grow(growing, level, whole[0].reshape(shape), whole[1].reshape(shape), params):
-                break
-        model.rounds.append(growing)
-        since = [*since, growing]
-        if len(since) == REFRESH and number + 1 < int(params["num_boost_round"]):
-            examples, since = _stored(examples.mapInArrow(partial(with_margins, inputs=n, rounds=since, classes=classes), EXAMPLE)), []
+    parts = parts_of(rows.count(), spark.sparkContext.defaultParallelism)
+    with _rewritten(spark) as write:
+        spread = write(rows.repartition(parts))
+        edges = find_edges(spread, inputs)
+        bins = max((len(e) for e in edges), default=0) + 1
+        model, since = SoftmaxTrees(inputs, edges, [], classes), []
+        examples = write(spread.mapInArrow(partial(binned, edges=edges, classes=classes), BLOCK))
+        for number in range(int(params["num_boost_round"])):
+            growing = Round.empty(classes, depth)
+            for level in range(depth):
+                step = partial(level_sums, inputs=n, rounds=since, growing=growing, depth=level, number=number, seed=seed, share=share, bins_=bins)
+                sums = examples.mapInArrow(step, "slot long, g double, h double").groupBy("slot").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).toArrow()
+                slot, g, h = (sums.column(i).to_numpy() for i in range(3))
+                whole = np.zeros((2, classes * 2**level * n * bins))
+                whole[0][slot[slot >= 0]], whole[1][slot[slot >= 0]] = g[slot >= 0], h[slot >= 0]
+                if level == 0 and len(slot):
+                    facts = {int(s): (float(a), float(b)) for s, a, b in zip(slot[slot < 0], g[slot < 0], h[slot < 0], strict=True)}
+                    total = max(facts.get(_LOSS, (0.0, 0.0))[1], 1e-12)
+                    model.history.append((facts.get(_LOSS, (0.0,))[0] / total, facts.get(_ERROR, (0.0,))[0] / total))
+                shape = (classes, 2**level, n, bins)
+                if not grow(growing, level, whole[0].reshape(shape), whole[1].reshape(shape), params):
+                    break
+            model.rounds.append(growing)
+            since = [*since, growing]
+            if len(since) == REFRESH and number + 1 < int(params["num_boost_round"]):
+                examples, since = write(examples.mapInArrow(partial(with_margins, inputs=n, rounds=since, classes=classes), BLOCK)), []
     return model
 
 
@@ -291,16 +323,17 @@ def staged(batches: Iterator[pa.RecordBatch], model: SoftmaxTrees) -> Iterator[p
     """(split, boost_round, n, loss, error): a task's sums after each round, by margins that grow from round to round."""
     totals: dict[tuple[str, int], np.ndarray] = {}
     for batch in batches:
-        split = np.array(batch.column(0).to_pylist(), object)
+        names = batch.column(0).dictionary_encode()
+        number_of = names.indices.to_numpy()
+        members = {name: np.flatnonzero(number_of == i) for i, name in enumerate(names.dictionary.to_pylist())}
         label = batch.column(1).to_numpy()
         bins = into_bins([batch.column(i).to_numpy(zero_copy_only=False) for i in range(2, batch.num_columns)], model.edges)
-        margins = np.zeros((len(bins), model.classes))
+        margins = np.zeros((model.classes, bins.shape[1]))
         for number, r in enumerate(model.rounds, start=1):
             margins = margins + r.margins(bins)
-            loss, wrong = loss_and_error(softmax(margins), label)
-            for name in set(split):
-                here = split == name
-                part = np.array([here.sum(), loss[here].sum(), wrong[here].sum()], float)
+            loss, wrong = loss_and_error(softmax(margins.T).T, label)
+            for name, here in members.items():
+                part = np.array([len(here), loss[here].sum(), wrong[here].sum()], float)
                 totals[name, number] = totals.get((name, number), 0) + part
     keys, sums = list(totals), list(totals.values())
     columns = [

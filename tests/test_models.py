@@ -270,6 +270,30 @@ def test_rows_written_again_change_nothing(spark, monkeypatch):
     assert [h[0] for h in again.history] == pytest.approx([h[0] for h in once.history])
 
 
+def test_softmax_rows_are_dealt_to_all_cores_and_scratch_tables_go(spark, monkeypatch, tmp_path):
+    """Rows of one input partition are worked on by several tasks, and a round leaves no table behind."""
+    df = spark.createDataFrame([(int(i % 3), float(i % 7), float(i % 11)) for i in range(400)], "label int, a double, b double").coalesce(1)
+    assert [boosting.parts_of(n, 12) for n in (0, 10, 10**5, 10**6, 2 * 10**7)] == [1, 1, 4, 12, 84]
+    params, made, files = {"max_depth": 2, "num_boost_round": 3}, [], []
+    alone = boosting.fit_softmax(df, ["a", "b"], params, 3)
+
+    def path(_, purpose):
+        made.append(str(tmp_path / f"{purpose}-{len(made)}"))
+        return made[-1]
+
+    def edges(rows, *rest):
+        files.extend(rows.inputFiles())
+        return found(rows, *rest)
+
+    found = boosting.find_edges
+    monkeypatch.setattr(boosting, "scratch_path", path)
+    monkeypatch.setattr(boosting, "find_edges", edges)
+    monkeypatch.setattr(boosting, "PART_ROWS", 100)
+    dealt = boosting.fit_softmax(df, ["a", "b"], params, 3)
+    assert len(files) == 4 and len(made) == 4 and not list(tmp_path.iterdir())
+    assert [h[0] for h in dealt.history] == pytest.approx([h[0] for h in alone.history])
+
+
 @pytest.fixture(scope="module")
 def softmax_model(parts):
     return training.fit_model(parts["train"], "xgboost", {"num_boost_round": 5, "max_depth": 4})
