@@ -2,8 +2,9 @@
 
 Base spans of four kinds come from patterns and checks alone. Besides, generators with high recall propose spans that may
 overlap. A code of IBAN form is added where its checksum holds, whatever was learnt. Boosted trees weigh the format of the other
-proposals and the words around them. They learn on a bounded sample which proposals meet a base span or have words to the left that name
-such data (contact words for addresses and numbers, words for secrets for codes); trees don't see these words. On held-back proposals
+proposals and the words around them. They learn on all texts which proposals meet a base span or have words to the left that name
+such data (contact words for addresses and numbers, words for secrets for codes); trees don't see these words. Proposals with equal
+features, label and part are one example with their number as its weight. On held-back proposals
 each generator gets the lowest threshold whose precision is PRECISION or better, both of all proposals over it and of those that meet
 no base span; what no word names counts as wrong there, so precision is not overstated by data the base knows. No such threshold, no
 spans of that generator by the trees. Proposals over it that meet no base span are added. The trees are applied as column expressions.
@@ -29,8 +30,7 @@ from flowlens.llm.common import let, stored
 
 KINDS = ("email", "ip", "card", "phone")
 GENERATORS = ("address", "code", "number")
-#: Texts in the sample the trees learn from, about; proposals needed of either label; trees and their depth.
-SAMPLE_TEXTS = 20_000
+#: Proposals needed of either label; trees and their depth.
 LEAST_EXAMPLES = 30
 TREES, DEPTH = 10, 3
 PRECISION = 0.95
@@ -187,35 +187,35 @@ def joined_base(base: Column) -> Column:
     return F.concat(*[base[k] for k in KINDS])
 
 
-def examples(df: DataFrame, text: str, sample_texts: int) -> DataFrame:
-    """Proposals of a sample of texts with features and labels; a text's hash decides whether it is in."""
-    n = df.count()
-    share = min(1.0, sample_texts / max(n, 1))
+def examples(df: DataFrame, text: str) -> DataFrame:
+    """Proposals of all texts as distinct features and labels, each with the number `n` of proposals it stands for."""
     t = F.col(text)
-    rows = df.filter(t.isNotNull() & (F.pmod(F.xxhash64(t), F.lit(1 << 20)) < int(share * (1 << 20))) & F.rlike(t, F.lit(_GATE)))
+    rows = df.filter(t.isNotNull() & F.rlike(t, F.lit(_GATE)))
     rows = rows.select(let(t, lambda x: F.struct(joined_base(all_base(x)).alias("base"), proposals(x).alias("made"))).alias("x"))
     rows = rows.select("x.base", F.explode("x.made").alias("s")).filter(~iban_form(F.col("s")))
     listed = [c.alias(n) for n, c in features(F.col("s")).items()]
     part = F.pmod(F.xxhash64("s.found", "s.left"), F.lit(10)).alias("part")
     known = meets(F.col("s"), F.col("base"))
     label = F.when(known | named(F.col("s")), 1.0).otherwise(0.0).alias("label")
-    return rows.select(*listed, label, known.alias("known"), part)
+    named_rows = rows.select(*listed, label, known.alias("known"), part)
+    return named_rows.groupBy(*named_rows.columns).agg(F.count("*").alias("n"))
 
 
-def learn(df: DataFrame, text: str, sample_texts: int = SAMPLE_TEXTS):
+def learn(df: DataFrame, text: str):
     """The trees, and for each generator the lowest probability whose precision holds on held-back proposals, also on those
     that meet no base span; or None."""
-    rows = stored(examples(df, text, sample_texts), "proposals")
-    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    rows = stored(examples(df, text), "proposals")
+    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.sum("n").alias("n")).collect()}
     if min(counts.get(0.0, 0), counts.get(1.0, 0)) < LEAST_EXAMPLES:
         return None
-    vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows.coalesce(1).sortWithinPartitions(*rows.columns))
+    vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows.sortWithinPartitions(*rows.columns))
     if vectors.filter("part < 7").agg(F.count_distinct("label")).first()[0] < 2:
         return None
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, featuresCol="features").fit(vectors.filter("part < 7"))
-    scored = model.transform(vectors.filter("part >= 7")).select("generator", "label", "known", vector_to_array("probability")[1].alias("p"))
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, featuresCol="features", weightCol="n").fit(vectors.filter("part < 7"))
+    scored = model.transform(vectors.filter("part >= 7")).select("generator", "label", "known", "n", vector_to_array("probability")[1].alias("p"))
     new = F.when(F.col("known"), 0.0).otherwise(1.0)
-    sums = [F.count("*").alias("n"), F.sum("label").alias("hits"), F.sum(new).alias("new"), F.sum(new * F.col("label")).alias("new_hits")]
+    own = {"n": F.lit(1), "hits": F.col("label"), "new": new, "new_hits": new * F.col("label")}
+    sums = [F.sum(F.col("n") * x).alias(name) for name, x in own.items()]
     levels = scored.withColumn("step", F.floor(F.col("p") * 50)).groupBy("generator", "step").agg(*sums)
     thresholds: dict[int, float] = {}
     found = sorted(levels.collect(), key=lambda r: -r["step"])  # 51 steps for each generator at most
@@ -268,9 +268,9 @@ def of_generator(spans: Column, number: int) -> Column:
     return F.filter(spans, lambda s: s["generator"] == number)
 
 
-def find_personal(df: DataFrame, text: str = "text", sample_texts: int = SAMPLE_TEXTS) -> DataFrame:
+def find_personal(df: DataFrame, text: str = "text") -> DataFrame:
     """The rows with n_email, n_ip, n_card, n_phone, n_added (long), base and spans (strings kind:start:end, comma-joined)."""
-    learnt = learn(df, text, sample_texts)
+    learnt = learn(df, text)
     names = (*[f"n_{k}" for k in KINDS], "n_added", "base", "spans")
 
     def found(t: Column) -> Column:

@@ -318,6 +318,14 @@ def test_boosted_candidates_learn_formats(spark):
     assert learnt and 2 in learnt[1]
 
 
+def test_every_text_is_an_example(spark):
+    """Proposals of all texts count, those with equal features as one example with a weight."""
+    df = spark.range(30_000).selectExpr("concat(if(id % 3 = 0, 'call ', 'item '), 10000000 + id, ' sold') AS text")
+    found = personal.examples(df, "text")
+    assert found.groupBy("label").agg({"n": "sum"}).orderBy("label").collect() == [(0.0, 20_000), (1.0, 10_000)]
+    assert found.count() < 3_000
+
+
 def test_personal_data_the_base_does_not_know_is_added(spark):
     """IBANs by their checksum; secrets, spelt addresses and phones without + by trees that don't see the words beside them."""
     rng = np.random.default_rng(9)
