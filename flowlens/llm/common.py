@@ -47,13 +47,13 @@ def small_side(df: DataFrame, limit: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
-def stored(df: DataFrame, purpose: str, *partition_by: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, *partition_by: str, **options: object) -> DataFrame:
     """Write to the shared folder and read again: later steps restart from the files, not from the lineage."""
     spark = df.sparkSession
     path, before = scratch_path(spark, purpose), spark.conf.get(SHUFFLE_CLEANUP)
     spark.conf.set(SHUFFLE_CLEANUP, "true")
     try:
-        writer = df.write.mode("overwrite")
+        writer = df.write.mode("overwrite").options(**options)
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     finally:
         spark.conf.set(SHUFFLE_CLEANUP, before)

@@ -1,16 +1,17 @@
 """Language-model scores by a hierarchical Pitman-Yor model.
 
-Tokens are words (lower-cased A-Z, between ASCII blanks) and one end per text. The root restaurant draws from a uniform
-base over the vocabulary and one unknown token; its customers are the tables of CONTEXTS context restaurants, which all have it as parent; a
-token sits in the restaurant its predecessor is hashed to. Tables are sampled by Gibbs: given the parent's
+Tokens are words (lower-cased A-Z, between ASCII blanks) and one end per text. Every word that precedes a token, and the start of a text,
+has a context restaurant of its own. Their parent is the root restaurant, whose customers are their tables; it draws from a uniform base over
+the vocabulary and one unknown token. Tables are sampled by Gibbs: given the parent's
 predictive probability and everybody else's seating, the number of tables of a dish with c customers has the weight S(c, t) P^t
 times the rising product of strength and discount, S being generalised Stirling numbers. Predictive probabilities are averaged over
 the last SAMPLES sweeps; discounts are n1 / (n1 + 2 n2) of the counts at each level.
 
-Work is divided by word: a shard holds all tokens of its words, so that seating and scoring need no other exchange than
-the restaurants' totals after a sweep. Shards are written once; each sweep reads them and repeats the earlier sweeps from
-their seeds. Words with a share of 1 / FREQUENT_SHARE or more, of which there can't be more than FREQUENT_SHARE, stay with their
-texts: shards get their counts only, and their probabilities, a table of bounded size, are sent to the texts.
+Up to COMMON words have codes: their totals, as words and as contexts, are vectors of that length that every task gets. Up to FREQUENT pairs
+of them stay with their texts and are seated by the driver. All other tokens go to shards: those of a word without a code by word,
+so that its seat at the root is known there, the others by pair. What a shard doesn't know are the tables in the
+restaurants of contexts without a code. It asks homes for them, each of which adds up a range of contexts over all shards after every sweep. Sweeps see only
+dishes with two customers or more, for one customer has one table; tokens are read again when they are scored, WAVES parts one after the other.
 
 Texts learn or are held out by crc32 of their id as text. A null id counts as the empty text, a null text as an empty
 one: one end. Repeated rows are rows. Without training tokens only the uniform base is left. An empty table gives an empty
@@ -30,18 +31,30 @@ from pyspark.sql import functions as F
 from flowlens.llm.common import shuffle_partitions, small_batches, stored, text_bytes, text_column
 from flowlens.llm.words import find_words, mix, word_hashes
 
-CONTEXTS = 512
 SWEEPS, SAMPLES = 3, 2
 STRENGTH = 1.0
-FREQUENT_SHARE = 2000
-#: Tokens of a shard, about.
+#: Words with codes and pairs that stay with their texts, at most; chosen by counts in a part of the texts, which decides where work is done, not what comes out.
+COMMON, FREQUENT = 65_000, 65_000
+OTHER = 65_535
+CODES = 65_536
+#: Of so many pieces of a task one is counted for that choice.
+COUNTED = 4
+#: Tokens of a shard, about, and shards a home answers, about.
 SHARD_TOKENS = 1_000_000
+SHARDS_PER_HOME = 16
+WAVES = 2
+#: Parts in which vectors are added up.
+SLOTS = 16
 #: Bytes of text that are cut into shards together.
-PIECE_BYTES = 3 << 20
+PIECE_BYTES = 2 << 20
 #: Up to this many customers of a dish the weights of all table numbers are summed; beyond, customers are seated in turn, in growing parties.
 STIRLING = 40
 END = np.uint64(0x5851F42D4C957F2D)
 _START = np.uint64(0x14057B7EF767814F)
+#: Rows of megabytes are compressed one by one, not a hundred together.
+PACKED = {"compression": "zstd", "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 1}
+# kinds of stored rows
+TEXTS, STATE, ASK, DENSE, TOKENS = 0, 1, 2, 3, 4
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -60,8 +73,13 @@ def unpack(payload: bytes) -> list[np.ndarray]:
     return out
 
 
+def small(a: np.ndarray) -> np.ndarray:
+    """The same whole numbers, none negative, in as few bytes as the largest needs."""
+    return a.astype(np.min_scalar_type(int(a.max())) if len(a) else np.uint8)
+
+
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, context and text number of every token."""
+    """Hash, hash of the one before (its context) and text number of every token."""
     words = find_words(column, lower=True)
     counts = words.counts
     total = len(words.starts) + len(counts)
@@ -73,7 +91,7 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     before = np.empty(total, np.uint64)
     before[1:] = found[:-1]
     before[ends - counts] = _START
-    return found, (mix(before) % np.uint64(CONTEXTS)).astype(np.uint16), np.repeat(np.arange(len(counts)), counts + 1)
+    return found, before, np.repeat(np.arange(len(counts)), counts + 1)
 
 
 def text_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -100,111 +118,188 @@ def column_of(table: pa.Table, name: str) -> pa.Array:
     return column.fill_null("") if pa.types.is_string(column.type) and column.null_count else column
 
 
-def frequent_words(rows: DataFrame) -> tuple[np.ndarray, int]:
-    """Hashes, ascending, of the words with a large share of all tokens, and the number of tokens."""
+def codes_of(hashes: np.ndarray, common: np.ndarray) -> np.ndarray:
+    at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
+    return np.where(common[at] == hashes, at, OTHER).astype(np.uint16)
+
+
+def frequent(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
+    """Hashes, ascending, of the words with codes; pairs (code of the word << 16 | code of its context), ascending; number of tokens."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in text_pieces(batches):
-            found, _, _ = tokens(column_of(table, "text"))
+        total = 0
+        for i, table in enumerate(text_pieces(batches)):
+            column = column_of(table, "text")
+            if i % COUNTED:
+                total += len(find_words(column, lower=True).starts) + len(column)
+                continue
+            found, before, _ = tokens(column)
+            total += len(found)
             names, counts = np.unique(found, return_counts=True)
-            often = counts * 2 * FREQUENT_SHARE >= len(found)
-            names, counts = names[often].view(np.int64), counts[often]
-            arrays = [pa.array(np.append(names, 0)), pa.array(np.append(counts, len(found)))]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array([False] * len(names) + [True])], names=["name", "n", "all"])
+            often = counts > 2 + len(found) // 100_000
+            yield out(1, names[often], names[often], counts[often])
+            both = mix(before) ^ found
+            _, first, counts = np.unique(both, return_index=True, return_counts=True)
+            often = counts > 7 + len(found) // 100_000
+            yield out(2, found[first[often]], before[first[often]], counts[often])
+        nothing = np.zeros(1, np.uint64)
+        yield out(0, nothing, nothing, np.array([total]))
+
+    def out(kind: int, names: np.ndarray, before: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        arrays = [pa.array(np.full(len(n), kind, np.int32)), pa.array(names.view(np.int64)), pa.array(before.view(np.int64)), pa.array(n.astype(np.int64))]
+        return pa.RecordBatch.from_arrays(arrays, names=["kind", "name", "before", "n"])
+
+    counts = rows.select("text").mapInArrow(work, "kind int, name long, before long, n long")
+    sums = stored(counts.groupBy("kind", "name", "before").agg(F.sum("n").alias("n")), "frequent")
+    total = sums.filter("kind = 0").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    first = [sums.filter(F.col("kind") == kind).orderBy(F.desc("n"), "name", "before").limit(most).toPandas() for kind, most in ((1, COMMON - 2), (2, FREQUENT))]
+    words, contexts = (first[1][c].to_numpy(np.int64).astype(np.uint64) for c in ("name", "before"))
+    common = np.unique(np.concatenate((first[0]["name"].to_numpy(np.int64).astype(np.uint64), [END, _START])))
+    words, contexts = codes_of(words, common).astype(np.uint32), codes_of(contexts, common).astype(np.uint32)
+    pairs = (words << np.uint32(16) | contexts)[(words != OTHER) & (contexts != OTHER)]
+    return common, np.unique(pairs), total
+
+
+def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
+    """Rows that follow one another with the same first column: it, and their other columns."""
+    key, held = None, []
+    for batch in batches:
+        for row in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+            if row[0] != key and held:
+                yield key, held
+                held = []
+            key = row[0]
+            held.append(row[1:])
+    if held:
+        yield key, held
 
-    sums = rows.select("text").mapInArrow(work, "name long, n long, all boolean").groupBy("all", "name").agg(F.sum("n").alias("n"))
-    total = sums.filter("all").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    found = sums.filter(~F.col("all") & (F.col("n") * FREQUENT_SHARE >= total)).select("name").toPandas()
-    return np.sort(found["name"].to_numpy(np.int64).astype(np.uint64)), total
 
+def runs_of(sorted_keys: np.ndarray) -> np.ndarray:
+    """Where each run of equal keys begins."""
+    return np.flatnonzero(np.concatenate(([True], sorted_keys[1:] != sorted_keys[:-1]))) if len(sorted_keys) else np.empty(0, np.int64)
 
-def shards_and_texts(rows: DataFrame, frequent: np.ndarray, shards: int, partitions: int) -> DataFrame:
-    """(shard, base, payload, ids, held_out): one row per shard with its tokens, and one per piece of texts (shard -1)."""
-    kind = dict(rows.dtypes)["doc_id"]
-    schema = f"place int, shard int, base long, payload binary, ids array<{kind}>, held_out array<boolean>"
+
+def shards_and_texts(rows: DataFrame, common: np.ndarray, pairs: np.ndarray, shards: int, homes: int, partitions: int) -> DataFrame:
+    """(kind, shard, home, base, payload, ids, held_out): per piece of texts its frequent pairs (TEXTS); per shard the state its sweeps
+    start from (STATE), its tokens (from TOKENS on, by wave) and per home the contexts without a code it asks for (ASK)."""
+    kind_of_id = dict(rows.dtypes)["doc_id"]
+    id_type = {"string": pa.string(), "int": pa.int32()}.get(kind_of_id, pa.int64())
+    schema = f"kind int, shard int, home int, base long, payload binary, ids array<{kind_of_id}>, held_out array<boolean>"
+    edges = np.array([i * (2**64 // homes) for i in range(1, homes)], np.uint64)
+
+    def out(rows: list[tuple], table: pa.Table | None = None) -> pa.RecordBatch:
+        """Rows (kind, shard, home, base, payload); the first one is that of the texts, if there are."""
+        kind, shard, home, base, payload = zip(*rows, strict=True)
+        rest = [None] * (len(rows) - 1)
+        ids = pa.array([table.column("doc_id").to_pylist() if table else None, *rest], pa.list_(id_type))
+        held = pa.array([table.column("held_out").to_pylist() if table else None, *rest], pa.list_(pa.bool_()))
+        arrays = [*(pa.array(x, pa.int32()) for x in (kind, shard, home)), pa.array(base, pa.int64()), pa.array(payload, pa.binary()), ids, held]
+        return pa.RecordBatch.from_arrays(arrays, names=["kind", "shard", "home", "base", "payload", "ids", "held_out"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in text_pieces(batches):
-            found, context, text = tokens(column_of(table, "text"))
-            base = table.column("base")[0].as_py()
+            found, before, text = tokens(column_of(table, "text"))
+            base = int(table.column("base")[0].as_py())
             learns = ~np.array(table.column("held_out").to_numpy(zero_copy_only=False), dtype=bool)
-            at = np.minimum(np.searchsorted(frequent, found), max(len(frequent) - 1, 0))
-            often = frequent[at] == found if len(frequent) else np.zeros(len(found), bool)
-
-            known = pack(text[often].astype(np.uint16), at[often].astype(np.uint16), context[often], np.bincount(text, minlength=len(learns)))
-            yield row(int(base) % shards, -1, base, known, table)
-
-            trained = often & learns[text]
-            pairs, counts = np.unique(at[trained] * CONTEXTS + context[trained], return_counts=True)
-            who = (mix(frequent[pairs // CONTEXTS]) % np.uint64(shards)).astype(np.int64) if len(pairs) else pairs
-            rare = np.flatnonzero(~often)
-            own = (mix(found[rare]) % np.uint64(shards)).astype(np.int64)
-            order = np.lexsort((context[rare], found[rare], own))
-            rare, own = rare[order], own[order]
-            bounds = np.searchsorted(own, np.arange(shards + 1))
-            flags = np.packbits(learns)
-            for s in range(shards):
-                mine = rare[bounds[s] : bounds[s + 1]]
-                shared = who == s
-                if len(mine) or shared.any():
-                    names = found[mine]
-                    first = np.flatnonzero(np.concatenate(([True], names[1:] != names[:-1]))) if len(names) else mine
-                    payload = pack(
-                        names[first], np.diff(np.append(first, len(names))).astype(np.uint32), context[mine], text[mine].astype(np.uint16),
-                        flags, np.array([len(learns)]), pairs[shared].astype(np.int64), counts[shared].astype(np.int64),
-                    )
-                    yield row(s, s, base, payload, None)
-
-    def row(place: int, shard: int, base: int, payload: bytes, table: pa.Table | None) -> pa.RecordBatch:
-        ids = pa.array([table.column("doc_id").to_pylist() if table else None], pa.list_(id_type))
-        held = pa.array([table.column("held_out").to_pylist() if table else None], pa.list_(pa.bool_()))
-        arrays = [pa.array([place], pa.int32()), pa.array([shard], pa.int32()), pa.array([base], pa.int64()), pa.array([payload], pa.binary()), ids, held]
-        return pa.RecordBatch.from_arrays(arrays, names=["place", "shard", "base", "payload", "ids", "held_out"])
+            word = codes_of(found, common)
+            context = np.empty_like(word)
+            context[1:] = word[:-1]
+            context[runs_of(text)] = np.searchsorted(common, _START)
+            both = word.astype(np.uint32) << np.uint32(16) | context
+            at = np.minimum(np.searchsorted(pairs, both), max(len(pairs) - 1, 0))
+            often = pairs[at] == both if len(pairs) else np.zeros(len(both), bool)
+            known = pack(text[often].astype(np.uint16), at[often].astype(np.uint16), np.bincount(text, minlength=len(learns)).astype(np.uint32))
+
+            rest = np.flatnonzero(~often)
+            coded = word[rest] != OTHER
+            deal = found[rest]
+            deal[coded] ^= mix(before[rest[coded]])
+            own = (mix(deal) % np.uint64(shards)).astype(np.uint16 if shards < CODES else np.int64)
+            order = np.argsort(own, kind="stable")
+            rest, bounds = rest[order], np.searchsorted(own[order], np.arange(shards + 1))
+            word, context, text, found, before = word[rest], context[rest], text[rest].astype(np.uint16), found[rest], before[rest]
+            words, contexts = (np.concatenate(([0], np.cumsum(x == OTHER)))[bounds] for x in (word, context))
+            found, before = found[word == OTHER], before[context == OTHER]
+            flags, size = np.packbits(learns), np.array([len(learns)])
+            made = [(TEXTS, base % shards, 0, base, known)]
+            for s in np.flatnonzero(np.diff(bounds)).tolist():
+                a, b = bounds[s], bounds[s + 1]
+                payload = pack(word[a:b], context[a:b], text[a:b], found[words[s] : words[s + 1]], before[contexts[s] : contexts[s + 1]], flags, size)
+                made.append((TOKENS, s, 0, base, payload))
+            yield out(made, table)
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows of a shard follow one another; they become one."""
+        """Rows of a shard follow one another, after the texts' of the same place."""
         shard, held = -1, []
         for batch in batches:
-            for one in (batch.slice(i, 1) for i in range(batch.num_rows)):
-                s = one.column(1)[0].as_py()
+            for i, kind in enumerate(batch.column(0).to_pylist()):
+                s = batch.column(1)[i].as_py()
                 if s != shard and held:
                     yield joined(shard, held)
                     held = []
                 shard = s
-                if s < 0:
-                    yield one
+                if kind == TEXTS:
+                    yield batch.slice(i, 1)
                 else:
-                    held.append((one.column(2)[0].as_py(), unpack(one.column(3)[0].as_py())))
+                    held.append((batch.column(3)[i].as_py(), unpack(batch.column(4)[i].as_py())))
         if held:
             yield joined(shard, held)
 
+    def keys(codes: list[np.ndarray], hashes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of tokens, the code or CODES + the place among the hashes of those without one, and these hashes."""
+        key = np.concatenate(codes).astype(np.int64)
+        names, place = np.unique(np.concatenate(hashes), return_inverse=True)
+        key[key == OTHER] = CODES + place
+        return key, names
+
     def joined(shard: int, held: list) -> pa.RecordBatch:
-        names = np.concatenate([np.repeat(x[0], x[1]) for _, x in held])
-        context = np.concatenate([x[2] for _, x in held])
-        text = np.concatenate([x[3] for _, x in held])
-        piece = np.repeat(np.arange(len(held), dtype=np.uint32), [len(x[2]) for _, x in held])
-        learns = np.concatenate([np.unpackbits(x[4])[: x[5][0]][x[3]] for _, x in held])
-        order = np.lexsort((context, names))
-        names = names[order]
-        first = np.flatnonzero(np.concatenate(([True], names[1:] != names[:-1]))) if len(names) else np.empty(0, np.int64)
-        pairs, where = np.unique(np.concatenate([x[6] for _, x in held]), return_inverse=True)
-        counts = np.bincount(where, np.concatenate([x[7] for _, x in held]), len(pairs)).astype(np.int64)
+        word, _ = keys([x[0] for _, x in held], [x[3] for _, x in held])
+        context, names = keys([x[1] for _, x in held], [x[4] for _, x in held])
+        text = np.concatenate([x[2] for _, x in held])
+        piece = np.repeat(np.arange(len(held)), [len(x[2]) for _, x in held])
+        learns = np.concatenate([np.unpackbits(x[5])[: x[6][0]][x[2]] for _, x in held])
+        both = word << 32 | context
+        order = np.argsort(both)
+        both = both[order]
+        first = runs_of(both)
+        runs = np.diff(np.append(first, len(both)))
+        customers = np.add.reduceat(learns[order].astype(np.int64), first)
+        words, pair_word = np.unique(both[first] >> 32, return_inverse=True)
+        contexts, pair_context = np.unique(both[first] & 0xFFFFFFFF, return_inverse=True)
+        bases, texts = np.array([b for b, _ in held], np.int64), np.array([x[6][0] for _, x in held])
+        coded = [words[: np.searchsorted(words, CODES)], contexts[: np.searchsorted(contexts, CODES)]]
+        sizes = np.array([len(words), len(contexts)])
         payload = pack(
-            names[first], np.diff(np.append(first, len(names))).astype(np.uint32), context[order], piece[order], text[order],
-            np.packbits(learns[order]), np.array([b for b, _ in held], np.int64), np.concatenate([x[5] for _, x in held]), pairs, counts,
+            *(small(x) for x in coded), sizes, small(np.bincount(pair_word)), small(pair_context), small(customers), small(runs),
+            small(piece[order]), text[order], bases, texts,
         )
-        return row(shard, shard, -1, payload, None)
+        one, more = customers == 1, customers > 1
+        cuts = np.concatenate(([0], np.searchsorted(names, edges), [len(names)]))
+        served = np.bincount(pair_context, customers, len(contexts)).astype(np.int64)
+        state = pack(
+            *(small(x) for x in coded), sizes, cuts, small(np.bincount(pair_word[one], minlength=len(words))),
+            small(np.bincount(pair_context[one], minlength=len(contexts))), small(np.bincount(pair_word, customers, len(words)).astype(np.int64)),
+            small(served), small(pair_word[more]), small(pair_context[more]), small(customers[more]),
+        )
+        served = served[len(coded[1]) :]
+        made = [(STATE, shard, 0, -1, state), (TOKENS + shard % WAVES, shard, 0, -1, payload)]
+        for h in np.flatnonzero(np.diff(cuts)).tolist():
+            a, b = cuts[h], cuts[h + 1]
+            made.append((ASK, shard, h, -1, pack(names[a:b], small(served[a:b]))))
+        return out(made)
 
-    id_type = {"string": pa.string(), "int": pa.int32()}.get(kind, pa.int64())
-    made = rows.mapInArrow(cut, schema).repartition(partitions, "place").sortWithinPartitions("shard", "base")
-    return made.mapInArrow(join, schema).drop("place")
+    made = rows.mapInArrow(cut, schema).repartition(partitions, "shard").sortWithinPartitions("shard", "kind", "base")
+    return made.mapInArrow(join, schema)
 
 
 class Totals(NamedTuple):
-    """What all restaurants know of each other: per context customers and tables, and the root's tables after a sweep."""
+    """What all shards share: by code a context's tables and customers, a word's probability at the root and count; all tables, those of the root."""
 
-    customers: np.ndarray
     tables: np.ndarray
+    customers: np.ndarray
+    parent: np.ndarray
+    counts: np.ndarray
+    all_tables: float
     root_tables: float
     words: int
     train_tokens: int
@@ -212,6 +307,13 @@ class Totals(NamedTuple):
     root_discount: float
 
 
+def root_chance(customers: np.ndarray, tables: np.ndarray, totals: Totals) -> np.ndarray:
+    """The root's predictive probability of words with so many customers and tables there."""
+    below = STRENGTH + totals.all_tables
+    base = (STRENGTH + totals.root_discount * totals.root_tables) / below / (totals.words + 1)
+    return np.maximum(customers - totals.root_discount * tables, 0) / below + base
+
+
 def log_stirling(size: int, discount: float) -> np.ndarray:
     table = np.full((size + 1, size + 1), -np.inf)
     table[0, 0] = 0.0
@@ -248,145 +350,266 @@ def sample_tables(
     return out
 
 
+def seat_root(customers: np.ndarray, tables: np.ndarray, totals: Totals, rng: np.random.Generator) -> np.ndarray:
+    """New tables of words at the root, given their customers there and the tables they had."""
+    out = np.where(customers > 0, np.minimum(tables, np.maximum(customers, 1)), 0)
+    known = np.flatnonzero(customers > 0)
+    others = np.maximum(totals.root_tables - out[known], 0)
+    base = np.full(len(known), 1.0 / (totals.words + 1))
+    out[known] = sample_tables(customers[known], base, others, totals.root_discount, STRENGTH, rng)
+    return out
+
+
 class Shard:
-    """Training pairs (word, context) of one shard and the chain of their seatings."""
-
-    def __init__(self, payload: bytes, frequent: np.ndarray):
-        parts = unpack(payload)
-        self.names, sizes, self.context, self.piece, self.text, learns, self.bases, self.texts, pairs, counts = parts
-        n = len(self.names)
-        word = np.repeat(np.arange(n), sizes)
-        self.keys = word * CONTEXTS + self.context
-        self.sizes = sizes
-        trained = self.keys[np.unpackbits(learns)[: len(self.keys)].astype(bool)]
-        first = np.flatnonzero(np.concatenate(([True], trained[1:] != trained[:-1]))) if len(trained) else np.empty(0, np.int64)
-        # frequent words come after the shard's own
-        self.often, local = np.unique(pairs // CONTEXTS, return_inverse=True)
-        self.words = n + len(self.often)
-        self.pairs = np.concatenate((trained[first], (n + local) * CONTEXTS + pairs % CONTEXTS)).astype(np.int64)
-        self.counts = np.concatenate((np.diff(np.append(first, len(trained))), counts)).astype(np.int64)
-        self.pair_word, self.pair_context = self.pairs // CONTEXTS, self.pairs % CONTEXTS
-        self.word_counts = np.bincount(self.pair_word, self.counts, self.words).astype(np.int64)
-        self.tables = np.ones(len(self.pairs), np.int64)
-        self.seat_root(np.ones(self.words, np.int64))
-
-    def seat_root(self, root_tables: np.ndarray) -> None:
-        self.root_customers = np.bincount(self.pair_word, self.tables, self.words).astype(np.int64)
-        self.root_tables = np.where(self.root_customers > 0, np.minimum(root_tables, np.maximum(self.root_customers, 1)), 0)
-
-    def parent(self, totals: Totals) -> np.ndarray:
-        """The root's predictive probability of each word."""
-        below = STRENGTH + totals.tables.sum()
-        base = (STRENGTH + totals.root_discount * totals.root_tables) / below / (totals.words + 1)
-        return np.maximum(self.root_customers - totals.root_discount * self.root_tables, 0) / below + base
-
-    def sweep(self, totals: Totals, rng: np.random.Generator) -> None:
-        others = np.maximum(totals.tables[self.pair_context] - self.tables, 0)
-        parent = self.parent(totals)[self.pair_word]
-        self.tables = sample_tables(self.counts, parent, others, totals.discount, STRENGTH, rng)
-        self.seat_root(self.root_tables)
-        known = np.flatnonzero(self.root_customers > 0)
-        others = np.maximum(totals.root_tables - self.root_tables[known], 0)
-        base = np.full(len(known), 1.0 / (totals.words + 1))
-        self.root_tables[known] = sample_tables(self.root_customers[known], base, others, totals.root_discount, STRENGTH, rng)
-
-    def chances(self, totals: Totals, keys: np.ndarray) -> np.ndarray:
-        """Predictive probabilities of (word, context) keys."""
-        word, context = keys // CONTEXTS, keys % CONTEXTS
-        below = STRENGTH + totals.customers[context]
-        found = (STRENGTH + totals.discount * totals.tables[context]) / below * self.parent(totals)[word]
-        if len(self.pairs):
-            at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
-            own = self.pairs[at] == keys
-            found[own] += np.maximum(self.counts[at[own]] - totals.discount * self.tables[at[own]], 0) / below[own]
-        return found
-
-
-def chain(payload: bytes, number: int, frequent: np.ndarray, sweeps: list[Totals]) -> Iterator[Shard]:
-    """The shard after each sweep, from the start; equal for equal totals."""
-    shard = Shard(payload, frequent)
-    yield shard
-    for i, totals in enumerate(sweeps):
-        shard.sweep(totals, np.random.default_rng([number, i]))
-        yield shard
-
-
-def totals_after(shards: DataFrame, frequent: np.ndarray, sweeps: list[Totals]) -> Totals:
-    """One pass: all tasks add up their shards, and contexts are added up by Spark."""
+    """Dishes of one shard with two customers or more, what the others add up to, and their seating."""
+
+    def __init__(self, payload: bytes):
+        words, contexts, (n_words, n_contexts), cuts, one_word, one_context, counts, served, self.word, self.context, customers = unpack(payload)
+        self.words, self.contexts, self.n_words, self.n_contexts, self.cuts = words, contexts, int(n_words), int(n_contexts), cuts
+        self.one_word, self.one_context, self.counts, self.served = (x.astype(np.int64) for x in (one_word, one_context, counts, served))
+        self.customers = customers.astype(np.int64)
+        self.seat(np.ones(len(customers), np.int64))
+        self.root_tables = (self.root_customers[len(words) :] > 0).astype(np.int64)
+
+    def seat(self, tables: np.ndarray) -> None:
+        self.tables = tables.astype(np.int64)
+        self.root_customers = np.bincount(self.word, self.tables, self.n_words).astype(np.int64) + self.one_word
+        self.in_context = np.bincount(self.context, self.tables, self.n_contexts).astype(np.int64) + self.one_context
+
+    def sweep(self, asked: np.ndarray, totals: Totals, rng: np.random.Generator) -> None:
+        """`asked` are all tables of the contexts without a code."""
+        n = len(self.words)
+        in_context = np.concatenate((totals.tables[self.contexts], asked))
+        parent = np.concatenate((totals.parent[self.words], root_chance(self.root_customers[n:], self.root_tables, totals)))
+        others = np.maximum(in_context[self.context] - self.tables, 0)
+        self.seat(sample_tables(self.customers, parent[self.word], others, totals.discount, STRENGTH, rng))
+        self.root_tables = seat_root(self.root_customers[n:], self.root_tables, totals, rng)
+
+    def shares(self) -> list[tuple[int, bytes]]:
+        """Per home the shard's tables in the contexts it asks for."""
+        mine = self.in_context[len(self.contexts) :]
+        return [(h, pack(small(mine[self.cuts[h] : self.cuts[h + 1]]))) for h in np.flatnonzero(np.diff(self.cuts)).tolist()]
+
+
+_STEP = "kind int, shard int, home int, payload binary"
+
+
+def step_rows(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
+    kind, shard, home, payload = zip(*rows, strict=True)
+    arrays = [*(pa.array(x, pa.int32()) for x in (kind, shard, home)), pa.array(payload, pa.binary())]
+    return pa.RecordBatch.from_arrays(arrays, names=["kind", "shard", "home", "payload"])
+
+
+def dense_rows(vectors: list[np.ndarray], numbers: np.ndarray) -> pa.RecordBatch:
+    """A task's sums: SLOTS parts of vectors by code, and some numbers."""
+    parts = zip(*(np.array_split(v, SLOTS) for v in vectors), strict=True)
+    return step_rows([*((DENSE, -1, i, pack(*(small(p) for p in part))) for i, part in enumerate(parts)), (DENSE, -1, SLOTS, pack(numbers))])
+
+
+def added_up(table: DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
+    """The sums of all tasks' vectors and numbers."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for slot, held in groups(batches):
+            sums: list = []
+            for (payload,) in held:
+                arrays = [x.astype(float) for x in unpack(payload)]
+                sums = [a + b for a, b in zip(sums, arrays, strict=True)] if sums else arrays
+            yield step_rows([(DENSE, -1, slot, pack(*sums))])
+
+    rows = table.filter(F.col("kind") == DENSE).select("home", "payload").repartition(SLOTS, "home").sortWithinPartitions("home")
+    found = {r["home"]: unpack(r["payload"]) for r in rows.mapInArrow(work, _STEP).collect()}  # SLOTS + 1 rows
+    if not found:
+        return [], np.empty(0)
+    return [np.concatenate(parts) for parts in zip(*(found[i] for i in range(SLOTS)), strict=True)], found[SLOTS][0]
+
+
+def begin(table: DataFrame, pairs: int) -> DataFrame:
+    """First sums and shares, with one table for each dish; frequent pairs are counted."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        customers, tables, rest = np.zeros(CONTEXTS), np.zeros(CONTEXTS), np.zeros(6)
+        tables, customers, root, counts, often = (np.zeros(CODES, np.int64) for _ in range(5))
+        numbers = np.zeros(8)
         for batch in batches:
-            for number, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for shard in chain(payload, number, frequent, sweeps):
-                    pass
-                customers += np.bincount(shard.pair_context, shard.counts, CONTEXTS)
-                tables += np.bincount(shard.pair_context, shard.tables, CONTEXTS)
-                at_root = shard.root_customers
-                rest += [
-                    shard.root_tables.sum(), (shard.word_counts > 0).sum(), (shard.counts == 1).sum(), (shard.counts == 2).sum(),
-                    (at_root == 1).sum(), (at_root == 2).sum(),
+            for i, (kind, number, payload) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True)):
+                if kind == TEXTS:
+                    text, at, _ = unpack(payload)
+                    learns = ~np.array(batch.column(3)[i].as_py(), dtype=bool)
+                    often += np.bincount(at[learns[text]], minlength=CODES)
+                    continue
+                s = Shard(payload)
+                n, m = len(s.words), len(s.contexts)
+                tables[s.contexts] += s.in_context[:m]
+                customers[s.contexts] += s.served[:m]
+                root[s.words] += s.root_customers[:n]
+                counts[s.words] += s.counts[:n]
+                own = s.root_customers[n:]
+                numbers += [
+                    s.in_context.sum(), s.root_tables.sum(), (s.counts[n:] > 0).sum(), s.one_word.sum(), (s.customers == 2).sum(),
+                    (own == 1).sum(), (own == 2).sum(), s.served.sum(),
                 ]
-        values = np.concatenate((customers, tables, rest))
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values), dtype=np.int32)), pa.array(values)], names=["at", "value"])
+                if shares := s.shares():
+                    yield step_rows([(ASK, number, h, share) for h, share in shares])
+        yield dense_rows([tables, customers, root, counts, often], numbers)
 
-    sums = shards.select("shard", "payload").mapInArrow(work, "at int, value double").groupBy("at").agg(F.sum("value").alias("value"))
-    values = np.zeros(2 * CONTEXTS + 6)
-    for row in sums.collect():  # 2 x CONTEXTS + 6 numbers
-        values[row["at"]] = row["value"]
-    customers, tables, rest = values[:CONTEXTS], values[CONTEXTS : 2 * CONTEXTS], values[2 * CONTEXTS :]
-    if sweeps:
-        return sweeps[0]._replace(tables=tables, root_tables=rest[0])
-    discount, root_discount = (float(np.clip(a / max(a + 2 * b, 1), 0.1, 0.95)) for a, b in ((rest[2], rest[3]), (rest[4], rest[5])))
-    return Totals(customers, tables, rest[0], int(rest[1]), int(customers.sum()), discount, root_discount)
+    return stored(table.filter(F.col("kind").isin(TEXTS, STATE)).select("kind", "shard", "payload", "held_out").mapInArrow(work, _STEP), "begun", "kind")
 
 
-def shard_scores(shards: DataFrame, frequent: np.ndarray, sweeps: list[Totals], after: list[Totals]) -> DataFrame:
-    """(base, payload, often): per piece of texts the sums over the task's shards; per frequent word (base -1) its row of
-    log-probabilities. `after` are the totals after each of the last sweeps."""
-    last = len(sweeps) - len(after)
+def answers(table: DataFrame, steps: list[DataFrame], partitions: int) -> DataFrame:
+    """(shard, turn, home, payload): for the contexts a shard asks a home for, their customers and their tables after each of the steps."""
+    turns = range(1, len(steps) + 1)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for home, held in groups(batches):
+            got = [(shard, turn, unpack(payload)) for shard, turn, payload in held]
+            asks = [(shard, *x) for shard, turn, x in got if turn == 0]
+            names, place = np.unique(np.concatenate([x[1] for x in asks]), return_inverse=True)
+            sums = [np.bincount(place, np.concatenate([x[2] for x in asks]), len(names))]
+            for step in turns:
+                sums.append(np.bincount(place, np.concatenate([x[0] for _, turn, x in got if turn == step]), len(names)))
+            at = 0
+            for shard, mine, _ in asks:
+                where = place[at : at + len(mine)]
+                at += len(mine)
+                yield step_rows([(2, shard, home, pack(*(small(x[where].astype(np.int64)) for x in sums)))])
+
+    rows = table.filter(F.col("kind") == ASK).selectExpr("home", "shard", "0 AS turn", "payload")
+    for i, step in enumerate(steps, 1):
+        rows = rows.unionByName(step.filter(F.col("kind") == ASK).selectExpr("home", "shard", f"{i} AS turn", "payload"))
+    made = rows.repartition(partitions, "home").sortWithinPartitions("home", "shard", "turn").mapInArrow(work, _STEP)
+    return made.selectExpr("shard", "kind AS turn", "home", "payload")
+
+
+def asked(held: list[tuple], steps: int) -> list[np.ndarray]:
+    """Customers, and tables after each step, of a shard's contexts without a code: its answers follow in order of the homes."""
+    got = [unpack(payload) for turn, _, payload in held if turn == 2]
+    return [np.concatenate([x[i] for x in got]).astype(np.int64) if got else np.empty(0, np.int64) for i in range(steps + 1)]
+
+
+def sweep(table: DataFrame, before: DataFrame, totals: Totals, number: int, partitions: int) -> DataFrame:
+    """A sweep over all shards: their seating, their shares for the homes, and sums."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables, root, numbers = np.zeros(CODES, np.int64), np.zeros(CODES, np.int64), np.zeros(2)
+        for shard, held in groups(batches):
+            s = Shard(held[0][2])
+            for turn, _, payload in held[1:2]:
+                if turn == 1:
+                    seating, s.root_tables = unpack(payload)
+                    s.seat(seating)
+                    s.root_tables = s.root_tables.astype(np.int64)
+            s.sweep(asked(held, 1)[1], totals, np.random.default_rng([shard, number]))
+            tables[s.contexts] += s.in_context[: len(s.contexts)]
+            root[s.words] += s.root_customers[: len(s.words)]
+            numbers += [s.in_context.sum(), s.root_tables.sum()]
+            yield step_rows([(STATE, shard, 0, pack(small(s.tables), small(s.root_tables))), *((ASK, shard, h, share) for h, share in s.shares())])
+        yield dense_rows([tables, root], numbers)
+
+    rows = table.filter(F.col("kind") == STATE).selectExpr("shard", "0 AS turn", "home", "payload")
+    rows = rows.unionByName(before.filter(F.col("kind") == STATE).selectExpr("shard", "1 AS turn", "home", "payload"))
+    rows = rows.unionByName(answers(table, [before], partitions))
+    return stored(rows.repartition(partitions, "shard").sortWithinPartitions("shard", "turn", "home").mapInArrow(work, _STEP), "sweep", "kind")
+
+
+class Coded:
+    """The driver's part: frequent pairs and, at the root, the words with codes. Its size is bounded by FREQUENT and COMMON."""
+
+    def __init__(self, pairs: np.ndarray, vectors: list[np.ndarray], numbers: np.ndarray):
+        self.word, self.context = (pairs >> np.uint32(16)).astype(np.int64), (pairs & np.uint32(0xFFFF)).astype(np.int64)
+        if not vectors:
+            vectors, numbers = [np.zeros(CODES) for _ in range(5)], np.zeros(8)
+        tables, customers, root, counts, often = vectors
+        self.counts = often[: len(pairs)].astype(np.int64)
+        self.tables = (self.counts > 0).astype(np.int64)
+        counts = counts + np.bincount(self.word, self.counts, CODES)
+        self.root_customers = self.at_root(root)
+        self.root_tables = (self.root_customers > 0).astype(np.int64)
+        n, at = numbers, self.root_customers
+        ones = [(n[3] + (self.counts == 1).sum(), n[4] + (self.counts == 2).sum()), (n[5] + (at == 1).sum(), n[6] + (at == 2).sum())]
+        discount, root_discount = (float(np.clip(a / max(a + 2 * b, 1), 0.1, 0.95)) for a, b in ones)
+        words, train_tokens = int(n[2] + (counts > 0).sum()), int(n[7] + self.counts.sum())
+        customers = customers + np.bincount(self.context, self.counts, CODES)
+        empty = np.empty(0)
+        self.totals = self.with_root(Totals(empty, customers, empty, counts, 0, 0, words, train_tokens, discount, root_discount), tables, n[0], n[1])
+
+    def at_root(self, root: np.ndarray) -> np.ndarray:
+        return (root + np.bincount(self.word, self.tables, CODES)).astype(np.int64)
+
+    def with_root(self, totals: Totals, tables: np.ndarray, all_tables: float, root_tables: float) -> Totals:
+        tables = tables + np.bincount(self.context, self.tables, CODES)
+        totals = totals._replace(tables=tables, all_tables=all_tables + self.tables.sum(), root_tables=root_tables + self.root_tables.sum())
+        return totals._replace(parent=root_chance(self.root_customers, self.root_tables, totals))
+
+    def sweep(self, rng: np.random.Generator) -> None:
+        """Seats the frequent pairs; the root follows when the shards' tables are known."""
+        more = np.flatnonzero(self.counts > 1)
+        others = np.maximum(self.totals.tables[self.context[more]] - self.tables[more], 0)
+        parent = self.totals.parent[self.word[more]]
+        self.tables[more] = sample_tables(self.counts[more], parent, others, self.totals.discount, STRENGTH, rng)
+
+    def follow(self, vectors: list[np.ndarray], numbers: np.ndarray, rng: np.random.Generator) -> None:
+        tables, root = vectors or [np.zeros(CODES)] * 2
+        self.root_customers = self.at_root(root)
+        self.root_tables = seat_root(self.root_customers, self.root_tables, self.totals, rng)
+        self.totals = self.with_root(self.totals, tables, *(numbers if len(numbers) else (0, 0)))
+
+    def chances(self) -> np.ndarray:
+        x = self.totals
+        new = (STRENGTH + x.discount * x.tables[self.context]) * x.parent[self.word]
+        return (new + np.maximum(self.counts - x.discount * self.tables, 0)) / (STRENGTH + x.customers[self.context])
+
+
+def shard_scores(tokens: DataFrame, messages: DataFrame, after: list[Totals], partitions: int) -> DataFrame:
+    """(base, payload): per piece of texts the sums over the task's shards. `after` are the totals after each of the last sweeps."""
+
+    def chances(parts: list[np.ndarray], held: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        """Probability and training count of the word of every pair."""
+        words, contexts, (n_words, n_contexts), word_pairs, pair_context, customers = parts[:6]
+        n, pair_word = len(words), np.repeat(np.arange(n_words), word_pairs)
+        customers = customers.astype(np.int64)
+        served, *tables = asked(held, len(after))
+        below = STRENGTH + np.concatenate((after[0].customers[contexts], served))[pair_context]
+        seatings = [unpack(payload) for turn, _, payload in held if turn == 1]
+        chance = np.zeros(len(pair_word))
+        for totals, in_context, (seating, root_tables) in zip(after, tables, seatings, strict=True):
+            seated = (customers > 0).astype(np.int64)
+            seated[customers > 1] = seating
+            at_root = np.bincount(pair_word, seated, int(n_words))[n:]
+            parent = np.concatenate((totals.parent[words], root_chance(at_root, root_tables, totals)))
+            new = (STRENGTH + totals.discount * np.concatenate((totals.tables[contexts], in_context)))[pair_context] * parent[pair_word]
+            chance += (new + np.maximum(customers - totals.discount * seated, 0)) / below / len(after)
+        counts = np.concatenate((after[0].counts[words], np.bincount(pair_word, customers, int(n_words))[n:]))
+        return chance, counts[pair_word]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, list[np.ndarray]] = {}
-        held = 0
-        for batch in batches:
-            for number, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                keys = chance = every = table = None
-                for i, shard in enumerate(chain(payload, number, frequent, sweeps)):
-                    if keys is None:
-                        first = np.flatnonzero(np.concatenate(([True], shard.keys[1:] != shard.keys[:-1]))) if len(shard.keys) else np.empty(0, np.int64)
-                        keys, runs = shard.keys[first], np.diff(np.append(first, len(shard.keys)))
-                        every = ((len(shard.names) + np.arange(len(shard.often)))[:, None] * CONTEXTS + np.arange(CONTEXTS)).ravel()
-                        chance, table = np.zeros(len(keys)), np.zeros(len(every))
-                    if i > last:
-                        chance += shard.chances(after[i - last - 1], keys) / len(after)
-                        table += shard.chances(after[i - last - 1], every) / len(after)
-                if len(shard.often):
-                    counts = shard.word_counts[len(shard.names) :]
-                    yield out(-1, pack(shard.often, counts, np.log10(table)))
-                score = np.repeat(np.log10(chance), runs)
-                count = np.repeat(shard.word_counts[: len(shard.names)], shard.sizes)
-                starts = np.concatenate(([0], np.cumsum(shard.texts)))
-                at = starts[shard.piece] + shard.text
-                parts = [np.bincount(at, w, starts[-1]).astype(float) for w in (np.log10(count + 0.5), score, count > 0)]
-                for b, x, y in zip(shard.bases.tolist(), starts, starts[1:], strict=False):
-                    if b in sums:
-                        for old, new in zip(sums[b], parts, strict=True):
-                            old += new[x:y]
-                    else:
-                        sums[b] = [p[x:y].copy() for p in parts]
-                        held += y - x
-                if held > 2_000_000:
-                    for b, (p, q, k) in sums.items():
-                        yield out(b, pack(p, q, k.astype(np.int32)))
-                    sums, held = {}, 0
-        for b, (p, q, k) in sums.items():
-            yield out(b, pack(p, q, k.astype(np.int32)))
-
-    def out(base: int, payload: bytes) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([base], pa.int64()), pa.array([payload], pa.binary())], names=["base", "payload"])
-
-    return shards.select("shard", "payload").mapInArrow(work, "base long, payload binary")
+        size = 0
+        for _, held in groups(batches):
+            parts = unpack(held[0][2])
+            chance, count = chances(parts, held)
+            runs, piece, text, bases, texts = parts[6:]
+            starts = np.concatenate(([0], np.cumsum(texts)))
+            at = starts[piece] + text
+            found = [np.bincount(at, np.repeat(w, runs), starts[-1]) for w in (np.log10(count + 0.5), np.log10(chance), (count > 0).astype(float))]
+            for b, x, y in zip(bases.tolist(), starts, starts[1:], strict=False):
+                if b in sums:
+                    for old, new in zip(sums[b], found, strict=True):
+                        old += new[x:y]
+                else:
+                    sums[b] = [p[x:y].copy() for p in found]
+                    size += y - x
+            if size > 2_000_000:
+                yield out(sums)
+                sums, size = {}, 0
+        if sums:
+            yield out(sums)
+
+    def out(sums: dict[int, list[np.ndarray]]) -> pa.RecordBatch:
+        payload = [pack(p, q, small(k.round().astype(np.int64))) for p, q, k in sums.values()]
+        return pa.RecordBatch.from_arrays([pa.array([*sums], pa.int64()), pa.array(payload, pa.binary())], names=["base", "payload"])
+
+    rows = tokens.selectExpr("shard", "0 AS turn", "home", "payload").unionByName(messages)
+    return rows.repartition(partitions, "shard").sortWithinPartitions("shard", "turn", "home").mapInArrow(work, "base long, payload binary")
 
 
 def score_texts(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -399,30 +622,37 @@ def score_texts(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
         F.monotonically_increasing_id().alias("base"),
     )
     kind = dict(rows.dtypes)["doc_id"]
-    frequent, n = frequent_words(rows)
+    common, pairs, n = frequent(rows)
     partitions = shuffle_partitions(spark)
-    shards = max(12 * partitions, n // SHARD_TOKENS)
-    small_batches(spark, 128)  # rows are packed pieces from here on
-    table = stored(shards_and_texts(rows, frequent, shards, partitions), "shards")
-    own, texts = table.filter("shard >= 0"), table.filter("shard < 0")
-
-    small_batches(spark, 2)
-    state = [totals_after(own, frequent, [])]
-    for _ in range(SWEEPS):
-        state.append(totals_after(own, frequent, list(state)))
-    scored = stored(shard_scores(own, frequent, state[:-1], state[-SAMPLES:]), "scores")
-
-    logs, counts = np.full((len(frequent), CONTEXTS), np.nan), np.zeros(len(frequent), np.int64)
-    for row in scored.filter("base = -1").select("payload").collect():  # at most FREQUENT_SHARE words
-        often, c, values = unpack(row["payload"])
-        logs[often], counts[often] = values.reshape(-1, CONTEXTS), c
-    end = state[-SAMPLES:]
-    unseen = np.mean([(STRENGTH + x.discount * x.tables) / (STRENGTH + x.customers) * (STRENGTH + x.root_discount * x.root_tables)
-                      / (STRENGTH + x.tables.sum()) / (x.words + 1) for x in end], axis=0)
-    logs = np.where(np.isnan(logs), np.log10(unseen), logs)
-    first = state[0]
-    below = float(np.log10(first.train_tokens + 0.5 * (first.words + 1)))
-    train_tokens = first.train_tokens
+    shards = max(8 * partitions, n // SHARD_TOKENS)
+    homes = max(1, shards // SHARDS_PER_HOME)
+    small_batches(spark, 64)  # rows are packed pieces from here on
+    table = stored(shards_and_texts(rows, common, pairs, shards, homes, partitions), "shards", "kind", **PACKED)
+
+    small_batches(spark, 16)
+    steps = [begin(table, len(pairs))]
+    coded = Coded(pairs, *added_up(steps[0]))
+    after, frequent_chance = [], np.zeros(len(pairs))
+    for i in range(1, SWEEPS + 1):
+        steps.append(sweep(table, steps[-1], coded.totals, i, partitions))
+        rng = np.random.default_rng([shards, i])
+        coded.sweep(rng)
+        coded.follow(*added_up(steps[-1]), rng)
+        if i > SWEEPS - SAMPLES:
+            after.append(coded.totals)
+            frequent_chance += coded.chances() / SAMPLES
+    small_batches(spark, 4)
+    messages = answers(table, steps[-SAMPLES:], partitions)
+    for i, step in enumerate(steps[-SAMPLES:]):
+        messages = messages.unionByName(step.filter(F.col("kind") == STATE).selectExpr("shard", "1 AS turn", f"{i} AS home", "payload"))
+    scored = []
+    for wave in range(WAVES):
+        tokens_of, own = table.filter(F.col("kind") == TOKENS + wave), messages.filter(F.col("shard") % WAVES == wave)
+        scored.append(stored(shard_scores(tokens_of, own, after, -(-partitions // WAVES)), "scores"))
+
+    totals = coded.totals
+    logs, counts = np.log10(frequent_chance), totals.counts[coded.word]
+    train_tokens, below = totals.train_tokens, float(np.log10(totals.train_tokens + 0.5 * (totals.words + 1)))
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double"
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -435,9 +665,9 @@ def score_texts(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
                     if held is not None:
                         yield result(held, sums)
                     base, held = b, one
-                    at, word, context, n_tokens = payload
-                    known = counts[word] if len(word) else word
-                    sums = [np.bincount(at, w, len(n_tokens)).astype(float) for w in (np.log10(known + 0.5), logs[word, context], known > 0)]
+                    at, pair, n_tokens = payload
+                    known = counts[pair]
+                    sums = [np.bincount(at, w, len(n_tokens)).astype(float) for w in (np.log10(known + 0.5), logs[pair], known > 0)]
                     sums.append(n_tokens)
                 else:
                     for old, new in zip(sums, payload, strict=False):
@@ -454,7 +684,7 @@ def score_texts(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
         return pa.RecordBatch.from_arrays(arrays, names=[f.split()[0] for f in schema.split(", ")])
 
     small_batches(spark, 64)
-    both = texts.selectExpr("base", "0 AS turn", "payload", "ids", "held_out").unionByName(
-        scored.filter("base >= 0").selectExpr("base", "1 AS turn", "payload"), allowMissingColumns=True
-    )
+    both = table.filter(F.col("kind") == TEXTS).selectExpr("base", "0 AS turn", "payload", "ids", "held_out")
+    for part in scored:
+        both = both.unionByName(part.selectExpr("base", "1 AS turn", "payload"), allowMissingColumns=True)
     return both.repartition("base").sortWithinPartitions("base", "turn").mapInArrow(add_up, schema)

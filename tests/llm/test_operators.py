@@ -396,6 +396,32 @@ def test_language_model_beats_the_base_on_held_out_texts(spark, sf_dir):
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
 
 
+def test_language_model_has_a_restaurant_for_every_context(spark):
+    """Words that always follow one another are foretold, however many of them there are."""
+    chain = " ".join(f"w{i}" for i in range(4000))
+    rows = pitman_yor.score_texts(spark.createDataFrame([(i, chain) for i in range(8)], "doc_id long, text string").repartition(3)).collect()
+    assert all(r.score / r.n_tokens > math.log10(0.5) for r in rows)
+
+
+def test_language_model_probabilities(spark):
+    """One training text of distinct words: every dish has one table, so all probabilities are known."""
+    ids = {held: [i for i in range(50) if (zlib.crc32(str(i).encode()) % 5 == 1) == held] for held in (False, True)}
+    n = 700
+    rows = [(ids[False][0], " ".join(f"w{i}" for i in range(n))), (ids[True][0], "w1 w2 new w7 w5"), (ids[True][1], None)]
+    got = {r.doc_id: r for r in pitman_yor.score_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    tables, d = n + 1, 0.95
+    base = (1 + d * tables) / (1 + tables) / (tables + 1)
+    root = (1 - d) / (1 + tables) + base
+    seen, other = ((1 - d) + (1 + d) * root) / 2, (1 + d) * root / 2
+    first = ids[False][0]
+    assert got[first].score == pytest.approx(tables * math.log10(seen))
+    # start: w1, w1: w2, w2: new, new: w7, w7: w5, w5: end
+    chances = [other, seen, (1 + d) * base / 2, root, other, other]
+    assert got[ids[True][0]].score == pytest.approx(sum(map(math.log10, chances)))
+    assert got[ids[True][1]].score == pytest.approx(math.log10(other))
+    assert (got[ids[True][0]].n_known, got[first].train_tokens) == (5, tables)
+
+
 def test_seating_follows_its_distribution():
     """Tables of c customers when the dish is all the parent serves: the mean of the restaurant process."""
     rng, c, d, strength = np.random.default_rng(1), 30, 0.5, 1.0
