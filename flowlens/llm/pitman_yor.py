@@ -39,8 +39,8 @@ OTHER = 65_535
 CODES = 65_536
 #: Of so many pieces of a task one is counted for that choice.
 COUNTED = 4
-#: Tokens of a shard, about, and shards a home answers, about.
-SHARD_TOKENS = 1_000_000
+#: Tokens of a shard, about, at most and, unless there are few, at least; shards for one home.
+SHARD_TOKENS, LEAST_TOKENS = 1_000_000, 100_000
 SHARDS_PER_HOME = 16
 WAVES = 2
 #: Parts in which vectors are added up.
@@ -624,7 +624,7 @@ def score_texts(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     kind = dict(rows.dtypes)["doc_id"]
     common, pairs, n = frequent(rows)
     partitions = shuffle_partitions(spark)
-    shards = max(8 * partitions, n // SHARD_TOKENS)
+    shards = max(8, min(8 * partitions, n // LEAST_TOKENS), n // SHARD_TOKENS)
     homes = max(1, shards // SHARDS_PER_HOME)
     small_batches(spark, 64)  # rows are packed pieces from here on
     table = stored(shards_and_texts(rows, common, pairs, shards, homes, partitions), "shards", "kind", **PACKED)

@@ -396,8 +396,10 @@ def test_language_model_beats_the_base_on_held_out_texts(spark, sf_dir):
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
 
 
-def test_language_model_has_a_restaurant_for_every_context(spark):
-    """Words that always follow one another are foretold, however many of them there are."""
+def test_language_model_has_a_restaurant_for_every_context(spark, monkeypatch):
+    """Words that always follow one another are foretold, however many of them there are, with codes or without."""
+    monkeypatch.setattr(pitman_yor, "SHARDS_PER_HOME", 2)
+    monkeypatch.setattr(pitman_yor, "COMMON", 1000)
     chain = " ".join(f"w{i}" for i in range(4000))
     rows = pitman_yor.score_texts(spark.createDataFrame([(i, chain) for i in range(8)], "doc_id long, text string").repartition(3)).collect()
     assert all(r.score / r.n_tokens > math.log10(0.5) for r in rows)
