@@ -610,8 +610,8 @@ def _scored(spark: SparkSession, sf_dir: str, framework: str) -> DataFrame:
     fitted = _fitted(spark, sf_dir)
     train = fitted.transform(drift.relabel(flows_split(spark, sf_dir, "train")))
     model = training.fit_model(train, framework, seed=SEED, partitions=_cores(spark))
-    rows = fitted.transform(drift.relabel(flows(spark, sf_dir)), keep=("flow_id",))
-    scored = model.score(rows)
+    even = training.spread(flows(spark, sf_dir), _cores(spark))  # before features make the rows wide
+    scored = model.score(fitted.transform(drift.relabel(even), keep=("flow_id",)))
     shares = [r6(F.get("probabilities", F.lit(i))).alias(f"p_{i}") for i in range(model.classes)]
     return scored.select("flow_id", TARGET, "prediction", *shares)
 

@@ -136,6 +136,11 @@ def usable(inputs: list[str]) -> list[Column]:
     return [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in inputs]
 
 
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Rows dealt evenly to so many tasks, however few splits they are read from; no number leaves them."""
+    return df.repartition(partitions) if partitions else df
+
+
 @dataclass
 class FlowModel:
     """A trained classifier with the input order and class count it was trained on."""
@@ -206,12 +211,10 @@ def fit_model(
         F.col(target).cast("double").alias("label"),
     )
     if framework == "softmax":
-        spread = filled.repartition(partitions) if partitions else filled
-        return FlowModel(fit_softmax(spread, inputs, params, classes, seed=seed), framework, inputs, classes, params)
+        return FlowModel(fit_softmax(spread(filled, partitions), inputs, params, classes, seed=seed), framework, inputs, classes, params)
     assembler = VectorAssembler(inputCols=inputs, outputCol="features")
     vectors = assembler.transform(filled).select("features", "label")
-    vectors = vectors.repartition(partitions) if partitions else vectors
-    with materialised(vectors) as (kept,):
+    with materialised(spread(vectors, partitions)) as (kept,):
         model = estimator(framework, params, len(inputs), classes, seed).fit(kept)
     return FlowModel(PipelineModel([assembler, model]), framework, inputs, classes, params)
 
@@ -284,14 +287,14 @@ def train(
     seed: int = 42,
     partitions: int | None = None,
 ) -> TrainingResult:
-    """Fit on train, evaluate on val and test: (split, metric, value) incl. log loss."""
+    """Fit on train, evaluate on val and test: (split, metric, value) incl. log loss. `partitions` spreads the rows of either step."""
     for part in (val_df, test_df):
         require_contract(part, target)
     started = time.perf_counter()
     model = fit_model(train_df, framework, params, target, classes, seed, partitions)
     fitted = time.perf_counter() - started
     started = time.perf_counter()
-    scored = model.score(label_splits({"val": val_df, "test": test_df}))
+    scored = model.score(spread(label_splits({"val": val_df, "test": test_df}), partitions))
     evaluation = evaluate(scored, target, classes)
     evaluated = time.perf_counter() - started
     return TrainingResult(model, evaluation, {"fit_seconds": fitted, "evaluate_seconds": evaluated})

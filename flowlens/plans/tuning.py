@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from ..operators.evaluate import log_loss
 from ..operators.sampling import row_cap, share_sample
 from ..schemas import NUM_CLASSES, TARGET
-from .training import DEFAULTS, FlowModel, fit_model, materialised
+from .training import DEFAULTS, FlowModel, fit_model, materialised, spread
 
 Draw = Callable[[random.Random], float]
 
@@ -89,10 +89,9 @@ def tuning_data(
     max_val_rows: int = 0,
     partitions: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """The sample a search works on; caps of 0 keep everything."""
+    """The sample a search works on; caps of 0 keep everything. `partitions` spreads the rows of both."""
     rows = row_cap(share_sample(train, fraction, seed=seed), max_train_rows)
-    rows = rows.repartition(partitions) if partitions else rows
-    return rows, row_cap(val, max_val_rows)
+    return spread(rows, partitions), spread(row_cap(val, max_val_rows), partitions)
 
 
 def validation_loss(model: FlowModel, val: DataFrame, target: str) -> float:

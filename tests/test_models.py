@@ -123,6 +123,29 @@ def test_halving_keeps_the_better_half(parts):
     assert {t.number for t in second} == kept
 
 
+def test_rows_to_judge_or_score_are_spread(spark, sf_dir, parts, monkeypatch):
+    """However few splits they are read from, every core gets some of them."""
+    from flowlens.catalog import queries
+
+    seen = []
+
+    class Even:
+        classes = 6
+
+        def score(self, df):
+            seen.append(df.rdd.getNumPartitions())
+            return df.withColumn("prediction", F.lit(0)).withColumn("probabilities", F.array_repeat(F.lit(1 / 6), 6))
+
+    monkeypatch.setattr(training, "fit_model", lambda *args, **options: Even())
+    one = {k: df.coalesce(1) for k, df in parts.items()}
+    training.train(one["train"], one["val"], one["test"], "mlp", partitions=7)
+    rows = queries.score_batch(spark, sf_dir)
+    assert seen == [7, spark.sparkContext.defaultParallelism]
+    assert rows.count() == spark.read.parquet(f"{sf_dir}/events.parquet").count()
+    both = tuning.tuning_data(spark.range(100).coalesce(1), spark.range(50).coalesce(1), None, 1, partitions=5)
+    assert [df.rdd.getNumPartitions() for df in both] == [5, 5]
+
+
 def test_tuning_data_caps(spark):
     a, b = tuning.tuning_data(spark.range(100), spark.range(50), None, 1, max_train_rows=10, max_val_rows=5)
     assert (a.count(), b.count()) == (10, 5)
