@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.llm.common import stored
 
+#: Edges that one task walks by itself, about, before all are walked together.
+TASK_EDGES = 1 << 16
+
 
 def _minima(edges: DataFrame) -> DataFrame:
     """Each edge (u, v) with the smallest neighbour of u, u itself included."""
@@ -20,13 +26,42 @@ def fingerprint(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), *hashes).first())
 
 
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's edges as one edge from each of its nodes to the smallest that those edges connect it with."""
+    above: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (y := above.setdefault(x, x)) != x:
+            above[x] = x = above[y]
+        return x
+
+    for batch in batches:
+        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            x, y = top(u), top(v)
+            above[max(x, y)] = min(x, y)
+    hung = [(x, top(x)) for x in list(above) if above[x] != x]
+    if hung:
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in hung], pa.int64()) for k in (0, 1)], names=["u", "v"])
+
+
+def _labelled(stars: DataFrame) -> DataFrame:
+    tops = stars.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
+    return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).union(tops)
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component): the smallest node that edges (u, v) connect a node with; nodes without edges are left out.
+    """(node, component): the smallest node that edges (u, v) of longs connect a node with; nodes without edges are left out.
 
-    Large and small stars in turn: neighbours are hung on the smallest node they see until nothing moves. Each round's
-    edges are written to the shared folder. Rounds grow with the logarithm of the nodes.
+    First each task walks its own edges; where they fit one task, that is all. Else large and small stars in turn: neighbours are
+    hung on the smallest node they see until nothing moves. Each round's edges are written to the shared folder. Rounds grow with
+    the logarithm of the nodes.
     """
-    links = stored(edges.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    links = stored(edges.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), "edges")
+    tasks = max(1, -(-links.count() // TASK_EDGES))
+    stars = stored(links.coalesce(tasks).mapInArrow(_stars, "u long, v long"), "edges")
+    if tasks == 1:
+        return _labelled(stars)
+    links = stored(stars.distinct(), "edges")
     before = fingerprint(links)
     while True:
         both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -36,8 +71,7 @@ def components(edges: DataFrame) -> DataFrame:
         links = stored(small.filter("u != v").distinct(), "edges")
         after = fingerprint(links)
         if after == before:
-            tops = links.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
-            return links.select(F.col("u").alias("node"), F.col("v").alias("component")).union(tops)
+            return _labelled(links)
         before = after
 
 

@@ -8,7 +8,8 @@ what survives is verified on the whole sets.
 
 Blocks lose no link: linked sets share one of their first n - ceil(0.8 n) + 1 shingles in any order that is the same
 for all texts. The order puts frequent shingles last, then goes by hash, so that blocks stay small where a passage is
-widely shared. Blocks that hold the same nodes are joined once. A block of more than CHUNK nodes is dealt into
+widely shared. Blocks that hold the same nodes are joined once, and large blocks whose least node is the same, as those of
+one passage mostly are, are one block of all their nodes. A block of more than CHUNK nodes is dealt into
 chunks, each node to one. In large blocks and chunks, near pairs are verified first; then only nodes that are still apart, for
 which a dealt block's nodes are put in cells by component and size, and all cells meet but those of one component. Which
 shingles need dealing is told by whole sets of a sample of the texts: that decides where a block is cut, never what links.
@@ -63,6 +64,12 @@ SIZE_BITS, STEP, REACH = 10, 1.02, 12
 WAVES = 2
 #: Up to this many node ids are sent to the tasks; more are joined.
 BROADCAST_NODES = 1 << 20
+#: Up to this many ids are sent as they stand, with repeats.
+BROADCAST_REPEATS = 1 << 18
+#: Pairs are verified at once on whole sets if they are at most one for so many texts; more go by coarse points and in waves.
+TEXTS_PER_PAIR = 4
+#: Nodes of a large block with which all its others are compared at first, at most.
+LEADERS = 32
 
 
 def needed(n: np.ndarray | int, m: np.ndarray | int) -> np.ndarray | int:
@@ -377,9 +384,23 @@ def cell_blocks(known: DataFrame) -> DataFrame:
     return placed.join(sides, ["dealt", "cell"]).select("block", "node", "component")
 
 
-def of_nodes(sets: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The sets of the stored nodes wanted, still with repeats."""
-    return sets.join(small_side(wanted, BROADCAST_NODES), "node", "left_semi")
+def joined_blocks(large: DataFrame) -> DataFrame:
+    """(block, node) of stored blocks (block, nodes): those with the same least node, by a hash, as one block, as long as that has
+    CHUNK nodes at most. All nodes that met in a block still meet."""
+    named = large.select("block", "nodes", F.array_min(F.transform("nodes", lambda x: F.xxhash64(x))).alias("least"))
+    rows = stored(named.select("least", F.explode("nodes").alias("node")).distinct(), "joined")
+    wide = stored(rows.groupBy("least").agg(F.count("*").alias("n")).filter(F.col("n") > CHUNK).select("least"), "wide")
+    if wide.isEmpty():
+        return rows.withColumnRenamed("least", "block")
+    apart = named.join(wide, "least", "left_semi").select("block", F.explode("nodes").alias("node"))
+    return stored(rows.join(wide, "least", "left_anti").withColumnRenamed("least", "block").union(apart), "joined")
+
+
+def of_nodes(sets: DataFrame, wanted: DataFrame, rows: int) -> DataFrame:
+    """The sets of the nodes wanted, which stand in that many rows; still with repeats."""
+    if rows <= BROADCAST_REPEATS:
+        return sets.join(F.broadcast(wanted), "node", "left_semi")
+    return sets.join(small_side(stored(wanted.distinct(), "wanted"), BROADCAST_NODES), "node", "left_semi")
 
 
 def tier_of(sizes: np.ndarray) -> np.ndarray:
@@ -436,8 +457,8 @@ def node_points(sets: DataFrame, finer: int = 0) -> DataFrame:
 
 
 def near_pairs(members: DataFrame, far_only: bool) -> DataFrame:
-    """Distinct pairs (a, b) that each block's tree leaves. Of large blocks, at first each node with one pivot and its
-    neighbours in size; with `far_only`, all pairs of nodes that `component` tells apart. Blocks are streamed."""
+    """Pairs (a, b) that each block's tree leaves, with repeats. Of large blocks, at first each node with one of a few leaders and
+    its neighbours in size; with `far_only`, all pairs of nodes that `component` tells apart. Blocks are streamed."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -466,16 +487,26 @@ def near_pairs(members: DataFrame, far_only: bool) -> DataFrame:
                     tree = CountTree(points.at(rest, int(points.tiers[rest].min())), sizes[a:b], apart)
                     found += [(i + a, j + a) for i, j in tree.pairs()]
                 else:
-                    found += [(np.full(b - a, a + int(nodes[a:b].argmin())), rest), (rest[:-1], rest[1:])]
+                    found += [*led(points, rest, sizes), (rest[:-1], rest[1:])]
         i, j = (np.concatenate([x[k] for x in found]) for k in (0, 1))
         ok = points.reach(i, j)
         i, j = i[ok], j[ok]
         pairs = np.unique(np.stack((np.minimum(nodes[i], nodes[j]), np.maximum(nodes[i], nodes[j])), axis=1), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
+    def led(points: Points, rest: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Leaders with those that their bound lets link; what is left has the next leader."""
+        at = points.at(rest, int(points.tiers[rest].min()))
+        for _ in range(LEADERS):
+            if len(rest) < 2:
+                return
+            near = np.minimum(at[1:], at[0]).sum(axis=1) >= needed(sizes[rest[1:]], sizes[rest[0]])
+            yield np.full(int(near.sum()), rest[0]), rest[1:][near]
+            rest, at = rest[1:][~near], at[1:][~near]
+
     columns = ["block", "node", "n", "packed", *(["component"] if far_only else [])]
     ordered = members.select(*columns).repartition("block").sortWithinPartitions("block", "n", "node")
-    return ordered.mapInArrow(work, "a long, b long").distinct()
+    return ordered.mapInArrow(work, "a long, b long")
 
 
 def coarse(shingles: np.ndarray) -> bytes:
@@ -516,13 +547,12 @@ def linked(left: pd.Series, n: pd.Series, right: pd.Series, m: pd.Series) -> pd.
     return pd.Series(out, dtype=bool)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, u: str = "a", v: str = "b") -> DataFrame:
-    """The columns named, as (u, v), of the pairs whose whole sets reach the similarity. Coarse points, a quarter of the sets'
-    bytes, go first: whole sets are sent only for pairs that the bound of those lets through."""
+def verified(pairs: DataFrame, sets: DataFrame, u: str = "a", v: str = "b", by_coarse: bool = False) -> DataFrame:
+    """The columns named, as (u, v), of the stored pairs whose whole sets reach the similarity. With `by_coarse`, coarse points,
+    a quarter of the sets' bytes, go first: whole sets are sent only for pairs that the bound of those lets through."""
 
     def ends(found: DataFrame) -> DataFrame:
-        wanted = stored(found.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
-        return of_nodes(sets, wanted)
+        return of_nodes(sets, found.select(F.explode(F.array("a", "b")).alias("node")), 2 * found.count())
 
     def passing(found: DataFrame, sides: DataFrame, test) -> DataFrame:
         one = sides.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("packed").alias("left"))
@@ -530,15 +560,16 @@ def verified(pairs: DataFrame, sets: DataFrame, u: str = "a", v: str = "b") -> D
         joined = found.join(one, "a").join(two, "b")
         return joined.filter(F.pandas_udf(test, "boolean")("left", "na", "right", "nb")).select(*found.columns)
 
-    points = ends(pairs).select("node", "n", F.pandas_udf(coarse_point, "binary")("packed").alias("packed")).dropDuplicates(["node"])
-    near = stored(passing(pairs, points, within_bound), "bounded")
-    sides = ends(near).dropDuplicates(["node"])
-    return passing(near, sides, linked).select(F.col(u).alias("u"), F.col(v).alias("v"))
+    if by_coarse:
+        points = ends(pairs).select("node", "n", F.pandas_udf(coarse_point, "binary")("packed").alias("packed")).dropDuplicates(["node"])
+        pairs = stored(passing(pairs, points, within_bound), "bounded")
+    sides = ends(pairs).dropDuplicates(["node"])
+    return passing(pairs, sides, linked).select(F.col(u).alias("u"), F.col(v).alias("v"))
 
 
-def join_components(pairs: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
-    """`groups` after the links that verifying `pairs` adds. First one pair of any two components, WAVES times; then all
-    that are still apart: pairs within a component change nothing, and their sets are not sent."""
+def join_components(pairs: DataFrame, groups: DataFrame, sets: DataFrame, few: int) -> DataFrame:
+    """`groups` after the links that verifying `pairs` adds. While there are more than `few`, first one pair of any two components,
+    WAVES times; then all that are still apart: pairs within a component change nothing, and their sets are not sent."""
     for wave in range(WAVES + 1):
         one = groups.select(F.col("node").alias("a"), F.col("component").alias("x"))
         two = groups.select(F.col("node").alias("b"), F.col("component").alias("y"))
@@ -547,13 +578,15 @@ def join_components(pairs: DataFrame, groups: DataFrame, sets: DataFrame) -> Dat
         pairs = stored(named.select("a", "b", F.least(x, y).alias("x"), F.greatest(x, y).alias("y")).filter("x != y"), "pairs")
         if pairs.isEmpty():
             break
-        chosen = pairs
-        if wave < WAVES:
+        last, chosen = wave == WAVES or pairs.count() <= few, pairs
+        if not last:
             picked = pairs.groupBy("x", "y").agg(F.min_by(F.struct("a", "b"), F.xxhash64("a", "b", F.lit(wave))).alias("p"))
             chosen = stored(picked.select("p.a", "p.b", "x", "y"), "pairs")
-        links = stored(verified(chosen, sets, "x", "y"), "links")
+        links = stored(verified(chosen, sets, "x", "y", by_coarse=chosen.count() > few), "links")
         if not links.isEmpty():
             groups = stored(merged(groups, links), "groups")
+        if last:
+            break
         pairs = pairs.join(chosen, ["a", "b"], "left_anti")
     return groups
 
@@ -571,30 +604,31 @@ def row_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     small_batches(spark)
     with scratch_scope(spark) as kept:
         rows = stored(shingle_nodes(df, doc_id, text), "nodes")
-        groups = stored(linked_groups(node_sets(rows)), "groups")
+        groups = stored(linked_groups(node_sets(rows), rows.count() // TEXTS_PER_PAIR), "groups")
         labelled = rows.join(groups, "node", "left").select("doc_id", "n", F.coalesce("component", "node").alias("component"))
         return kept(stored(labelled, "labelled"))
 
 
-def linked_groups(sets: DataFrame) -> DataFrame:
-    """(node, component) of the nodes that links connect with others, from stored sets."""
+def linked_groups(sets: DataFrame, few: int) -> DataFrame:
+    """(node, component) of the nodes that links connect with others, from stored sets. Up to `few` pairs are verified at once."""
     shared = stored(blocks(sets, frequent_shingles(sets)), "blocks")
     chunks = one_of_equal(shared.filter("dealt != 0"))
-    whole = shared.filter("dealt = 0").select("block", "nodes").union(chunks.select("block", "nodes").dropDuplicates(["block"]))
-    members = whole.select("block", F.explode("nodes").alias("node"))
-    points = node_points(of_nodes(sets, stored(members.select("node").distinct(), "wanted")))
+    small = F.size("nodes") <= SMALL_BLOCK
+    large = joined_blocks(shared.filter("dealt = 0").filter(~small))
+    whole = shared.filter("dealt = 0").filter(small).select("block", "nodes").union(chunks.select("block", "nodes").dropDuplicates(["block"]))
+    members = stored(whole.select("block", F.explode("nodes").alias("node")).union(large.select("block", "node")), "members")
+    points = node_points(of_nodes(sets, members.select("node"), members.count()))
     pairs = stored(near_pairs(members.join(points, "node"), far_only=False).union(linking_pairs(chunks)).distinct(), "pairs")
-    groups = stored(components(verified(pairs, sets)), "groups")
+    groups = stored(components(verified(pairs, sets, by_coarse=pairs.count() > few)), "groups")
 
-    large = shared.filter(F.size("nodes") > SMALL_BLOCK).filter("dealt = 0").select("block", F.explode("nodes").alias("node"))
     dealt = chunks.select("dealt", F.explode("nodes").alias("node"))
     if not (large.isEmpty() and dealt.isEmpty()):
         later = still_apart(large, "block", groups)
         if not dealt.isEmpty():
             later = later.unionByName(cell_blocks(stored(still_apart(dealt, "dealt", groups), "apart")))
         later = stored(later, "later")
-        points = node_points(of_nodes(sets, stored(later.select("node").distinct(), "wanted")), FINER)
-        groups = join_components(stored(near_pairs(later.join(points, "node"), far_only=True), "pairs"), groups, sets)
+        points = node_points(of_nodes(sets, later.select("node"), later.count()), FINER)
+        groups = join_components(stored(near_pairs(later.join(points, "node"), far_only=True).distinct(), "pairs"), groups, sets, few)
     return groups
 
 

@@ -159,6 +159,46 @@ def test_jaccard_deals_blocks_by_their_size(spark, monkeypatch):
     assert sorted(map(tuple, jaccard.similar_groups(docs).collect())) == brute_groups(rows)
 
 
+def test_jaccard_large_blocks_of_one_passage_are_joined_once(spark, monkeypatch):
+    """Near copies that share many shingles, of which not all are in each prefix: blocks overlap, and their rows stay near one a node."""
+    monkeypatch.setattr(jaccard, "FREQUENT", 8)
+    rng = np.random.default_rng(9)
+    rows = []
+    for i in range(150):
+        w = [f"w{i % 3}-{k}" for k in range(100)]
+        for k in rng.choice(100, int(rng.integers(0, 5)), replace=False):
+            w[k] = f"new{rng.integers(0, 10**9)}"
+        rows.append((i, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    sets = jaccard.node_sets(stored(jaccard.shingle_nodes(docs, "doc_id", "text"), "nodes"))
+    large = stored(jaccard.blocks(sets, jaccard.frequent_shingles(sets)), "blocks").filter(f"size(nodes) > {jaccard.SMALL_BLOCK}")
+    before = {r.block: set(r.nodes) for r in large.collect()}
+
+    def joined():
+        held = {}
+        for r in jaccard.joined_blocks(large).collect():
+            held.setdefault(r.block, set()).add(r.node)
+        assert all(any(nodes <= other for other in held.values()) for nodes in before.values())
+        return held
+
+    assert sum(map(len, joined().values())) < sum(map(len, before.values())) / 2
+    monkeypatch.setattr(jaccard, "CHUNK", 20)
+    assert joined()
+    monkeypatch.setattr(jaccard, "CHUNK", 4096)
+    expected = brute_groups(rows)
+    assert sorted(map(tuple, jaccard.similar_groups(docs).collect())) == expected
+    monkeypatch.setattr(jaccard, "TEXTS_PER_PAIR", 10**9)
+    assert sorted(map(tuple, jaccard.similar_groups(docs).collect())) == expected
+
+
+def test_components_of_several_tasks(spark, monkeypatch):
+    edges = spark.createDataFrame([(i, i + 2) for i in range(60)], "u long, v long").repartition(8)
+    expected = {i: i % 2 for i in range(62)}
+    assert dict(map(tuple, graph.components(edges).collect())) == expected
+    monkeypatch.setattr(graph, "TASK_EDGES", 10)
+    assert dict(map(tuple, graph.components(edges).collect())) == expected
+
+
 def test_scratch_tables_go_with_their_scope(spark):
     rows = spark.createDataFrame([(1, "a"), (2, None)], "k long, v string")
     with scratch_scope(spark) as outer:
