@@ -11,7 +11,9 @@ for all texts. The order puts frequent shingles last, then goes by hash, so that
 widely shared. Blocks that hold the same nodes are joined once, and large blocks whose least node is the same, as those of
 one passage mostly are, are one block of all their nodes. A block of more than CHUNK nodes is dealt into
 chunks, each node to one. In large blocks and chunks, near pairs are verified first; then only nodes that are still apart, for
-which a dealt block's nodes are put in cells by component and size, and all cells meet but those of one component. Which
+which a dealt block's nodes are put in cells by component and size, and all cells meet but those of one component. There a
+block's pairs stay in its task: nodes whose bound reaches one of another component come with their whole sets, and a pair is
+verified only if the links found so far leave it apart, so a group of near copies costs rows for its nodes, not its pairs. Which
 shingles need dealing is told by whole sets of a sample of the texts: that decides where a block is cut, never what links.
 
 Null and blank texts have empty sets and link with nothing. Null ids count as no id: a group's id is its smallest
@@ -60,13 +62,11 @@ KNOWN_PARTS = 4
 SMALL_BLOCK = LEAF
 #: A node's last bits hold its size as a power of STEP; sizes of linked sets are at most REACH steps apart.
 SIZE_BITS, STEP, REACH = 10, 1.02, 12
-#: Rounds in which one pair stands for all pairs of two components.
-WAVES = 2
 #: Up to this many node ids are sent to the tasks; more are joined.
 BROADCAST_NODES = 1 << 20
 #: Up to this many ids are sent as they stand, with repeats.
 BROADCAST_REPEATS = 1 << 18
-#: Pairs are verified at once on whole sets if they are at most one for so many texts; more go by coarse points and in waves.
+#: Pairs are verified at once on whole sets if they are at most one for so many texts; more go by coarse points first.
 TEXTS_PER_PAIR = 4
 #: Nodes of a large block with which all its others are compared at first, at most.
 LEADERS = 32
@@ -115,23 +115,25 @@ class CountTree:
         points = self.points[rows]
         top, least, most = points.max(axis=0), int(self.sizes[rows].min()), int(self.sizes[rows].max())
         if len(rows) <= LEAF:
-            return top, least, most, rows, None, self._only(rows)
+            return top, least, most, rows, None
         widest = int((top - points.min(axis=0)).argmax())
         half = np.argsort(points[:, widest], kind="stable")
         cut = len(rows) // 2
-        return top, least, most, rows, (self._pack(rows[half[:cut]]), self._pack(rows[half[cut:]])), self._only(rows)
+        return top, least, most, rows, (self._pack(rows[half[:cut]]), self._pack(rows[half[cut:]]))
 
     def _only(self, rows: np.ndarray) -> int | None:
-        """The number in `apart` that all rows have."""
+        """The number in `apart` that all rows have now."""
         numbers = self.apart[rows]
         return int(numbers[0]) if (numbers == numbers[0]).all() else None
 
     def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs of rows whose bound reaches what a link needs; with `apart`, only rows of different numbers."""
+        """Pairs of rows whose bound reaches what a link needs; with `apart`, only rows of different numbers. Numbers may be
+        made equal on the way."""
         stack = [(self.root, self.root)]
         while stack:
             a, b = stack.pop()
-            if a[5] is not None and a[5] == b[5]:
+            only = self._only(a[3])
+            if only is not None and only == self._only(b[3]):
                 continue
             if 5 * a[2] < 4 * b[1] or 5 * b[2] < 4 * a[1]:
                 continue
@@ -445,6 +447,9 @@ class Points:
                 ok[here[at : at + step]] = (x != y) & (bound >= needed(self.sizes[x], self.sizes[y]))
         return ok
 
+    def tree(self, rows: np.ndarray, apart: np.ndarray | None = None) -> CountTree:
+        return CountTree(self.at(rows, int(self.tiers[rows].min())), self.sizes[rows], apart)
+
 
 def node_points(sets: DataFrame, finer: int = 0) -> DataFrame:
     """(node, n, packed) with each node once and its point for its set."""
@@ -456,36 +461,44 @@ def node_points(sets: DataFrame, finer: int = 0) -> DataFrame:
     return sets.select("node", "n", of("packed").alias("packed")).dropDuplicates(["node"])
 
 
-def near_pairs(members: DataFrame, far_only: bool) -> DataFrame:
-    """Pairs (a, b) that each block's tree leaves, with repeats. Of large blocks, at first each node with one of a few leaders and
-    its neighbours in size; with `far_only`, all pairs of nodes that `component` tells apart. Blocks are streamed."""
+def whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Rows ordered by their first column, as batches with all rows of each of its values and the bounds of these."""
+    held = None
+    for batch in batches:
+        table = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        names = table.column(0).to_numpy()
+        if not len(names):
+            continue
+        begins = np.flatnonzero(np.concatenate(([True], names[1:] != names[:-1])))
+        held = table.slice(begins[-1])
+        if len(begins) > 1:
+            yield table.slice(0, begins[-1]), begins
+    if held is not None:
+        yield held, np.array([0, held.num_rows])
+
+
+def by_block(members: DataFrame) -> DataFrame:
+    return members.repartition("block").sortWithinPartitions("block", "n", "node")
+
+
+def near_pairs(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) that each block's tree leaves, with repeats. Of large blocks, each node with one of a few leaders and its
+    neighbours in size. Blocks are streamed."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            table = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-            names = table.column(0).to_numpy()
-            if not len(names):
-                continue
-            begins = np.flatnonzero(np.concatenate(([True], names[1:] != names[:-1])))
-            held = table.slice(begins[-1])
-            if len(begins) > 1:
-                yield pairs_of(table.slice(0, begins[-1]), begins)
-        if held is not None:
-            yield pairs_of(held, np.array([0, held.num_rows]))
+        for table, bounds in whole_blocks(batches):
+            yield pairs_of(table, bounds)
 
     def pairs_of(table: pa.RecordBatch, bounds: np.ndarray) -> pa.RecordBatch:
         nodes, sizes = table.column(1).to_numpy(), table.column(2).to_numpy()
-        points = Points(table.column(3), sizes, FINER if far_only else 0)
+        points = Points(table.column(3), sizes)
         two = bounds[:-1][np.diff(bounds) == 2]
         found = [(two, two + 1)]
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
             if b - a > 2:
                 rest = np.arange(a, b)
-                if far_only or b - a <= SMALL_BLOCK:
-                    apart = table.column(4).to_numpy()[a:b] if far_only else None
-                    tree = CountTree(points.at(rest, int(points.tiers[rest].min())), sizes[a:b], apart)
-                    found += [(i + a, j + a) for i, j in tree.pairs()]
+                if b - a <= SMALL_BLOCK:
+                    found += [(i + a, j + a) for i, j in points.tree(rest).pairs()]
                 else:
                     found += [*led(points, rest, sizes), (rest[:-1], rest[1:])]
         i, j = (np.concatenate([x[k] for x in found]) for k in (0, 1))
@@ -504,9 +517,55 @@ def near_pairs(members: DataFrame, far_only: bool) -> DataFrame:
             yield np.full(int(near.sum()), rest[0]), rest[1:][near]
             rest, at = rest[1:][~near], at[1:][~near]
 
-    columns = ["block", "node", "n", "packed", *(["component"] if far_only else [])]
-    ordered = members.select(*columns).repartition("block").sortWithinPartitions("block", "n", "node")
-    return ordered.mapInArrow(work, "a long, b long")
+    return by_block(members.select("block", "node", "n", "packed")).mapInArrow(work, "a long, b long")
+
+
+def near_others(members: DataFrame) -> DataFrame:
+    """The (block, node, component) of nodes whose bound, in finer groups, lets them link with one of another component in
+    their block."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, bounds in whole_blocks(batches):
+            points, components = Points(table.column(3), table.column(2).to_numpy(), FINER), table.column(4).to_numpy()
+            near = np.zeros(table.num_rows, bool)
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                for i, j in points.tree(np.arange(a, b), components[a:b]).pairs():
+                    new = ~(near[i + a] & near[j + a])
+                    i, j = i[new] + a, j[new] + a
+                    ok = points.reach(i, j)
+                    near[i[ok]] = near[j[ok]] = True
+            kept = pa.array(near)
+            yield pa.RecordBatch.from_arrays([table.column(k).filter(kept) for k in (0, 1, 4)], names=["block", "node", "component"])
+
+    ordered = by_block(members.select("block", "node", "n", "packed", "component"))
+    return ordered.mapInArrow(work, "block long, node long, component long")
+
+
+def block_links(members: DataFrame) -> DataFrame:
+    """(u, v), components that links in a block connect: as few in each as connect them, so at most one for each node. `packed`
+    is the whole set here."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, bounds in whole_blocks(batches):
+            components, packed = table.column(4).to_numpy(), table.column(3)
+            found = []
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in packed.slice(a, b - a)]
+                found += [(int(components[a + i]), int(components[a + j])) for i, j in links_of(sets, components[a:b].copy())]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["u", "v"])
+
+    def links_of(sets: list[np.ndarray], apart: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Linked sets that no links before connect; `apart` has their components, which links make one."""
+        points = Points(pa.array([point_of(s, FINER) for s in sets], pa.binary()), np.array([len(s) for s in sets]), FINER)
+        for i, j in points.tree(np.arange(len(sets)), apart).pairs():
+            ok = points.reach(i, j)
+            for x, y in zip(i[ok].tolist(), j[ok].tolist(), strict=True):
+                if apart[x] != apart[y] and similar(sets[x], sets[y]):
+                    yield x, y
+                    apart[apart == apart[y]] = apart[x]
+
+    ordered = by_block(members.select("block", "node", "n", "packed", "component"))
+    return ordered.mapInArrow(work, "u long, v long")
 
 
 def coarse(shingles: np.ndarray) -> bytes:
@@ -538,18 +597,19 @@ def within_bound(left: pd.Series, n: pd.Series, right: pd.Series, m: pd.Series)
     return pd.Series(out, dtype=bool)
 
 
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether whole sets link."""
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * shared >= 80 * (len(x) + len(y) - shared)
+
+
 def linked(left: pd.Series, n: pd.Series, right: pd.Series, m: pd.Series) -> pd.Series:
-    out = []
-    for x, y in zip(left, right, strict=True):
-        x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-        shared = common(x, y)
-        out.append(100 * shared >= 80 * (len(x) + len(y) - shared))
-    return pd.Series(out, dtype=bool)
+    return pd.Series([similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(left, right, strict=True)], dtype=bool)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, u: str = "a", v: str = "b", by_coarse: bool = False) -> DataFrame:
-    """The columns named, as (u, v), of the stored pairs whose whole sets reach the similarity. With `by_coarse`, coarse points,
-    a quarter of the sets' bytes, go first: whole sets are sent only for pairs that the bound of those lets through."""
+def verified(pairs: DataFrame, sets: DataFrame, by_coarse: bool = False) -> DataFrame:
+    """The stored pairs (a, b) whose whole sets reach the similarity, as (u, v). With `by_coarse`, coarse points, a quarter of the
+    sets' bytes, go first: whole sets are sent only for pairs that the bound of those lets through."""
 
     def ends(found: DataFrame) -> DataFrame:
         return of_nodes(sets, found.select(F.explode(F.array("a", "b")).alias("node")), 2 * found.count())
@@ -564,31 +624,7 @@ def verified(pairs: DataFrame, sets: DataFrame, u: str = "a", v: str = "b", by_c
         points = ends(pairs).select("node", "n", F.pandas_udf(coarse_point, "binary")("packed").alias("packed")).dropDuplicates(["node"])
         pairs = stored(passing(pairs, points, within_bound), "bounded")
     sides = ends(pairs).dropDuplicates(["node"])
-    return passing(pairs, sides, linked).select(F.col(u).alias("u"), F.col(v).alias("v"))
-
-
-def join_components(pairs: DataFrame, groups: DataFrame, sets: DataFrame, few: int) -> DataFrame:
-    """`groups` after the links that verifying `pairs` adds. While there are more than `few`, first one pair of any two components,
-    WAVES times; then all that are still apart: pairs within a component change nothing, and their sets are not sent."""
-    for wave in range(WAVES + 1):
-        one = groups.select(F.col("node").alias("a"), F.col("component").alias("x"))
-        two = groups.select(F.col("node").alias("b"), F.col("component").alias("y"))
-        x, y = F.coalesce("x", "a"), F.coalesce("y", "b")
-        named = pairs.select("a", "b").join(one, "a", "left").join(two, "b", "left")
-        pairs = stored(named.select("a", "b", F.least(x, y).alias("x"), F.greatest(x, y).alias("y")).filter("x != y"), "pairs")
-        if pairs.isEmpty():
-            break
-        last, chosen = wave == WAVES or pairs.count() <= few, pairs
-        if not last:
-            picked = pairs.groupBy("x", "y").agg(F.min_by(F.struct("a", "b"), F.xxhash64("a", "b", F.lit(wave))).alias("p"))
-            chosen = stored(picked.select("p.a", "p.b", "x", "y"), "pairs")
-        links = stored(verified(chosen, sets, "x", "y", by_coarse=chosen.count() > few), "links")
-        if not links.isEmpty():
-            groups = stored(merged(groups, links), "groups")
-        if last:
-            break
-        pairs = pairs.join(chosen, ["a", "b"], "left_anti")
-    return groups
+    return passing(pairs, sides, linked).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
 def still_apart(members: DataFrame, name: str, groups: DataFrame) -> DataFrame:
@@ -610,7 +646,8 @@ def row_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
 
 def linked_groups(sets: DataFrame, few: int) -> DataFrame:
-    """(node, component) of the nodes that links connect with others, from stored sets. Up to `few` pairs are verified at once."""
+    """(node, component) of the nodes that links connect with others, from stored sets. Up to `few` pairs are verified at once at
+    first."""
     shared = stored(blocks(sets, frequent_shingles(sets)), "blocks")
     chunks = one_of_equal(shared.filter("dealt != 0"))
     small = F.size("nodes") <= SMALL_BLOCK
@@ -618,7 +655,7 @@ def linked_groups(sets: DataFrame, few: int) -> DataFrame:
     whole = shared.filter("dealt = 0").filter(small).select("block", "nodes").union(chunks.select("block", "nodes").dropDuplicates(["block"]))
     members = stored(whole.select("block", F.explode("nodes").alias("node")).union(large.select("block", "node")), "members")
     points = node_points(of_nodes(sets, members.select("node"), members.count()))
-    pairs = stored(near_pairs(members.join(points, "node"), far_only=False).union(linking_pairs(chunks)).distinct(), "pairs")
+    pairs = stored(near_pairs(members.join(points, "node")).union(linking_pairs(chunks)).distinct(), "pairs")
     groups = stored(components(verified(pairs, sets, by_coarse=pairs.count() > few)), "groups")
 
     dealt = chunks.select("dealt", F.explode("nodes").alias("node"))
@@ -628,7 +665,10 @@ def linked_groups(sets: DataFrame, few: int) -> DataFrame:
             later = later.unionByName(cell_blocks(stored(still_apart(dealt, "dealt", groups), "apart")))
         later = stored(later, "later")
         points = node_points(of_nodes(sets, later.select("node"), later.count()), FINER)
-        groups = join_components(stored(near_pairs(later.join(points, "node"), far_only=True).distinct(), "pairs"), groups, sets, few)
+        near = stored(near_others(later.join(points, "node")), "near")
+        whole = of_nodes(sets, near.select("node"), near.count()).dropDuplicates(["node"])
+        links = stored(block_links(near.join(whole, "node")), "links")
+        groups = groups if links.isEmpty() else stored(merged(groups, links), "groups")
     return groups
 
 

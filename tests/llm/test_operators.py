@@ -191,6 +191,29 @@ def test_jaccard_large_blocks_of_one_passage_are_joined_once(spark, monkeypatch)
     assert sorted(map(tuple, jaccard.similar_groups(docs).collect())) == expected
 
 
+def test_jaccard_group_of_near_copies_makes_no_table_of_its_pairs(spark, monkeypatch):
+    """Near copies of which those with few edits link: tables grow with the nodes that are still apart, not with their pairs."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(240):
+        w = [f"w{k}" for k in range(200)]
+        for k in rng.choice(200, int(rng.integers(1, 7)), replace=False):
+            w[k] = f"new{rng.integers(0, 10**9)}"
+        rows.append((i, " ".join(w)))
+    made = {}
+
+    def counted(df, purpose, *args, **options):
+        out = stored(df, purpose, *args, **options)
+        made[purpose] = max(made.get(purpose, 0), out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "LEADERS", 0)
+    monkeypatch.setattr(jaccard, "stored", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(map(tuple, jaccard.similar_groups(docs).collect())) == brute_groups(rows)
+    assert max(made[x] for x in ("pairs", "links")) < 5 * len(rows), made
+
+
 def test_components_of_several_tasks(spark, monkeypatch):
     edges = spark.createDataFrame([(i, i + 2) for i in range(60)], "u long, v long").repartition(8)
     expected = {i: i % 2 for i in range(62)}
