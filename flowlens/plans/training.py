@@ -36,6 +36,7 @@ from ..operators.validate import require_contract
 from ..schemas import CLASS_NAMES, MODEL_INPUTS, NUM_CLASSES, TARGET
 from ..session import ensure_checkpoint_dir
 from .boosting import SOFTMAX_PARAMS, SoftmaxTrees, fit_softmax, round_metrics
+from .class_trees import ClassTrees, fit_classes
 
 # Default parameters of the boosted-tree model.
 GBT_PARAMS = {
@@ -102,6 +103,20 @@ def estimator(framework: str, params: dict, inputs: int, classes: int, seed: int
     raise ValueError(f"unknown framework {framework!r}; known: softmax, gbt, mlp, forest")
 
 
+def fit_together(rows: DataFrame, inputs: list[str], params: dict, seed: int) -> ClassTrees:
+    """The trees of `estimator("gbt", ...)`, those of all classes grown side by side."""
+    return fit_classes(
+        rows,
+        inputs,
+        rounds=int(params["num_boost_round"]),
+        depth=int(params["max_depth"]),
+        eta=float(params["eta"]),
+        least=int(params["min_child_weight"]),
+        share=float(params["subsample"]),
+        seed=seed,
+    )
+
+
 DEFAULTS = {"softmax": SOFTMAX_PARAMS, "gbt": GBT_PARAMS, "mlp": MLP_PARAMS, "forest": FOREST_PARAMS}
 # Framework names of existing parameter files.
 FRAMEWORKS = {"xgboost": "softmax", "pytorch": "mlp"}
@@ -145,7 +160,7 @@ def spread(df: DataFrame, partitions: int | None) -> DataFrame:
 class FlowModel:
     """A trained classifier with the input order and class count it was trained on."""
 
-    stages: PipelineModel | SoftmaxTrees
+    stages: PipelineModel | SoftmaxTrees | ClassTrees
     framework: str
     inputs: list[str] = field(default_factory=lambda: list(MODEL_INPUTS))
     classes: int = NUM_CLASSES
@@ -155,7 +170,8 @@ class FlowModel:
         """Add `prediction` (first most likely class) and `probabilities`; unusable inputs count as 0."""
         whole = F.struct(*df.columns).alias("_row")
         raw = self.stages.transform(df.select(whole, *usable(self.inputs)))
-        scored = raw.withColumn("probabilities", class_probabilities(self.framework, self.classes))
+        kind = "softmax" if isinstance(self.stages, ClassTrees) else self.framework  # its probabilities are ready, too
+        scored = raw.withColumn("probabilities", class_probabilities(kind, self.classes))
         scored = scored.withColumn("prediction", first_argmax(F.col("probabilities")))
         return scored.select("_row.*", "prediction", "probabilities")
 
@@ -196,10 +212,12 @@ def fit_model(
     classes: int = NUM_CLASSES,
     seed: int = 42,
     partitions: int | None = None,
+    together: bool = False,
 ) -> FlowModel:
     """Fit one model. `partitions` spreads the rows first: every pass of the fit then uses all cores.
 
-    The vectors are kept in memory and on disk for the length of the fit, which passes over them many times.
+    The vectors are kept in memory and on disk for the length of the fit, which passes over them many times. `together`: the
+    boosted trees of all classes grow in the same passes, over blocks instead of vectors; such a model scores, but is not stored.
     """
     require_contract(train, target)
     ensure_checkpoint_dir(train.sparkSession)
@@ -212,6 +230,8 @@ def fit_model(
     )
     if framework == "softmax":
         return FlowModel(fit_softmax(spread(filled, partitions), inputs, params, classes, seed=seed), framework, inputs, classes, params)
+    if framework == "gbt" and together:
+        return FlowModel(fit_together(spread(filled, partitions), inputs, params, seed), framework, inputs, classes, params)
     assembler = VectorAssembler(inputCols=inputs, outputCol="features")
     vectors = assembler.transform(filled).select("features", "label")
     with materialised(spread(vectors, partitions)) as (kept,):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from flowlens.operators import drift
 from flowlens.operators.batch_score import score_batches
-from flowlens.plans import boosting, training, tuning
+from flowlens.plans import boosting, class_trees, training, tuning
 from flowlens.plans.job import PreprocessJob, TrainingJob
 from flowlens.plans.preprocess import feature_set
 from flowlens.plans.tracking import RunLog, metric_dict
@@ -225,6 +225,66 @@ def test_draws_of_the_neural_search_differ(spark, small_flows):
     assert len(losses) == 3
 
 
+# --- trees of all classes together -------------------------------------------------------------------
+
+
+def both_ways(rows, params, on, **options):
+    """Probabilities from Spark ML's ensembles and from those grown side by side."""
+    models = [training.fit_model(rows, "gbt", params, together=t, **options) for t in (False, True)]
+    return [np.array([r[0] for r in m.score(on).select("probabilities").collect()]) for m in models]
+
+
+@pytest.mark.parametrize("changed", [{"subsample": 0.6, "eta": 0.1}, {"min_child_weight": 9, "max_depth": 5}, {"max_depth": 0}])
+def test_classes_grown_together_equal_spark_ml(parts, changed):
+    params = {"num_boost_round": 2, "max_depth": 3, **changed}
+    lacking = parts["train"].where("attack IN (1, 3) OR attack IS NULL").withColumn("hour_norm", F.lit(0.0))
+    old, new = both_ways(parts["train"] if "subsample" in changed else lacking, params, parts["val"], seed=7)
+    assert old.shape == new.shape == (parts["val"].count(), 6) and np.allclose(old, new, rtol=0, atol=1e-12)
+
+
+@pytest.fixture(scope="module")
+def many_rows(spark):
+    """Rows enough for cuts to be found on a sample, with inputs that are often 0, constant, negative or all different."""
+    x = spark.range(0, 24_000, 1, 3)
+    noise = lambda k: F.abs(F.xxhash64("id", F.lit(k)) % 10_007) / 10_007.0
+    kinds = [lambda k: noise(k), lambda k: F.floor(noise(k) * 5), lambda k: F.greatest(noise(k) - 0.6, F.lit(0.0)), lambda k: F.lit(0.0), lambda k: noise(k) - 2.0]
+    columns = [kinds[i % len(kinds)](i).cast("double").alias(c) for i, c in enumerate(training.MODEL_INPUTS)]
+    label = F.floor(noise(0) * 2 + noise(1) * 1.5 + noise(99) * 0.3).alias("attack")
+    return x.select(*columns, label).cache()
+
+
+def test_cuts_from_a_sample_and_children_by_difference(many_rows, monkeypatch):
+    params = {"num_boost_round": 2, "max_depth": 4, "subsample": 0.8}
+    old, new = both_ways(many_rows, params, many_rows.limit(2000))
+    assert np.allclose(old, new, rtol=0, atol=1e-12)
+    monkeypatch.setattr(class_trees, "MANY_ROWS", 500)
+    model = training.fit_model(many_rows, "gbt", params, together=True)
+    less = [r[0] for r in model.score(many_rows.limit(2000)).select("probabilities").collect()]
+    assert np.allclose(less, new, rtol=0, atol=1e-9)
+
+
+def test_a_trial_passes_over_the_rows_once_for_each_level(spark, parts, monkeypatch):
+    """Not once for each level of each class."""
+    monkeypatch.setattr(tuning, "MAX_ROUNDS", 2)
+    kept = lambda: parts["train"].count() and parts["val"].count() and set(spark.sparkContext._jsc.getPersistentRDDs())
+    before = kept()
+    spark.sparkContext.setJobGroup("one trial", "one trial")
+    (trial,) = tuning.random_search(parts["train"], parts["val"], "gbt", trials=1)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("one trial"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 2 * trial.params["max_depth"] <= jobs < 2 * trial.params["max_depth"] + 15
+    assert kept() <= before
+    settings = {**training.GBT_PARAMS, **trial.params, "num_boost_round": 2}
+    assert trial.loss == pytest.approx(tuning.validation_loss(training.fit_model(parts["train"], "gbt", settings), parts["val"], "attack"))
+
+
+def test_trees_refuse_what_spark_ml_refuses(parts):
+    for rows in (parts["train"].where("attack > 9"), parts["train"].withColumn("hour_norm", F.lit(float("nan")))):
+        for together in (False, True):
+            with pytest.raises(Exception):  # noqa: B017
+                training.fit_model(rows, "gbt", {"num_boost_round": 1, "max_depth": 1}, together=together)
+
+
 # --- boosted softmax ---------------------------------------------------------------------------------
 
 
