@@ -278,6 +278,12 @@ def test_a_trial_passes_over_the_rows_once_for_each_level(spark, parts, monkeypa
     assert trial.loss == pytest.approx(tuning.validation_loss(training.fit_model(parts["train"], "gbt", settings), parts["val"], "attack"))
 
 
+def test_exponential_is_the_closest_double():
+    x = np.concatenate([np.random.default_rng(5).normal(size=20_000) * 3, [0.0, -0.0, 1 / 64, -650.0, 650.0]])
+    assert (class_trees.exp(x) != np.exp(x.astype(np.longdouble)).astype(float)).mean() < 0.01
+    assert class_trees.exp(np.array([-800.0, 0.0, 800.0])).tolist() == [0.0, 1.0, math.inf]
+
+
 def test_trees_refuse_what_spark_ml_refuses(parts):
     for rows in (parts["train"].where("attack > 9"), parts["train"].withColumn("hour_norm", F.lit(float("nan")))):
         for together in (False, True):
